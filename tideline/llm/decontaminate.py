@@ -69,10 +69,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
     few = hits.agg(F.sum(32 + 8 * F.size("met"))).first()[0] or 0
     again = texts.select(*name, "doc_id", words_of(F.col("text")).alias("words")).join(F.broadcast(hits) if few <= BROADCAST_BYTES else hits, ["k1", "k2"], "left")
     found = _prints(again.where("met is not null"), window, gram, short)
-    lists = []
-    for k, prints in [(window, "prints"), *((k, f"n{k}") for k in short)]:
+
+    def met_runs(prints: str, k: int) -> Column:
         at = F.filter(F.transform(prints, lambda x, i: F.when(F.array_contains("met", x), i + 1)), lambda i: i.isNotNull())
-        lists.append(F.transform(at, lambda i, k=k: F.struct(i.cast("int").alias("at"), F.lit(k).alias("k"), F.array_join(F.slice("words", i, k), " ").alias("run"))))
+        return F.transform(at, lambda i: F.struct(i.cast("int").alias("at"), F.lit(k).alias("k"), F.array_join(F.slice("words", i, k), " ").alias("run")))
+
+    lists = [met_runs("prints", window), *(met_runs(f"n{k}", k) for k in short)]
     #: Each row also sends one entry of its own, which meets nothing: it carries n_words and counts repeated rows.
     own = lambda: F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.concat(F.lit("\u0001"), F.col("k1").cast("string")).alias("run"))
     sent = found.select("k1", "k2", "doc_id", F.size("words").alias("n_words"), F.explode(F.concat(F.array(own()), *lists)).alias("x"))
