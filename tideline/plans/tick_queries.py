@@ -1,13 +1,21 @@
-"""Queries over the driver tables, one for each operator of the inventory."""
+"""All queries of the tick library, and the flagship."""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+from pyspark.sql import DataFrame, SparkSession
 
+from tideline.plans import aggregate_queries, filter_queries, interval_queries, join_queries, scalar_queries, window_queries  # noqa: F401
+from tideline.plans.registry import QUERIES, SQL
 
-def queries():
-    return {}
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commands with their turns, or the reason why there is none."""
+    return QUERIES["win_1_transitions"](spark, sf_dir)
 
-def oracle_sql():
-    return {}
+
+def queries() -> dict:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
