@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MOST_BYTES, MOST_FIELDS = 4 << 20, 100_000
-FIELDS = T._parse_datatype_string("array<struct<field:int,wire:int,number:decimal(20,0),raw:binary>>")
+FIELDS = T.ArrayType(T.StructType().add("field", T.IntegerType()).add("wire", T.IntegerType()).add("number", T.DecimalType(20, 0)).add("raw", T.BinaryType()))
 
 
 class WireError(ValueError):
@@ -112,26 +112,26 @@ def decode_fields(data: pd.Series) -> pd.Series:
     return data.map(one)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def uncompress(data: pd.Series) -> pd.Series:
     """Raw Snappy blocks; null where a block is null or malformed."""
     return data.map(lambda x: None if x is None else _tried(snappy_raw, x))
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def double_bits(x: pd.Series) -> pd.Series:
     """The 64 bits of a double, so that 0.0 and -0.0 differ."""
     return pd.Series(x.to_numpy(np.float64, na_value=np.nan).view(np.int64)).where(x.notna().to_numpy(), None).astype("Int64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def half_ulp(x: pd.Series) -> pd.Series:
     """Half the distance from |x| to the next larger single-precision number."""
     v = np.abs(x.to_numpy(np.float64, na_value=np.nan)).astype(np.float32)
     return pd.Series((np.nextafter(v, np.float32(np.inf)).astype(np.float64) - v) / 2)
 
 
-@F.udtf(returnType="position int, kind int, size int")
+@F.udtf(returnType=T.StructType().add("position", T.IntegerType()).add("kind", T.IntegerType()).add("size", T.IntegerType()))
 class SplitMessages:
     """Messages of a buffer: a varint kind, a varint size, and so many bytes each. A malformed rest ends the rows."""
 

@@ -8,15 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMANDS = T._parse_datatype_string(
-    "demo_id string, command_row_id long, round_id int, steam_id decimal(20,0), player_slot int, alive boolean, is_warmup boolean, is_freeze_time boolean, demo_tick long, command_number int, client_tick int, server_tick_executed int, "
-    "base_present boolean, buttons_present boolean, viewangles_present boolean, buttonstate1 decimal(20,0), buttonstate2 decimal(20,0), buttonstate3 decimal(20,0), mousedx_raw int, mousedy_raw int, view_pitch float, view_yaw float, pawn_entity_handle long, "
-    "subtick_moves array<struct<button:decimal(20,0),pressed:boolean,when:float,analog_forward_delta:float,analog_left_delta:float,pitch_delta:float,yaw_delta:float>>, command_protobuf binary"
-)
-STATES = T._parse_datatype_string("demo_id string, round_id int, demo_tick long, steam_id decimal(20,0), player_slot int, team int, alive boolean, is_warmup boolean, is_freeze_time boolean, is_paused boolean, position_x double, position_y double, position_z double, view_pitch float, view_yaw float, health int, armor int")
-ROUNDS = T._parse_datatype_string("demo_id string, round_id int, round_number int, map string, start_tick long, freeze_end_tick long, end_tick long, winner_team int, is_warmup boolean")
-EVENTS = T._parse_datatype_string("demo_id string, round_id int, demo_tick long, kind string, steam_id decimal(20,0), player_slot int, weapon string")
-LEDGER = T._parse_datatype_string("event string, n long, movie int, frame_index long, demo_tick double, thread long, qpc long, sha256 string, payload string")
+KINDS = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "float": T.FloatType(), "double": T.DoubleType(), "binary": T.BinaryType(), "unsigned": T.DecimalType(20, 0)}
+
+
+def fields(**columns: str) -> T.StructType:
+    """A schema from the columns of each kind; unsigned 64-bit numbers are read as decimals."""
+    return T.StructType([T.StructField(c, KINDS[k]) for k, names in columns.items() for c in names.split()])
+
+
+MOVES = T.StructType([T.StructField("subtick_moves", T.ArrayType(fields(unsigned="button", boolean="pressed", float="when analog_forward_delta analog_left_delta pitch_delta yaw_delta")))])
+COMMANDS = T.StructType(
+    [
+        *fields(
+            string="demo_id", long="command_row_id demo_tick pawn_entity_handle", unsigned="steam_id buttonstate1 buttonstate2 buttonstate3", binary="command_protobuf", float="view_pitch view_yaw",
+            int="round_id player_slot command_number client_tick server_tick_executed mousedx_raw mousedy_raw", boolean="alive is_warmup is_freeze_time base_present buttons_present viewangles_present",
+        ),
+        *MOVES,
+    ]
+)
+STATES = fields(string="demo_id", long="demo_tick", unsigned="steam_id", int="round_id player_slot team health armor", boolean="alive is_warmup is_freeze_time is_paused", double="position_x position_y position_z", float="view_pitch view_yaw")
+ROUNDS = fields(string="demo_id map", int="round_id round_number winner_team", long="start_tick freeze_end_tick end_tick", boolean="is_warmup")
+EVENTS = fields(string="demo_id kind weapon", int="round_id player_slot", long="demo_tick", unsigned="steam_id")
+LEDGER = fields(string="event sha256 payload", long="n frame_index thread qpc", int="movie", double="demo_tick")
 
 
 class SchemaError(ValueError):
