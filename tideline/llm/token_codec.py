@@ -9,9 +9,9 @@ look-up for each id, for all runs of a block at once.
 
 from __future__ import annotations
 
-import re
+import sys
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,46 +19,122 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import forget, pieces, stored
+from tideline.llm.shared import Words, forget, pieces, stored, utf8
 
 LIMIT, STEP, BLOCK_IDS = 20, 512, 1 << 20
-#: A pre-token starts at a space that a letter or digit follows, so texts can be cut there before they are encoded.
-CUT = re.compile(r" (?=[^\W_])")
-CACHE = 200_000
-PIECE = 200
-
-
-def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """A function from texts to arrays of ids, by the tokenizers library; frequent pieces are encoded once."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    known: dict[str, tuple] = {}
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        cut = [[(" " + w if i else w) for i, w in enumerate(CUT.split(t))] for t in texts]
-        new = list({w for words in cut for w in words if w not in known})
-        fresh = dict(zip(new, (tuple(x.ids) for x in tokenizer.encode_batch(new, add_special_tokens=False)), strict=True))
-        if len(known) < CACHE:
-            known.update((w, x) for w, x in fresh.items() if len(w) <= PIECE)
-        fresh |= {w: known[w] for words in cut for w in words if w not in fresh}
-        return [np.fromiter((i for w in words for i in fresh[w]), np.uint32) for words in cut]
-
-    return encode
+#: Pieces that a worker remembers; each takes some 30 bytes.
+CACHE = 1_500_000
+SEEDS = (0x7A11, 0x7A12)
+
+
+def cut_places(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bytes at which texts may be cut before they are encoded, since a pre-token begins there either way: a space before
+    a visible character; the changes between letters or digits, other visible characters, and single line ends. Only
+    ASCII and the letters of C3 80 to C3 BF are judged; a change beside an apostrophe is never a cut."""
+    n = len(buf)
+    wide = np.concatenate([np.zeros(2, np.uint8), buf, np.zeros(2, np.uint8)])
+    kind = _KINDS[wide]
+    second = np.zeros(n + 4, bool)
+    second[1:] = (wide[:-1] == 0xC3) & (kind[1:] == HIGH) & (wide[1:] != 0x97) & (wide[1:] != 0xB7)
+    first = np.zeros(n + 4, bool)
+    first[:-1] = second[1:]
+    kind[second | first] = LETTER
+    back, last, this, coming = (kind[k : n + k] for k in range(4))
+    seen = lambda k: (k == LETTER) | (k == SIGN) | (k == QUOTE)
+    cut = (this == SPACE) & seen(coming)
+    cut |= (last == LETTER) & (this == SIGN) | (last == SIGN) & (this == LETTER)
+    cut |= (this == LINE) & seen(last)
+    cut |= (last == LINE) & seen(back) & ((this == LETTER) | (this == SIGN))
+    cut[at[:-1][at[:-1] < n]] = True
+    return np.flatnonzero(cut)
+
+
+OTHER, LETTER, SIGN, QUOTE, SPACE, LINE, HIGH = range(7)
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+_KINDS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = SIGN
+_KINDS[[0x27, 0x20, 0x0A]] = QUOTE, SPACE, LINE
+_KINDS[0x80:] = HIGH
+
+
+class Encoder:
+    """Texts to ids by the tokenizers library. Each distinct piece is encoded once and remembered by 128 bits of hash."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.h1, self.h2 = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, f"<u{self.width}")
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by end_id, and the n + 1 bounds of the texts."""
+        buf, at = utf8(column)
+        start = cut_places(buf, at)
+        pieces_ = Words.__new__(Words)
+        pieces_.buf, pieces_.start, pieces_.end = buf, start, np.append(start[1:], len(buf)) if len(start) else start
+        one, two = (pieces_.hashes(seed) for seed in SEEDS)
+        distinct, example, which = np.unique(one, return_index=True, return_inverse=True)
+        if (two != two[example][which]).any():  # two pieces of one hash
+            got = self._library([t or "" for t in column.to_pylist()])
+            return np.array([i for ids in got for i in [*ids, end_id]], self.ids.dtype), np.cumsum([0, *(len(x) + 1 for x in got)])
+        place = np.minimum(np.searchsorted(self.h1, distinct), max(0, len(self.h1) - 1))
+        known = (self.h1[place] == distinct) & (self.h2[place] == two[example]) if len(self.h1) else np.zeros(len(distinct), bool)
+        new = np.flatnonzero(~known)
+        raw = buf.tobytes()
+        fresh = self._library([raw[pieces_.start[k] : pieces_.end[k]].decode() for k in example[new].tolist()])
+        size, begin = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        size[known], begin[known] = self.size[place[known]], self.start[place[known]]
+        size[new] = [len(x) for x in fresh]
+        begin[new] = len(self.ids) + np.cumsum(size[new]) - size[new]
+        pool = np.concatenate([self.ids, np.array([i for x in fresh for i in x], self.ids.dtype)])
+        # The ids of all pieces in order, and a gap for end_id behind each text.
+        n, cut = size[which], np.searchsorted(start, at)
+        text_of = np.repeat(np.arange(len(at) - 1), np.diff(cut))
+        to = np.cumsum(n) - n + text_of
+        total = np.concatenate([[0], np.cumsum(n)])[cut]
+        bounds = total + np.arange(len(at))
+        out = np.full(int(bounds[-1]), end_id, self.ids.dtype)
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(to, n) + step] = pool[np.repeat(begin[which], n) + step]
+        if len(self.h1) + len(new) <= CACHE:
+            add = np.searchsorted(self.h1, distinct[new])
+            self.h1, self.h2 = np.insert(self.h1, add, distinct[new]), np.insert(self.h2, add, two[example][new])
+            self.start, self.size, self.ids = np.insert(self.start, add, begin[new]), np.insert(self.size, add, size[new]), pool
+        return out, bounds
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder for a tokenizer file: it outlives the task, as workers do."""
+    kept = sys.__dict__.setdefault("_tideline_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
-    """doc_id, n_tokens, ids: each whole text's ids and end_id, as little-endian unsigned 32-bit integers."""
+    """doc_id, n_tokens, width, ids: each whole text's ids and end_id, as little-endian unsigned integers of width bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        own = encoder(path)
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 20):
-                ids = [np.append(x, np.uint32(end_id)) for x in encode([t or "" for t in part.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["doc_id", "n_tokens", "ids"])
+            for part in pieces(batch, "text", 2 << 20):
+                ids, at = own.encode(part.column("text"), end_id)
+                each = [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(np.full(len(each), own.width, np.int32)), pa.array(each, pa.binary())], ["doc_id", "n_tokens", "width", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, width int, ids binary")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+def as_ids(batch: pa.RecordBatch) -> np.ndarray:
+    """The ids of all rows of a batch of tokenize()."""
+    width = batch.column("width")[0].as_py() if batch.num_rows else 4
+    return np.frombuffer(b"".join(batch.column("ids").to_pylist()), f"<u{width}")
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -150,16 +226,15 @@ def write_tokens(tokens: DataFrame, path: str, limit: int = LIMIT, shards: int |
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                own = np.bincount(np.frombuffer(ids, "<u4"))
-                if len(own) > len(total):
-                    own, total = total, own.astype(np.int64)
-                total[: len(own)] += own
+            for part in pieces(batch, "ids"):
+                own = np.bincount(as_ids(part), minlength=len(total))
+                own[: len(total)] += total
+                total = own
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["symbol", "n"])
 
     #: As many rows as the vocabulary has ids, however large the corpus.
-    counts = tokens.select("ids").mapInArrow(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
+    counts = tokens.select("width", "ids").mapInArrow(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(int(counts["symbol"].max()) + 1 if len(counts) else 1, np.int64)
     table[counts["symbol"]] = counts["n"]
     lengths = code_lengths(table, limit)
@@ -169,27 +244,28 @@ def write_tokens(tokens: DataFrame, path: str, limit: int = LIMIT, shards: int |
 
     def encode(batches):
         lengths, words = shared.value
-        shard, block, position, waiting, size = TaskContext.get().partitionId(), 0, 0, [], 0
+        shard, block, position, waiting, size, width = TaskContext.get().partitionId(), 0, 0, [], 0, 4
 
         def row():
             nonlocal block, position, waiting, size
-            ids = np.concatenate([np.frombuffer(x, "<u4") for _, x in waiting])
+            ids = np.frombuffer(b"".join(x for _, x in waiting), f"<u{width}")
             payload, checkpoints = pack(ids, words, lengths)
-            out = {"shard": shard, "block": block, "position": position, "n_ids": len(ids), "payload": payload, "checkpoints": checkpoints.astype("<i8").tobytes(), "docs": [d for d, _ in waiting], "counts": [len(x) // 4 for _, x in waiting]}
+            out = {"shard": shard, "block": block, "position": position, "n_ids": len(ids), "payload": payload, "checkpoints": checkpoints.astype("<i8").tobytes(), "docs": [d for d, _ in waiting], "counts": [len(x) // width for _, x in waiting]}
             block, position, waiting, size = block + 1, position + len(ids), [], 0
             return pa.RecordBatch.from_pylist([out], SCHEMA)
 
         for batch in batches:
+            width = batch.column("width")[0].as_py() if batch.num_rows else 4
             for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 waiting.append((doc, ids))
-                size += len(ids) // 4
+                size += len(ids) // width
                 if size >= BLOCK_IDS:
                     yield row()
         if waiting:
             yield row()
 
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = tokens.select("doc_id", "ids", F.xxhash64("ids").alias("tie")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
+    ordered = tokens.select("doc_id", "width", "ids", F.xxhash64("ids").alias("tie")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "width", "ids")
     ordered.mapInArrow(encode, "shard int, block int, position long, n_ids long, payload binary, checkpoints binary, docs array<long>, counts array<long>").write.parquet(f"{path}/blocks")
     #: One row for each shard.
     sizes = sorted((r["shard"], r["n"]) for r in spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n")).collect())
