@@ -410,3 +410,22 @@ def test_shared_words():
 def test_lower_ascii(spark):
     got = spark.createDataFrame([("AbÉÖz",)], "t string").select(shared.lower_ascii(F.col("t")).alias("t"), decontaminate.words_of(F.lit("A-bÉ ,É7")).alias("w")).first()
     assert got["t"] == "abÉÖz" and got["w"] == ["a", "bÉ", "É7"]
+
+
+def test_encoder_cuts():
+    """Encoding by pieces is encoding whole, on texts made to break it."""
+    import pyarrow as pa
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(12)
+    marks = [" ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "'", "'s", "'ll ", "-", ",", ".", "é", "É", "×", "÷", "ß", "—", " ", "　", "😀", "a", "Bc", "the", "12", "_", "ñ", "\r\n", "中", "\u0085", "\x1c", "<|endoftext|>", "", "“"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(0, 14))) for _ in range(6000)] + [None]
+    own = token_codec.Encoder(path("byte_bpe_50k.json"))
+    for a in range(0, len(texts), 1500):
+        part = texts[a : a + 1500]
+        ids, at = own.encode(pa.array(part, pa.string()), 0)
+        for t, x, y in zip(part, at, at[1:], strict=False):
+            assert ids[x:y].tolist() == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], repr(t)
