@@ -15,20 +15,22 @@ def components(edges: DataFrame) -> DataFrame:
     left of a component shrinks by half at least, and its smallest node keeps its name. Nulls are dropped; loops and
     repeated edges do no harm; without edges the result is empty.
     """
-    edges = stored(edges.where("a is not null and b is not null").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).distinct(), "edges")
+    edges = stored(edges.where("a is not null and b is not null").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), "edges")
     maps: list[DataFrame] = []
     while True:
+        n = edges.count()
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")).withColumnRenamed("a", "node"), "least")
+        least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")).withColumnRenamed("a", "node"), "least", 2 * n)
         maps.append(least)
         onto = least.select(F.col("node").alias("a"), F.col("to").alias("to_a"))
         to = least.select(F.col("node").alias("b"), F.col("to").alias("to_b"))
-        left = stored(edges.join(onto, "a").join(to, "b").where("to_a != to_b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+        left = stored(edges.join(onto, "a").join(to, "b").where("to_a != to_b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")), "edges", n)
         forget(edges)
         edges = left
         if edges.isEmpty():
             break
+    n = maps[0].count()
     out = maps[0].withColumnRenamed("to", "component")
     for step in maps[1:]:
         out = out.join(step.select(F.col("node").alias("component"), "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-    return stored(out, "components")
+    return stored(out, "components", n)

@@ -6,8 +6,8 @@ differ. It is cut into `slots / chunk` chunks. By the pigeonhole principle, two
 left out, which enumerates every chunk with up to one error. All pairs under that distance meet under some key.
 
 Rows of one set are one class with one entry, so groups of copies cost nothing. Buckets are never expanded into all
-pairs: each is linked to its smallest member first, then, where it still holds several components, to a drawn member,
-and only members of different components that are left are paired.
+pairs: each is linked to its smallest member first, then, where it still holds several components, its members meet a few
+drawn ones; of the components that are left, only those pairs come out whose long signatures are near the threshold.
 """
 
 from __future__ import annotations
@@ -16,13 +16,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
 from tideline.llm.shared import BROADCAST_ROWS, Words, mix, pieces, stored
 
 SEED = 0x3C6EF372
+#: Rounds of drawn members, and how many a bucket draws in each: they join what is alike before pairs are compared.
+DRAWS, PIVOTS = 2, 16
+#: Bits of a long signature.
+BITS = 2048
+#: Members of a bucket that meet each other in one group.
+BLOCK = 512
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingles of each text, ascending, one text after the other, and the n + 1 bounds.
@@ -58,6 +64,17 @@ def signatures(values: np.ndarray, at: np.ndarray, slots: int) -> np.ndarray:
     return out
 
 
+def long_signatures(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One bit of each of BITS minima of each set, as BITS / 64 longs; sets are not empty."""
+    out = np.zeros((len(at) - 1, BITS // 64), np.uint64)
+    draw = np.random.default_rng(77_003).integers(1, 2**63, (BITS, 2), np.uint64)
+    for j, (x, m) in enumerate(draw):
+        h = (values ^ x) * (m | np.uint64(1))
+        h ^= h >> np.uint64(31)
+        out[:, j // 64] |= (mix(np.minimum.reduceat(h, at[:-1])) >> np.uint64(63)) << np.uint64(j % 64)
+    return out.view(np.int64)
+
+
 def chunk_keys(sigs: np.ndarray, chunk: int) -> np.ndarray:
     """For each signature, the keys of every chunk with each of its slots left out in turn."""
     keys = []
@@ -118,25 +135,25 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     first = names.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a != last").drop("last")
     same = names.join(first, "doc_id").where("node != a").select("a", F.col("node").alias("b"))
     links = stored(same.unionByName(_confirmed(pairs, alike, shingle_words, percent, slots, chunk)), "links")
-    for last in (False, True):
-        if buckets.isEmpty():
+    group = components(links)
+    for salt in range(DRAWS):
+        rest = _open_buckets(buckets, group)
+        if rest.isEmpty():
             break
+        n = rest.count()
+        #: Each node goes to one of its open buckets and meets PIVOTS of the nodes there.
+        own = rest.groupBy("node", "component").agg(F.min_by("key", F.xxhash64("key", F.lit(salt))).alias("key"))
+        own = stored(own, "own", n)
+        drawn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(salt)), "node"))
+        pivots = own.withColumn("_n", drawn).where(F.col("_n") <= PIVOTS).select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
+        pairs = own.join(stored(pivots, "pivots", n), "key").where("component != other_component").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        links = stored(links.unionByName(_confirmed(pairs.distinct(), alike, shingle_words, percent, slots, chunk)), "links")
+        group = components(links)
+    rest = _open_buckets(buckets, group)
+    if not rest.isEmpty():
+        pairs = _crossing(rest, alike, shingle_words, percent, slots, chunk)
+        links = stored(links.unionByName(_confirmed(pairs, alike, shingle_words, percent, slots, chunk)), "links")
         group = components(links)
-        placed = stored(buckets.join(group, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
-        open_ = stored(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct(F.xxhash64("node", "key"), "node", "component")).alias("drawn")).where("lo != hi").select("key", F.col("drawn.node").alias("other"), F.col("drawn.component").alias("other_component")), "open")
-        if open_.isEmpty():
-            break
-        rest = placed.join(open_, "key")
-        if not last:
-            pairs = rest.where("component != other_component").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        else:
-            one = stored(rest.select("key", "node", "size", "component"), "rest")
-            two = one.select("key", F.col("node").alias("node_b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
-            fits = (F.col("size") * percent <= F.col("size_b") * 100) & (F.col("size_b") * percent <= F.col("size") * 100)
-            pairs = one.join(two, "key").where((F.col("node") < F.col("node_b")) & (F.col("component") != F.col("component_b")) & fits).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
-        found = _confirmed(pairs.distinct(), alike, shingle_words, percent, slots, chunk)
-        links = stored(links.unionByName(found), "links")
-    group = components(links)
     of = classes.select("set", "node").join(group, "node", "left").select("set", F.coalesce("component", "node").alias("component_id"))
     #: Empty sets and rows without an id meet nothing; their names are their own, so that no join piles them up.
     keyed = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set")).alias("set"))
@@ -146,6 +163,75 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _open_buckets(buckets: DataFrame, group: DataFrame) -> DataFrame:
+    """The entries, with their components, of the buckets that hold more than one component."""
+    n = buckets.count()
+    placed = stored(buckets.join(group, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed", n)
+    still = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+    return stored(placed.join(stored(still, "open", n), "key"), "rest", n)
+
+
+def _crossing(rest: DataFrame, alike: DataFrame, k: int, percent: int, slots: int, chunk: int) -> DataFrame:
+    """The pairs (a, b) of different components in one bucket whose long signatures are near enough to be linked.
+
+    A long signature has one bit of each of BITS minima; at the threshold, more bits differ than are allowed with a
+    probability of 1e-7. A bucket of more than BLOCK members is dealt into blocks, and each two blocks meet in a group of
+    their own, so a task holds a bounded part of a bucket however large that is; groups of small buckets share a cell. A
+    pair comes from the least of the keys that it shares.
+    """
+    n = rest.count()
+
+    def sketch(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", 1 << 20):
+                values, at = shingle_sets(Words(part.column("text"), lower=True), k)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("sig"), pa.array([x.tobytes() for x in long_signatures(values, at)], pa.binary())], ["node", "sig", "bits"])
+
+    nodes = rest.select(F.col("node").alias("doc_id"))
+    full = stored(_narrow(alike.select("doc_id", "sig", "text"), nodes).mapInArrow(sketch, "node long, sig binary, bits binary"), "long")
+    blocks = stored(rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks", n)
+    own = rest.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("key", "node", "size", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    own = stored(own, "meetings")
+    cells = own.count() // (4 * BLOCK) + 1
+    dealt = own.withColumn("cell", F.pmod(F.xxhash64("key", "i", "j"), F.lit(cells))).join(full, "node")
+    p = (1 - percent / 100) / 2
+    most = int(np.ceil(BITS * p + 5.3 * np.sqrt(BITS * p * (1 - p))))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, node, size, component, block, i, j = (table.column(c).to_numpy() for c in ("key", "node", "size", "component", "block", "i", "j"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
+        order = np.lexsort((node, block, j, i, key))
+        same = np.stack([key, i, j])[:, order]
+        cuts = np.concatenate([[0], np.flatnonzero((np.diff(same) != 0).any(0)) + 1, [len(order)]])
+        out_a, out_b = [], []
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            rows = order[x:y]
+            left, right = (rows[block[rows] == i[rows]], rows[block[rows] == j[rows]])
+            for part in np.array_split(left, len(left) * len(right) // 8192 + 1):
+                fits = (component[part][:, None] != component[right]) & (100 * size[part][:, None] >= percent * size[right]) & (100 * size[right] >= percent * size[part][:, None])
+                if i[rows[0]] == j[rows[0]]:
+                    fits &= node[part][:, None] < node[right]
+                at, to = np.nonzero(fits)
+                at, to = part[at], right[to]
+                near = np.bitwise_count(bits[at] ^ bits[to]).sum(1) <= most
+                at, to = at[near], to[near]
+                if len(at):
+                    mine, theirs = chunk_keys(sigs[at], chunk), chunk_keys(sigs[to], chunk)
+                    once = np.where(mine == theirs, mine, np.iinfo(np.int64).max).min(1) == key[at]
+                    out_a.append(node[at[once]])
+                    out_b.append(node[to[once]])
+        if not out_a:
+            return schema.empty_table()
+        got = np.concatenate(out_a), np.concatenate(out_b)
+        return pa.table({"a": np.minimum(*got), "b": np.maximum(*got)}, schema)
+
+    return dealt.groupBy("cell").applyInArrow(meet, "a long, b long")
+
+
 def _narrow(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of texts with one of the ids."""
     ids = stored(ids.distinct(), "ids")

@@ -28,9 +28,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tideline-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read back: its lineage ends there and a lost executor costs nothing."""
+#: Rows of ids that one task of a small step may have.
+TASK_ROWS = 250_000
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df, written to the shared folder and read back: its lineage ends there and a lost executor costs nothing.
+
+    rows: a bound on the rows of df, where one is known; df is then written by as many tasks as they are worth.
+    """
     path = new_path(df.sparkSession, name)
+    if rows is not None and rows // TASK_ROWS + 1 < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        df = df.coalesce(rows // TASK_ROWS + 1)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
