@@ -25,7 +25,7 @@ def set_1_interval_union(spark, d):
     return union(spark, d)
 
 
-@query("SELECT slot, a AS start, b AS \"end\" FROM (SELECT slot, \"end\" AS a, lead(start) OVER (PARTITION BY slot ORDER BY start) AS b FROM (SELECT slot, start, \"end\" FROM un UNION ALL SELECT DISTINCT slot, 0, 0 FROM un UNION ALL SELECT DISTINCT slot, 44000, 44000 FROM un)) WHERE b > a", CMD + SPANS, UNION_SQL)
+@query("SELECT slot, a AS start, b AS \"end\" FROM (SELECT slot, \"end\" AS a, lead(start) OVER (PARTITION BY slot ORDER BY start, \"end\") AS b FROM (SELECT slot, start, \"end\" FROM un UNION ALL SELECT DISTINCT slot, 0, 0 FROM un UNION ALL SELECT DISTINCT slot, 44000, 44000 FROM un)) WHERE b > a", CMD + SPANS, UNION_SQL)
 def set_2_complement(spark, d):
     return intervals.complement(union(spark, d), 0, 44000, ["slot"])
 
