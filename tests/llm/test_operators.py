@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -283,6 +284,25 @@ def test_mixing(spark):
     assert keys == sorted(keys)
 
 
+def test_mixing_large_rates(spark):
+    """Copies are drawn at any rate: plain sums of the distribution, term by term in logarithms, give the same numbers."""
+    rows = spark.createDataFrame([(i, "rare" if i < 5 else None if i < 10 else "big") for i in range(4000)], "doc_id long, source string")
+    out = mixing.mix_sources(rows, weights={"rare": 1.0}, size=5.0)
+    got = {r["doc_id"]: (r["rate"], r["n"]) for r in out.groupBy("doc_id", "rate").agg(F.count("*").alias("n")).collect()}
+    for i in range(5):
+        u, s, k = int(hashlib.md5(f"mix-1|{i}".encode()).hexdigest()[:13], 16) / 2**52, 0.0, -1
+        while s <= u:
+            k += 1
+            s += math.exp(k * math.log(4000) - 4000 - math.lgamma(k + 1))
+        assert got.pop(i) == (4000.0, k)
+    assert not got
+    for rate in (0.0, 0.3, 12.0, 700.0, 3711.5, 1e6):
+        first, below = mixing.poisson(rate)
+        p = np.diff(below, prepend=0.0)
+        k = first + np.arange(len(p))
+        assert below[-1] == 1 and abs((p * k).sum() - rate) < 1e-6 and abs((p * (k - rate) ** 2).sum() - rate) < 1e-3
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     bad = ["vile", "scum", "trash"]
