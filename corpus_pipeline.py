@@ -45,7 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, read back from the coded files."""
-    return write_and_read(docs, tokenizer_path(), new_path(spark, "ids")).drop("ids")
+    return write_and_read(docs, tokenizer_path(), new_path(spark, "ids"), added=True).drop("ids")
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing), ("tokens", tokens)]

@@ -449,3 +449,26 @@ def test_encoder_cuts():
         ids, at = own.encode(pa.array(part, pa.string()), 0)
         for t, x, y in zip(part, at, at[1:], strict=False):
             assert ids[x:y].tolist() == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], repr(t)
+
+
+def test_encoder_added_tokens(spark, tmp_path):
+    """With the library's own settings a literal of an added token is its id, wherever it stands; so it is in the query."""
+    import pyarrow as pa
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    from tideline.llm.queries import op4_tokens
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    rng = random.Random(13)
+    marks = [" ", "  ", "\n", "\n\n", "\t", "'", "'s", "'ll ", "-", "<", "<|", "|>", ">", "<|endof", "text|>", "é", "—", "中", "a", "Bc", "the", "12", *["<|endoftext|>"] * 6]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(0, 14))) for _ in range(6000)] + [None, "a<|endof", "text|>b"]
+    own = token_codec.Encoder(path("byte_bpe_50k.json"), added=True)
+    for a in range(0, len(texts), 1500):
+        part = texts[a : a + 1500]
+        ids, at = own.encode(pa.array(part, pa.string()), 0)
+        for t, x, y in zip(part, at, at[1:], strict=False):
+            assert ids[x:y].tolist() == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], repr(t)
+    spark.createDataFrame([(1, "a<|endoftext|>b"), (2, "c")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in op4_tokens(spark, str(tmp_path)).collect()}
+    assert got[1] == (0, 4, zlib.crc32(np.array([64, 50256, 65, 0], "<u4").tobytes())) and got[2][:2] == (4, 2)

@@ -55,7 +55,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), new_path(spark, "ids")).drop("ids")
+    return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), new_path(spark, "ids"), added=True).drop("ids")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ look-up for each id, for all runs of a block at once.
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -27,11 +28,16 @@ CACHE = 1_500_000
 SEEDS = (0x7A11, 0x7A12)
 
 
-def cut_places(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+def cut_places(buf: np.ndarray, at: np.ndarray, whole: np.ndarray | None = None) -> np.ndarray:
     """Bytes at which texts may be cut before they are encoded, since a pre-token begins there either way: a space before
     a visible character; the changes between letters or digits, other visible characters, and single line ends. Only
-    ASCII and the letters of C3 80 to C3 BF are judged; a change beside an apostrophe is never a cut."""
+    ASCII and the letters of C3 80 to C3 BF are judged; a change beside an apostrophe is never a cut. whole has the
+    starts and ends of stretches that are one piece each, as text and text meet at their ends."""
     n = len(buf)
+    if whole is not None and len(whole):
+        buf = buf.copy()
+        for a, b in whole.tolist():
+            buf[a:b] = 0
     wide = np.concatenate([np.zeros(2, np.uint8), buf, np.zeros(2, np.uint8)])
     kind = _KINDS[wide]
     second = np.zeros(n + 4, bool)
@@ -46,6 +52,8 @@ def cut_places(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     cut |= (this == LINE) & seen(last)
     cut |= (last == LINE) & seen(back) & ((this == LETTER) | (this == SIGN))
     cut[at[:-1][at[:-1] < n]] = True
+    if whole is not None and len(whole):
+        cut[whole[whole < n]] = True
     return np.flatnonzero(cut)
 
 
@@ -58,13 +66,22 @@ _KINDS[0x80:] = HIGH
 
 
 class Encoder:
-    """Texts to ids by the tokenizers library. Each distinct piece is encoded once and remembered by 128 bits of hash."""
+    """Texts to ids by the tokenizers library. Each distinct piece is encoded once and remembered by 128 bits of hash.
 
-    def __init__(self, path: str):
+    added: an added token's literal in a text is that token's id, as it is by the library's own settings; without it,
+    special ones are text like any other.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
+        #: Of tokens that take blanks along, need a word's edge or match normalised text, only whole texts tell.
+        self.by_text = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens)
+        names = sorted((t.content.encode() for t in tokens), key=len, reverse=True)
+        self.literal = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.h1, self.h2 = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, f"<u{self.width}")
@@ -72,10 +89,20 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _cuts(self, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """cut_places(), and the ends of the added tokens' literals, none of which is cut."""
+        if self.by_text:
+            return np.unique(at[:-1][at[:-1] < len(buf)])
+        raw = buf.tobytes() if self.literal else b""
+        if not self.literal or not self.literal.search(raw):
+            return cut_places(buf, at)
+        found = [m.span() for a, b in zip(at.tolist(), at[1:].tolist(), strict=False) for m in self.literal.finditer(raw, a, b)]
+        return cut_places(buf, at, np.array(found, np.int64).reshape(-1, 2))
+
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by end_id, and the n + 1 bounds of the texts."""
         buf, at = utf8(column)
-        start = cut_places(buf, at)
+        start = self._cuts(buf, at)
         pieces_ = Words.__new__(Words)
         pieces_.buf, pieces_.start, pieces_.end = buf, start, np.append(start[1:], len(buf)) if len(start) else start
         one, two = (pieces_.hashes(seed) for seed in SEEDS)
@@ -109,19 +136,20 @@ class Encoder:
         return out, bounds
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """This worker's encoder for a tokenizer file: it outlives the task, as workers do."""
     kept = sys.__dict__.setdefault("_tideline_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    if (path, added) not in kept:
+        kept[path, added] = Encoder(path, added)
+    return kept[path, added]
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
-    """doc_id, n_tokens, width, ids: each whole text's ids and end_id, as little-endian unsigned integers of width bytes."""
+def tokenize(docs: DataFrame, path: str, end_id: int = 0, added: bool = False) -> DataFrame:
+    """doc_id, n_tokens, width, ids: each whole text's ids and end_id, as little-endian unsigned integers of width bytes.
+    added: see Encoder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(path, added)
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
                 ids, at = own.encode(part.column("text"), end_id)
@@ -303,8 +331,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
-def write_and_read(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> DataFrame:
+def write_and_read(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, added: bool = False) -> DataFrame:
     """read_tokens() of what write_tokens() wrote for docs. A null text is empty: its only id is end_id. Repeated rows
-    are repeated documents; an empty table gives an empty result; other columns are left out."""
-    write_tokens(tokenize(docs, tokenizer, end_id), path)
+    are repeated documents; an empty table gives an empty result; other columns are left out. added: see Encoder."""
+    write_tokens(tokenize(docs, tokenizer, end_id, added), path)
     return read_tokens(docs.sparkSession, path)
