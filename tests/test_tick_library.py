@@ -168,6 +168,36 @@ def test_empty_inputs(spark):
     assert filters.in_any_window(none, none.select("start", "end"), "tick").count() == 0
 
 
+def test_diverse_picks(spark):
+    """Against the plain walk over every row; a source whose rows all come late by hash has its turn."""
+    import hashlib
+    import math
+    from collections import Counter
+
+    h = lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    late = sorted(range(6000), key=h)[-3:]
+    rows = [(k, "rare" if k in late else f"s{k % 3}", k % 5 if k % 11 else None, k if k not in late else -1, k % 97 == 0, k % 2 == 0 if k % 7 else None) for k in range(6000)]
+    df = spark.createDataFrame(rows, "k long, source string, round int, player long, scarce boolean, usual boolean")
+    plain = selection.diverse(df, "k", "source", "player", 12)
+    assert set(plain[:4]) & set(late) and len(set(plain)) == 12
+    counts, covered, left, want = Counter(), Counter(), list(rows), []
+    for i in range(24):
+        order = lambda r: (counts[r[1]], counts["r", r[1], r[2]], counts["p", r[1], r[3]], h(r[0]))
+        some = left
+        if i >= math.ceil(24 * 0.25):
+            held = [a for a in (4, 5) if any(r[a] for r in left)]
+            action = min(held, key=lambda a: (covered[a], a))
+            some = [r for r in left if r[action]]
+        best = min(some, key=order)
+        left.remove(best)
+        want.append(best[0])
+        counts.update([best[1], ("r", best[1], best[2]), ("p", best[1], best[3])])
+        covered.update(a for a in (4, 5) if best[a])
+    assert selection.diverse(df, "k", "source", "player", 24, "round", {"scarce": C("scarce"), "usual": C("usual")}, 0.25) == want
+    few = df.where("k < 3")
+    assert len(selection.diverse(few, "k", "source", "player", 9, "round", {"none": F.lit(False)})) == 3
+
+
 def test_wire():
     def field(n, kind, body):
         return bytes([n << 3 | kind]) + body

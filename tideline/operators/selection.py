@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+C = F.col
+
 
 def hash_order(key: str) -> Column:
     return F.sha2(F.col(key).cast("string"), 256)
@@ -15,21 +20,48 @@ def round_robin(df: DataFrame, groups: list[str], key: str) -> DataFrame:
     return df.withColumn("turn", F.row_number().over(Window.partitionBy(*groups).orderBy(hash_order(key))))
 
 
-def diverse(df: DataFrame, key: str, source: str, player: str, picks: int, pool: int = 2048) -> list:
-    """Keys picked one after another, each the least (picks of its source, picks of its player, hash of the key).
+def _counted(column: str, counts: Counter) -> Column:
+    """The count of a column's value, 0 where it has none."""
+    out = F.lit(0)
+    for n in sorted(set(counts.values())):
+        out = F.when(C(column).isin([k for k, v in counts.items() if v == n]), n).otherwise(out)
+    return out
+
+
+def diverse(df: DataFrame, key: str, source: str, player: str, picks: int, round_: str | None = None, actions: dict[str, Column] | None = None, ordinary: float = 0.5) -> list:
+    """Keys picked one after another, each the least (picks of its source, of its source and round, of its source and
+    player, hash of the key) among all rows not yet picked.
 
-    Each pick changes the counts for the next one, so the walk itself is on the driver, over `pool` rows at most: the
-    first of a round robin by source and player. `picks` and `pool` are the feature's own limits.
+    The first ceil(ordinary * n) of the n picks look at no action. Each later one is for the action that the picks cover
+    least, ties to the earlier in `actions` (name: is it in the row?), of those that a row not yet picked has; where none
+    has any, all rows stand. Each pick changes the counts for the next one, so each is one aggregate over all rows;
+    only `picks`, which is the feature's own limit, bounds how many. Keys are unique: rows of one key are picked at once,
+    and rows without a key are not picked.
     """
-    first = round_robin(df.select(key, source, player), [source, player], key).orderBy("turn", hash_order(key)).limit(pool)
-    left = [(r[key], r[source], r[player], r["h"]) for r in first.withColumn("h", hash_order(key)).collect()]
-    by_source: dict = {}
-    by_player: dict = {}
-    out = []
-    while left and len(out) < picks:
-        best = min(left, key=lambda r: (by_source.get(r[1], 0), by_player.get((r[1], r[2]), 0), r[3]))
-        left.remove(best)
-        by_source[best[1]] = by_source.get(best[1], 0) + 1
-        by_player[best[1], best[2]] = by_player.get((best[1], best[2]), 0) + 1
-        out.append(best[0])
-    return out
+    actions = actions or {}
+    group = lambda *c: F.to_json(F.struct(*(C(x).alias(f"c{i}") for i, x in enumerate(c))))
+    spread = {"s": group(source), "r": group(source, round_) if round_ else F.lit(""), "p": group(source, player)}
+    hints = {f"a{i}": F.coalesce(x, F.lit(False)) for i, x in enumerate(actions.values())}
+    rows = df.where(C(key).isNotNull()).select(C(key).alias("key"), hash_order(key).alias("h"), *(x.alias(k) for k, x in (spread | hints).items())).persist()
+    try:
+        n = min(picks, rows.select("h").distinct().count())
+        blind = math.ceil(n * ordinary)
+        counts: dict[str, Counter] = {k: Counter() for k in spread}
+        covered: Counter = Counter()
+        out: list = []
+        taken: list[str] = []
+        while len(out) < n:
+            order = F.struct(*(_counted(k, counts[k]).alias(f"n_{k}") for k in spread if k != "r" or round_), "h", "key", *spread, *hints)
+            sought = [None, *(hints if len(out) >= blind else [])]
+            least = [F.min(order if a is None else F.when(C(a), order)).alias(a or "any") for a in sought]
+            best = (rows.where(~C("h").isin(taken)) if taken else rows).agg(*least).first()
+            action = min((a for a in sought[1:] if best[a]), key=lambda a: covered[a], default="any")
+            pick = best[action]
+            out.append(pick["key"])
+            taken.append(pick["h"])
+            for k in spread:
+                counts[k][pick[k]] += 1
+            covered.update(a for a in hints if pick[a])
+        return out
+    finally:
+        rows.unpersist()

@@ -225,5 +225,6 @@ def agg_19_balance(spark, d):
 
 @query()
 def ord_4_diverse_selection(spark, d):
-    keys = selection.diverse(commands(spark, d).where("alive"), "row_id", "kind", "user_id", 64)
+    actions = {f"button_{k}": C("p1").bitwiseAND(F.lit(1 << k)) > 0 for k in range(6)}
+    keys = selection.diverse(commands(spark, d).where("alive"), "row_id", "kind", "user_id", 64, "round_id", actions)
     return spark.createDataFrame([(i + 1, k) for i, k in enumerate(keys)], "pick int, row_id long")
