@@ -399,6 +399,21 @@ def test_licences(spark):
     assert license_scan.scan_licenses(empty(spark)).count() == 0
 
 
+def test_licences_at_every_start(spark):
+    """A copy with words dropped and others put in has one answer, wherever in a text it begins."""
+    words = [f"t{i}" for i in range(100)]
+    for kept, spread in ((85, 127), (90, 134)):
+        copy = [words[i * 100 // kept] for i in range(kept)]
+        n = spread - kept
+        late = [w for i, w in enumerate(copy) for w in ([w] if i < kept - n - 1 else [f"x{i}", w])]
+        even = [w for i, w in enumerate(copy) for w in ([f"x{i}", w] if i and i * n // kept != (i - 1) * n // kept else [w])]
+        for form in (late, even):
+            rows = [(k, " ".join([f"f{i}" for i in range(k)] + form + [f"g{i}" for i in range(150)])) for k in range(200)]
+            got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), {"t": " ".join(words)}).collect()
+            assert len(got) == 200
+            assert all(r["n_anchored"] == kept and r["first_word"] == r["doc_id"] and r["last_word"] == r["doc_id"] + len(form) - 1 for r in got)
+
+
 def test_patience():
     rng = random.Random(1)
     for _ in range(200):

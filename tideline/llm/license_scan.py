@@ -73,12 +73,13 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
     """doc_id, license, coverage, first_word, last_word, n_anchored for each template that covers `least` of itself
-    somewhere in a text: the best of all windows of twice the template's words, stepping by its words; ties to the first.
+    somewhere in a text: the best of all windows of twice the template's words, one from each word that the template
+    has; ties to the narrowest alignment, then to the first. Where in a text a copy begins makes no difference.
 
     Words are lower-cased runs of letters, digits and non-ASCII characters, counted from 0. coverage is the share of the
     template's words that the alignment pairs. Texts that are null, empty or hold no licence have no row; repeated rows
     have theirs each; templates without words are left out. A window is aligned only if the words it has in common with
-    the template, counted with their numbers there, could reach `least`; that bound drops nothing.
+    the template, each at most as often as there, could reach `least` and the best before; that bound drops nothing.
     """
     given = {k: v for k, v in (TEMPLATES if templates is None else templates).items()}
     read = Words(pa.array(list(given.values()), pa.string()), lower=True, table=TABLE)
@@ -103,11 +104,13 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
                     name, template = coded[t]
                     own = code[words.first[d] : words.first[d + 1]]
                     best = None
-                    for at in _windows(own, weight[:, t], len(template), least):
-                        text = own[at : at + 2 * len(template)].tolist()
-                        pairs = patience(text, template)
-                        if len(pairs) >= least * len(template) - 1e-9 and (best is None or len(pairs) > best[2]):
-                            best = (at + pairs[0][0], at + pairs[-1][0], len(pairs))
+                    for at, end, most in _windows(own, np.array(template), least):
+                        if best and most < best[2]:
+                            break
+                        pairs = patience(own[at:end].tolist(), template)
+                        if len(pairs) >= least * len(template) - 1e-9:
+                            found = (at + pairs[0][0], at + pairs[-1][0], len(pairs))
+                            best = min(best or found, found, key=lambda x: (-x[2], x[1] - x[0], x[0]))
                     if best:
                         out.append({"doc_id": part.column("doc_id")[d].as_py(), "license": name, "coverage": best[2] / len(template), "first_word": best[0], "last_word": best[1], "n_anchored": best[2]})
                 yield pa.RecordBatch.from_pylist(out, schema)
@@ -118,9 +121,17 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     return texts.mapInArrow(scan, "doc_id long, license string, coverage double, first_word long, last_word long, n_anchored long")
 
 
-def _windows(code: np.ndarray, weight: np.ndarray, size: int, least: float) -> list[int]:
-    """Starts of the windows of 2 * size words whose distinct words may reach `least`."""
-    at = np.flatnonzero(code >= 0)
-    at = at[weight[code[at]] > 0]
-    near = {max(0, k) for x in np.unique(at // size).tolist() for k in (x - 1, x)}
-    return [k * size for k in sorted(near) if weight[np.unique(c[c >= 0] if len(c := code[k * size : (k + 2) * size]) else c)].sum() >= least - 1e-9]
+def _windows(code: np.ndarray, template: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """Start, end and number of words in common of the windows that may reach `least`, those with most in common first.
+    A window begins at one of the template's words and ends behind the last of them within twice its words."""
+    words, often = np.unique(template, return_counts=True)
+    at = np.flatnonzero(np.isin(code, words))
+    end = at + 2 * len(template)
+    most = np.zeros(len(at), np.int64)
+    for word, n in zip(words.tolist(), often.tolist(), strict=True):
+        own = at[code[at] == word]
+        most += np.minimum(np.searchsorted(own, end) - np.searchsorted(own, at), n)
+    end = at[np.searchsorted(at, end) - 1] + 1
+    some = np.flatnonzero(most >= least * len(template) - 1e-9)
+    some = some[np.argsort(-most[some], kind="stable")]
+    return list(zip(at[some].tolist(), end[some].tolist(), most[some].tolist(), strict=True))
