@@ -168,6 +168,15 @@ def test_empty_inputs(spark):
     assert filters.in_any_window(none, none.select("start", "end"), "tick").count() == 0
 
 
+def test_clean_name_of_whole_text(spark, tmp_path):
+    from tideline.plans.filter_queries import fn_s4_clean_name
+
+    texts = [(1, " " * 300 + "late name"), (2, "a" + "\n " * 200 + "b" * 120), (3, None), (4, " \t ")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["name"] for r in fn_s4_clean_name(spark, str(tmp_path)).collect()}
+    assert got == {1: "late name", 2: "a " + "b" * 98, 3: None, 4: ""}
+
+
 def test_diverse_picks(spark):
     """Against the plain walk over every row; a source whose rows all come late by hash has its turn."""
     import hashlib

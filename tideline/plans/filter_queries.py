@@ -138,7 +138,7 @@ def fn_s3_player_key(spark, d):
 
 @query("SELECT doc_id, substr(trim(regexp_replace(substr(text, 1, 300), '[\\t\\n\\x0B\\f\\r ]+', ' ', 'g'), ' '), 1, 100) AS name FROM documents")
 def fn_s4_clean_name(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", clean_name(F.substring("text", 1, 300)).alias("name"))
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", clean_name(C("text")).alias("name"))
 
 
 @query("SELECT row_id, CASE WHEN k % 3 = 0 THEN NULL ELSE tick END AS a, CASE WHEN k % 3 = 0 THEN NULL ELSE 2 END AS n FROM cmd", CMD)
