@@ -13,6 +13,9 @@ from tideline.llm.shared import new_path, row_name, stored, without
 from tideline.llm.token_codec import write_and_read
 from tideline.llm.toxicity import fit, score_toxicity, train_fold
 
+#: Numbers of documents without a doc_id begin here; doc_ids are smaller.
+NO_ID = 1 << 62
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score under TOXIC_AT, by a model of the labels one may learn from."""
@@ -21,7 +24,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id, and one row of it."""
+    """One document of each group of near duplicates: the one with the smallest doc_id, and one row of it.
+
+    A text without a doc_id goes by a number above NO_ID made of its bytes, so that a group keeps a document with an id
+    where it has one; texts without words stay, with or without one.
+    """
+    number = F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned(F.xxhash64("text"), 2))
+    worded = F.coalesce(F.col("text").rlike("[^ \\t-\\r]"), F.lit(False))
+    named = docs.withColumns({"_none": F.col("doc_id").isNull(), "doc_id": F.when(F.col("doc_id").isNull() & worded, number).otherwise(F.col("doc_id").cast("long"))})
+    back = F.when(~F.col("_none"), F.col("doc_id")).cast(docs.schema["doc_id"].dataType)
+    return _one_of_each(named).withColumn("doc_id", back).select(docs.columns)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
+    """near_dedup(), of documents by their doc_id."""
     gone = near_duplicates(docs, shingle_words=5, percent=80).where("not kept").select("doc_id")
     left = without(docs, gone, "doc_id")
     twice = stored(left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")

@@ -75,3 +75,13 @@ def test_registered():
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.where(F.col("n_tokens") < 1).isEmpty()
+
+
+def test_near_dedup_without_ids(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(None, text, "a"), (None, text, "b"), (7, text + " tail", "c"), (None, other, "d"), (None, other, "e"), (None, other + " tail", "f"), (None, None, "g"), (None, " ", "h"), (None, " ", "i"), (8, "", "j"), (None, "alone in the world of all these many texts", "k")]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    assert sorted(r["source"] for r in got if r["source"] not in "def") == ["c", "g", "h", "i", "j", "k"]
+    assert sum(r["source"] in "def" for r in got) == 1
+    assert {r["doc_id"] for r in got} == {None, 7, 8}
