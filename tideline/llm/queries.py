@@ -34,7 +34,11 @@ def tokenizer_path() -> str:
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against itself with its last assistant turn answered as conv_id xor 1 answers."""
+    """Each conversation against itself with its last assistant turn answered as conv_id xor 1 answers.
+
+    No row: a conversation without an assistant turn, and one whose conv_id xor 1 has none. Left out of the others: turns
+    after the last answer and null turns. The SQL has the same limits.
+    """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
     other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("last.text").alias("other"))
