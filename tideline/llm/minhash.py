@@ -5,9 +5,11 @@ differ. It is cut into `slots / chunk` chunks. By the pigeonhole principle, two
 2 * slots / chunk slots have a chunk with one difference at most; each chunk is therefore entered once for each slot
 left out, which enumerates every chunk with up to one error. All pairs under that distance meet under some key.
 
-Rows of one set are one class with one entry, so groups of copies cost nothing. Buckets are never expanded into all
-pairs: each is linked to its smallest member first, then, where it still holds several components, its members meet a few
-drawn ones; of the components that are left, only those pairs come out whose long signatures are near the threshold.
+Rows of one set are one class with one entry, so groups of copies cost nothing. Buckets are never expanded into pairs.
+Buckets that share members make a family; a family's sets meet block by block, the sizes of all intersections in a group
+of two blocks are counted at once, exactly, and the group puts out a spanning forest of its links: a row for each member
+at most, however many pairs are linked. What joined within a block is one component from then on, so across blocks only
+members outside their family's largest component are compared.
 """
 
 from __future__ import annotations
@@ -16,19 +18,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
-from tideline.llm.shared import BROADCAST_ROWS, Words, mix, pieces, stored
+from tideline.llm.shared import BROADCAST_ROWS, Words, forget, mix, pieces, stored
 
 SEED = 0x3C6EF372
-#: Rounds of drawn members, and how many a bucket draws in each: they join what is alike before pairs are compared.
-DRAWS, PIVOTS = 2, 16
-#: Bits of a long signature.
-BITS = 2048
-#: Members of a bucket that meet each other in one group.
-BLOCK = 512
+#: Most members and bytes of sets of a block; a larger set is a block of its own. Groups of small blocks share a cell.
+BLOCK, BLOCK_BYTES, CELL_BYTES = 512, 16 << 20, 8 << 20
+#: A family of more blocks is compared by its buckets where it still is in several components.
+WIDE = 16
+#: A list of meetings of at most so many rows is broadcast.
+MEETINGS = 200_000
+
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingles of each text, ascending, one text after the other, and the n + 1 bounds.
@@ -64,17 +67,6 @@ def signatures(values: np.ndarray, at: np.ndarray, slots: int) -> np.ndarray:
     return out
 
 
-def long_signatures(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One bit of each of BITS minima of each set, as BITS / 64 longs; sets are not empty."""
-    out = np.zeros((len(at) - 1, BITS // 64), np.uint64)
-    draw = np.random.default_rng(77_003).integers(1, 2**63, (BITS, 2), np.uint64)
-    for j, (x, m) in enumerate(draw):
-        h = (values ^ x) * (m | np.uint64(1))
-        h ^= h >> np.uint64(31)
-        out[:, j // 64] |= (mix(np.minimum.reduceat(h, at[:-1])) >> np.uint64(63)) << np.uint64(j % 64)
-    return out.view(np.int64)
-
-
 def chunk_keys(sigs: np.ndarray, chunk: int) -> np.ndarray:
     """For each signature, the keys of every chunk with each of its slots left out in turn."""
     keys = []
@@ -119,41 +111,33 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
             sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
             keys = chunk_keys(sigs, chunk)
             n = keys.shape[1]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(zero_copy_only=False), n)), pa.array(np.repeat(batch.column("size").to_numpy(zero_copy_only=False), n))], ["key", "node", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(zero_copy_only=False), n))], ["key", "node"])
 
-    entries = classes.mapInArrow(enter, "key long, node long, size long")
+    entries = classes.mapInArrow(enter, "key long, node long")
     shared = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
     shared = stored(shared.select("key", "pivot"), "shared")
     buckets = stored(entries.join(shared, "key"), "buckets")
+    forget(shared)
     #: Only texts that share a key with another are ever compared.
-    active = buckets.select("node").distinct()
-    alike = stored(_narrow(texts, active.withColumnRenamed("node", "doc_id")).join(classes.select(F.col("node").alias("doc_id"), F.col("size"), F.col("sig")), "doc_id"), "alike")
+    touching = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    family = components(touching).withColumnRenamed("component", "family")
+    weights = classes.groupBy("node").agg(F.sum(F.col("size") * 8).alias("bytes"))
+    members = stored(_in_blocks(family.join(weights, "node").withColumn("place", F.col("family"))), "members")
+    sets = stored(_sets(texts, members, shingle_words), "sets")
 
-    pairs = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     #: Two classes that one doc_id names (repeated rows) are one node.
     names = named.join(classes.select("set", "node"), "set").select("doc_id", "node").distinct()
     first = names.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a != last").drop("last")
     same = names.join(first, "doc_id").where("node != a").select("a", F.col("node").alias("b"))
-    links = stored(same.unionByName(_confirmed(pairs, alike, shingle_words, percent, slots, chunk)), "links")
+    within = members.select("place", F.col("block").alias("i"), F.col("block").alias("j"), "node", "bytes", F.lit(True).alias("is_row"), F.lit(True).alias("is_column"))
+    links = stored(same.unionByName(_linked(within, sets, percent)), "links")
     group = components(links)
-    for salt in range(DRAWS):
-        rest = _open_buckets(buckets, group)
-        if rest.isEmpty():
-            break
-        n = rest.count()
-        #: Each node goes to one of its open buckets and meets PIVOTS of the nodes there.
-        own = rest.groupBy("node", "component").agg(F.min_by("key", F.xxhash64("key", F.lit(salt))).alias("key"))
-        own = stored(own, "own", n)
-        drawn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(salt)), "node"))
-        pivots = own.withColumn("_n", drawn).where(F.col("_n") <= PIVOTS).select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
-        pairs = own.join(stored(pivots, "pivots", n), "key").where("component != other_component").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        links = stored(links.unionByName(_confirmed(pairs.distinct(), alike, shingle_words, percent, slots, chunk)), "links")
-        group = components(links)
-    rest = _open_buckets(buckets, group)
-    if not rest.isEmpty():
-        pairs = _crossing(rest, alike, shingle_words, percent, slots, chunk)
-        links = stored(links.unionByName(_confirmed(pairs, alike, shingle_words, percent, slots, chunk)), "links")
+    across = _across(members.where("blocks > 1"), group, buckets)
+    if not across.isEmpty():
+        links = stored(links.unionByName(_linked(across, sets, percent)), "links")
         group = components(links)
+    for table in (members, sets, buckets):
+        forget(table)
     of = classes.select("set", "node").join(group, "node", "left").select("set", F.coalesce("component", "node").alias("component_id"))
     #: Empty sets and rows without an id meet nothing; their names are their own, so that no join piles them up.
     keyed = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set")).alias("set"))
@@ -163,112 +147,143 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _open_buckets(buckets: DataFrame, group: DataFrame) -> DataFrame:
-    """The entries, with their components, of the buckets that hold more than one component."""
-    n = buckets.count()
-    placed = stored(buckets.join(group, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed", n)
-    still = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    return stored(placed.join(stored(still, "open", n), "key"), "rest", n)
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (place, node, bytes) with `blocks`, the number of blocks that their place needs, and the `block` of each."""
+    per = rows.groupBy("place").agg(_blocks(F.count("*"), F.sum("bytes")).alias("blocks"))
+    return rows.join(per, "place").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
 
 
-def _crossing(rest: DataFrame, alike: DataFrame, k: int, percent: int, slots: int, chunk: int) -> DataFrame:
-    """The pairs (a, b) of different components in one bucket whose long signatures are near enough to be linked.
+def _blocks(n: Column, size: Column) -> Column:
+    return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("long")
 
-    A long signature has one bit of each of BITS minima; at the threshold, more bits differ than are allowed with a
-    probability of 1e-7. A bucket of more than BLOCK members is dealt into blocks, and each two blocks meet in a group of
-    their own, so a task holds a bounded part of a bucket however large that is; groups of small buckets share a cell. A
-    pair comes from the least of the keys that it shares.
-    """
-    n = rest.count()
 
-    def sketch(batches):
+def _across(members: DataFrame, group: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The meetings across blocks that can still join components: in each place that holds several, each member outside
+    the largest component with all members. A place is a family, or each bucket of a family of over WIDE blocks."""
+    placed = members.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    wide = placed.where(F.col("blocks") > WIDE).join(buckets.select("node", "key"), "node").withColumn("place", F.xxhash64(F.lit("bucket"), "key"))
+    rows = placed.where(F.col("blocks") <= WIDE).unionByName(wide.select(placed.columns)).select("place", "node", "bytes", "component")
+    rows = stored(rows, "placed")
+    tally = rows.groupBy("place", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("size"))
+    largest = F.max(F.struct("n", "size", "component"))
+    per = tally.groupBy("place").agg(F.count("*").alias("components"), F.sum("n").alias("n"), F.sum("size").alias("size"), largest.alias("most")).where("components > 1")
+    per = per.select("place", F.col("most.component").alias("most"), _blocks(F.col("n"), F.col("size")).alias("columns"), _blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("rows"))
+    left = rows.join(per, "place")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    asking = left.where("component != most").select("place", own("rows").alias("i"), each("columns").alias("j"), "node", "bytes", F.lit(True).alias("is_row"), F.lit(False).alias("is_column"))
+    asked = left.select("place", each("rows").alias("i"), own("columns").alias("j"), "node", "bytes", F.lit(False).alias("is_row"), F.lit(True).alias("is_column"))
+    return stored(asking.unionByName(asked), "across")
+
+
+def _sets(texts: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """node, shingles: the whole shingle sets of the members, as ascending longs."""
+
+    def run(batches):
         for batch in batches:
             for part in pieces(batch, "text", 1 << 20):
                 values, at = shingle_sets(Words(part.column("text"), lower=True), k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("sig"), pa.array([x.tobytes() for x in long_signatures(values, at)], pa.binary())], ["node", "sig", "bits"])
-
-    nodes = rest.select(F.col("node").alias("doc_id"))
-    full = stored(_narrow(alike.select("doc_id", "sig", "text"), nodes).mapInArrow(sketch, "node long, sig binary, bits binary"), "long")
-    blocks = stored(rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks", n)
-    own = rest.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("key", "node", "size", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    own = stored(own, "meetings")
-    cells = own.count() // (4 * BLOCK) + 1
-    dealt = own.withColumn("cell", F.pmod(F.xxhash64("key", "i", "j"), F.lit(cells))).join(full, "node")
-    p = (1 - percent / 100) / 2
-    most = int(np.ceil(BITS * p + 5.3 * np.sqrt(BITS * p * (1 - p))))
+                raw = values.tobytes()
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([raw[8 * a : 8 * b] for a, b in zip(at, at[1:], strict=False)], pa.binary())], ["node", "shingles"])
+
+    ids = members.select(F.col("node").alias("doc_id"))
+    rows = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_semi")
+    return rows.mapInArrow(run, "node long, shingles binary")
+
+
+def _linked(meetings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of each group (place, i, j), a spanning forest (a, b) of the links between its rows and its columns."""
+    n, size = meetings.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    cell = F.pmod(F.xxhash64("place", "i", "j"), F.lit(size // CELL_BYTES + 1))
+    dealt = meetings.withColumn("cell", cell).drop("bytes")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
-        key, node, size, component, block, i, j = (table.column(c).to_numpy() for c in ("key", "node", "size", "component", "block", "i", "j"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
-        order = np.lexsort((node, block, j, i, key))
-        same = np.stack([key, i, j])[:, order]
+        place, i, j, node, is_row, is_column = (table.column(c).to_numpy() for c in ("place", "i", "j", "node", "is_row", "is_column"))
+        shingles = table.column("shingles")
+        order = np.lexsort((node, j, i, place))
+        same = np.stack([place, i, j])[:, order]
         cuts = np.concatenate([[0], np.flatnonzero((np.diff(same) != 0).any(0)) + 1, [len(order)]])
         out_a, out_b = [], []
         for x, y in zip(cuts, cuts[1:], strict=False):
-            rows = order[x:y]
-            left, right = (rows[block[rows] == i[rows]], rows[block[rows] == j[rows]])
-            for part in np.array_split(left, len(left) * len(right) // 8192 + 1):
-                fits = (component[part][:, None] != component[right]) & (100 * size[part][:, None] >= percent * size[right]) & (100 * size[right] >= percent * size[part][:, None])
-                if i[rows[0]] == j[rows[0]]:
-                    fits &= node[part][:, None] < node[right]
-                at, to = np.nonzero(fits)
-                at, to = part[at], right[to]
-                near = np.bitwise_count(bits[at] ^ bits[to]).sum(1) <= most
-                at, to = at[near], to[near]
-                if len(at):
-                    mine, theirs = chunk_keys(sigs[at], chunk), chunk_keys(sigs[to], chunk)
-                    once = np.where(mine == theirs, mine, np.iinfo(np.int64).max).min(1) == key[at]
-                    out_a.append(node[at[once]])
-                    out_b.append(node[to[once]])
+            at = order[x:y]
+            own = {r: np.frombuffer(shingles[r].as_buffer(), np.uint64) for r in at}
+            rows, columns = at[is_row[at]], at[is_column[at]]
+            if len(rows) and len(columns) and len(at) > 1:
+                r, c = alike([own[k] for k in rows], [own[k] for k in columns], percent)
+                least, ids = forest(node[rows[r]], node[columns[c]])
+                out_a.append(least)
+                out_b.append(ids)
         if not out_a:
             return schema.empty_table()
-        got = np.concatenate(out_a), np.concatenate(out_b)
-        return pa.table({"a": np.minimum(*got), "b": np.maximum(*got)}, schema)
-
-    return dealt.groupBy("cell").applyInArrow(meet, "a long, b long")
-
-
-def _narrow(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of texts with one of the ids."""
-    ids = stored(ids.distinct(), "ids")
-    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_semi")
-
-
-def _confirmed(pairs: DataFrame, alike: DataFrame, k: int, percent: int, slots: int, chunk: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by their whole sets."""
-    small = alike.select("doc_id", "size", "sig")
-    a, b = (small.select(F.col("doc_id").alias(x), F.col("size").alias(f"size_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    fits = (F.col("size_a") * percent <= F.col("size_b") * 100) & (F.col("size_b") * percent <= F.col("size_a") * 100)
-    sized = pairs.join(a, "a").join(b, "b").where(fits).select("a", "b", "sig_a", "sig_b")
-    #: Slots that may differ: six deviations beyond what the threshold leads to.
-    p = 1 - percent / 100
-    most = int(np.ceil(slots * p + 6 * np.sqrt(slots * p * (1 - p))))
-
-    def close(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, slots) for c in ("sig_a", "sig_b"))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array((x != y).sum(1) <= most))
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)}, schema)
+
+    met = sets.join(F.broadcast(dealt) if n <= MEETINGS else dealt, "node")
+    return met.groupBy("cell").applyInArrow(meet, "a long, b long")
+
+
+def alike(rows: list[np.ndarray], columns: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places (row, column) of all pairs of sets with 100 * intersection >= percent * union, intersection not empty."""
+    n_rows, n_columns = (np.array([len(s) for s in x]) for x in (rows, columns))
+    both = shared_counts(rows, columns)
+    return np.nonzero((both > 0) & (100 * both >= percent * (n_rows[:, None] + n_columns - both)))
+
+
+def shared_counts(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """The size of each row's intersection with each column. Values held by few are counted pair by pair, those held by
+    many as a product of 0/1 matrices, some thousand values at a time."""
+    n, m = len(rows), len(columns)
+    values, of = np.unique(np.concatenate([*rows, *columns]), return_inverse=True)
+    cut = sum(len(s) for s in rows)
+    sides = []
+    for v, sets in ((of[:cut], rows), (of[cut:], columns)):
+        who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        by = np.argsort(v, kind="stable")
+        sides.append((v[by], who[by], np.bincount(v, minlength=len(values))))
+    (v, who, df), (w, whom, dg) = sides
+    met = df * dg
+    light = (met > 0) & (met <= max(256, n * m // 100))
+    out = np.zeros(n * m, np.int64)
+    some = np.flatnonzero(light[v])
+    begin = np.cumsum(dg) - dg
+    each = dg[v[some]]
+    total = np.cumsum(each)
+    for a in range(0, int(total[-1]) if len(total) else 0, 1 << 21):
+        x, y = np.searchsorted(total, [a, a + (1 << 21)], side="right")
+        part = some[x : y + 1]
+        k = dg[v[part]]
+        first = total[x : y + 1] - k
+        step = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+        inside = (np.repeat(first, k) + step >= a) & (np.repeat(first, k) + step < a + (1 << 21))
+        to = np.repeat(begin[v[part]], k) + step
+        out += np.bincount((np.repeat(who[part], k) * m + whom[to])[inside], minlength=n * m)
+    out = out.reshape(n, m)
+    heavy = np.flatnonzero((met > 0) & ~light)
+    for a in range(0, len(heavy), 4096):
+        some = heavy[a : a + 4096]
+        place = np.full(len(values), -1)
+        place[some] = np.arange(len(some))
+        left, right = np.zeros((n, len(some)), np.float32), np.zeros((m, len(some)), np.float32)
+        for matrix, vals, owner in ((left, v, who), (right, w, whom)):
+            x, y = np.searchsorted(vals, [some[0], some[-1] + 1])
+            at = place[vals[x:y]]
+            matrix[owner[x:y][at >= 0], at[at >= 0]] = 1
+        out += (left @ right.T).astype(np.int64)
+    return out
 
-    near = stored(sized.mapInArrow(close, "a long, b long"), "near")
-    wanted = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id")))
-    texts = stored(_narrow(alike, wanted).select("doc_id", "text"), "texts")
-    members = near.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = members.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
-    def confirm(batches):
-        for batch in batches:
-            for part in pieces(batch, "text_b"):
-                xs, x_at = shingle_sets(Words(part.column("text_a"), lower=True), k)
-                ys, y_at = shingle_sets(Words(part.column("text_b"), lower=True), k)
-                keep = []
-                for i in range(part.num_rows):
-                    x, y = xs[x_at[i] : x_at[i + 1]], ys[y_at[i] : y_at[i + 1]]
-                    both_have = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(both_have > 0 and 100 * both_have >= percent * (len(x) + len(y) - both_have))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(confirm, "a long, b long")
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, node) of each node of the links (a, b) that is not the least of its component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    least = np.arange(len(nodes))
+    while True:
+        before = least.copy()
+        low = np.minimum(least[x], least[y])
+        np.minimum.at(least, least[x], low)
+        np.minimum.at(least, least[y], low)
+        least = least[least]
+        if (least == before).all():
+            break
+    other = np.flatnonzero(least != np.arange(len(nodes)))
+    return nodes[least[other]], nodes[other]
