@@ -117,7 +117,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], out)
-    plan = spark.sparkContext.broadcast(Curves(size, float(longest), curves, dims))
+    plan = Curves(size, float(longest), curves, dims)
     same = Window.partitionBy(F.xxhash64(F.lit(1), "vector"), F.xxhash64("vector", F.lit(2))).orderBy("vec_id")
     kept = stored(rows.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k + 1).drop("_copy"), "indexed")
     queries = rows.where(F.col("vec_id") % every == 0)
@@ -126,7 +126,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
     def enter(is_query: bool):
         def run(batches):
             for batch in batches:
-                keys = plan.value.keys(as_matrix(batch.column("vector"), size), is_query)
+                keys = plan.keys(as_matrix(batch.column("vector"), size), is_query)
                 ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(curves, dtype=np.int32), len(ids))), pa.array(keys.ravel()), pa.array(np.full(len(ids) * curves, is_query)), pa.array(np.repeat(ids, curves))], ["curve", "key", "is_query", "vec_id"])
 

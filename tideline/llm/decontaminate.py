@@ -78,12 +78,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
     #: Each row also sends one entry of its own, which meets nothing: it carries n_words and counts repeated rows.
     own = lambda: F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.concat(F.lit("\u0001"), F.col("k1").cast("string")).alias("run"))
     sent = found.select("k1", "k2", "doc_id", F.size("words").alias("n_words"), F.explode(F.concat(F.array(own()), *lists)).alias("x"))
-    runs_of = near(runs.select("run", "item_id", F.lit(True).alias("known")))
+    #: A row for each run, with all items that hold it, so that a document's run meets one row however many those are.
+    runs_of = near(runs.groupBy("run").agg(F.array_sort(F.collect_set("item_id")).alias("holders"), F.lit(True).alias("known")))
     matched = sent.select("k1", "k2", "doc_id", "n_words", "x.*").join(runs_of, "run", "left")
     per_doc = matched.groupBy("k1", "k2", "doc_id").agg(
         F.first("n_words").cast("long").alias("n_words"),
         F.collect_set(F.when(F.col("known"), F.struct("at", "k"))).alias("at"),
-        F.array_sort(F.collect_set("item_id")).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("holders")))).alias("items"),
         F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("copies"),
     )
     per_doc = per_doc.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("at", lambda s: F.sequence(s["at"], s["at"] + s["k"] - 1))))).cast("long"))

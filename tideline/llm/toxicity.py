@@ -2,6 +2,9 @@
 
 For every training sentence that names a group, the sentence with the group's name swapped is scored too, and the squared
 difference of the two scores is a penalty. Names of groups so lose the weight that they owe to the company they keep.
+
+Few texts are toxic, so the plain probability is far too low to decide by. Two halves of the training rows score each
+other; the logit that parts those best (by F1) is moved to the logit of the score from which a text counts as toxic.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import Words, pieces, stored
+from tideline.llm.shared import Words, mix, pieces, stored
 
 SEED = 0x70C1
 #: Letters and everything beyond ASCII make words.
@@ -67,10 +70,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 30_000, most_words: int = 4096, least_docs: int = 3, strength: float = 1e-3, fairness: float = 1.0, steps: int = 400) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 30_000, most_words: int = 4096, least_docs: int = 3, strength: float = 1e-4, fairness: float = 1.0, steps: int = 400, toxic_at: float = 0.7) -> Model:
     """A model from at most `most_rows` of the labelled documents and their `most_words` most telling words (chi-squared
-    of having the word, in at least `least_docs` of them). Labels of 1 are toxic. Without labels of both kinds the model
-    knows no words and its bias says the share of toxic ones."""
+    of having the word, in at least `least_docs` of them). Labels of 1 are toxic; null labels and ids teach nothing, nor do
+    labels without a document; of several labels of one id the largest counts. A score of `toxic_at` is where toxic and
+    other texts part best. Without labels of both kinds (an empty table, say) the model knows no words and its bias says
+    the share of toxic ones; without them in both halves of the rows the scores are plain probabilities."""
     rows = stored(training_rows(docs, labels, most_rows), "labelled")
     n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     bias = float(np.log((n_toxic + 0.5) / (n - n_toxic + 0.5)))
@@ -113,9 +118,28 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 30_000, most_words:
     table = rows.mapInArrow(have, "doc_id long, toxic int, words binary").orderBy("doc_id", "words").toArrow()
     sets = [np.frombuffer(x, np.int32) for x in table.column("words").to_pylist()]
     y = table.column("toxic").to_numpy().astype(float)
-    weights, bias = descend(sets, y, swap, len(vocabulary), bias, strength, fairness, steps)
+    half = (mix(table.column("doc_id").to_numpy().view(np.uint64).copy()) >> np.uint64(63)).astype(bool)
+    train = lambda some: descend([s for s, own in zip(sets, some, strict=True) if own], y[some], swap, len(vocabulary), bias, strength, fairness, steps)
+    shift = 0.0
+    if all(0 < y[some].sum() < some.sum() for some in (half, ~half)):
+        logits = np.zeros(len(y))
+        for some in (half, ~half):
+            w, b = train(some)
+            logits[~some] = [w[s].sum() + b for s, own in zip(sets, ~some, strict=True) if own]
+        shift = np.log(toxic_at / (1 - toxic_at)) - parting(logits, y)
+    weights, bias = train(np.ones(len(y), bool))
     keep = weights != 0
-    return Model(vocabulary[keep], weights[keep], bias)
+    return Model(vocabulary[keep], weights[keep], float(bias + shift))
+
+
+def parting(logits: np.ndarray, y: np.ndarray) -> float:
+    """The value half way between those neighbouring logits between which a threshold has the largest F1."""
+    order = np.argsort(-logits, kind="stable")
+    ordered, hits = logits[order], np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    f1[:-1][ordered[:-1] == ordered[1:]] = -1
+    at = int(np.argmax(f1))
+    return float((ordered[at] + ordered[at + 1]) / 2 if at + 1 < len(y) else ordered[at] - 1)
 
 
 def descend(sets: list[np.ndarray], y: np.ndarray, swap: np.ndarray, width: int, bias: float, strength: float, fairness: float, steps: int) -> tuple[np.ndarray, float]:
@@ -133,7 +157,7 @@ def descend(sets: list[np.ndarray], y: np.ndarray, swap: np.ndarray, width: int,
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col], len(sets)) + w[-1], -60, 60)))
         error = (p - y) / n
         g = np.append(np.bincount(col, error[row], width), error.sum())
-        g[:-1] += strength * w[:-1] / 1.0
+        g[:-1] += strength * w[:-1]
         if len(d_row):
             apart = np.bincount(d_row, d_sign * w[d_col], len(sets))
             g[:-1] += np.bincount(d_col, 2 * fairness / n_named * d_sign * apart[d_row], width)
@@ -144,12 +168,14 @@ def descend(sets: list[np.ndarray], y: np.ndarray, swap: np.ndarray, width: int,
 
 def score_toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score and the columns named in keep, for every row of docs, from its whole text alone. A null or empty
-    text has the score of a text without known words; repeated rows are scored alike; empty tables stay empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text has the score of a text without known words; repeated rows are scored alike; empty tables stay empty; a null
+    doc_id stays null. Columns that keep doesn't name are left out, whatever they are called; keep can't name `score`."""
+    #: Plain arrays, so that executors can read them without the package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.weights, model.bias))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c for c in keep if c not in ("doc_id", "text")))
 
     def score(batches):
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             for part in pieces(batch, "text"):
                 got = model.scores(Words(part.column("text"), lower=True, table=TABLE))
