@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +16,14 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset (tests), one is made and set."""
+    """The folder that spark.checkpoint.dir names. Where it is unset, a local session (tests) makes one and sets it; on a
+    cluster, whose machines share no temporary folder, that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         set_before = spark.sparkContext.getCheckpointDir()
         if not set_before:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tideline-"))
             set_before = spark.sparkContext.getCheckpointDir()
         folder = set_before
@@ -41,16 +47,37 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     if rows is not None and rows // TASK_ROWS + 1 < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         df = df.coalesce(rows // TASK_ROWS + 1)
     df.write.option("compression", "zstd").parquet(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """The tables that stored() writes inside are deleted at the end, but for those taken out of the list."""
+    token = _made.set([])
+    made = _made.get()
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for path in made:
+            _delete(spark, path)
+
+
 def forget(df: DataFrame) -> None:
     """Delete a table that stored() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
         if "/tideline-" in path:
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 #: A side of a join is broadcast only if it has been counted and holds at most so many rows of ids (16 MB).
