@@ -35,19 +35,20 @@ def poisson(rate: float) -> tuple[int, np.ndarray]:
     return first, below / below[-1]
 
 
-def rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = 0.5, size: float = 1.0) -> DataFrame:
+def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, alpha: float = 0.5, size: float = 1.0) -> DataFrame:
     """source, n, rate, first, below: rate is the mean number of copies of a document that brings its source to its target.
 
     Targets are `weights` (sources left out get none), or each source's count to the power alpha; they are scaled so that
     the mix has size * count rows in the mean. below[i] is the probability of at most first + i copies. A null source is
-    one source. `docs` is read for the counts only.
+    one source, which `weights` knows as None. `docs` is read for the counts only.
     """
     n = docs.groupBy("source").agg(F.count("*").alias("n"))
     if weights is None:
         target = F.pow(F.col("n").cast("double"), F.lit(alpha))
     else:
-        pairs = [F.lit(x) for k, v in weights.items() for x in (k, float(v))]
-        target = F.coalesce(F.create_map(*pairs)[F.coalesce("source", F.lit(""))], F.lit(0.0)) if pairs else F.lit(0.0)
+        pairs = [F.lit(x) for k, v in weights.items() if k is not None for x in (k, float(v))]
+        named = F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0)) if pairs else F.lit(0.0)
+        target = F.when(F.col("source").isNull(), F.lit(float(weights.get(None, 0.0)))).otherwise(named)
     n = stored(n.withColumn("target", target), "rates")
     total, goal = n.agg(F.sum("n"), F.sum("target")).first()
     rate = F.col("target") / F.lit(float(goal or 1)) * F.lit(float(total or 0) * size) / F.col("n")
@@ -61,22 +62,24 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float
     return known.mapInArrow(run, StructType([*known.schema, StructField("first", LongType()), StructField("below", ArrayType(DoubleType()))]))
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = 0.5, size: float = 1.0, seed: str = "mix-1") -> DataFrame:
+def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None, alpha: float = 0.5, size: float = 1.0, seed: str = "mix-1") -> DataFrame:
     """The rows of docs, each as often as a Poisson draw with its source's rate says, in one global random order.
 
     The draw inverts the distribution at a hash of (seed, doc_id), so it is the same on every run and any partitioning.
-    Added columns: copy (from 0), rate, order_key (the rows are range-partitioned and sorted by it). Null doc_ids draw
+    Added columns: copy (from 0), rate, order_key, a uniform hash: equal ranges of it are the partitions, each sorted by
+    it, so no sample of the rows is taken to find the bounds. Null doc_ids draw
     alike, as do repeated rows; a null source is a source; an empty table gives an empty mix. Columns named like the
     added ones are replaced.
     """
-    spark = docs.sparkSession
-    table = rates(docs, weights, alpha, size)
-    table = stored(table.select(F.coalesce("source", F.lit("\u0000null")).alias("_source"), "rate", "first", "below"), "below")
+    table = rates(docs, weights, alpha, size).select(F.col("source").alias("_source"), "rate", "first", "below")
+    table = stored(table, "below")
     table = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-    kept = docs.drop("copy", "rate", "order_key").withColumn("_source", F.coalesce("source", F.lit("\u0000null")))
-    drawn = kept.join(table, "_source").withColumn("_u", uniform(seed, F.col("doc_id")))
+    kept = docs.drop("copy", "rate", "order_key")
+    drawn = kept.join(table, kept["source"].eqNullSafe(table["_source"])).withColumn("_u", uniform(seed, kept["doc_id"]))
     n = F.col("first") + F.size(F.filter("below", lambda p: p <= F.col("_u")))
     copies = drawn.withColumn("_n", n).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int"))))
     copies = copies.withColumn("order_key", F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string"))))
     out = copies.drop("_source", "_u", "_n", "first", "below")
-    return out.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "order_key").sortWithinPartitions("order_key")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
+    return out.repartitionById(parts, F.shiftright(at * parts, 32).cast("int")).sortWithinPartitions("order_key")
