@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tideline.llm.shared import stored
 
@@ -76,8 +77,8 @@ def scores_of(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return (q * v).sum(-1)
 
 
-def best_of(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query place, id, score) of the k best rows for each query but itself, ties to smaller ids."""
+def best_of(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, itself: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, id, score) of the k best rows for each query, ties to smaller ids; `itself`: its own row counts too."""
     out: list[tuple] = []
     for a in range(0, len(queries), 256):
         rough = queries[a : a + 256] @ vectors.T
@@ -86,7 +87,7 @@ def best_of(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, ids: np
             if len(ids) > k + 1:
                 edge = np.partition(row, len(ids) - k - 1)[len(ids) - k - 1]
                 at = np.flatnonzero(row >= edge - 1e-9 * (1 + abs(edge)))
-            at = at[ids[at] != q_ids[a + j]]
+            at = at if itself else at[ids[at] != q_ids[a + j]]
             exact = scores_of(queries[a + j], vectors[at])
             by = np.lexsort((ids[at], -exact))[:k]
             out.append((np.full(len(by), a + j), ids[at][by], exact[by]))
@@ -94,8 +95,11 @@ def best_of(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, ids: np
 
 
 def valid_vectors(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """vec_id, vector: rows with an id and a finite, non-zero vector of the usual size (the most frequent; ties: the longest)."""
-    vector = F.col(vector_column).cast("array<double>")
+    """vec_id, vector: rows with an id and a finite, non-zero vector of the usual size (the most frequent; ties: the longest).
+    Vectors of floats stay floats, which are half as long to send; scores are computed in double precision."""
+    vector = F.col(vector_column)
+    if table.schema[vector_column].dataType != ArrayType(FloatType()):
+        vector = vector.cast("array<double>")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"))
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & fine)
@@ -103,24 +107,29 @@ def valid_vectors(table: DataFrame, id_column: str, vector_column: str) -> DataF
     return rows.where(F.size("vector") == (sizes[0]["size"] if sizes else 0))
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", curves: int = 16, dims: int = 6, recall: float = 0.96, sample: int = 96, least_block: int = 128) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", curves: int = 16, dims: int = 6, recall: float = 0.96, sample: int = 96, least_block: int = 128, most_block: int = 2048) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product found for each row whose id `every` divides.
 
     Null, zero and non-finite vectors take no part, nor do vectors of an unusual size or without an id. Of equal vectors
     only the k + 1 smallest ids can be among anyone's nearest, so only these are indexed. Repeated rows of one id count
-    once (the smallest vector). With fewer rows than k + 1, all are returned. The blocks are as wide as `recall` of the
-    true neighbours of `sample` queries (drawn by hash) needs; a smaller table is one block and its result exact.
+    once (the smallest vector). With fewer rows than k + 1, all are returned. A query meets blocks as far to both sides as
+    `recall` of the true neighbours of `sample` queries (drawn by hash) needs; a block has `most_block` rows at most, and
+    a wider reach is more blocks, not larger ones. A small table is one block and its result exact. Queries of equal
+    vectors are asked once, for k + 1 rows, and each leaves itself out. Columns beside the two named are left out.
     """
     spark = vectors.sparkSession
     rows = stored(valid_vectors(vectors, id_column, vector_column).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    size, longest, n = rows.agg(F.max(F.size("vector")), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))), F.count("*")).first()
+    size, longest, n = rows.agg(F.max(F.size("vector")), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))), F.count("*")).first()
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], out)
+    #: Goes to the tasks in their closure, by value.
     plan = Curves(size, float(longest), curves, dims)
     same = Window.partitionBy(F.xxhash64(F.lit(1), "vector"), F.xxhash64("vector", F.lit(2))).orderBy("vec_id")
     kept = stored(rows.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k + 1).drop("_copy"), "indexed")
-    queries = rows.where(F.col("vec_id") % every == 0)
+    asking = rows.where(F.col("vec_id") % every == 0)
+    alike = stored(asking.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")), "asked")
+    queries = alike.select("vec_id", "vector")
     entry = "curve int, key long, is_query boolean, vec_id long"
 
     def enter(is_query: bool):
@@ -155,10 +164,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
     offsets = [(c, p, sum(n for d, q, n in totals if d == c and q < p)) for c, p in sorted(seen)]
     ranks = placed.join(F.broadcast(spark.createDataFrame(offsets, "curve int, part int, offset long")), ["curve", "part"]).select("curve", (F.col("place") + F.col("offset")).alias("rank"), "is_query", "vec_id")
 
-    block = _width(queries, kept, ranks, size, k, sample, recall, least_block)
+    width = _width(queries, kept, ranks, size, k, sample, recall, least_block)
+    block = min(width, most_block)
+    reach = -(-width // block)
     block_of = F.floor(F.col("rank") / block)
     data = ranks.where("not is_query").select("curve", block_of.alias("block"), "vec_id").join(kept, "vec_id").withColumn("is_query", F.lit(False))
-    asked = ranks.where("is_query").select("curve", F.explode(F.array(block_of - 1, block_of, block_of + 1)).alias("block"), "vec_id").where("block >= 0").join(queries, "vec_id").withColumn("is_query", F.lit(True))
+    asked = ranks.where("is_query").select("curve", F.explode(F.sequence(block_of - reach, block_of + reach)).alias("block"), "vec_id").where("block >= 0").join(queries, "vec_id").withColumn("is_query", F.lit(True))
 
     def compare(table: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -167,13 +178,19 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
         if kind.all() or not kind.any():
             return schema.empty_table()
         q_ids, ids = every_id[kind], every_id[~kind]
-        at, found, score = best_of(matrix[kind], q_ids, matrix[~kind], ids, k)
+        at, found, score = best_of(matrix[kind], q_ids, matrix[~kind], ids, k + 1, itself=True)
         return pa.table({"query_id": q_ids[at], "vec_id": found, "score": score}, schema)
 
     got = data.unionByName(asked).select("curve", "block", "vec_id", "vector", "is_query").groupBy("curve", "block").applyInArrow(compare, "query_id long, vec_id long, score double")
     merged = got.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    best = merged.withColumn("rank", rank).where(F.col("rank") <= k + 1).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
+    #: Further queries of a vector take the answer of the first.
+    others = asking.join(alike.where("n > 1").select("vector", F.col("vec_id").alias("query_id")), "vector").where("vec_id != query_id").select(F.col("vec_id").alias("own"), "query_id")
+    answers = best.select(F.col("query_id").alias("own"), "best").unionByName(others.join(best, "query_id").select("own", "best"))
+    left = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("own")), 1, k)
+    rows = answers.select(F.col("own").alias("query_id"), F.posexplode(left).alias("rank", "x"))
+    return rows.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
 
 
 def exact_nearest(queries: DataFrame, rows: DataFrame, size: int, k: int) -> DataFrame:
