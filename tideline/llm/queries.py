@@ -34,48 +34,57 @@ def tokenizer_path() -> str:
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against itself with its last assistant turn answered as conv_id xor 1 answers.
+    """Each conversation against itself with its last assistant turn answered as conv_id xor 1 answers last.
 
-    No row: a conversation without an assistant turn, and one whose conv_id xor 1 has none. Left out of the others: turns
-    after the last answer and null turns. The SQL has the same limits.
+    A row for each conv_id: where conv_id xor 1 has no answer, the rejected answer is empty; where the conversation itself
+    has none, both sides are all prompt. Turns with a null conv_id have no row. All turns of a conversation are rendered,
+    null ones first.
     """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    last = turns.where("role = 'assistant' and conv_id is not null").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
     other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("last.text").alias("other"))
-    pairs = last.select("conv_id", F.col("last.turn").alias("last_turn")).join(other, "conv_id")
-    rows = turns.join(pairs, "conv_id").where("turn <= last_turn").withColumnRenamed("conv_id", "pair_id")
-    rejected = rows.withColumn("text", F.when((F.col("turn") == F.col("last_turn")) & (F.col("role") == "assistant"), F.col("other")).otherwise(F.col("text")))
+    pairs = last.select("conv_id", F.col("last.turn").alias("last_turn")).join(other, "conv_id", "left")
+    rows = turns.join(pairs, "conv_id", "left").withColumnRenamed("conv_id", "pair_id")
+    replaced = (F.col("turn") == F.col("last_turn")) & (F.col("role") == "assistant")
+    rejected = rows.withColumn("text", F.when(replaced, F.coalesce("other", F.lit(""))).otherwise(F.col("text")))
     out = format_preferences(rows, rejected)
     said = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
     return out.withColumns({"chosen_mask": said("chosen_mask"), "rejected_mask": said("rejected_mask")})
 
 
 def op2_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found of each row of `embeddings` whose vec_id 20 divides; see curves.nearest for what takes no part."""
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of `documents`, mixed by the square roots of their sources' sizes; see mixing.mix_sources for nulls and repeats."""
     return mix_sources(table(spark, sf_dir, "documents")).withColumn("rate", F.round("rate", 9))
 
 
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files of all `documents` say of each, with the end id; a null or empty text has that id alone."""
     return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), new_path(spark, "ids"), added=True).drop("ids")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each of all `documents`, how many repeated passages of 20 take away, and a digest of what stays."""
     out = dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles, component and `kept` of each of all `documents`, at 3 words and a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85, slots=40)
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that whole texts of `documents` hold, as license_scan.scan_licenses gives them."""
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and spans of the secrets of each of all `documents`; linked weak candidates are among `spans` only."""
     out = find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: ~x["linked"])
     said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
@@ -84,6 +93,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of each of all `documents`, by labels of ids whose crc32 modulo 3 is not 1; a null doc_id is not held out."""
     docs = table(spark, sf_dir, "documents")
     scored = score_toxicity(docs, fit(docs, train_fold(table(spark, sf_dir, "labels"))))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -91,6 +101,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each of all `documents`, those hit by passages of `benchmark`, and a digest of the items."""
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")

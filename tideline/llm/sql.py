@@ -8,9 +8,9 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 OP1 = """
 WITH turns AS (SELECT conv_id, turn, role, text FROM conversations),
 last AS (SELECT conv_id, max({'turn': turn, 'text': text}) AS l FROM turns WHERE role = 'assistant' GROUP BY conv_id),
-pairs AS (SELECT a.conv_id, a.l.turn AS last_turn, b.l.text AS other FROM last a JOIN last b ON xor(b.conv_id, 1) = a.conv_id),
-kept AS (SELECT t.*, last_turn, CASE WHEN turn = last_turn AND role = 'assistant' THEN other ELSE text END AS alt
-         FROM turns t JOIN pairs USING (conv_id) WHERE turn <= last_turn),
+pairs AS (SELECT a.conv_id, a.l.turn AS last_turn, b.l.text AS other FROM last a LEFT JOIN last b ON xor(b.conv_id, 1) = a.conv_id),
+kept AS (SELECT t.*, last_turn, CASE WHEN turn = last_turn AND role = 'assistant' THEN coalesce(other, '') ELSE text END AS alt
+         FROM turns t LEFT JOIN pairs USING (conv_id) WHERE conv_id IS NOT NULL),
 marked AS (SELECT *, bool_and(text IS NOT DISTINCT FROM alt) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS same,
                   '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS good,
                   '<|' || role || '|>' || chr(10) || alt || chr(10) || '<|end|>' || chr(10) AS bad FROM kept),
@@ -29,10 +29,11 @@ FROM ends GROUP BY conv_id
 OP3 = """
 WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 r AS (SELECT source, sqrt(n::DOUBLE) / sum(sqrt(n::DOUBLE)) OVER () * sum(n) OVER () / n AS rate FROM n),
-terms AS (SELECT source, rate, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p FROM r, range(0, 200) t(k) WHERE k <= ceil(rate * 4 + 40)),
+ks AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 10 * sqrt(rate) + 31) AS BIGINT))) AS k FROM r),
+terms AS (SELECT source, rate, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p FROM ks),
 below AS (SELECT source, rate, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS s FROM terms),
 drawn AS (SELECT d.*, ('0x' || substr(md5('mix-1|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents d),
-n_copies AS (SELECT d.doc_id, any_value(b.rate) AS rate, count(*) FILTER (b.s <= d.u) AS c FROM drawn d JOIN below b USING (source) GROUP BY d.doc_id),
+n_copies AS (SELECT d.doc_id, any_value(b.rate) AS rate, count(*) FILTER (b.s <= d.u) AS c FROM drawn d JOIN below b ON d.source IS NOT DISTINCT FROM b.source GROUP BY d.doc_id),
 copies AS (SELECT doc_id, rate, unnest(range(0, c)) AS copy FROM n_copies)
 SELECT d.*, round(rate, 9) AS rate, copy::INTEGER AS copy, md5('mix-1-order|' || d.doc_id || '|' || copy) AS order_key FROM copies JOIN documents d USING (doc_id)
 """

@@ -9,6 +9,7 @@ look-up for each id, for all runs of a block at once.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -78,8 +79,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
         tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
-        #: Of tokens that take blanks along, need a word's edge or match normalised text, only whole texts tell.
-        self.by_text = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens)
+        shape = json.loads(self.tokenizer.to_str())
+        before = shape["pre_tokenizer"] or {}
+        #: cut_places() knows one pre-tokenizer; texts for any other are encoded whole, as are those for tokens that take
+        #: blanks along, need a word's edge or match normalised text.
+        known = shape["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        self.by_text = not known or any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens)
         names = sorted((t.content.encode() for t in tokens), key=len, reverse=True)
         self.literal = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
