@@ -49,7 +49,7 @@ class Curves:
     """The projections and shifts of all curves; vectors are scaled to a sphere on which nearness is the inner product."""
 
     def __init__(self, size: int, longest: float, curves: int, dims: int, seed: int = 7):
-        draw = np.random.default_rng(seed)
+        draw, dims = np.random.default_rng(seed), min(dims, size + 1)
         self.longest, self.dims, self.bits = longest or 1.0, dims, 60 // dims
         self.frames = [np.linalg.qr(draw.normal(size=(size + 1, dims)))[0] * np.sqrt(size + 1) * 1.2 for _ in range(curves)]
         self.shifts = draw.random((curves, dims)) / 2

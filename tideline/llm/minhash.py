@@ -129,7 +129,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     names = named.join(classes.select("set", "node"), "set").select("doc_id", "node").distinct()
     first = names.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a != last").drop("last")
     same = names.join(first, "doc_id").where("node != a").select("a", F.col("node").alias("b"))
-    within = members.select("place", F.col("block").alias("i"), F.col("block").alias("j"), "node", "bytes", F.lit(True).alias("is_row"), F.lit(True).alias("is_column"))
+    within = members.select("place", F.col("block").alias("i"), F.col("block").alias("j"), "node", F.col("node").alias("label"), "bytes", F.lit(True).alias("is_row"), F.lit(True).alias("is_column"))
     links = stored(same.unionByName(_linked(within, sets, percent)), "links")
     group = components(links)
     across = _across(members.where("blocks > 1"), group, buckets)
@@ -171,8 +171,8 @@ def _across(members: DataFrame, group: DataFrame, buckets: DataFrame) -> DataFra
     left = rows.join(per, "place")
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    asking = left.where("component != most").select("place", own("rows").alias("i"), each("columns").alias("j"), "node", "bytes", F.lit(True).alias("is_row"), F.lit(False).alias("is_column"))
-    asked = left.select("place", each("rows").alias("i"), own("columns").alias("j"), "node", "bytes", F.lit(False).alias("is_row"), F.lit(True).alias("is_column"))
+    asking = left.where("component != most").select("place", own("rows").alias("i"), each("columns").alias("j"), "node", F.col("component").alias("label"), "bytes", F.lit(True).alias("is_row"), F.lit(False).alias("is_column"))
+    asked = left.select("place", each("rows").alias("i"), own("columns").alias("j"), "node", F.col("component").alias("label"), "bytes", F.lit(False).alias("is_row"), F.lit(True).alias("is_column"))
     return stored(asking.unionByName(asked), "across")
 
 
@@ -192,14 +192,15 @@ def _sets(texts: DataFrame, members: DataFrame, k: int) -> DataFrame:
 
 
 def _linked(meetings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of each group (place, i, j), a spanning forest (a, b) of the links between its rows and its columns."""
+    """Of each group (place, i, j), a spanning forest (a, b) of the links between its rows and its columns, where rows of
+    one label (a node, or a component that is known) are one. Nothing comes out of a group that adds nothing."""
     n, size = meetings.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     cell = F.pmod(F.xxhash64("place", "i", "j"), F.lit(size // CELL_BYTES + 1))
     dealt = meetings.withColumn("cell", cell).drop("bytes")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
-        place, i, j, node, is_row, is_column = (table.column(c).to_numpy() for c in ("place", "i", "j", "node", "is_row", "is_column"))
+        place, i, j, node, label, is_row, is_column = (table.column(c).to_numpy() for c in ("place", "i", "j", "node", "label", "is_row", "is_column"))
         shingles = table.column("shingles")
         order = np.lexsort((node, j, i, place))
         same = np.stack([place, i, j])[:, order]
@@ -211,7 +212,7 @@ def _linked(meetings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rows, columns = at[is_row[at]], at[is_column[at]]
             if len(rows) and len(columns) and len(at) > 1:
                 r, c = alike([own[k] for k in rows], [own[k] for k in columns], percent)
-                least, ids = forest(node[rows[r]], node[columns[c]])
+                least, ids = forest(label[rows[r]], label[columns[c]])
                 out_a.append(least)
                 out_b.append(ids)
         if not out_a:
