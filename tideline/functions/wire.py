@@ -6,6 +6,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,9 +120,18 @@ def uncompress(data: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.LongType())
-def double_bits(x: pd.Series) -> pd.Series:
-    """The 64 bits of a double, so that 0.0 and -0.0 differ."""
-    return pd.Series(x.to_numpy(np.float64, na_value=np.nan).view(np.int64)).where(x.notna().to_numpy(), None).astype("Int64")
+def _bits(x: pd.Series) -> pd.Series:
+    return pd.Series(x.to_numpy(np.float64, na_value=np.nan).view(np.int64))
+
+
+#: The bits of the one NaN that is kept; there are many.
+NAN_BITS = 0x7FF8 << 48
+
+
+def double_bits(x: Column | str) -> Column:
+    """The 64 bits of a double, so that 0.0 and -0.0 differ; all NaNs are one, and null is null."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.when(x.isNotNull(), F.when(F.isnan(x), F.lit(NAN_BITS)).otherwise(_bits(x)))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -20,18 +20,20 @@ def gaps(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_next", nxt).where(F.col("_next") > F.col("end")).select(*keys, F.col("end").alias("start"), F.col("_next").alias("end"))
 
 
-def overlapping(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Intervals that begin before an earlier one of their key has ended."""
-    w = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+def overlapping(df: DataFrame, keys: list[str], ties: tuple[str, ...] = ()) -> DataFrame:
+    """Intervals that begin before an earlier one of their key has ended; `ties` order equal ones."""
+    w = Window.partitionBy(*keys).orderBy("start", "end", *ties).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn("_reached", F.max("end").over(w)).where(F.col("start") < F.col("_reached")).drop("_reached")
 
 
-def complement(owned: DataFrame, lo: int, hi: int, keys: list[str]) -> DataFrame:
-    """The parts of [lo, hi) that disjoint intervals leave, per key."""
-    inside = clip(owned.select(*keys, "start", "end"), lo, hi)
-    edges = inside.select(*keys).distinct()
-    all_ = inside.unionByName(edges.select(*keys, F.lit(lo).cast("long").alias("start"), F.lit(lo).cast("long").alias("end"))).unionByName(edges.select(*keys, F.lit(hi).cast("long").alias("start"), F.lit(hi).cast("long").alias("end")))
-    return gaps(all_, keys)
+def complement(owned: DataFrame, lo: int, hi: int | DataFrame, keys: list[str]) -> DataFrame:
+    """The parts of [lo, hi) that disjoint intervals leave, per key. hi: a number, or a table of one row that holds it."""
+    end = hi if isinstance(hi, DataFrame) else owned.sparkSession.range(1).select(F.lit(hi))
+    inside = owned.select(*keys, "start", "end").crossJoin(F.broadcast(end.toDF("_hi").withColumn("_hi", F.col("_hi").cast("long"))))
+    inside = clip(inside, lo, F.col("_hi"))
+    edges = inside.groupBy(*keys).agg(F.first("_hi").alias("_hi"))
+    at = lambda x: edges.select(*keys, x.cast("long").alias("start"), x.cast("long").alias("end"))
+    return gaps(inside.drop("_hi").unionByName(at(F.lit(lo))).unionByName(at(F.col("_hi"))), keys)
 
 
 def reasons_by_tick(ticks: DataFrame, keys: list[str], t: str, reasons: list[tuple[str, Column]], otherwise: str | None = None) -> DataFrame:

@@ -27,16 +27,15 @@ def interval_join(points: DataFrame, intervals: DataFrame, t: str, start: str =
 def asof_join(left: DataFrame, right: DataFrame, t: str, right_t: str, keys: tuple[str, ...], values: tuple[str, ...], strict: bool = False) -> DataFrame:
     """left with the values of the last right row of its keys at or before t (before, if strict); null where there is none.
 
-    One sort by (keys, t) of both sides together; nothing is paired that is not wanted.
+    One sort by (keys, t) of both sides together; nothing is paired that is not wanted. Clocks keep the wider of their own
+    types, so whole numbers beyond 2^53 stay apart.
     """
     rank = F.lit(1 if strict else -1)
     packed = F.struct(F.col(right_t).alias(right_t), *values)
-    kinds = right.schema
-    both = left.withColumns({"_t": F.col(t).cast("double"), "_side": F.lit(0), "_right": F.lit(None).cast(right.select(packed.alias("x")).schema["x"].dataType)})
-    other = right.where(F.col(right_t).isNotNull()).select(*keys, F.col(right_t).cast("double").alias("_t"), rank.alias("_side"), packed.alias("_right"))
+    both = left.withColumns({"_t": F.col(t), "_side": F.lit(0), "_right": F.lit(None).cast(right.select(packed.alias("x")).schema["x"].dataType)})
+    other = right.where(F.col(right_t).isNotNull()).select(*keys, F.col(right_t).alias("_t"), rank.alias("_side"), packed.alias("_right"))
     w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     found = both.unionByName(other, allowMissingColumns=True).withColumn("_found", F.last("_right", ignorenulls=True).over(w)).where("_side = 0")
-    del kinds
     return found.select(*left.columns, *(F.col("_found")[c].alias(f"asof_{c}") for c in (right_t, *values)))
 
 

@@ -11,23 +11,23 @@ from tideline.functions.names import split_of
 from tideline.operators.joins import interval_join
 
 
-def causal_targets(frames: DataFrame, commands: DataFrame, tick: str, history: int, horizon: int, width: int) -> DataFrame:
+def causal_targets(frames: DataFrame, commands: DataFrame, tick: str, history: int, horizon: int, width: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """For each frame the first command it may be asked to predict: one whose support [tick - 1, tick] lies after the
     frame's end, and whose tick is not after the end of the horizon's last frame.
 
     frame_index, upper, cutoff, target, target_tick, gap (target_tick - 1 - upper), remaining (later commands up to the
     cutoff), overlapping (commands whose support holds the frame's end), reason_codes. Frames are of `width` ticks and
-    in order; eligible frames have no reasons. A first command that is not at floor(upper) + 2 leaves a coverage gap.
+    in order, each of `keys` on its own; eligible frames have no reasons. A first command that is not at floor(upper) + 2 leaves a coverage gap.
     """
     f = frames.withColumns({"upper": F.col("end"), "cutoff": F.col("end") + width * (horizon - 1), "seen": F.col("frame_index") + 1})
     n = frames.agg(F.max("frame_index").alias("_last"))
     f = f.crossJoin(F.broadcast(n)).withColumn("short", F.col("frame_index") + horizon - 1 > F.col("_last")).drop("_last")
-    c = commands.select("row_id", F.col(tick).alias("_t"))
-    near = interval_join(c, f.select("frame_index", "upper", "cutoff", (F.col("upper") - 1).alias("_from"), (F.col("cutoff") + 1).alias("_to")), "_t", "_from", "_to", width=width * (horizon + 1))
+    c = commands.select(*keys, "row_id", F.col(tick).alias("_t"))
+    near = interval_join(c, f.select(*keys, "frame_index", "upper", "cutoff", (F.col("upper") - 1).alias("_from"), (F.col("cutoff") + 1).alias("_to")), "_t", "_from", "_to", keys=keys, width=width * (horizon + 1))
     later = (F.col("_t") - 1 > F.col("upper")) & (F.col("_t") <= F.col("cutoff"))
     holds = (F.col("_t") - 1 <= F.col("upper")) & (F.col("upper") <= F.col("_t"))
-    g = near.groupBy("frame_index").agg(F.min(F.when(later, F.struct(F.col("row_id"), F.col("_t")))).alias("first"), F.count_if(later).alias("n_later"), F.count_if(holds).alias("overlapping"))
-    out = f.join(g, "frame_index", "left").withColumns({"target": F.col("first.row_id"), "target_tick": F.col("first._t")})
+    g = near.groupBy(*keys, "frame_index").agg(F.min(F.when(later, F.struct(F.col("row_id"), F.col("_t")))).alias("first"), F.count_if(later).alias("n_later"), F.count_if(holds).alias("overlapping"))
+    out = f.join(g, [*keys, "frame_index"], "left").withColumns({"target": F.col("first.row_id"), "target_tick": F.col("first._t")})
     reasons = F.array_compact(
         F.array(
             F.when(F.col("seen") < history, F.lit("insufficient_history_frames")),
@@ -36,7 +36,7 @@ def causal_targets(frames: DataFrame, commands: DataFrame, tick: str, history: i
             F.when(F.col("target_tick") != F.floor("upper") + 2, F.lit("first_future_command_coverage_gap")),
         )
     )
-    return out.select("frame_index", "upper", "cutoff", "target", "target_tick", (F.col("target_tick") - 1 - F.col("upper")).alias("gap"), F.greatest(F.coalesce("n_later", F.lit(0)) - 1, F.lit(0)).alias("remaining"), F.coalesce("overlapping", F.lit(0)).alias("overlapping"), reasons.alias("reason_codes"))
+    return out.select(*keys, "frame_index", "upper", "cutoff", "target", "target_tick", (F.col("target_tick") - 1 - F.col("upper")).alias("gap"), F.greatest(F.coalesce("n_later", F.lit(0)) - 1, F.lit(0)).alias("remaining"), F.coalesce("overlapping", F.lit(0)).alias("overlapping"), reasons.alias("reason_codes"))
 
 
 def cell(value: Column, reason: Column) -> Column:

@@ -65,7 +65,7 @@ def agg_9_evidence(spark, d):
 
 @query("SELECT r.round_id, r.start, r.e AS \"end\", count(c.tick) AS n, count(DISTINCT c.tick) AS ticks, min(c.tick) AS first, max(c.tick) AS last, CASE WHEN count(c.tick) = 0 THEN 0 ELSE greatest(coalesce(max(c.gap), 0), min(c.tick) - r.start, r.e - max(c.tick)) END AS max_gap, count(c.tick) > 0 AND greatest(coalesce(max(c.gap), 0), min(c.tick) - r.start, r.e - max(c.tick)) <= 40 AS complete, count(DISTINCT c.tick) / (r.e - r.start) AS fraction FROM (SELECT round_id, start, \"end\" AS e FROM rd WHERE \"end\" IS NOT NULL) r LEFT JOIN (SELECT x.round_id, x.tick, x.tick - lag(x.tick) OVER (PARTITION BY x.round_id ORDER BY x.tick) AS gap FROM cmd x JOIN rd y ON y.round_id = x.round_id AND x.tick < y.\"end\") c ON c.round_id = r.round_id GROUP BY r.round_id, r.start, r.e", CMD, ROUNDS)
 def agg_10_window_coverage(spark, d):
-    w = rounds(spark).where("end is not null").select("round_id", "start", "end")
+    w = rounds(spark, d).where("end is not null").select("round_id", "start", "end")
     return aggregates.window_coverage(w, commands(spark, d), ["round_id"], "tick", 40)
 
 
@@ -161,8 +161,8 @@ def agg_29_circular_plateau(spark, d):
 def agg_30_frame_fill(spark, d):
     from tideline.operators.joins import interval_join
 
-    n = interval_join(commands(spark, d), frames(spark), "tick", width=32).groupBy("frame_index").agg(F.count("*").alias("n"))
-    return frames(spark).join(n, "frame_index", "left").agg(F.max("n").alias("most"), F.count_if(C("n").isNull()).alias("empty"))
+    n = interval_join(commands(spark, d), frames(spark, d), "tick", width=32).groupBy("frame_index").agg(F.count("*").alias("n"))
+    return frames(spark, d).join(n, "frame_index", "left").agg(F.max("n").alias("most"), F.count_if(C("n").isNull()).alias("empty"))
 
 
 @query("SELECT slot, count(*) AS n, count(DISTINCT sha256(CAST(cents AS VARCHAR))) AS distinct_images, count(*) - count(DISTINCT cents) AS repeats FROM cmd GROUP BY slot", CMD)

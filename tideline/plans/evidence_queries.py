@@ -7,6 +7,7 @@ from tideline.functions import angles, bits, names, wire
 from tideline.operators import aggregates, intervals, joins, selection, windows
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, rounds, states
+from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
 
@@ -16,17 +17,18 @@ def dom_5_clock_calibration(spark, d):
     return aggregates.offset_fit(commands(spark, d).withColumn("o", C("number") - C("row_id")), ["user_id"], "o", 3.0)
 
 
-@query("SELECT slot, tick, coalesce(lead(tick) OVER (PARTITION BY slot ORDER BY tick), 43200) AS boundary, coalesce(lead(tick) OVER (PARTITION BY slot ORDER BY tick), 43200) > tick AS rising FROM st", STATE)
+@query("SELECT slot, tick, coalesce(lead(tick) OVER (PARTITION BY slot ORDER BY tick), (SELECT max(tick) + 1 FROM cmd)) AS boundary, coalesce(lead(tick) OVER (PARTITION BY slot ORDER BY tick), (SELECT max(tick) + 1 FROM cmd)) > tick AS rising FROM st", STATE)
 def dom_8_boundaries(spark, d):
-    nxt = F.coalesce(F.lead("tick").over(Window.partitionBy("slot").orderBy("tick")), F.lit(43200))
-    return states(spark, d).select("slot", "tick", nxt.alias("boundary"), (nxt > C("tick")).alias("rising"))
+    end = commands(spark, d).agg((F.max("tick") + 1).alias("timeline_end"))
+    nxt = F.coalesce(F.lead("tick").over(Window.partitionBy("slot").orderBy("tick")), "timeline_end")
+    return states(spark, d).crossJoin(end).select("slot", "tick", nxt.alias("boundary"), (nxt > C("tick")).alias("rising"))
 
 
-@query("SELECT f.frame_index, k.c AS \"check\" FROM fr f CROSS JOIN (VALUES ('view'), ('click'), ('error')) k(c) WHERE f.frame_index < 300 AND NOT EXISTS (SELECT 1 FROM cmd c WHERE c.kind = k.c AND c.tick // 32 = f.frame_index)", CMD, FRAMES)
+@query("SELECT slot, frame_index, k.c AS \"check\" FROM pf CROSS JOIN (VALUES ('view'), ('click'), ('error')) k(c) ANTI JOIN (SELECT slot, kind AS c, tick // 32 AS frame_index FROM cmd) h USING (slot, c, frame_index)", CMD, PLAYER_FRAMES)
 def dom_15_scoped_proofs(spark, d):
-    needed = frames(spark).where("frame_index < 300").select("frame_index", F.explode(F.array(*(F.lit(k) for k in ("view", "click", "error")))).alias("check"))
-    have = commands(spark, d).select(F.floor(C("tick") / 32).alias("frame_index"), C("kind").alias("check")).distinct()
-    return needed.join(have, ["frame_index", "check"], "left_anti")
+    needed = player_frames(spark, d).select("slot", "frame_index", F.explode(F.array(*(F.lit(k) for k in ("view", "click", "error")))).alias("check"))
+    have = commands(spark, d).select("slot", F.floor(C("tick") / 32).alias("frame_index"), C("kind").alias("check")).distinct()
+    return needed.join(have, ["slot", "frame_index", "check"], "left_anti")
 
 
 @query("SELECT status, count(*) AS n FROM (SELECT CASE WHEN s.n IS NULL THEN 'missing' WHEN s.n > 1 THEN 'ambiguous' ELSE 'matched' END AS status FROM cmd c LEFT JOIN (SELECT user_id, tick, count(*) AS n FROM cmd GROUP BY 1, 2) s ON s.user_id = c.user_id AND s.tick = c.client_tick) GROUP BY status", CMD)
@@ -70,16 +72,16 @@ def dom_41_budgeted_rounds(spark, d):
 def dom_42_batch_plan(spark, d):
     from tideline.operators.filters import in_any_window
 
-    w = rounds(spark).where("end is not null").select(C("freeze_end").alias("start"), "end")
+    w = rounds(spark, d).where("end is not null").select(C("freeze_end").alias("start"), "end")
     covered = in_any_window(commands(spark, d), w, "tick", margin=16)
     return selection.round_robin(covered, ["kind", "user_id"], "row_id").where("turn <= 2").select("kind", "row_id", C("turn").cast("long").alias("turn"))
 
 
-@query("SELECT slot, CAST(sum(\"end\" - start) AS BIGINT) AS owned, 44000 - CAST(sum(\"end\" - start) AS BIGINT) AS excluded FROM (SELECT slot, min(start) AS start, max(\"end\") AS \"end\" FROM (SELECT *, sum(s) OVER (PARTITION BY slot ORDER BY start, \"end\") AS g FROM (SELECT *, CASE WHEN start <= max(\"end\") OVER (PARTITION BY slot ORDER BY start, \"end\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS s FROM (SELECT slot, tick AS start, tick + 1 + k % 20 AS \"end\" FROM cmd))) GROUP BY slot, g) GROUP BY slot", CMD)
+@query("SELECT slot, CAST(sum(\"end\" - start) AS BIGINT) AS owned, (SELECT max(tick) + 21 FROM cmd) - CAST(sum(\"end\" - start) AS BIGINT) AS excluded FROM (SELECT slot, min(start) AS start, max(\"end\") AS \"end\" FROM (SELECT *, sum(s) OVER (PARTITION BY slot ORDER BY start, \"end\") AS g FROM (SELECT *, CASE WHEN start <= max(\"end\") OVER (PARTITION BY slot ORDER BY start, \"end\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS s FROM (SELECT slot, tick AS start, tick + 1 + k % 20 AS \"end\" FROM cmd))) GROUP BY slot, g) GROUP BY slot", CMD)
 def dom_44_timeline_accounting(spark, d):
     spans = commands(spark, d).select("slot", C("tick").alias("start"), (C("tick") + 1 + C("k") % 20).alias("end"))
     owned = windows.running_segments(spans, ["slot"], "start", "end")
-    rest = intervals.complement(owned, 0, 44000, ["slot"])
+    rest = intervals.complement(owned, 0, commands(spark, d).agg(F.max("tick") + 21), ["slot"])
     a = owned.groupBy("slot").agg(F.sum(C("end") - C("start")).alias("owned"))
     return a.join(rest.groupBy("slot").agg(F.sum(C("end") - C("start")).alias("excluded")), "slot")
 
@@ -164,37 +166,52 @@ def ord_8_hash_ties(spark, d):
     return commands(spark, d).select("row_id", F.sha2(F.concat(F.lit('["profile",'), C("row_id").cast("string"), F.lit("]")), 256).alias("tie"))
 
 
-@query("SELECT row_id, CAST(0.5 * power(2, greatest(floor(log2(cents)) - 23, -149)) AS DOUBLE) AS half FROM cmd WHERE cents BETWEEN 3 AND 60000", CMD)
+@query("SELECT row_id, CAST(0.5 * power(2, greatest(floor(log2(cents)) - 23, -149)) AS DOUBLE) AS half FROM cmd WHERE cents > 0", CMD)
 def fn_m5_half_ulp(spark, d):
-    return commands(spark, d).where("cents BETWEEN 3 AND 60000").select("row_id", wire.half_ulp(C("cents").cast("double")).alias("half"))
+    return commands(spark, d).where("cents > 0").select("row_id", wire.half_ulp(C("cents").cast("double")).alias("half"))
 
 
-@query("SELECT row_id, k % 2 = 0 AS same FROM cmd", CMD)
+#: Two numbers out of 0.0, -0.0, NaN and k, by the row.
+EDGES = ("CASE {x} % 4 WHEN 0 THEN 0.0 WHEN 1 THEN -0.0 WHEN 2 THEN 'NaN'::DOUBLE ELSE k::DOUBLE END", "k", "k // 4")
+
+
+def edge_numbers():
+    return [F.when(x % 4 == 0, F.lit(0.0)).when(x % 4 == 1, C("k") * F.lit(-1) * F.lit(0.0)).when(x % 4 == 2, F.lit(float("nan"))).otherwise(C("k").cast("double")) for x in (C("k"), F.floor(C("k") / 4))]
+
+
+@query("SELECT row_id, k % 4 = k // 4 % 4 AS same FROM cmd", CMD)
 def fn_m6_bitwise_equal(spark, d):
-    other = C("k") * 0.0 * F.when(C("k") % 2 == 0, 1.0).otherwise(-1.0)
-    return commands(spark, d).select("row_id", (wire.double_bits(F.lit(0.0) * C("k")) == wire.double_bits(other)).alias("same"))
+    a, b = edge_numbers()
+    return commands(spark, d).select("row_id", (wire.double_bits(a) == wire.double_bits(b)).alias("same"))
 
 
-@query("SELECT row_id, true AS same FROM cmd", CMD)
+@query("SELECT row_id, typeof(CASE WHEN a < 2 THEN 1 END) IS NOT NULL AND a = b AS same FROM (SELECT row_id, k % 3 AS a, k // 3 % 3 AS b FROM cmd)", CMD)
+def fn_m7_typed_equal(spark, d):
+    """1, 1.0 and true are three values: equal are variants of one type and one value."""
+    kinds = lambda x: F.when(x % 3 == 0, F.parse_json(F.lit("1"))).when(x % 3 == 1, F.parse_json(F.lit("1.5"))).otherwise(F.parse_json(F.lit("true")))
+    typed = lambda v: F.struct(F.schema_of_variant(v), v.cast("string"))
+    return commands(spark, d).select("row_id", kinds(C("k")).alias("a"), kinds(F.floor(C("k") / 3)).alias("b")).select("row_id", (typed(C("a")) == typed(C("b"))).alias("same"))
+
+
+@query("SELECT row_id, ([a, dx] IS NOT DISTINCT FROM [b, dx]) AS same FROM (SELECT row_id, dx::DOUBLE AS dx, " + EDGES[0].format(x="k") + " AS a, " + EDGES[0].format(x="(k // 4)") + " AS b FROM cmd)", CMD)
 def fn_m8_nan_equal(spark, d):
-    x = F.struct(F.lit(float("nan")).alias("a"), C("dx").alias("b"))
-    return commands(spark, d).select("row_id", x.eqNullSafe(x).alias("same"))
+    """NaN equals NaN and null equals null at any depth; 0.0 equals -0.0."""
+    a, b = edge_numbers()
+    row = lambda x: F.struct(F.array(x, C("dx").cast("double")).alias("v"))
+    return commands(spark, d).select("row_id", row(a).eqNullSafe(row(b)).alias("same"))
 
 
-@query("SELECT row_id, 8 AS field, cents AS number FROM cmd WHERE false UNION ALL SELECT row_id, 1, k FROM cmd WHERE k < 128", CMD)
+@query("SELECT row_id, 1 AS field, k * 1000 + cents AS number FROM cmd", CMD)
 def udf_1_fields(spark, d):
-    data = F.unhex(F.concat(F.lit("08"), F.lpad(F.hex("k"), 2, "0")))
-    got = commands(spark, d).where("k < 128").select("row_id", F.explode(wire.decode_fields(data)).alias("x"))
+    """A field of one to five bytes for each row, written as a varint and read back."""
+    n = C("k") * 1000 + C("cents")
+    parts = [F.shiftright(n, 7 * i).bitwiseAND(F.lit(127)) for i in range(5)]
+    more = [n >= (1 << (7 * (i + 1))) for i in range(5)]
+    raw = F.concat(F.lit("08"), *(F.when((n >= (1 << (7 * i))) if i else F.lit(True), F.lpad(F.hex(p + F.when(m, 128).otherwise(0)), 2, "0")).otherwise("") for i, (p, m) in enumerate(zip(parts, more, strict=True))))
+    got = commands(spark, d).select("row_id", F.explode(wire.decode_fields(F.unhex(raw))).alias("x"))
     return got.select("row_id", C("x.field").alias("field"), C("x.number").cast("long").alias("number"))
 
 
-@query("SELECT row_id, kind AS text FROM cmd", CMD)
-def udf_3_snappy(spark, d):
-    n = F.octet_length("kind")
-    data = F.concat(F.unhex(F.lpad(F.hex(n), 2, "0")), F.unhex(F.lpad(F.hex((n - 1) * 4), 2, "0")), C("kind").cast("binary"))
-    return commands(spark, d).select("row_id", wire.uncompress(data).cast("string").alias("text"))
-
-
 @query("SELECT row_id, unbin AS data, sha256(kind) AS digest FROM (SELECT row_id, kind AS unbin, kind FROM cmd)", CMD)
 def fn_j3_base64_evidence(spark, d):
     rows = commands(spark, d).select("row_id", F.base64(C("kind").cast("binary")).alias("b"))
@@ -231,16 +248,16 @@ def agg_27_message_counts(spark, d):
     return commands(spark, d).groupBy("kind").agg(F.count("*").alias("n"), F.max("number").alias("highest"), F.count_if(C("number") >= C("row_id")).alias("ahead"))
 
 
-@query("SELECT row_id, player FROM (SELECT row_id, 'steam:' || user_id AS player FROM cmd WHERE user_id > 0) WHERE player LIKE 'steam:1%'", CMD)
+@query("SELECT row_id, player FROM (SELECT row_id, 'steam:' || user_id AS player FROM cmd WHERE user_id > 0)", CMD)
 def flt_14_selection(spark, d):
     key = names.player_key(C("user_id"), C("slot"))
-    return commands(spark, d).where("user_id > 0").select("row_id", key.alias("player")).where(C("player").startswith("steam:1"))
+    return commands(spark, d).where("user_id > 0").select("row_id", key.alias("player"))
 
 
 @query("SELECT frame_index, x, x IS NOT NULL AS observed FROM fr LEFT JOIN (SELECT tick, min(x) AS x FROM st GROUP BY tick) s ON s.tick = frame_index * 32", STATE, FRAMES)
 def join_14_by_index(spark, d):
     s = states(spark, d).groupBy("tick").agg(F.min("x").alias("x")).where("tick % 32 = 0").select((C("tick") / 32).cast("long").alias("frame_index"), "x")
-    return frames(spark).join(s, "frame_index", "left").select("frame_index", "x", C("x").isNotNull().alias("observed"))
+    return frames(spark, d).join(s, "frame_index", "left").select("frame_index", "x", C("x").isNotNull().alias("observed"))
 
 
 @query("SELECT a.row_id, b.row_id AS frame_row, c.n AS later FROM (SELECT * FROM cmd WHERE kind = 'click') a ASOF LEFT JOIN (SELECT slot, tick, max(row_id) AS row_id FROM cmd WHERE kind = 'view' GROUP BY 1, 2) b ON b.slot = a.slot AND b.tick <= a.tick LEFT JOIN (SELECT x.row_id, count(*) AS n FROM cmd x JOIN cmd y ON y.number BETWEEN x.number AND x.number + 4 AND y.slot = x.slot WHERE x.kind = 'click' GROUP BY x.row_id) c ON c.row_id = a.row_id", CMD)

@@ -54,7 +54,7 @@ def flt_8_live_states(spark, d):
 
 @query("SELECT slot, tick FROM st JOIN rd USING (round_id) WHERE alive AND paused = false AND tick >= greatest(199, freeze_end) AND tick < rd.\"end\" AND user_id > 0", STATE, ROUNDS)
 def flt_9_strict_schedule(spark, d):
-    r = F.broadcast(rounds(spark))
+    r = rounds(spark, d)
     return states(spark, d).join(r, "round_id").where(C("alive") & filters.known_false(C("paused")) & (C("tick") >= F.greatest(F.lit(199), C("freeze_end"))) & (C("tick") < C("end")) & (C("user_id") > 0)).select("slot", "tick")
 
 
@@ -88,7 +88,7 @@ def flt_15_numeric_identity(spark, d):
 
 @query("SELECT row_id, tick FROM cmd WHERE EXISTS (SELECT 1 FROM rd WHERE \"end\" IS NOT NULL AND tick >= freeze_end - 16 AND tick < \"end\" + 16)", CMD, ROUNDS)
 def flt_16_window_margin(spark, d):
-    w = rounds(spark).where("end is not null").select(C("freeze_end").alias("start"), "end")
+    w = rounds(spark, d).where("end is not null").select(C("freeze_end").alias("start"), "end")
     return filters.in_any_window(commands(spark, d), w, "tick", margin=16).select("row_id", "tick")
 
 

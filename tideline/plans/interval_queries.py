@@ -25,14 +25,15 @@ def set_1_interval_union(spark, d):
     return union(spark, d)
 
 
-@query("SELECT slot, a AS start, b AS \"end\" FROM (SELECT slot, \"end\" AS a, lead(start) OVER (PARTITION BY slot ORDER BY start, \"end\") AS b FROM (SELECT slot, start, \"end\" FROM un UNION ALL SELECT DISTINCT slot, 0, 0 FROM un UNION ALL SELECT DISTINCT slot, 44000, 44000 FROM un)) WHERE b > a", CMD + SPANS, UNION_SQL)
+@query("SELECT slot, a AS start, b AS \"end\" FROM (SELECT slot, \"end\" AS a, lead(start) OVER (PARTITION BY slot ORDER BY start, \"end\") AS b FROM (SELECT slot, start, \"end\" FROM un UNION ALL SELECT DISTINCT slot, 0, 0 FROM un UNION ALL SELECT DISTINCT slot, (SELECT max(\"end\") + 1 FROM un), (SELECT max(\"end\") + 1 FROM un) FROM un)) WHERE b > a", CMD + SPANS, UNION_SQL)
 def set_2_complement(spark, d):
-    return intervals.complement(union(spark, d), 0, 44000, ["slot"])
+    owned = union(spark, d)
+    return intervals.complement(owned, 0, owned.agg(F.max("end") + 1), ["slot"])
 
 
 @query("SELECT slot, reason, min(tick) AS start, max(tick) + 1 AS \"end\" FROM (SELECT *, sum(s) OVER (PARTITION BY slot ORDER BY tick) AS g FROM (SELECT *, CASE WHEN lag(tick) OVER w = tick - 1 AND lag(reason) OVER w IS NOT DISTINCT FROM reason THEN 0 ELSE 1 END AS s FROM (SELECT slot, tick, CASE WHEN tick < freeze_end THEN 'freeze' WHEN paused THEN 'paused' WHEN NOT alive THEN 'not_alive' WHEN tick >= rd.\"end\" THEN 'after_round' END AS reason FROM st JOIN rd USING (round_id)) WINDOW w AS (PARTITION BY slot ORDER BY tick))) WHERE reason IS NOT NULL GROUP BY slot, reason, g", STATE, ROUNDS)
 def set_2_excluded_reasons(spark, d):
-    s = states(spark, d).join(F.broadcast(rounds(spark)), "round_id")
+    s = states(spark, d).join(rounds(spark, d), "round_id")
     rules = [("freeze", C("tick") < C("freeze_end")), ("paused", C("paused")), ("not_alive", ~C("alive")), ("after_round", C("tick") >= C("end"))]
     return intervals.reasons_by_tick(s, ["slot"], "tick", rules).select("slot", "reason", "start", "end")
 
@@ -42,9 +43,9 @@ def set_3_clipped(spark, d):
     return intervals.clip(spans(spark, d), 1000, 9000).select("row_id", "start", "end")
 
 
-@query("SELECT row_id, slot, start, \"end\" FROM (SELECT *, max(\"end\") OVER (PARTITION BY slot ORDER BY start, \"end\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM sp) WHERE start < m", CMD + SPANS)
+@query("SELECT row_id, slot, start, \"end\" FROM (SELECT *, max(\"end\") OVER (PARTITION BY slot ORDER BY start, \"end\", row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM sp) WHERE start < m", CMD + SPANS)
 def set_5_overlaps(spark, d):
-    return intervals.overlapping(spans(spark, d), ["slot"])
+    return intervals.overlapping(spans(spark, d), ["slot"], ("row_id",))
 
 
 @query("SELECT count(*) AS n FROM (SELECT user_id FROM cmd WHERE kind = 'view' EXCEPT SELECT user_id FROM cmd)", CMD)
@@ -70,7 +71,7 @@ def set_10_gaps(spark, d):
 
 
 SPLIT_SQL = """
-, src AS (SELECT row_id, greatest(199, tick) AS s, greatest(199, tick) + (tick + k * 37 - greatest(199, tick)) // 2 * 2 AS e FROM cmd WHERE k > 5 AND tick > 300),
+, src AS (SELECT row_id, greatest(199, tick) AS s, greatest(199, tick) + (tick + k * 37 - greatest(199, tick)) // 2 * 2 AS e FROM cmd),
 cuts AS (SELECT row_id, s AS cursor, s AS cap, least(e, s + 640) AS stop0, e, 0 AS piece FROM src WHERE e - s >= 32),
 fix AS (SELECT row_id, cursor, cap, CASE WHEN e - stop0 > 0 AND e - stop0 < 18 THEN stop0 - (18 - (e - stop0)) ELSE stop0 END AS stop, e, piece FROM cuts
   UNION ALL SELECT row_id, cursor, cap, CASE WHEN e - stop0 > 0 AND e - stop0 < 18 THEN stop0 - (18 - (e - stop0)) ELSE stop0 END, e, piece
@@ -79,7 +80,7 @@ fix AS (SELECT row_id, cursor, cap, CASE WHEN e - stop0 > 0 AND e - stop0 < 18 T
 
 @query("SELECT row_id, piece, cursor AS owned_start, stop AS owned_end, cap AS capture_start FROM fix", "RECURSIVE " + CMD.strip() + SPLIT_SQL)
 def win_8_split_windows(spark, d):
-    rows = commands(spark, d).where("k > 5 AND tick > 300").select("row_id", C("tick").alias("start"), (C("tick") + C("k") * 37).alias("end"))
+    rows = commands(spark, d).select("row_id", C("tick").alias("start"), (C("tick") + C("k") * 37).alias("end"))
     return intervals.split(rows, 640, 14, 32, floor=199).select("row_id", "piece", "owned_start", "owned_end", "capture_start")
 
 

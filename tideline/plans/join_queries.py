@@ -6,26 +6,28 @@ from pyspark.sql import functions as F
 from tideline.operators import joins
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, rounds, states
+from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
 
 
 @query("SELECT row_id, frame_index FROM cmd JOIN fr ON tick >= start AND tick < \"end\"", CMD, FRAMES)
 def join_1_point_in_interval(spark, d):
-    return joins.interval_join(commands(spark, d), frames(spark), "tick", width=32).select("row_id", "frame_index")
+    return joins.interval_join(commands(spark, d), frames(spark, d), "tick", width=32).select("row_id", "frame_index")
 
 
 @query("SELECT row_id, frame_index FROM cmd JOIN fr ON client_tick > start AND client_tick <= \"end\"", CMD, FRAMES)
 def join_2_future_interval(spark, d):
-    return joins.interval_join(commands(spark, d), frames(spark), "client_tick", closed="right", width=32).select("row_id", "frame_index")
+    return joins.interval_join(commands(spark, d), frames(spark, d), "client_tick", closed="right", width=32).select("row_id", "frame_index")
 
 
-@query("SELECT frame_index, count(row_id) AS n, coalesce(string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY row_id), '') AS ids FROM fr LEFT JOIN cmd ON tick >= start AND tick < \"end\" AND slot = 3 GROUP BY frame_index", CMD, FRAMES)
+@query("SELECT slot, frame_index, count(row_id) AS n, coalesce(string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY row_id), '') AS ids FROM pf LEFT JOIN (SELECT slot, row_id, tick // 32 AS frame_index FROM cmd) USING (slot, frame_index) GROUP BY slot, frame_index", CMD, PLAYER_FRAMES)
 def dom_4_aligned_frames(spark, d):
-    met = joins.interval_join(commands(spark, d).where("slot = 3"), frames(spark), "tick", width=32)
-    ids = met.groupBy("frame_index").agg(F.array_sort(F.collect_list("row_id")).alias("ids"))
-    out = frames(spark).join(ids, "frame_index", "left")
-    return out.select("frame_index", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.array_join("ids", ","), F.lit("")).alias("ids"))
+    f = player_frames(spark, d)
+    met = joins.interval_join(commands(spark, d), f, "tick", keys=("slot",), width=32)
+    ids = met.groupBy("slot", "frame_index").agg(F.array_sort(F.collect_list("row_id")).alias("ids"))
+    out = f.join(ids, ["slot", "frame_index"], "left")
+    return out.select("slot", "frame_index", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.array_join("ids", ","), F.lit("")).alias("ids"))
 
 
 @query("SELECT a.row_id, a.tick, b.cents FROM cmd a JOIN cmd b USING (row_id) WHERE a.alive", CMD)
@@ -36,14 +38,14 @@ def join_3_exact_key(spark, d):
 
 @query("SELECT c.row_id, r.round_id, c.tick - r.start AS since FROM cmd c JOIN rd r ON c.round_id = r.round_id AND c.tick >= r.start AND c.tick < r.\"end\"", CMD, ROUNDS)
 def join_4_window_containment(spark, d):
-    r = rounds(spark).where("end is not null")
+    r = rounds(spark, d).where("end is not null")
     met = joins.interval_join(commands(spark, d).select("row_id", "round_id", "tick"), r.select("round_id", "start", "end"), "tick", keys=("round_id",), width=1440)
     return met.select("row_id", "round_id", (C("tick") - C("start")).alias("since"))
 
 
 @query("SELECT slot, tick, freeze_end, \"end\" AS round_end FROM st LEFT JOIN rd USING (round_id)", STATE, ROUNDS)
 def join_5_dimension_lookup(spark, d):
-    return states(spark, d).join(F.broadcast(rounds(spark)), "round_id", "left").select("slot", "tick", "freeze_end", C("end").alias("round_end"))
+    return states(spark, d).join(rounds(spark, d), "round_id", "left").select("slot", "tick", "freeze_end", C("end").alias("round_end"))
 
 
 @query("SELECT c.row_id, a.x AS x_before, b.x AS x_after FROM cmd c LEFT JOIN st a ON a.slot = c.slot AND a.tick = c.tick - c.k % 2 LEFT JOIN st b ON b.slot = c.slot AND b.tick = c.tick - c.k % 2 + CASE WHEN c.k % 3 = 0 THEN 0 ELSE 1 END", STATE)
@@ -57,7 +59,7 @@ def join_6_bracket(spark, d):
 def join_7_in_window(spark, d):
     from tideline.operators.filters import in_any_window
 
-    return in_any_window(commands(spark, d), rounds(spark).select("start", C("freeze_end").alias("end")), "tick").select("row_id")
+    return in_any_window(commands(spark, d), rounds(spark, d).select("start", C("freeze_end").alias("end")), "tick").select("row_id")
 
 
 @query("SELECT c.row_id, s.x, CASE WHEN s.n IS NULL THEN 'missing' WHEN s.n > 1 THEN 'ambiguous' ELSE 'matched' END AS status FROM cmd c LEFT JOIN (SELECT slot, tick % 9973 AS m, count(*) AS n, CASE WHEN count(*) = 1 THEN min(x) END AS x FROM st GROUP BY 1, 2) s ON s.slot = c.slot AND s.m = c.client_tick % 9973", STATE)
@@ -133,11 +135,11 @@ def join_22_fallback_hash(spark, d):
     return out.select("row_id", F.coalesce("m1", "m2").alias("found"), mode.alias("mode"))
 
 
-@query("SELECT frame_index, c.t AS last_tick, c.r AS last_row FROM fr ASOF LEFT JOIN (SELECT tick AS t, max(row_id) AS r FROM cmd WHERE slot = 5 GROUP BY tick) c ON fr.\"end\" >= c.t", CMD, FRAMES)
+@query("SELECT slot, frame_index, c.t AS last_tick, c.r AS last_row FROM pf ASOF LEFT JOIN (SELECT slot AS s, tick AS t, max(row_id) AS r FROM cmd GROUP BY slot, tick) c ON pf.slot = c.s AND pf.\"end\" >= c.t", CMD, PLAYER_FRAMES)
 def join_23_prefix_lookup(spark, d):
-    c = commands(spark, d).where("slot = 5").groupBy(C("tick").alias("t")).agg(F.max("row_id").alias("r")).withColumn("one", F.lit(1))
-    f = frames(spark).withColumn("one", F.lit(1))
-    return joins.asof_join(f, c, "end", "t", ("one",), ("r",)).select("frame_index", C("asof_t").alias("last_tick"), C("asof_r").alias("last_row"))
+    c = commands(spark, d).groupBy("slot", C("tick").alias("t")).agg(F.max("row_id").alias("r"))
+    out = joins.asof_join(player_frames(spark, d), c, "end", "t", ("slot",), ("r",))
+    return out.select("slot", "frame_index", C("asof_t").alias("last_tick"), C("asof_r").alias("last_row"))
 
 
 @query("SELECT coalesce(a.tick, b.tick) AS tick, CASE WHEN a.tick IS NULL THEN 'missing_left' WHEN b.tick IS NULL THEN 'missing_right' ELSE 'changed' END AS status FROM (SELECT * FROM st WHERE slot = 1) a FULL JOIN (SELECT * FROM st WHERE slot = 2) b ON a.tick = b.tick WHERE a.tick IS NULL OR b.tick IS NULL OR a.x IS DISTINCT FROM b.x OR a.health IS DISTINCT FROM b.health", STATE)

@@ -6,23 +6,24 @@ from pyspark.sql import functions as F
 from tideline.operators import joins, samples, selection, windows
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, WRAP, commands, frames, rounds, states
+from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
 
 TARGET = """
-, cc AS (SELECT row_id, tick AS t FROM cmd WHERE slot = 3),
-ff AS (SELECT frame_index, "end" AS upper, "end" + 32 AS cutoff, max(frame_index) OVER () AS last FROM fr),
-tg AS (SELECT f.frame_index, upper, cutoff, last, min(row_id) FILTER (t - 1 > upper AND t <= cutoff) AS target, count(row_id) FILTER (t - 1 > upper AND t <= cutoff) AS n, count(row_id) FILTER (t - 1 <= upper AND upper <= t) AS overlapping
-  FROM ff f LEFT JOIN cc ON t >= upper - 1 AND t <= cutoff GROUP BY f.frame_index, upper, cutoff, last)"""
+, cc AS (SELECT slot, row_id, tick AS t FROM cmd),
+ff AS (SELECT slot, frame_index, "end" AS upper, "end" + 32 AS cutoff, max(frame_index) OVER () AS last FROM pf),
+tg AS (SELECT f.slot, f.frame_index, upper, cutoff, last, min(row_id) FILTER (t - 1 > upper AND t <= cutoff) AS target, count(row_id) FILTER (t - 1 > upper AND t <= cutoff) AS n, count(row_id) FILTER (t - 1 <= upper AND upper <= t) AS overlapping
+  FROM ff f LEFT JOIN cc ON cc.slot = f.slot AND t >= upper - 1 AND t <= cutoff GROUP BY f.slot, f.frame_index, upper, cutoff, last)"""
 
 
 @query(
-    "SELECT frame_index, upper, cutoff, target, t AS target_tick, t - 1 - upper AS gap, greatest(n - 1, 0) AS remaining, overlapping, concat_ws(',', CASE WHEN frame_index + 1 < 8 THEN 'insufficient_history_frames' END, CASE WHEN frame_index + 1 > last THEN 'insufficient_future_intervals' END, CASE WHEN target IS NULL THEN 'no_future_command' END, CASE WHEN t <> upper + 2 THEN 'first_future_command_coverage_gap' END) AS reasons FROM tg LEFT JOIN cc ON cc.row_id = target",
+    "SELECT tg.slot, frame_index, upper, cutoff, target, t AS target_tick, t - 1 - upper AS gap, greatest(n - 1, 0) AS remaining, overlapping, concat_ws(',', CASE WHEN frame_index + 1 < 8 THEN 'insufficient_history_frames' END, CASE WHEN frame_index + 1 > last THEN 'insufficient_future_intervals' END, CASE WHEN target IS NULL THEN 'no_future_command' END, CASE WHEN t <> upper + 2 THEN 'first_future_command_coverage_gap' END) AS reasons FROM tg LEFT JOIN cc ON cc.row_id = target",
     CMD,
-    FRAMES + TARGET,
+    PLAYER_FRAMES + TARGET,
 )
 def dom_19_causal_targets(spark, d):
-    out = samples.causal_targets(frames(spark), commands(spark, d).where("slot = 3"), "tick", 8, 2, 32)
+    out = samples.causal_targets(player_frames(spark, d), commands(spark, d), "tick", 8, 2, 32, keys=("slot",))
     return out.withColumn("reasons", F.array_join("reason_codes", ",")).drop("reason_codes")
 
 
@@ -37,10 +38,10 @@ def triples(spark, d):
     return rows.where("third IS NOT NULL")
 
 
-@query(f"SELECT row_id, CASE WHEN yaw IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL AND abs({WRAP.format(d='y1 - yaw')}) <> 180 AND abs({WRAP.format(d='y2 - y1')}) <> 180 THEN ({WRAP.format(d='y1 - yaw')}) + ({WRAP.format(d='y2 - y1')}) END AS yaw_turn, CASE WHEN yaw IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL THEN q2 - pitch END AS pitch_turn, yaw IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL AS pitch_valid FROM tri WHERE third IS NOT NULL", CMD + TRIPLE)
+@query(f"SELECT row_id, CASE WHEN yaw IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL AND abs({WRAP.format(d='y1 - yaw')}) <> 180 AND abs({WRAP.format(d='y2 - y1')}) <> 180 THEN round(({WRAP.format(d='y1 - yaw')}) + ({WRAP.format(d='y2 - y1')}), 9) + 0.0 END AS yaw_turn, CASE WHEN yaw IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL THEN q2 - pitch END AS pitch_turn, yaw IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL AS pitch_valid FROM tri WHERE third IS NOT NULL", CMD + TRIPLE)
 def dom_27_aim_labels(spark, d):
     yaw, pitch = samples.aim_label([C("yaw"), C("y1"), C("y2")], [C("pitch"), C("q1"), C("q2")])
-    return triples(spark, d).select("row_id", yaw["value"].alias("yaw_turn"), pitch["value"].alias("pitch_turn"), pitch["valid"].alias("pitch_valid"))
+    return triples(spark, d).select("row_id", (F.round(yaw["value"], 9) + 0.0).alias("yaw_turn"), pitch["value"].alias("pitch_turn"), pitch["valid"].alias("pitch_valid"))
 
 
 @query(
@@ -110,7 +111,7 @@ def dom_72_control_grid(spark, d):
 
 @query("SELECT c.row_id, s.start AS segment_start FROM cmd c LEFT JOIN (SELECT round_id, start, freeze_end FROM rd) s ON s.round_id = c.round_id AND c.tick >= s.start AND c.tick < s.freeze_end", CMD, ROUNDS)
 def join_8_segment_lookup(spark, d):
-    r = rounds(spark).select("round_id", "start", C("freeze_end").alias("end"))
+    r = rounds(spark, d).select("round_id", "start", C("freeze_end").alias("end"))
     return joins.interval_join(commands(spark, d), r, "tick", keys=("round_id",), how="left").select("row_id", C("start").alias("segment_start"))
 
 
@@ -155,7 +156,7 @@ def join_24_hash_agreement(spark, d):
 
 @query("SELECT f.frame_index, a.x AS movie, b.x AS clock, c.x AS packet FROM fr f LEFT JOIN (SELECT tick, x FROM st WHERE slot = 1) a ON a.tick = f.start LEFT JOIN (SELECT tick, x FROM st WHERE slot = 2) b ON b.tick = f.start LEFT JOIN (SELECT tick, x FROM st WHERE slot = 3) c ON c.tick = f.start", STATE, FRAMES)
 def join_25_frame_proofs(spark, d):
-    out, s = frames(spark), states(spark, d)
+    out, s = frames(spark, d), states(spark, d)
     for slot, name in ((1, "movie"), (2, "clock"), (3, "packet")):
         out = out.join(s.where(C("slot") == slot).select(C("tick").alias("start"), C("x").alias(name)), "start", "left")
     return out.select("frame_index", "movie", "clock", "packet")
@@ -200,10 +201,12 @@ def win_35_event_plan(spark, d):
     return rows.groupBy("user_id").agg(F.count_if(C("kind") == C("pk")).alias("repeated"), F.sum(F.when(C("kind") == "click", 1).otherwise(-1)).alias("open"), F.max(held).alias("longest"))
 
 
-@query("SELECT slot, tick, x, health FROM st WHERE slot = 0 AND tick < 200 UNION ALL SELECT slot, tick, x, health FROM st WHERE slot = 1 AND tick BETWEEN 1000 AND 1200", STATE)
+@query("SELECT slot, tick, x, health FROM st WHERE tick % 1440 < 60 UNION ALL SELECT slot, tick, x, health FROM st WHERE tick % 1440 >= 60 AND health > 50", STATE)
 def set_8_context_union(spark, d):
+    """The context of every round (its first hour), and the rows selected of the rest of it."""
     s = states(spark, d).select("slot", "tick", "x", "health")
-    return s.where("slot = 0 AND tick < 200").unionByName(s.where("slot = 1 AND tick BETWEEN 1000 AND 1200"))
+    context = C("tick") % 1440 < 60
+    return s.where(context).unionByName(s.where(~context & (C("health") > 50)))
 
 
 @query("SELECT kind, min(tick) AS first, max(tick) AS last, count(DISTINCT tick) AS ticks FROM cmd GROUP BY kind", CMD)

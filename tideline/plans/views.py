@@ -1,22 +1,29 @@
-"""Tick tables as views of the driver's `events` table: commands, states, rounds, frames, and the same in SQL."""
+"""Tick tables as views of the driver's `events` table: commands, states, rounds, frames, and the same in SQL.
+
+A recording is a hundred users with ten slots; `slot` numbers the slots of all recordings, so that their number grows with
+the users and the rows of one do not. Rounds and frames reach as far as the ticks do.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LAST_TICK = 43200
 ROUND = 1440
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One command for each event: tick is its minute, round its day, slot its user modulo 10."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    """One command for each event: tick is its minute, round its day, slot that of its user."""
+    return commands_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def commands_of(e: DataFrame) -> DataFrame:
+    """The commands of events, read or streamed."""
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
     sec = (day * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).cast("long")
     cents = F.round(F.col("value") * 100).cast("long")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("long")
-    rows = e.select(F.col("event_id").alias("row_id"), "user_id", (F.col("user_id") % 10).cast("int").alias("slot"), F.col("event_type").alias("kind"), sec.alias("sec"), cents.alias("cents"), k.alias("k"))
+    rows = e.select(F.col("event_id").alias("row_id"), "user_id", (F.floor(F.col("user_id") / 100) * 10 + F.col("user_id") % 10).cast("int").alias("slot"), F.col("event_type").alias("kind"), sec.alias("sec"), cents.alias("cents"), k.alias("k"))
     rows = rows.withColumns({"tick": F.floor(F.col("sec") / 60).cast("long"), "alive": F.col("kind") != "error"})
     return rows.withColumns(
         {
@@ -40,17 +47,28 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumns({"paused": F.when(F.col("x") % 11 != 0, F.col("x") % 7 == 0), "moving": F.col("x") % 2 == 0})
 
 
-def rounds(spark: SparkSession, sf_dir: str = "") -> DataFrame:
-    r = spark.range(0, 30).select(F.col("id").alias("round_id"), (F.col("id") * ROUND).alias("start"))
+def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = commands(spark, sf_dir).agg(F.max("round_id").alias("last"))
+    r = last.select(F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("round_id")).withColumn("start", F.col("round_id") * ROUND)
     return r.withColumns({"freeze_end": F.col("start") + 60, "end": F.when(F.col("round_id") % 7 != 3, F.col("start") + 1400)})
 
 
-def frames(spark: SparkSession, sf_dir: str = "", width: int = 32) -> DataFrame:
-    return spark.range(0, LAST_TICK // width).select(F.col("id").alias("frame_index"), (F.col("id") * width).alias("start"), ((F.col("id") + 1) * width).alias("end"))
+def frames(spark: SparkSession, sf_dir: str, width: int = 32) -> DataFrame:
+    last = commands(spark, sf_dir).agg(F.floor(F.max("tick") / width).alias("last"))
+    f = last.select(F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("frame_index"))
+    return f.select("frame_index", (F.col("frame_index") * width).alias("start"), ((F.col("frame_index") + 1) * width).alias("end"))
+
+
+def player_frames(spark: SparkSession, sf_dir: str, width: int = 32) -> DataFrame:
+    """The frames of each slot."""
+    c = commands(spark, sf_dir)
+    last = c.agg(F.floor(F.max("tick") / width).alias("last"))
+    f = c.select("slot").distinct().crossJoin(last).select("slot", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("frame_index"))
+    return f.select("slot", "frame_index", (F.col("frame_index") * width).alias("start"), ((F.col("frame_index") + 1) * width).alias("end"))
 
 
 CMD = """
-base AS (SELECT event_id AS row_id, user_id, CAST(user_id % 10 AS INTEGER) AS slot, event_type AS kind,
+base AS (SELECT event_id AS row_id, user_id, CAST(user_id // 100 * 10 + user_id % 10 AS INTEGER) AS slot, event_type AS kind,
   CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS sec, CAST(round(value * 100) AS BIGINT) AS cents,
   CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events),
 cmd AS (SELECT *, sec // 60 AS tick, kind <> 'error' AS alive, (sec // 60) // 1440 AS round_id, sec % 7 + row_id AS number,
@@ -65,7 +83,9 @@ st0 AS (SELECT slot, tick, round_id, min(user_id) AS user_id, bool_and(alive) AS
 st AS (SELECT *, CASE WHEN x % 11 <> 0 THEN x % 7 = 0 END AS paused, x % 2 = 0 AS moving FROM st0)"""
 )
 ROUNDS = """
-rd AS (SELECT i AS round_id, i * 1440 AS start, i * 1440 + 60 AS freeze_end, CASE WHEN i % 7 <> 3 THEN i * 1440 + 1400 END AS "end" FROM range(0, 30) t(i))"""
+rd AS (SELECT i AS round_id, i * 1440 AS start, i * 1440 + 60 AS freeze_end, CASE WHEN i % 7 <> 3 THEN i * 1440 + 1400 END AS "end" FROM (SELECT unnest(range(0, (SELECT max(round_id) + 1 FROM cmd))) AS i))"""
 FRAMES = """
-fr AS (SELECT i AS frame_index, i * 32 AS start, (i + 1) * 32 AS "end" FROM range(0, 1350) t(i))"""
+fr AS (SELECT i AS frame_index, i * 32 AS start, (i + 1) * 32 AS "end" FROM (SELECT unnest(range(0, (SELECT max(tick) // 32 + 1 FROM cmd))) AS i))"""
+PLAYER_FRAMES = FRAMES + """,
+pf AS (SELECT slot, frame_index, start, "end" FROM (SELECT DISTINCT slot FROM cmd) CROSS JOIN fr)"""
 WRAP = "((({d}) + 180.0) % 360.0 + 360.0) % 360.0 - 180.0"

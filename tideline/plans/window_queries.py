@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tideline.operators import windows
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, WRAP, commands, frames, rounds, states
+from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
 
@@ -89,11 +90,11 @@ def win_14_running_ceiling(spark, d):
 
 @query("SELECT slot, tick, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds FROM (SELECT a.slot, a.tick, b.kind FROM (SELECT slot, tick FROM st) a JOIN (SELECT slot, kind, min(tick) AS t FROM cmd GROUP BY 1, 2) b ON b.slot = a.slot AND b.t <= a.tick) GROUP BY slot, tick", STATE)
 def win_16_prefix_reasons(spark, d):
-    per_tick = commands(spark, d).groupBy("slot", "tick").agg(F.collect_set("kind").alias("k"))
+    #: A kind has been seen once its least tick so far is known: a running minimum for each kind instead of a growing set.
+    names = ["click", "error", "purchase", "signup", "view"]
+    per_tick = commands(spark, d).groupBy("slot", "tick").agg(*(F.max(F.when(C("kind") == k, k)).alias(k) for k in names))
     w = Window.partitionBy("slot").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
-    #: A set of five kinds at most.
-    kinds = F.array_sort(F.array_distinct(F.flatten(F.collect_set("k").over(w))))
-    return per_tick.select("slot", "tick", F.array_join(kinds, ",").alias("kinds"))
+    return per_tick.select("slot", "tick", F.concat_ws(",", *(F.max(k).over(w) for k in names)).alias("kinds"))
 
 
 @query("SELECT slot, skip, count(*) AS n, CAST(coalesce(sum(step), 0) AS BIGINT) AS total FROM (SELECT slot, CASE WHEN p IS NULL THEN 'first' WHEN pr <> round_id THEN 'epoch' WHEN client_tick < p THEN 'backwards' ELSE 'measured' END AS skip, client_tick - p AS step FROM (SELECT *, lag(client_tick) OVER w AS p, lag(round_id) OVER w AS pr FROM cmd WINDOW w AS (PARTITION BY slot ORDER BY row_id))) GROUP BY slot, skip", CMD)
@@ -111,9 +112,9 @@ def win_18_clock_monotonic(spark, d):
     return not_rising(commands(spark, d), ["slot"], "row_id", "client_tick", strict=False)
 
 
-@query("SELECT frame_index, start <> coalesce(lag(\"end\") OVER (ORDER BY frame_index), start) AS broken FROM fr", FRAMES)
+@query("SELECT frame_index, start <> coalesce(lag(\"end\") OVER (ORDER BY frame_index), start) AS broken FROM fr", CMD, FRAMES)
 def win_19_frame_contiguity(spark, d):
-    f = frames(spark)
+    f = frames(spark, d)
     before = f.select((C("frame_index") + 1).alias("frame_index"), C("end").alias("p"))
     return f.join(before, "frame_index", "left").select("frame_index", (C("start") != F.coalesce("p", "start")).alias("broken"))
 
@@ -137,15 +138,15 @@ def win_23_latest_wins(spark, d):
     return windows.latest(commands(spark, d), ["user_id", "kind"], [F.desc("row_id")]).select("user_id", "kind", "row_id")
 
 
-@query("SELECT frame_index, CAST(coalesce(sum(n) OVER (ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first, CAST(sum(n) OVER (ORDER BY frame_index) AS BIGINT) AS last FROM (SELECT frame_index, count(row_id) AS n FROM fr LEFT JOIN cmd ON tick >= start AND tick < \"end\" AND slot = 3 GROUP BY frame_index)", CMD, FRAMES)
+@query("SELECT slot, frame_index, CAST(coalesce(sum(n) OVER (PARTITION BY slot ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first, CAST(sum(n) OVER (PARTITION BY slot ORDER BY frame_index) AS BIGINT) AS last FROM (SELECT slot, frame_index, count(row_id) AS n FROM pf LEFT JOIN (SELECT slot, row_id, tick // 32 AS frame_index FROM cmd) USING (slot, frame_index) GROUP BY slot, frame_index)", CMD, PLAYER_FRAMES)
 def win_24_frame_cursor(spark, d):
     from tideline.operators.joins import interval_join
 
-    n = interval_join(commands(spark, d).where("slot = 3"), frames(spark), "tick", width=32).groupBy("frame_index").agg(F.count("*").alias("n"))
-    f = frames(spark).join(n, "frame_index", "left").select("frame_index", F.coalesce("n", F.lit(0)).alias("n"), F.lit(1).alias("clip"))
-    #: One clip: its frames are one ordered series.
-    w = Window.partitionBy("clip").orderBy("frame_index").rowsBetween(Window.unboundedPreceding, 0)
-    return f.withColumn("last", F.sum("n").over(w)).select("frame_index", (C("last") - C("n")).alias("first"), "last")
+    f = player_frames(spark, d)
+    n = interval_join(commands(spark, d), f, "tick", keys=("slot",), width=32).groupBy("slot", "frame_index").agg(F.count("*").alias("n"))
+    f = f.join(n, ["slot", "frame_index"], "left").select("slot", "frame_index", F.coalesce("n", F.lit(0)).alias("n"))
+    w = Window.partitionBy("slot").orderBy("frame_index").rowsBetween(Window.unboundedPreceding, 0)
+    return f.withColumn("last", F.sum("n").over(w)).select("slot", "frame_index", (C("last") - C("n")).alias("first"), "last")
 
 
 @query("SELECT row_id, CAST(count(*) OVER (PARTITION BY slot ORDER BY sec RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW) AS BIGINT) AS n FROM cmd", CMD)
@@ -192,7 +193,7 @@ def win_36_constant_clock(spark, d):
 
 @query("SELECT round_id, n, phase FROM (SELECT r.round_id, count(row_id) AS n, CASE WHEN r.\"end\" IS NULL THEN 'unknown' WHEN count(row_id) FILTER (tick >= freeze_end AND tick < r.\"end\") = 0 THEN 'unknown' WHEN count(row_id) FILTER (tick >= freeze_end AND tick < r.\"end\" AND NOT alive) > count(row_id) FILTER (tick >= freeze_end AND tick < r.\"end\") * 0.22 THEN 'setup' ELSE 'competitive' END AS phase FROM rd r LEFT JOIN cmd c ON c.round_id = r.round_id GROUP BY r.round_id, r.\"end\", freeze_end)", CMD, ROUNDS)
 def dom_1_round_phases(spark, d):
-    c = commands(spark, d).join(F.broadcast(rounds(spark)), "round_id", "right")
+    c = commands(spark, d).join(rounds(spark, d), "round_id", "right")
     inside = (C("tick") >= C("freeze_end")) & (C("tick") < C("end"))
     g = c.groupBy("round_id", "end").agg(F.count("row_id").alias("n"), F.count_if(inside).alias("inside"), F.count_if(inside & ~C("alive")).alias("bad"))
     phase = F.when(C("end").isNull() | (C("inside") == 0), "unknown").when(C("bad") > C("inside") * 0.22, "setup").otherwise("competitive")

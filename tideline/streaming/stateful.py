@@ -24,22 +24,21 @@ class Transition(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         last = self.last.get() if self.last.exists() else None
         for frame in rows:
-            out = []
-            for r in frame.sort_values("row_id").itertuples():
-                if last is None:
-                    reason = "first_command"
-                elif r.row_id <= last[0]:
-                    reason = "out_of_order"
-                elif not 0 <= r.tick - last[1] <= self.max_gap:
-                    reason = "demo_tick_discontinuity"
-                elif r.number != last[2] + 1:
-                    reason = "command_number_discontinuity"
-                else:
-                    reason = None
-                out.append((int(key[0]), int(r.row_id), reason))
-                if reason != "out_of_order":
-                    last = (int(r.row_id), int(r.tick), int(r.number))
-            yield pd.DataFrame(out, columns=["slot", "row_id", "reset_reason"])
+            f = frame.sort_values("row_id", kind="stable").reset_index(drop=True)
+            fresh = ~f["row_id"].duplicated() & (True if last is None else f["row_id"] > last[0])
+            good = f[fresh]
+            before = good[["tick", "number"]].shift(1)
+            if last is not None and len(good):
+                before.iloc[0] = last[1:]
+            step = good["tick"] - before["tick"]
+            reason = pd.Series(None, index=f.index, dtype=object)
+            reason[~fresh] = "out_of_order"
+            reason[good.index[good["number"] != before["number"] + 1]] = "command_number_discontinuity"
+            reason[good.index[~step.between(0, self.max_gap)]] = "demo_tick_discontinuity"
+            reason[good.index[before["tick"].isna()]] = "first_command"
+            if len(good):
+                last = tuple(int(x) for x in good.iloc[-1][["row_id", "tick", "number"]])
+            yield pd.DataFrame({"slot": int(key[0]), "row_id": f["row_id"], "reset_reason": reason})
         if last is not None:
             self.last.update(last)
 
