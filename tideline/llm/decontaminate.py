@@ -7,6 +7,8 @@ loses none. They are joined; a hit is then extended to the runs it stands for, w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +31,29 @@ def _places(words: str, k: int) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashes(words: str, k: int) -> Column:
-    return F.transform(_places(words, k), lambda i: F.xxhash64(F.slice(F.col(words), i, k)))
+def _of_next(values: str, i: Column, k: int) -> list[Column]:
+    """The k values from place i (from 1) on."""
+    return [F.get(values, i + (j - 1)) for j in range(k)]
+
+
+def _hashed(texts: DataFrame) -> DataFrame:
+    """texts with `hashed`: each word is hashed once, and runs of words are hashed by those numbers."""
+    return texts.withColumn("hashed", F.transform("words", lambda w: F.xxhash64(w)))
 
 
 def _prints(texts: DataFrame, window: int, gram: int, short: list[int]) -> DataFrame:
     """texts with `prints`: for each run of `window` words its fingerprint; and `n<k>`: the hash of each run of k words."""
-    out = texts.withColumn("grams", _hashes("words", gram))
-    out = out.withColumn("prints", F.transform(_places("grams", window - gram + 1), lambda i: F.array_min(F.slice(F.col("grams"), i, window - gram + 1))))
+    out = _hashed(texts)
+    out = out.withColumn("grams", F.transform(_places("hashed", gram), lambda i: F.xxhash64(*_of_next("hashed", i, gram))))
+    least = (lambda c: F.least(*c)) if window > gram else (lambda c: c[0])
+    out = out.withColumn("prints", F.transform(_places("grams", window - gram + 1), lambda i: least(_of_next("grams", i, window - gram + 1))))
     for k in short:
-        out = out.withColumn(f"n{k}", _hashes("words", k))
-    return out.drop("grams")
+        out = out.withColumn(f"n{k}", F.transform(_places("hashed", k), _run_hash(k)))
+    return out.drop("grams", "hashed")
+
+
+def _run_hash(k: int) -> Callable[[Column], Column]:
+    return lambda i: F.xxhash64(F.slice("hashed", i, k))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5) -> DataFrame:
@@ -56,7 +70,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
     near = F.broadcast if small else lambda x: x
     long = _prints(items.where(F.size("words") >= window), window, gram, [])
     runs = long.select("item_id", F.explode(F.arrays_zip(F.col("prints").alias("print"), F.transform(_places("words", window), lambda i: F.array_join(F.slice("words", i, window), " ")).alias("run"))).alias("x")).select("item_id", "x.print", "x.run")
-    whole = items.where((F.size("words") > 0) & (F.size("words") < window)).select("item_id", F.xxhash64("words").alias("print"), F.array_join("words", " ").alias("run"))
+    whole = _hashed(items.where((F.size("words") > 0) & (F.size("words") < window))).select("item_id", F.xxhash64("hashed").alias("print"), F.array_join("words", " ").alias("run"))
     runs = stored(runs.unionByName(whole).distinct(), "runs")
 
     name = row_name()
