@@ -280,13 +280,41 @@ def _plain(v):
     return tuple(_plain(x) for x in v) if isinstance(v, (list, tuple)) else v
 
 
-@pytest.mark.parametrize("name", ["win_1_transitions", "win_5_alive_windows", "win_8_split_windows", "join_17_bracketing", "agg_10_window_coverage", "set_2_complement", "dom_19_causal_targets", "dom_29_button_labels", "fn_h4_stable_split"])
+#: Labels, loaders, planners and proofs, and what goes through files and streams.
+LABELLED = (
+    "dom_3_render_jobs", "dom_4_aligned_frames", "dom_15_scoped_proofs", "dom_21_fraction_reasons", "dom_23_causal_acceptance", "dom_24_field_agreement", "dom_26_packet_bounds", "dom_28_chunk_reasons", "dom_31_held_events",
+    "dom_34_masked_labels", "dom_36_replay_proof", "dom_38_button_observations", "dom_40_collection", "dom_57_plateau_response", "fn_m6_bitwise_equal", "fn_m8_nan_equal", "fn_h3_typed_digest", "set_5_overlaps",
+    "join_23_prefix_lookup", "win_24_frame_cursor", "src_7_ledger", "src_10_gated_source", "snk_6_split_sink", "snk_7_training_shards", "str_3_sessions", "str_6_first_of_key", "str_1_stream_transitions", "udf_2_signed_varints",
+)
+
+
+@pytest.mark.parametrize("name", ["win_1_transitions", "win_5_alive_windows", "win_8_split_windows", "join_17_bracketing", "agg_10_window_coverage", "set_2_complement", "dom_19_causal_targets", "dom_29_button_labels", "fn_h4_stable_split", *LABELLED])
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("events", "orders", "lineitem", "documents"):
+    for t in ("events", "nation", "orders", "lineitem", "documents"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(tick_queries.oracle_sql()[name])
     got = tick_queries.queries()[name](spark, SF)
     assert sorted(got.columns) == sorted(want.columns)
     key = lambda rows: sorted((_plain(tuple(r)) for r in rows), key=repr)
     assert key(got.select([f"`{c}`" for c in want.columns]).collect()) == key(want.fetchall())
+
+
+def test_label_rules(spark):
+    from tideline.operators import labels
+
+    rows = spark.createDataFrame([(1, [(0.5,), (None,)]), (2, [(1.0,)]), (3, [(1.5,), None]), (4, None), (5, []), (6, [(float("nan"),)])], "id int, moves array<struct<when: double>>")
+    got = {k: {r["id"]: r["r"] for r in rows.select("id", labels.sorted_reasons(labels.fraction_rules(C("moves"), "moves", ["when"], "outside", closed=k)).alias("r")).collect()} for k in (True, False)}
+    assert got[True] == {1: [], 2: [], 3: ["invalid_moves", "outside"], 4: ["missing_moves"], 5: [], 6: ["outside"]}
+    assert got[False][2] == ["outside"]
+    events = spark.createDataFrame([(1, False, [(0, True), (5, False)]), (2, False, [(0, False)]), (3, True, [(9, False), (3, True)]), (4, True, [])], "id int, held boolean, events array<struct<offset: long, pressed: boolean>>")
+    got = {r["id"]: r["e"] for r in events.select("id", labels.replay_held(C("held"), C("events")).alias("e")).collect()}
+    assert got == {1: [], 2: ["action_event_not_a_transition"], 3: ["action_events_out_of_order"], 4: []}
+
+
+def test_asof_keeps_whole_numbers(spark):
+    from tideline.operators.joins import asof_join
+
+    big = 1 << 60
+    left, right = spark.createDataFrame([(1, big), (1, big + 1)], "k int, t long"), spark.createDataFrame([(1, big + 1, 7), (1, big - 1, 6)], "k int, u long, v int")
+    assert sorted((r["t"] - big, r["asof_v"]) for r in asof_join(left, right, "t", "u", ("k",), ("v",)).collect()) == [(0, 6), (1, 7)]
