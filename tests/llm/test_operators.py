@@ -81,6 +81,27 @@ def test_passages_edges(spark):
     assert got == [(-1, 0, 0), (-1, 30, 30), (1, 30, 0), (1, 30, 30)]
 
 
+def test_passages_hot_ids(spark):
+    """Rows without an id, and rows that repeat one, are spread over blocks; ids beyond 2^53 keep their order."""
+    rng = random.Random(5)
+    texts = [prose(rng, 60) for _ in range(40)]
+    ids = [None] * 60 + [7] * 60 + list(range(100, 160)) + [2**62 + k for k in range(20)] + [-(2**62)]
+    rows = spark.createDataFrame([(d, rng.choice(texts) + " " + prose(rng, 30)) for d in ids], "doc_id long, text string")
+    rows = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("text"), 11))
+    places = rows.agg(F.percentile_approx("doc_id", [k / substring_dedup.CELLS for k in range(substring_dedup.CELLS)], 20 * substring_dedup.CELLS)).first()[0]
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    dealt = substring_dedup._in_blocks(rows, places, -(-size // 2000), 2000).collect()
+    last = lambda d: (d is None, d or 0)
+    dealt.sort(key=lambda r: (*last(r["doc_id"]), r["draw"], r["text"]))
+    assert [r["block"] for r in dealt] == sorted(r["block"] for r in dealt)
+    for some in (lambda r: r["doc_id"] is None, lambda r: r["doc_id"] == 7):
+        assert len({r["block"] for r in dealt if some(r)}) > 10
+    brute = brute_passages({k: r["text"] for k, r in enumerate(dealt)})
+    want = sorted((*last(dealt[k]["doc_id"]), *v) for k, v in brute.items())
+    got = substring_dedup.dedup_substrings(rows, block_bytes=2000).collect()
+    assert sorted((*last(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in got) == want
+
+
 def test_gaps_round_trip():
     values = np.unique(np.random.default_rng(1).integers(0, 2**60, 5000, np.uint64))
     assert (substring_dedup.from_gaps(substring_dedup.to_gaps(values)) == values).all()

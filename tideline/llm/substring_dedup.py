@@ -11,6 +11,7 @@ is one small group.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from tideline.llm.shared import Words, mix
 
 SEEDS = (0x1F3D5B79, 0x2A4C6E80)
+#: Quantiles of doc_id that are asked for, whatever the size of the table, and the cell of the rows without an id.
+CELLS, NO_ID = 2048, 1 << 30
 
 
 def to_gaps(values: np.ndarray) -> bytes:
@@ -50,10 +53,10 @@ def from_gaps(data: bytes) -> np.ndarray:
 
 
 class Block:
-    """The documents of one block in the order of (doc_id, text), and their windows."""
+    """The documents of one block in the order of (doc_id, draw, text), and their windows."""
 
     def __init__(self, table: pa.Table, window: int):
-        self.table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        self.table = table.sort_by([("doc_id", "ascending"), ("draw", "ascending"), ("text", "ascending")])
         self.words = Words(self.table.column("text"))
         self.first, self.h = self.words.grams(self.words.hashes(SEEDS[0]), window)
         self.window = window
@@ -102,31 +105,55 @@ def _split(values: np.ndarray, shift: int):
             yield int(shard[a]), a, b
 
 
+def _in_blocks(rows: DataFrame, places: list[int], n_blocks: int, block_bytes: int) -> DataFrame:
+    """The rows with their `block`, of about block_bytes of text: blocks ascend with (doc_id, draw), nulls come last.
+
+    Quantiles of doc_id cut the table into at most CELLS cells, and an id that fills a block by itself has a cell of its
+    own. A cell of several blocks is cut evenly by its ids and, where it has more blocks than ids, by the hash of the
+    texts, so that neither one id nor the rows without an id end in one task. No list here grows with the table.
+    """
+    step = max(1, CELLS // n_blocks)
+    heavy = [x for x, n in Counter(places).items() if n > 1 and n * n_blocks >= CELLS]
+    inner = sorted({float(x) for x in (*places[step::step], *heavy, *(x + 1 for x in heavy))})
+    at = F.coalesce(F.col("doc_id").cast("double"), F.lit(math.inf))
+    placed = rows.withColumn("_at", at)
+    placed = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_at", outputCol="_cell").transform(placed) if inner else placed.withColumn("_cell", F.lit(0.0))
+    placed = placed.withColumn("cell", F.when(F.col("doc_id").isNotNull(), F.col("_cell").cast("int")).otherwise(F.lit(NO_ID)))
+    totals = placed.groupBy("cell").agg(F.sum(F.octet_length("text")).alias("size"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).collect()
+    cells, begin = [], 0
+    for t in sorted(totals, key=lambda t: t["cell"]):
+        n = max(1, round((t["size"] or 0) / block_bytes))
+        cells.append((t["cell"], t["lo"], t["hi"], begin, n))
+        begin += n
+    table = rows.sparkSession.createDataFrame(cells, "cell int, lo long, hi long, begin int, n int")
+    share = F.col("draw") / F.lit(float(1 << 53))
+    lo, width = F.col("lo").cast("double"), F.col("hi").cast("double") - F.col("lo").cast("double") + 1
+    #: Far ids are told apart by their doubles alone, and ids of one double are in one block.
+    near = (F.try_subtract("doc_id", "lo").cast("double") + share) / width
+    far = (F.col("doc_id").cast("double") - lo) / width
+    part = F.when(F.col("doc_id").isNull(), share).when(width < 1 << 40, near).otherwise(far)
+    inside = F.least(F.floor(part * F.col("n")), F.col("n") - 1)
+    return placed.join(F.broadcast(table), "cell").withColumn("block", (F.col("begin") + inside).cast("int"))
+
+
 def dedup_substrings(docs: DataFrame, window: int = 20, depth: int = 2, cells_per_window: int = 16, block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_words, n_removed, kept: each document's words joined by a space, without those that any window covers
     whose words also start earlier (in a smaller doc_id, or further up in the same document).
 
     A null text has no words; a null doc_id stands after all others; rows that repeat a doc_id are separate documents,
-    in the order of their texts. A text of fewer than `window` words keeps them all. Other columns are left out.
+    in the order of a hash of their texts. A text of fewer than `window` words keeps them all. Other columns are left out.
     depth and cells_per_window set the sketch; they change what the second pass has to group, never the result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size, lo, hi = rows.agg(F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
-    n_blocks = max(1, math.ceil((size or 0) / block_bytes))
+    rows = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("text"), 11))
+    size, places = rows.agg(F.sum(F.octet_length("text")), F.percentile_approx("doc_id", [k / CELLS for k in range(CELLS)], 20 * CELLS)).first()
+    size = size or 0
+    n_blocks = max(1, math.ceil(size / block_bytes))
     #: A window has at least a byte and a blank for each word, and starts at a word.
-    bits = min(56, max(10, math.ceil(math.log2(max(1, (size or 0) / 2) * cells_per_window))))
+    bits = min(56, max(10, math.ceil(math.log2(max(1, size / 2) * cells_per_window))))
     shard_bits = max(1, min(bits - 1, math.ceil(math.log2(n_blocks))))
-    inner = []
-    if n_blocks > 1 and lo is not None:
-        shares = [k / n_blocks for k in range(1, n_blocks)]
-        inner = sorted({float(x) for x in rows.agg(F.percentile_approx("doc_id", shares, 20 * n_blocks)).first()[0]})
-    dealt = rows.withColumn("_at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("inf"))))
-    splits = [-math.inf, *inner, math.inf]
-    if len(splits) > 2:
-        dealt = Bucketizer(splits=splits, inputCol="_at", outputCol="_block").transform(dealt).withColumn("block", F.col("_block").cast("int"))
-    else:
-        dealt = dealt.withColumn("block", F.lit(0))
-    dealt = dealt.select("block", "doc_id", "text")
+    dealt = _in_blocks(rows, places or [], n_blocks, block_bytes) if n_blocks > 1 else rows.withColumn("block", F.lit(0))
+    dealt = dealt.select("block", "doc_id", "draw", "text")
 
     def sketch(table: pa.Table) -> pa.Table:
         block, own = Block(table, window), table.column("block")[0].as_py()
