@@ -288,7 +288,10 @@ LABELLED = (
 )
 
 
-@pytest.mark.parametrize("name", ["win_1_transitions", "win_5_alive_windows", "win_8_split_windows", "join_17_bracketing", "agg_10_window_coverage", "set_2_complement", "dom_19_causal_targets", "dom_29_button_labels", "fn_h4_stable_split", *LABELLED])
+RESPONSES = ["dom_5_clock_calibration", "dom_32_control_audit", "dom_33_samples", "dom_41_budgeted_rounds", "dom_52_pixel_audit", "dom_53_confirmed_hypotheses", "dom_54_command_summary", "dom_55_turns", "dom_56_insertions", "dom_60_effects", "dom_62_compilation", "dom_63_gain_agreement"]
+
+
+@pytest.mark.parametrize("name", ["win_1_transitions", "win_5_alive_windows", "win_8_split_windows", "join_17_bracketing", "agg_10_window_coverage", "set_2_complement", "dom_19_causal_targets", "dom_29_button_labels", "fn_h4_stable_split", *LABELLED, *RESPONSES])
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for t in ("events", "nation", "orders", "lineitem", "documents"):
@@ -318,3 +321,40 @@ def test_asof_keeps_whole_numbers(spark):
     big = 1 << 60
     left, right = spark.createDataFrame([(1, big), (1, big + 1)], "k int, t long"), spark.createDataFrame([(1, big + 1, 7), (1, big - 1, 6)], "k int, u long, v int")
     assert sorted((r["t"] - big, r["asof_v"]) for r in asof_join(left, right, "t", "u", ("k",), ("v",)).collect()) == [(0, 6), (1, 7)]
+
+
+def test_effect_and_gain(spark):
+    from tideline.operators import responses
+
+    rows = spark.createDataFrame([(1, True, True), (2, True, False), (3, False, True), (4, None, True), (5, True, None)], "id int, known boolean, seen boolean")
+    got = {r["id"]: tuple(r["e"]) for r in rows.select("id", responses.effect(C("known"), C("seen"), "no_state").alias("e")).collect()}
+    assert got == {1: ("observed_response_evidence", None), 2: ("missing_observed_response", None), 3: ("unknown", "no_state"), 4: ("unknown", "no_state"), 5: ("missing_observed_response", None)}
+    cases = [("fits", 2.0, -1.0, 20, -10, 20, -10), ("far", 2.5, 0.0, 20, 0, 20, 0), ("masked", None, 0.0, 20, 0, 20, 0), ("other counts", 2.0, 0.0, 20, 0, 21, 0), ("still", 0.0, 0.0, 0, 0, 0, 0)]
+    df = spark.createDataFrame(cases, "case string, yaw double, pitch double, dx long, dy long, ix long, iy long")
+    out = responses.gain_agreement(df, ["case"], ["yaw", "pitch"], ["dx", "dy"], ["ix", "iy"], [[0.1, 0.0], [0.0, 0.1]], 0.01, 0.02)
+    assert {r["case"]: (r["missing"], r["agrees"]) for r in out.collect()} == {"fits": (0, True), "far": (0, False), "masked": (1, False), "other counts": (0, False), "still": (0, True)}
+    assert responses.gain_agreement(df.limit(0), ["case"], ["yaw", "pitch"], ["dx", "dy"], ["ix", "iy"], [[0.1, 0.0], [0.0, 0.1]], 0.01, 0.02).count() == 0
+
+
+def test_confirmation(spark):
+    from tideline.operators import responses
+
+    df = spark.createDataFrame([(True, True, True, None), (True, True, False, None), (False, True, True, True), (False, False, True, False), (None, False, False, False)], "derive boolean, a boolean, b boolean, c boolean")
+    got = {r["hypothesis"]: (r["tested"], r["matches"], r["tested_again"], r["matches_again"], r["status"]) for r in responses.confirmed(df, [], C("derive"), {"a": C("a"), "b": C("b"), "c": C("c"), "d": C("derive").isNotNull()}).collect()}
+    assert got == {"a": (2, 2, 2, 1, "contradicted"), "b": (2, 1, 2, 2, "rejected"), "c": (0, 0, 2, 1, "untested"), "d": (2, 2, 2, 2, "confirmed")}
+    alone = responses.confirmed(df.where("derive"), [], C("derive"), {"a": C("a")}).collect()
+    assert [r["status"] for r in alone] == ["unconfirmed"]
+
+
+def test_whole_clips_and_counts(spark):
+    from tideline.operators import responses
+
+    df = spark.createDataFrame([(1, 0, 100), (2, 0, 135), (3, 7, 28), (4, 0, 64)], "id int, start long, end long")
+    clips = responses.whole_clips(df, 64, 32)
+    assert {r["id"]: (r["n_clips"], r["planned"], r["short"], r["odd"]) for r in clips.collect()} == {1: (2, 100, 0, 0), 2: (2, 128, 6, 1), 3: (0, 0, 20, 1), 4: (1, 64, 0, 0)}
+    plan = responses.within_budget(clips, ["id"], 1, 64, 64.0, 10.0, 1.0, 0.0, 1000.0, 0.5)
+    assert {r["id"]: r["verdict"] for r in plan.collect()} == {1: "too_many_clips", 2: "too_many_clips", 3: "no_clip", 4: "time_exceeds_budget"}
+    want = [0.5, 0.25, -1.25, -1.0, 2.0]
+    rows = spark.createDataFrame([(0, i, v) for i, v in enumerate(want)], "slot int, i int, want double")
+    got = [(r["emitted"], r["residual"]) for r in responses.compiled_counts(rows, ["slot"], "i", C("want")).orderBy("i").collect()]
+    assert got == [(1, -0.5), (0, -0.25), (-2, 0.5), (-1, 0.5), (3, -0.5)]

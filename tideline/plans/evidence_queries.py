@@ -12,11 +12,6 @@ from tideline.plans.views import PLAYER_FRAMES, player_frames
 C = F.col
 
 
-@query("SELECT user_id, n_offsets, CASE WHEN n_offsets = 1 OR greatest(hi - mid, mid - lo) <= 3 THEN mid END AS \"offset\", greatest(hi - mid, mid - lo) AS residual FROM (SELECT user_id, count(DISTINCT o) AS n_offsets, median(o) AS mid, min(o) AS lo, max(o) AS hi FROM (SELECT user_id, number - row_id AS o FROM cmd) GROUP BY user_id)", CMD)
-def dom_5_clock_calibration(spark, d):
-    return aggregates.offset_fit(commands(spark, d).withColumn("o", C("number") - C("row_id")), ["user_id"], "o", 3.0)
-
-
 @query("SELECT slot, tick, coalesce(lead(tick) OVER (PARTITION BY slot ORDER BY tick), (SELECT max(tick) + 1 FROM cmd)) AS boundary, coalesce(lead(tick) OVER (PARTITION BY slot ORDER BY tick), (SELECT max(tick) + 1 FROM cmd)) > tick AS rising FROM st", STATE)
 def dom_8_boundaries(spark, d):
     end = commands(spark, d).agg((F.max("tick") + 1).alias("timeline_end"))
@@ -54,20 +49,6 @@ def dom_30_control_candidates(spark, d):
     return out.select("slot", "tick", "x", C("v_2").alias("x_2"), C("v_3").alias("x_3"), C("v_4").alias("x_4"), done.alias("complete"))
 
 
-@query("SELECT slot, tick, array_to_string(list(x) OVER w, ',') AS images, lead(x) OVER (PARTITION BY slot ORDER BY tick) - x AS target, count(*) OVER w = 8 AND tick - first_value(tick) OVER w <= 400 AS usable FROM st WINDOW w AS (PARTITION BY slot ORDER BY tick ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)", STATE)
-def dom_33_samples(spark, d):
-    w = Window.partitionBy("slot").orderBy("tick")
-    back = w.rowsBetween(-7, 0)
-    s = states(spark, d)
-    return s.select("slot", "tick", F.array_join(F.collect_list("x").over(back), ",").alias("images"), (F.lead("x").over(w) - C("x")).alias("target"), ((F.count("*").over(back) == 8) & (C("tick") - F.first("tick").over(back) <= 400)).alias("usable"))
-
-
-@query("SELECT round_id, row_id, spent FROM (SELECT round_id, row_id, CAST(sum(k) OVER (PARTITION BY round_id ORDER BY row_id) AS BIGINT) AS spent FROM cmd) WHERE spent <= 2000", CMD)
-def dom_41_budgeted_rounds(spark, d):
-    w = Window.partitionBy("round_id").orderBy("row_id").rowsBetween(Window.unboundedPreceding, 0)
-    return commands(spark, d).select("round_id", "row_id", F.sum("k").over(w).alias("spent")).where("spent <= 2000")
-
-
 @query("SELECT kind, row_id, turn FROM (SELECT kind, row_id, row_number() OVER (PARTITION BY kind, user_id ORDER BY sha256(CAST(row_id AS VARCHAR))) AS turn FROM cmd WHERE EXISTS (SELECT 1 FROM rd WHERE tick >= freeze_end - 16 AND tick < \"end\" + 16)) WHERE turn <= 2", CMD, ROUNDS)
 def dom_42_batch_plan(spark, d):
     from tideline.operators.filters import in_any_window
@@ -112,13 +93,6 @@ def dom_51_replay_comparison(spark, d):
     return a.join(b, "tick", "full_outer").select("tick", status.alias("status"), F.abs(C("xa") - C("xb")).alias("error"))
 
 
-@query("SELECT h AS hypothesis, part, count(*) AS tested, count(*) FILTER (ok) AS matches FROM (SELECT 'zero' AS h, row_id % 2 AS part, dx = 0 AS ok FROM cmd WHERE dx IS NOT NULL UNION ALL SELECT 'sign', row_id % 2, dx > 0 FROM cmd WHERE dx IS NOT NULL) GROUP BY 1, 2", CMD)
-def dom_53_confirmed_hypotheses(spark, d):
-    rows = commands(spark, d).where("dx IS NOT NULL").select((C("row_id") % 2).alias("part"), (C("dx") == 0).alias("zero"), (C("dx") > 0).alias("sign"))
-    x = rows.select("part", F.expr("stack(2, 'zero', zero, 'sign', sign) AS (hypothesis, ok)"))
-    return x.groupBy("hypothesis", "part").agg(F.count("*").alias("tested"), F.count_if("ok").alias("matches"))
-
-
 @query("SELECT row_id, CAST(coalesce(sum(b_dx), 0) AS BIGINT) AS moved FROM (SELECT a.row_id, b.dx AS b_dx FROM (SELECT * FROM cmd WHERE kind = 'purchase') a LEFT JOIN cmd b ON b.slot = a.slot AND b.tick BETWEEN a.tick - 8 AND a.tick + 8) GROUP BY row_id", CMD)
 def dom_58_window_sums(spark, d):
     c = commands(spark, d)
@@ -126,17 +100,6 @@ def dom_58_window_sums(spark, d):
     return joins.band_join(a, c.select("slot", C("tick").alias("t"), C("dx").alias("m")), ("slot",), "tick", "t", 8, 8).groupBy("row_id").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("moved"))
 
 
-@query("SELECT slot, CASE WHEN count(*) FILTER (moving) = 0 THEN 'none' WHEN max(x) - min(x) > 100000 THEN 'strong' ELSE 'weak' END AS effect FROM st GROUP BY slot", STATE)
-def dom_60_effects(spark, d):
-    g = states(spark, d).groupBy("slot").agg(F.count_if("moving").alias("m"), (F.max("x") - F.min("x")).alias("r"))
-    return g.select("slot", F.when(C("m") == 0, "none").when(C("r") > 100000, "strong").otherwise("weak").alias("effect"))
-
-
-@query("SELECT slot, count(*) AS n, count(*) FILTER (abs(cents / 100.0 - k) <= 20) AS agree FROM cmd GROUP BY slot", CMD)
-def dom_63_gain_agreement(spark, d):
-    return commands(spark, d).groupBy("slot").agg(F.count("*").alias("n"), F.count_if(F.abs(C("cents") / 100.0 - C("k")) <= 20).alias("agree"))
-
-
 @query("SELECT slot, tick, nxt > tick AND (p8 IS NULL OR p8 < tick) AS sound FROM (SELECT slot, tick, lead(tick) OVER w AS nxt, lag(tick, 7) OVER w AS p8 FROM st WINDOW w AS (PARTITION BY slot ORDER BY tick)) WHERE nxt IS NOT NULL", STATE)
 def dom_66_no_leakage(spark, d):
     w = Window.partitionBy("slot").orderBy("tick")
