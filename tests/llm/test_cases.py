@@ -53,7 +53,7 @@ def test_links_grow_with_the_group(spark, monkeypatch):
 
 @pytest.mark.parametrize("wide", [0, 16])
 def test_families_of_many_blocks(spark, monkeypatch, wide):
-    """Blocks of a few members, by families or by buckets, give what one block gives."""
+    """Blocks of a few members, by families or by their rarest shingles, give what one block gives."""
     monkeypatch.setattr(minhash, "BLOCK", 7)
     monkeypatch.setattr(minhash, "WIDE", wide)
     rng = random.Random(8)
@@ -65,6 +65,29 @@ def test_families_of_many_blocks(spark, monkeypatch, wide):
     assert got == brute_groups(texts, 3, 85)
 
 
+def test_common_passages_bring_no_meetings(spark, monkeypatch):
+    """Texts of one family that have a passage in common, and nothing else, don't meet across blocks; linked ones do."""
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    monkeypatch.setattr(minhash, "WIDE", 0)
+    met = []
+    across = minhash._across
+
+    def counted(*args):
+        met.append(shared.stored(across(*args), "counted"))
+        return met[-1]
+
+    monkeypatch.setattr(minhash, "_across", counted)
+    rng = random.Random(12)
+    passage = prose(rng, 90, 3000)
+    texts = {i: passage + " " + " ".join(f"w{i}x{j}" for j in range(60)) for i in range(80)}
+    texts |= {500 + i: texts[i] + " and more" for i in range(10)}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(rows, 3, 85, 40).collect()}
+    assert got == brute_groups(texts, 3, 85)
+    assert len({x for x in got.values() if not x[2]}) == 10
+    assert {r["node"] for r in met[0].collect()} <= {*range(10), *range(500, 510)}
+
+
 def test_shared_counts():
     rng = np.random.default_rng(4)
     for n, m, width in ((1, 1, 5), (3, 40, 30), (90, 70, 400), (120, 120, 60)):

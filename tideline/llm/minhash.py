@@ -18,7 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
@@ -27,7 +27,7 @@ from tideline.llm.shared import BROADCAST_ROWS, Words, forget, mix, pieces, stor
 SEED = 0x3C6EF372
 #: Most members and bytes of sets of a block; a larger set is a block of its own. Groups of small blocks share a cell.
 BLOCK, BLOCK_BYTES, CELL_BYTES = 512, 16 << 20, 8 << 20
-#: A family of more blocks is compared by its buckets where it still is in several components.
+#: A family of more blocks is compared by its rarest shingles where it still is in several components.
 WIDE = 16
 #: A list of meetings of at most so many rows is broadcast.
 MEETINGS = 200_000
@@ -121,6 +121,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     #: Only texts that share a key with another are ever compared.
     touching = buckets.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     family = components(touching).withColumnRenamed("component", "family")
+    forget(buckets)
     weights = classes.groupBy("node").agg(F.sum(F.col("size") * 8).alias("bytes"))
     members = stored(_in_blocks(family.join(weights, "node").withColumn("place", F.col("family"))), "members")
     sets = stored(_sets(texts, members, shingle_words), "sets")
@@ -132,11 +133,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     within = members.select("place", F.col("block").alias("i"), F.col("block").alias("j"), "node", F.col("node").alias("label"), "bytes", F.lit(True).alias("is_row"), F.lit(True).alias("is_column"))
     links = stored(same.unionByName(_linked(within, sets, percent)), "links")
     group = components(links)
-    across = _across(members.where("blocks > 1"), group, buckets)
+    across = _across(members.where("blocks > 1"), group, sets, percent)
     if not across.isEmpty():
         links = stored(links.unionByName(_linked(across, sets, percent)), "links")
         group = components(links)
-    for table in (members, sets, buckets):
+    for table in (members, sets):
         forget(table)
     of = classes.select("set", "node").join(group, "node", "left").select("set", F.coalesce("component", "node").alias("component_id"))
     #: Empty sets and rows without an id meet nothing; their names are their own, so that no join piles them up.
@@ -157,12 +158,18 @@ def _blocks(n: Column, size: Column) -> Column:
     return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("long")
 
 
-def _across(members: DataFrame, group: DataFrame, buckets: DataFrame) -> DataFrame:
+def _across(members: DataFrame, group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The meetings across blocks that can still join components: in each place that holds several, each member outside
-    the largest component with all members. A place is a family, or each bucket of a family of over WIDE blocks."""
+    the largest component with all members. A place is a family, or, in a family of over WIDE blocks, one of the rarest
+    shingles of its sets (_prefixes)."""
     placed = members.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    wide = placed.where(F.col("blocks") > WIDE).join(buckets.select("node", "key"), "node").withColumn("place", F.xxhash64(F.lit("bucket"), "key"))
-    rows = placed.where(F.col("blocks") <= WIDE).unionByName(wide.select(placed.columns)).select("place", "node", "bytes", "component")
+    far = placed.where(F.col("blocks") > WIDE)
+    open_far = far.join(far.groupBy("place").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("place"), "place")
+    rows = placed.where(F.col("blocks") <= WIDE).select("place", "node", "bytes", "component")
+    if not members.where(F.col("blocks") > WIDE).isEmpty():
+        open_far = stored(open_far.select("node", "bytes", "component"), "wide")
+        met = _prefixes(sets.join(open_far.select("node"), "node", "left_semi"), percent)
+        rows = rows.unionByName(met.join(open_far, "node").select("place", "node", "bytes", "component"))
     rows = stored(rows, "placed")
     tally = rows.groupBy("place", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("size"))
     largest = F.max(F.struct("n", "size", "component"))
@@ -176,6 +183,30 @@ def _across(members: DataFrame, group: DataFrame, buckets: DataFrame) -> DataFra
     return stored(asking.unionByName(asked), "across")
 
 
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, place) of the rarest shingles of each set, as many as two linked sets can't both do without.
+
+    Two sets with 100 * intersection >= percent * union share at least percent of the larger one's shingles. Where all
+    sets are in one order (here the rarest shingle first), the first n - ceil(percent * n / 100) + 1 of each therefore
+    hold a common one. What many texts have in common stands behind what they have not, and brings no texts together.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                values = np.frombuffer(raw, np.int64)
+                own = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+                for at in range(0, len(values), 1 << 16):
+                    part = values[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), x, np.int64)) for x in (node, own, len(values))] + [pa.array(part)], ["node", "own", "n", "place"])
+
+    rows = stored(sets.mapInArrow(run, "node long, own long, n long, place long"), "shingles")
+    held = rows.groupBy("place").agg(F.count("*").alias("df")).where("df > 1")
+    rank = F.row_number().over(Window.partitionBy("node", "own").orderBy(F.coalesce("df", F.lit(1)), "place"))
+    first = rows.join(held, "place", "left").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1)
+    return first.where("df is not null").select("node", "place").distinct()
+
+
 def _sets(texts: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """node, shingles: the whole shingle sets of the members, as ascending longs."""
 
