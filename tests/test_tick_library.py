@@ -288,7 +288,7 @@ LABELLED = (
 )
 
 
-RESPONSES = ["dom_5_clock_calibration", "dom_32_control_audit", "dom_33_samples", "dom_41_budgeted_rounds", "dom_52_pixel_audit", "dom_53_confirmed_hypotheses", "dom_54_command_summary", "dom_55_turns", "dom_56_insertions", "dom_60_effects", "dom_62_compilation", "dom_63_gain_agreement"]
+RESPONSES = ["src_5_json_objects", "src_6_strict_objects", "src_20_merged_events", "snk_4_json_rows", "snk_5_identified_files", "fn_h1_file_digest", "fn_j1_action_schema", "udf_7_uint32_varints", "str_2_out_of_order", "dom_5_clock_calibration", "dom_32_control_audit", "dom_33_samples", "dom_41_budgeted_rounds", "dom_52_pixel_audit", "dom_53_confirmed_hypotheses", "dom_54_command_summary", "dom_55_turns", "dom_56_insertions", "dom_60_effects", "dom_62_compilation", "dom_63_gain_agreement"]
 
 
 @pytest.mark.parametrize("name", ["win_1_transitions", "win_5_alive_windows", "win_8_split_windows", "join_17_bracketing", "agg_10_window_coverage", "set_2_complement", "dom_19_causal_targets", "dom_29_button_labels", "fn_h4_stable_split", *LABELLED, *RESPONSES])
@@ -358,3 +358,39 @@ def test_whole_clips_and_counts(spark):
     rows = spark.createDataFrame([(0, i, v) for i, v in enumerate(want)], "slot int, i int, want double")
     got = [(r["emitted"], r["residual"]) for r in responses.compiled_counts(rows, ["slot"], "i", C("want")).orderBy("i").collect()]
     assert got == [(1, -0.5), (0, -0.25), (-2, 0.5), (-1, 0.5), (3, -0.5)]
+
+
+@pytest.mark.parametrize(
+    ("text", "one", "strict"),
+    [
+        ('{"a":1}', True, True), ('﻿ {"a":{"b":[1]}} ', True, True), ('{"a":1,"a":2}', True, False), ('{"a":{"b":1,"b":2}}', True, False), ("{}", True, True),
+        ('{"a":1}}', False, False), ('{"a":1}]', False, False), ('{"a":1},{"b":2}', False, False), ('{"a":1},"b":2', False, False), ('{"a":1} {"b":2}', False, False),
+        ("[1]", False, False), ("1", False, False), ("", False, False), ('{"a":NaN}', False, False), ('{"a"', False, False), (None, False, False),
+    ],
+)
+def test_json_objects(spark, text, one, strict):
+    row = spark.createDataFrame([(text,)], "t string").select(tables.is_object(tables.without_mark(F.col("t"))).alias("one"), tables.strict_object(F.col("t")).isNotNull().alias("strict")).first()
+    assert (row["one"], row["strict"]) == (one, strict)
+
+
+def test_json_lines_refuse(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    for i, bad in enumerate((float("nan"), float("inf"), -float("inf"))):
+        with pytest.raises(PySparkException, match="x is not finite"):
+            sinks.json_lines(spark.createDataFrame([(1.0,), (bad,), (None,)], "x double"), str(tmp_path / f"bad{i}"))
+    sinks.json_lines(spark.createDataFrame([(1.0, "NaN"), (None, None)], "x double, y string"), str(tmp_path / "fine"))
+    with pytest.raises(PySparkException, match="already exists"):
+        sinks.json_lines(spark.createDataFrame([(1.0,)], "x double"), str(tmp_path / "fine"))
+
+
+@pytest.mark.parametrize(("data", "value"), [(b"\x05", 5), (b"\xac\x02\xff", 300), (b"\xff\xff\xff\xff\x0f", 2**32 - 1), (b"\x80\x80\x80\x80\x10", None), (b"\x80\x80\x80\x80\x80\x01", None), (b"\x80", None), (b"", None), (None, None)])
+def test_uint32(spark, data, value):
+    assert spark.createDataFrame([(data,)], "d binary").select(wire.uint32(F.col("d"))).first()[0] == value
+
+
+def test_schema_issues(spark):
+    kinds = {"a": "BIGINT", "b": "BOOLEAN|VOID"}
+    rows = [('{"a":1,"b":null}', []), ('{"b":1,"c":2}', ["missing:a", "kind:b", "unknown:c"]), ("[]", ["object"]), (None, ["object"])]
+    got = spark.createDataFrame([(t,) for t, _ in rows], "t string").select(audits.schema_issues(F.col("t"), kinds)).collect()
+    assert [r[0] for r in got] == [x for _, x in rows]

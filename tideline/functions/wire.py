@@ -33,6 +33,28 @@ def varint(data: bytes, at: int) -> tuple[int, int]:
             return out, at
 
 
+def varint_hex(v: Column) -> Column:
+    """The varint of a long as hexadecimal digits; a negative number has ten bytes."""
+    digits = F.lit("")
+    for i in range(10):
+        part = F.shiftrightunsigned(v, 7 * i)
+        more = F.shiftrightunsigned(v, 7 * i + 7) != 0 if i < 9 else F.lit(False)
+        byte = part.bitwiseAND(F.lit(127)).bitwiseOR(F.when(more, 128).otherwise(0).cast("long"))
+        digits = F.concat(digits, F.when((part != 0) | F.lit(i == 0), F.lpad(F.hex(byte), 2, "0")).otherwise(""))
+    return digits
+
+
+def uint32(data: Column) -> Column:
+    """The unsigned 32-bit number of the varint with which data begins; null where it doesn't end in five bytes, or is
+    larger."""
+    out, open_ = F.lit(0).cast("long"), F.lit(True)
+    for i in range(5):
+        byte = F.conv(F.hex(F.substring(data, i + 1, 1)), 16, 10).cast("long")
+        out = F.when(open_, out + F.shiftleft(byte.bitwiseAND(F.lit(127)), 7 * i)).otherwise(out)
+        open_ = open_ & (byte > 127)
+    return F.when(~open_ & (out < 1 << 32), out)
+
+
 def signed32(x: int) -> int:
     """A 32-bit number that was sign-extended to 64 bits; anything else is an error."""
     value = x - (1 << 64) if x >> 63 else x

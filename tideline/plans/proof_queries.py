@@ -162,18 +162,45 @@ def src_18_event_index(spark, d):
 @query("SELECT row_id, dx AS value FROM cmd WHERE dx IS NOT NULL", CMD)
 def udf_2_signed_varints(spark, d):
     """Signed numbers as varints of up to ten bytes and back."""
-    parts = [F.shiftrightunsigned("v", 7 * i).bitwiseAND(F.lit(127)) for i in range(10)]
-    rest = [F.shiftrightunsigned("v", 7 * (i + 1)) if i < 9 else F.lit(0).cast("long") for i in range(10)]
-    needed = [F.lit(True), *(r != 0 for r in rest[:9])]
-    raw = F.concat(F.lit("08"), *(F.when(n, F.lpad(F.hex(p.bitwiseOR(F.when(r != 0, 128).otherwise(0).cast("long"))), 2, "0")).otherwise("") for n, p, r in zip(needed, parts, rest, strict=True)))
-    rows = commands(spark, d).where("dx is not null").select("row_id", C("dx").cast("long").alias("v")).select("row_id", F.unhex(raw).alias("data"))
+    rows = commands(spark, d).where("dx is not null").select("row_id", C("dx").cast("long").alias("v")).select("row_id", F.unhex(F.concat(F.lit("08"), wire.varint_hex(C("v")))).alias("data"))
     got = rows.select("row_id", F.explode(wire.decode_fields("data")).alias("x"))
     return got.select("row_id", bits.signed_plane(C("x.number")).alias("value"))
 
 
+@query("SELECT row_id, CASE WHEN cents << (k % 32) < 4294967296 THEN cents << (k % 32) END AS value FROM cmd", CMD)
+def udf_7_uint32_varints(spark, d):
+    """Varints of one to seven bytes; those over 32 bits have no value."""
+    large = F.call_function("shiftleft", C("cents"), (C("k") % 32).cast("int"))
+    return commands(spark, d).select("row_id", wire.uint32(F.unhex(wire.varint_hex(large))).alias("value"))
+
+
 LABEL = "row_id long, held_end boolean, reason_codes array<string>"
 
 
+#: Kinds of the fields of an action; no others are allowed.
+ACTION = {"version": "BIGINT", "yaw": "BIGINT|DECIMAL|DOUBLE|VOID", "held": "BOOLEAN", "events": "ARRAY"}
+TEXT = """act AS (SELECT row_id, '{"version":1' || CASE k % 5 WHEN 0 THEN '' WHEN 1 THEN ',"yaw":null' WHEN 2 THEN ',"yaw":"left"' ELSE ',"yaw":' || cents || '.5' END
+  || CASE WHEN k % 3 = 1 THEN ',"held":1' ELSE ',"held":true' END || CASE WHEN k % 7 = 2 THEN ',"extra":[]' ELSE '' END || ',"events":[]}' AS t FROM cmd)"""
+
+
+@query(
+    """SELECT row_id, concat_ws(',', CASE WHEN json_type(t, '$.version') IS NULL THEN 'missing:version' WHEN json_type(t, '$.version') NOT IN ('UBIGINT', 'BIGINT') THEN 'kind:version' END,
+      CASE WHEN json_type(t, '$.yaw') IS NULL THEN 'missing:yaw' WHEN json_type(t, '$.yaw') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL') THEN 'kind:yaw' END,
+      CASE WHEN json_type(t, '$.held') IS NULL THEN 'missing:held' WHEN json_type(t, '$.held') <> 'BOOLEAN' THEN 'kind:held' END,
+      CASE WHEN json_type(t, '$.events') IS NULL THEN 'missing:events' WHEN json_type(t, '$.events') <> 'ARRAY' THEN 'kind:events' END,
+      CASE WHEN list_contains(json_keys(t), 'extra') THEN 'unknown:extra' END) AS issues FROM act""",
+    CMD,
+    TEXT,
+)
+def fn_j1_action_schema(spark, d):
+    """Actions as JSON against their schema: what is absent, of another kind, or not known."""
+    yaw = F.when(C("k") % 5 == 0, "").when(C("k") % 5 == 1, ',"yaw":null').when(C("k") % 5 == 2, ',"yaw":"left"').otherwise(F.concat(F.lit(',"yaw":'), "cents", F.lit(".5")))
+    held = F.when(C("k") % 3 == 1, ',"held":1').otherwise(',"held":true')
+    text = F.concat(F.lit('{"version":1'), yaw, held, F.when(C("k") % 7 == 2, ',"extra":[]').otherwise(""), F.lit(',"events":[]}'))
+    rows = commands(spark, d).select("row_id", text.alias("t"))
+    return rows.select("row_id", F.array_join(audits.schema_issues(C("t"), ACTION), ",").alias("issues"))
+
+
 @query("SELECT row_id, k % 4 <> 1 AND k % 6 <> 2 AS valid FROM cmd", CMD)
 def fn_j2_label_schema(spark, d):
     """Labels as JSON against their schema: a field that is absent, or of another type, makes the label invalid."""

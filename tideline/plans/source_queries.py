@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +56,43 @@ def ledger(spark, d) -> DataFrame:
     return commands(spark, d).select(C("kind").alias("event"), C("row_id").alias("n"), C("tick").alias("frame_index"), C("cents").alias("qpc"), C("tick").cast("double").alias("demo_tick"))
 
 
+OBJECTS = """txt AS (SELECT row_id, ltrim(CASE k % 4 WHEN 0 THEN p WHEN 1 THEN chr(65279) || p WHEN 2 THEN '[' || p || ']' ELSE p || '}' END, chr(65279)) AS t
+  FROM (SELECT row_id, k, '{"k":' || k || ',"k":' || cents || '}' AS p FROM cmd))"""
+
+
+@query("SELECT row_id, CASE WHEN NOT json_valid(t) THEN NULL WHEN json_type(t) = 'OBJECT' THEN true END AS is_object FROM txt", CMD, OBJECTS)
+def src_5_json_objects(spark, d):
+    """Texts that are one JSON object, some behind a byte order mark; lists and texts that go on are none."""
+    p = F.concat(F.lit('{"k":'), "k", F.lit(',"k":'), "cents", F.lit("}"))
+    mark = C("k") % 4
+    text = F.when(mark == 0, p).when(mark == 1, F.concat(F.lit("\ufeff"), p)).when(mark == 2, F.concat(F.lit("["), p, F.lit("]"))).otherwise(F.concat(p, F.lit("}")))
+    got = tables.json_object(C("t"), "k long")
+    return commands(spark, d).select("row_id", text.alias("t")).select("row_id", F.when(got["k"].isNotNull(), True).alias("is_object"))
+
+
+STRICT = """txt AS (SELECT row_id, CASE k % 5 WHEN 0 THEN '{"k":' || k || '}' WHEN 1 THEN '{"k":1,"k":' || k || '}' WHEN 2 THEN '{"k":2,"a":{"b":1,"b":' || k || '}}'
+  WHEN 3 THEN '{"k":NaN}' ELSE '{"k":4,"a":{"b":' || k || '}}' END AS t FROM cmd)"""
+
+
+@query(
+    """SELECT row_id, CASE WHEN t LIKE '%NaN%' THEN NULL WHEN len(json_keys(t)) = len(list_distinct(json_keys(t))) AND (json_type(t, '$.a') IS NULL OR len(json_keys(t, '$.a')) = len(list_distinct(json_keys(t, '$.a'))))
+      THEN CAST(t->>'k' AS BIGINT) END AS k FROM txt""",
+    CMD,
+    STRICT,
+)
+def src_6_strict_objects(spark, d):
+    """Repeated keys, in the object or within it, and numbers that aren't finite are refused."""
+    kind = C("k") % 5
+    text = (
+        F.when(kind == 0, F.concat(F.lit('{"k":'), "k", F.lit("}")))
+        .when(kind == 1, F.concat(F.lit('{"k":1,"k":'), "k", F.lit("}")))
+        .when(kind == 2, F.concat(F.lit('{"k":2,"a":{"b":1,"b":'), "k", F.lit("}}")))
+        .when(kind == 3, F.lit('{"k":NaN}'))
+        .otherwise(F.concat(F.lit('{"k":4,"a":{"b":'), "k", F.lit("}}")))
+    )
+    return commands(spark, d).select("row_id", text.alias("t")).select("row_id", F.try_variant_get(tables.strict_object(C("t")), "$.k", "long").alias("k"))
+
+
 @query("SELECT kind AS event, row_id AS n, tick AS frame_index, cents AS qpc FROM cmd", CMD)
 def src_7_ledger(spark, d):
     path = new_folder(spark)
@@ -94,6 +133,19 @@ def src_19_ledger_view(spark, d):
     return tables.ledger_view(ledger(spark, d), ["signup"], 2000, 9000).select("event", "n", "frame_index", "view_index")
 
 
+@query(
+    """SELECT event, n, ledger, row_number() OVER (PARTITION BY n // 1440 ORDER BY n, ledger, event) AS place FROM (
+      SELECT kind AS event, tick AS n, 0 AS ledger FROM cmd WHERE kind IN ('click', 'purchase') UNION ALL SELECT 'state', tick, 1 FROM st)""",
+    STATE,
+)
+def src_20_merged_events(spark, d):
+    """Two kinds of commands and the states in one order; each day's events are numbered in it."""
+    first = commands(spark, d).select(C("kind").alias("event"), C("tick").alias("n"))
+    second = states(spark, d).select(F.lit("state").alias("event"), C("tick").alias("n"))
+    day = Window.partitionBy(F.floor(C("n") / 1440)).orderBy("n", "ledger", "event")
+    return tables.merged_events([first, second], ["click", "purchase", "state"]).withColumn("place", F.row_number().over(day))
+
+
 @query("SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events']) || '.parquet' AS name, true AS some")
 def src_21_discovered(spark, d):
     found = tables.discover(spark, d, "{region,nation,customer,supplier,part,orders,lineitem,events}.parquet")
@@ -121,6 +173,43 @@ def snk_2_no_overwrite(spark, d):
     return spark.read.parquet(f"{path}/nation").agg(F.lit(second).alias("second"), F.count("*").alias("n"))
 
 
+@query("SELECT count(*) AS n, CAST(sum(tick) AS BIGINT) AS ticks, 'refused' AS again, 'refused' AS not_finite FROM st", STATE)
+def snk_4_json_rows(spark, d):
+    """Rows as JSON and back; a second write to the path and one with a number that isn't finite are refused."""
+
+    def tried(rows: DataFrame, to: str) -> str:
+        try:
+            sinks.json_lines(rows, to)
+        except PySparkException as e:
+            return "refused" if "already exists" in str(e) or "is not finite" in str(e) else str(e)
+        return "written"
+
+    rows, path = states(spark, d).select("slot", "tick", "yaw"), new_folder(spark)
+    sinks.json_lines(rows, path)
+    again = tried(rows, path)
+    not_finite = tried(spark.range(1).select(F.lit(float("nan")).alias("yaw")), new_folder(spark))
+    got = spark.read.schema("slot int, tick long, yaw double").json(path)
+    return got.agg(F.count("*").alias("n"), F.sum("tick").alias("ticks"), F.lit(again).alias("again"), F.lit(not_finite).alias("not_finite"))
+
+
+@query("SELECT n_nationkey, n_name, 'recording-1' AS demo_id, true AS zstd FROM nation")
+def snk_5_identified_files(spark, d):
+    """Zstandard Parquet files that carry the identity of their recording."""
+    path = new_folder(spark)
+    sinks.publish({"nation": sinks.identified(spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name"), {"demo_id": "recording-1"})}, path, {})
+    got = spark.read.parquet(f"{path}/nation")
+    kept = {f.metadata.get("demo_id") for f in got.schema}
+    files = tables.discover(spark, f"{path}/nation", "*.parquet").agg(F.min(C("path").endswith(".zstd.parquet"))).first()[0]
+    return got.withColumns({"demo_id": F.lit(",".join(sorted(kept))), "zstd": F.lit(files)})
+
+
+@query("SELECT sha256(string_agg(n_name || chr(10), '' ORDER BY n_nationkey)) AS sha256, CAST(sum(length(n_name) + 1) AS BIGINT) AS length FROM nation")
+def fn_h1_file_digest(spark, d):
+    path = new_folder(spark)
+    spark.read.parquet(f"{d}/nation.parquet").repartition(1).sortWithinPartitions("n_nationkey").select("n_name").write.text(path)
+    return tables.file_digests(spark, path, "part-*").select("sha256", "length")
+
+
 @query("SELECT alive AS accepted, count(*) AS n FROM cmd GROUP BY alive", CMD)
 def snk_6_split_sink(spark, d):
     path = new_folder(spark)
@@ -150,6 +239,18 @@ def aud_9_unchanged_files(spark, d):
     return after.select(F.element_at(F.split("path", "/"), -1).alias("name"), C("sha256").eqNullSafe(C("before")).alias("unchanged"))
 
 
+@contextmanager
+def rocks(spark: SparkSession):
+    """The RocksDB state store, as long as this lasts."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
@@ -157,9 +258,10 @@ def stream_of(spark, d) -> DataFrame:
     return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
 
 
-def drained(spark: SparkSession, rows: DataFrame, mode: str) -> DataFrame:
-    """What a stream has put out once all that is there has been read; the last batch of a complete output."""
-    path = new_folder(spark)
+def drained(spark: SparkSession, rows: DataFrame, mode: str, path: str | None = None) -> DataFrame:
+    """What a stream has put out once all that is there has been read; the last batch of a complete output. A path that
+    was used before goes on from its state."""
+    path = path or new_folder(spark)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{'out' if mode == 'complete' else f'out/batch={number}'}")
@@ -186,13 +288,21 @@ def str_6_first_of_key(spark, d):
 @query("SELECT slot, row_id, CASE WHEN p IS NULL THEN 'first_command' WHEN tick - p NOT BETWEEN 0 AND 16 THEN 'demo_tick_discontinuity' WHEN number <> pn + 1 THEN 'command_number_discontinuity' END AS reset_reason FROM (SELECT slot, row_id, tick, number, lag(tick) OVER w AS p, lag(number) OVER w AS pn FROM cmd WINDOW w AS (PARTITION BY slot ORDER BY row_id))", CMD)
 def str_1_stream_transitions(spark, d):
     """One pass over the commands with a small state for each slot, kept by the RocksDB store."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    with rocks(spark):
         return drained(spark, stateful.stream_transitions(commands_of(stream_of(spark, d))), "append")
-    finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+@query("SELECT slot, row_id, coalesce(NOT alive AND row_id < last, false) AS refused FROM (SELECT slot, row_id, alive, max(row_id) FILTER (WHERE alive) OVER (PARTITION BY slot) AS last FROM cmd)", CMD)
+def str_2_out_of_order(spark, d):
+    """Dead commands come after all live ones of their slot have been read: those of smaller numbers are errors."""
+    path = new_folder(spark)
+    events = spark.read.schema(EVENTS).parquet(f"{d}/events.parquet")
+    with rocks(spark):
+        for part in (events.where("event_type != 'error'"), events.where("event_type = 'error'")):
+            part.write.mode("append").parquet(f"{path}/in")
+            rows = commands_of(spark.readStream.schema(EVENTS).parquet(f"{path}/in"))
+            out = drained(spark, stateful.stream_transitions(rows), "append", path)
+    return out.select("slot", "row_id", C("reset_reason").eqNullSafe("out_of_order").alias("refused"))
 
 
 @query("SELECT row_id, slot FROM cmd WHERE alive", CMD)

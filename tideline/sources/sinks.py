@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _path(spark: SparkSession, path: str):
@@ -38,9 +39,20 @@ def partitioned_by_verdict(df: DataFrame, path: str, accepted: Column) -> None:
 
 
 def json_lines(df: DataFrame, path: str) -> None:
+    """Rows as JSON below a new path; a number of a column that isn't finite stops the write."""
+    for f in df.schema:
+        if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType):
+            c = F.col(f"`{f.name}`")
+            bad = F.isnan(c) | (F.abs(c) == float("inf"))
+            df = df.withColumn(f.name, F.when(bad, F.raise_error(F.lit(f"{f.name} is not finite"))).otherwise(c))
     df.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
+def identified(df: DataFrame, identity: dict[str, str]) -> DataFrame:
+    """df with the identity in the metadata of each column, which Parquet keeps in every file's footer."""
+    return df.select(*(F.col(f"`{c}`").alias(c, metadata=identity) for c in df.columns))
+
+
 def tensor_batches(df: DataFrame, columns: list[str], size: int, order: str) -> DataFrame:
     """batch, and the columns' values as arrays, of each `size` rows in order within the partitions of a range sort."""
     from pyspark.sql import Window

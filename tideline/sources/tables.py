@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,7 +76,7 @@ def read_ledger(spark: SparkSession, path: str, schema: T.StructType = LEDGER, l
     lines = spark.read.text(path)
     event = F.col("row.event")
     parsed = lines.select("value", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("row"))
-    fine = F.assert_true((F.octet_length("value") <= longest) & event.isNotNull(), "a line is too long or has no event")
+    fine = F.assert_true((F.octet_length("value") <= longest) & is_object(F.col("value")) & event.isNotNull(), "a line is too long, is not one object, or has no event")
     return parsed.withColumn("_ok", fine).where("_ok IS NULL").select("row.*")
 
 
@@ -97,6 +98,37 @@ def strict_json(text: str) -> dict:
     return value
 
 
+def without_mark(text: Column) -> Column:
+    """The text without a byte order mark before it."""
+    return F.regexp_replace(text, "^\\x{FEFF}", "")
+
+
+def _within(text: Column) -> tuple[Column, Column]:
+    """The text as the one entry of a list and of an object. Spark's parsers take no notice of what follows a value; what
+    follows the text can't be right in both."""
+    return F.concat(F.lit("["), text, F.lit("]")), F.concat(F.lit('{"_":'), text, F.lit("}"))
+
+
+def is_object(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else; keys may be repeated."""
+    listed, held = _within(text)
+    whole = (F.json_array_length(listed) == 1) & (F.size(F.json_object_keys(held)) == 1) & F.json_object_keys(text).isNotNull()
+    return F.coalesce(whole, F.lit(False))
+
+
+def json_object(text: Column, schema: str) -> Column:
+    """The fields of a text that is one JSON object, behind a byte order mark or not; null for any other text."""
+    plain = without_mark(text)
+    return F.when(is_object(plain), F.from_json(plain, schema))
+
+
+def strict_object(text: Column) -> Column:
+    """A text that is one JSON object as a variant; null where a key is repeated at any depth, or a number isn't finite."""
+    listed, held = map(F.try_parse_json, _within(without_mark(text)))
+    value = F.try_variant_get(held, "$._", "variant")
+    return F.when(listed.isNotNull() & F.schema_of_variant(value).startswith("OBJECT"), value)
+
+
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
     """Frames from Parquet or JSON lines, by the name's end."""
     return spark.read.json(path) if path.endswith((".jsonl", ".json")) else spark.read.parquet(path)
@@ -129,3 +161,9 @@ def ledger_view(ledger: DataFrame, context: list[str], lo: int, hi: int) -> Data
     head = ledger.where(F.col("event").isin(context)).withColumn("view_index", F.lit(None).cast("long"))
     frames = ledger.where(~F.col("event").isin(context) & (F.col("frame_index") >= lo) & (F.col("frame_index") < hi)).withColumn("view_index", F.col("frame_index") - lo)
     return head.unionByName(frames).orderBy("n")
+
+
+def merged_events(ledgers: list[DataFrame], kinds: list[str]) -> DataFrame:
+    """The events of these kinds of all ledgers in one order; of one number, those of the earlier ledger come first."""
+    some = [x.where(F.col("event").isin(kinds)).withColumn("ledger", F.lit(i)) for i, x in enumerate(ledgers)]
+    return reduce(DataFrame.unionByName, some).orderBy("n", "ledger")
