@@ -216,6 +216,51 @@ def test_patience_is_recursive():
     assert seen > 5000
 
 
+def brute_copies(words, template, least):
+    """Copies by aligning every window that begins and ends at a template's word, and taking the best that are apart."""
+    found, behind, n = set(), 0, len(template)
+    for at in range(len(words)):
+        if words[at] in template and at >= behind:
+            window = words[at : at + 2 * n]
+            while window[-1] not in template:
+                window = window[:-1]
+            pairs = license_scan.patience(window, template)
+            if len(pairs) >= least * n - 1e-9:
+                first, last = at + pairs[0][0], at + pairs[-1][0]
+                found.add((-len(pairs), last - first, first))
+                behind = last + 1 if len(pairs) == n == last - first + 1 else behind
+    out = []
+    for k, span, first in sorted(found):
+        if all(first + span < a or first > b for a, b, _ in out):
+            out.append((first, first + span, -k))
+    return sorted(out)
+
+
+def test_licence_copies():
+    """Texts of several whole, cut, spread and adjoining copies against every window."""
+    rng, several = random.Random(77), 0
+    for _ in range(60):
+        template = [rng.randrange(12) if rng.random() < 0.3 else 100 + i for i in range(rng.randrange(3, 25))]
+        words = []
+        for _ in range(rng.randrange(6)):
+            copy = [w for w in template if rng.random() > rng.choice([0, 0.1, 0.3])]
+            copy = [x for w in copy for x in ([w, -1] if rng.random() < 0.1 else [w])]
+            words += copy + [rng.choice([-1, -1, rng.randrange(12)]) for _ in range(rng.choice([0, 0, 3, 40]))]
+        got = license_scan.copies(np.array(words, np.int64), template, 0.8)
+        assert got == brute_copies(words, template, 0.8)
+        assert all(a[1] < b[0] for a, b in zip(got, got[1:], strict=False))
+        several += len(got) > 1
+    assert several > 15
+
+
+def test_licence_many_copies(spark):
+    """A long text that is nothing but copies has a row for each."""
+    mit = license_scan.TEMPLATES["mit"]
+    got = license_scan.scan_licenses(spark.createDataFrame([(1, (mit + " ") * 3000)], "doc_id long, text string")).where("license = 'mit'").collect()
+    n = got[0]["n_anchored"]
+    assert sorted((r["first_word"], r["last_word"]) for r in got) == [(i * n, i * n + n - 1) for i in range(3000)]
+
+
 def test_every_template_is_found(spark):
     rows = [(i, f"before {t} after") for i, t in enumerate(license_scan.TEMPLATES.values())]
     got = {(r["doc_id"], r["license"]) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["coverage"] == 1.0}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections import Counter
 
 import numpy as np
@@ -84,14 +84,15 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
-    """doc_id, license, coverage, first_word, last_word, n_anchored for each template that covers `least` of itself
-    somewhere in a text: the best of all windows of twice the template's words, one from each word that the template
-    has; ties to the narrowest alignment, then to the first. Where in a text a copy begins makes no difference.
+    """doc_id, license, coverage, first_word, last_word, n_anchored for each copy of a template in a text that covers
+    `least` of it. Windows of twice the template's words, one from each word that the template has, are aligned; of those
+    alignments the best is a copy (ties to the narrowest, then to the first), then the best that shares no stretch with
+    it, and so on. Behind an unbroken copy the search goes on. Where in a text a copy begins makes no difference.
 
     Words are lower-cased runs of letters, digits and non-ASCII characters, counted from 0. coverage is the share of the
     template's words that the alignment pairs. Texts that are null, empty or hold no licence have no row; repeated rows
     have theirs each; templates without words are left out. A window is aligned only if the words it has in common with
-    the template, each at most as often as there, could reach `least` and the best before; that bound drops nothing.
+    the template, each at most as often as there, could reach `least`; that bound drops nothing.
     """
     given = {k: v for k, v in (TEMPLATES if templates is None else templates).items()}
     read = Words(pa.array(list(given.values()), pa.string()), lower=True, table=TABLE)
@@ -115,16 +116,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
                 for d, t in np.argwhere(has @ weight >= least - 1e-9).tolist():
                     name, template = coded[t]
                     own = code[words.first[d] : words.first[d + 1]]
-                    best = None
-                    for at, end, most in _windows(own, np.array(template), least):
-                        if best and most < best[2]:
-                            break
-                        pairs = patience(own[at:end].tolist(), template)
-                        if len(pairs) >= least * len(template) - 1e-9:
-                            found = (at + pairs[0][0], at + pairs[-1][0], len(pairs))
-                            best = min(best or found, found, key=lambda x: (-x[2], x[1] - x[0], x[0]))
-                    if best:
-                        out.append({"doc_id": part.column("doc_id")[d].as_py(), "license": name, "coverage": best[2] / len(template), "first_word": best[0], "last_word": best[1], "n_anchored": best[2]})
+                    for first, last, n in copies(own, template, least):
+                        out.append({"doc_id": part.column("doc_id")[d].as_py(), "license": name, "coverage": n / len(template), "first_word": first, "last_word": last, "n_anchored": n})
                 yield pa.RecordBatch.from_pylist(out, schema)
 
     if not known:
@@ -133,9 +126,28 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     return texts.mapInArrow(scan, "doc_id long, license string, coverage double, first_word long, last_word long, n_anchored long")
 
 
-def _windows(code: np.ndarray, template: np.ndarray, least: float) -> list[tuple[int, int, int]]:
-    """Start, end and number of words in common of the windows that may reach `least`, those with most in common first.
-    A window begins at one of the template's words and ends behind the last of them within twice its words."""
+def copies(code: np.ndarray, template: list[int], least: float) -> list[tuple[int, int, int]]:
+    """(first word, last word, words aligned) of each copy of the template, none of which overlap, in their order."""
+    found, behind = set(), 0
+    for at, end in _windows(code, np.array(template), least):
+        if at >= behind:
+            pairs = patience(code[at:end].tolist(), template)
+            if len(pairs) >= least * len(template) - 1e-9:
+                first, last = at + pairs[0][0], at + pairs[-1][0]
+                found.add((-len(pairs), last - first, first))
+                if len(pairs) == len(template) == last - first + 1:
+                    behind = last + 1
+    taken: list[tuple[int, int, int]] = []
+    for n, span, first in sorted(found):
+        i = bisect_left(taken, (first,))
+        if (i == 0 or taken[i - 1][1] < first) and (i == len(taken) or taken[i][0] > first + span):
+            insort(taken, (first, first + span, -n))
+    return taken
+
+
+def _windows(code: np.ndarray, template: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Start and end of the windows that may reach `least`, in their order. A window begins at one of the template's words
+    and ends behind the last of them within twice its words."""
     words, often = np.unique(template, return_counts=True)
     at = np.flatnonzero(np.isin(code, words))
     end = at + 2 * len(template)
@@ -145,5 +157,4 @@ def _windows(code: np.ndarray, template: np.ndarray, least: float) -> list[tuple
         most += np.minimum(np.searchsorted(own, end) - np.searchsorted(own, at), n)
     end = at[np.searchsorted(at, end) - 1] + 1
     some = np.flatnonzero(most >= least * len(template) - 1e-9)
-    some = some[np.argsort(-most[some], kind="stable")]
-    return list(zip(at[some].tolist(), end[some].tolist(), most[some].tolist(), strict=True))
+    return list(zip(at[some].tolist(), end[some].tolist(), strict=True))
