@@ -366,3 +366,50 @@ print("fine")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, cwd=tmp_path, timeout=300)
     assert run.stdout.strip().endswith("fine"), run.stderr[-2000:]
+
+
+def test_descent_reaches_the_minimum():
+    """The loss after the descent against the least one, which Newton's method finds on a dense matrix."""
+    rng = np.random.default_rng(12)
+    width, n = 12, 400
+    sets = [np.unique(rng.integers(0, width, rng.integers(0, 6))).astype(np.int32) for _ in range(n)]
+    y = np.array([float(rng.random() < (0.8 if 2 in s or 7 in s else 0.1)) for s in sets])
+    swap = np.full(width, -1)
+    swap[[4, 5, 7]] = [5, 7, 4]
+    strength, fairness = 1e-3, 0.7
+    x = np.zeros((n, width + 1))
+    x[:, -1] = 1
+    apart = np.zeros((n, width + 1))
+    for i, s in enumerate(sets):
+        x[i, s] = 1
+        for c in s[swap[s] >= 0]:
+            apart[i, c] += 1
+            apart[i, swap[c]] -= 1
+    named = sum(bool((swap[s] >= 0).any()) for s in sets)
+    ridge = np.diag([strength] * width + [0.0]) + 2 * fairness / named * apart.T @ apart
+
+    def loss(w):
+        z = x @ w
+        return np.mean(np.logaddexp(0, z) - y * z) + w @ ridge @ w / 2
+
+    least = np.zeros(width + 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ least))
+        least -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / n + ridge, x.T @ (p - y) / n + ridge @ least)
+    w, b = toxicity.descend(sets, y, swap, width, -1.0, strength, fairness, 400)
+    assert loss(np.append(w, b)) <= loss(least) + 1e-5
+    assert np.abs(np.append(w, b) - least).max() < 0.05
+
+
+def test_scores_by_hand(spark, documents):
+    """Each score from the words of the whole text, looked up one by one."""
+    words = sorted({w for r in documents.collect() for w in re.findall("[a-z\\x80-\\U0010ffff]+", (r["text"] or "").lower())})[:300]
+    weight = {w: (i % 7 - 3) / 2 for i, w in enumerate(words)}
+    hashes = toxicity._hashes(words)
+    order = np.argsort(hashes)
+    model = toxicity.Model(hashes[order], np.array([weight[w] for w in words])[order], -0.5)
+    rows = documents.collect()
+    got = Counter((r["doc_id"], round(r["score"], 9)) for r in toxicity.score_toxicity(documents, model).collect())
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    z = lambda t: -0.5 + sum(weight.get(w, 0) for w in set(re.findall("[a-z\\x80-\\U0010ffff]+", lower(t))))
+    assert got == Counter((r["doc_id"], round(float(1 / (1 + np.exp(-z(r["text"])))), 9)) for r in rows)
