@@ -13,7 +13,10 @@ PREVIOUS = "row_id long, tick long, number long"
 
 
 class Transition(StatefulProcessor):
-    """The reason why a command does not follow the one before it in its slot; a command out of order is an error row."""
+    """The reason why a command does not follow the one before it in its slot; a command out of order is an error row.
+
+    Within a batch the shuffle keeps no order, so a slot's rows of one batch are sorted together; the trigger bounds them.
+    """
 
     def __init__(self, max_gap: int):
         self.max_gap = max_gap
@@ -23,22 +26,21 @@ class Transition(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         last = self.last.get() if self.last.exists() else None
-        for frame in rows:
-            f = frame.sort_values("row_id", kind="stable").reset_index(drop=True)
-            fresh = ~f["row_id"].duplicated() & (True if last is None else f["row_id"] > last[0])
-            good = f[fresh]
-            before = good[["tick", "number"]].shift(1)
-            if last is not None and len(good):
-                before.iloc[0] = last[1:]
-            step = good["tick"] - before["tick"]
-            reason = pd.Series(None, index=f.index, dtype=object)
-            reason[~fresh] = "out_of_order"
-            reason[good.index[good["number"] != before["number"] + 1]] = "command_number_discontinuity"
-            reason[good.index[~step.between(0, self.max_gap)]] = "demo_tick_discontinuity"
-            reason[good.index[before["tick"].isna()]] = "first_command"
-            if len(good):
-                last = tuple(int(x) for x in good.iloc[-1][["row_id", "tick", "number"]])
-            yield pd.DataFrame({"slot": int(key[0]), "row_id": f["row_id"], "reset_reason": reason})
+        f = pd.concat(list(rows)).sort_values("row_id", kind="stable").reset_index(drop=True)
+        fresh = ~f["row_id"].duplicated() & (True if last is None else f["row_id"] > last[0])
+        good = f[fresh]
+        before = good[["tick", "number"]].shift(1)
+        if last is not None and len(good):
+            before.iloc[0] = last[1:]
+        step = good["tick"] - before["tick"]
+        reason = pd.Series(None, index=f.index, dtype=object)
+        reason[~fresh] = "out_of_order"
+        reason[good.index[good["number"] != before["number"] + 1]] = "command_number_discontinuity"
+        reason[good.index[~step.between(0, self.max_gap)]] = "demo_tick_discontinuity"
+        reason[good.index[before["tick"].isna()]] = "first_command"
+        if len(good):
+            last = tuple(int(x) for x in good.iloc[-1][["row_id", "tick", "number"]])
+        yield pd.DataFrame({"slot": int(key[0]), "row_id": f["row_id"], "reset_reason": reason})
         if last is not None:
             self.last.update(last)
 
