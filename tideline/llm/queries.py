@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import sql
+from tideline.llm.archives import archive_pages
 from tideline.llm.chat_format import format_preferences
+from tideline.llm.conversation_repair import damaged, repair_conversations
 from tideline.llm.curves import nearest
 from tideline.llm.decontaminate import decontaminate
 from tideline.llm.license_scan import scan_licenses
@@ -19,6 +21,7 @@ from tideline.llm.shared import new_path
 from tideline.llm.substring_dedup import dedup_substrings
 from tideline.llm.token_codec import write_and_read
 from tideline.llm.toxicity import fit, score_toxicity, train_fold
+from tideline.llm.whitening import whiten
 
 TOXIC_AT = 0.7
 
@@ -107,8 +110,30 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all `pages` say of each: its payload's length and digest, and which page's payload it is."""
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of each of all `conversations`, damaged and repaired; one without rows left has zeros and no text."""
+    turns = table(spark, sf_dir, "conversations")
+    report, _ = repair_conversations(damaged(turns), texts=False)
+    ids = turns.select(F.col("conv_id").cast("long").alias("_conv")).distinct()
+    out = ids.join(report, F.col("_conv").eqNullSafe(F.col("conv_id")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select(F.col("_conv").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four components of each of all `embeddings`, whitened; see whitening.whiten for what takes no part."""
+    out = whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_chat_format, op2_curves, op3_mixing, op4_tokens, op5_substring_dedup, op6_minhash, op7_licenses, op8_secrets, op9_toxicity, op10_winnowing)
+    own = (op1_chat_format, op2_curves, op3_mixing, op4_tokens, op5_substring_dedup, op6_minhash, op7_licenses, op8_secrets, op9_toxicity, op10_winnowing, op11_warc, op12_repair, op13_whitening)
     return {f.__name__: f for f in own}
 
 

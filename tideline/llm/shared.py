@@ -90,6 +90,29 @@ def without(rows: DataFrame, gone: DataFrame, on: str | list[str]) -> DataFrame:
     return rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, on, "left_anti")
 
 
+#: A table of one row for each key is broadcast if it has been counted and holds at most so many rows.
+BROADCAST_GROUPS = 200_000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, on: str | list[str], count: str) -> DataFrame:
+    """rows left joined with groups, which has one row for each key and in `count` how many of the rows have it.
+
+    Few groups are broadcast. Of many, the largest are: a group of at least total / BROADCAST_GROUPS rows, so there are at
+    most BROADCAST_GROUPS of them; rows of the others are joined by a shuffle, in which no key has more rows than that.
+    Rows with a null key have no group; keys must not be null where such rows matter.
+    """
+    on = [on] if isinstance(on, str) else on
+    groups = stored(groups, "groups")
+    n, total = groups.agg(F.count("*"), F.coalesce(F.sum(count), F.lit(0))).first()
+    if n <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(groups), on, "left")
+    least = int(total) // BROADCAST_GROUPS + 1
+    heavy, light = groups.where(F.col(count) >= least), groups.where(F.col(count) < least)
+    hot = rows.join(F.broadcast(heavy), on)
+    other = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(light.hint("shuffle_merge"), on, "left")
+    return hot.unionByName(other.select(hot.columns))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

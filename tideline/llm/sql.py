@@ -77,4 +77,59 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
 FROM w LEFT JOIN n_hit h USING (doc_id) LEFT JOIN items m USING (doc_id)
 """
 
-ORACLES = {"op1_chat_format": OP1, "op3_mixing": OP3, "op5_substring_dedup": OP5, "op6_minhash": OP6, "op10_winnowing": OP10}
+_DIGITS = "('0x' || substr(sha1(coalesce(html, '')), 1 + 5 * g, 5))::BIGINT"
+OP11 = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((list_transform(range(0, 8), lambda g: {_DIGITS})[1 + i // 4] >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS digest FROM pages),
+k AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first, row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST, url NULLS FIRST) AS k FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN k = 1 OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to
+FROM k
+"""
+
+
+def _way(state: str, cost: str, letter: str, text: str) -> str:
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {text}}} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+_USER, _ASSISTANT, _LATE = "chr(10) || 'user:'", "chr(10) || 'assistant:'", "CASE WHEN fault = 't' THEN 3 ELSE 0 END"
+_X2 = _least("s2", *(_way(s, "3", "I", _USER) for s in ("s0", "s1", "s3")))
+#: Closed under inserts: x2 and x3; then the turn: y0 to y3.
+_KEPT = "chr(10) || role || ':' || text"
+
+
+def _stay(states: tuple[str, ...], initial: str, name: str) -> list[str]:
+    keep = [f"CASE WHEN fault IN ('', 't') AND r = '{initial}' THEN {_way(s, _LATE, 'K', _KEPT)} END" for s in states]
+    return keep if initial == "s" else keep + [f"CASE WHEN fault IN ('', 't') THEN {_way(s, f'3 + {_LATE}', 'R', name + ' || text')} END" for s in states]
+
+
+OP12 = f"""
+WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+drawn AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(name, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, op: CASE WHEN op >= 0 THEN xor(c, op) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295) % 20 AS fault FROM named),
+damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(0, CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM drawn WHERE fault <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body FROM damaged),
+rows_of AS (SELECT conv_id, turn, i, role, text, left(role, 1) AS r, CASE WHEN body = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+  count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows_of GROUP BY conv_id),
+scan AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': ''}} AS s0, NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR) AS s1, NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR) AS s2, NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR) AS s3 FROM counts
+  UNION ALL
+  SELECT conv_id, i + 1, {_way("s0", "4", "D", "''")}, {_least(_way("s1", "4", "D", "''"), *_stay(("s0",), "s", ""))},
+    {_least(_way("x2", "4", "D", "''"), *_stay(("s0", "s1", "x3"), "u", _USER))}, {_least(_way("x3", "4", "D", "''"), *_stay(("x2",), "a", _ASSISTANT))}
+  FROM (SELECT *, {_least("s3", _way("x2", "3", "I", _ASSISTANT))} AS x3 FROM (
+    SELECT c.*, w.role, w.text, w.r, w.fault, {_X2} AS x2 FROM scan c JOIN rows_of w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.i + 1))),
+ends AS (SELECT conv_id, i, s0, {_least("s3", _way(_X2, "3", "I", _ASSISTANT))} AS x3 FROM scan),
+best AS (SELECT c.*, {_least("s0", "x3")} AS way FROM counts c JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.i = c.n)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.c, 0)::BIGINT AS cost, coalesce(way.a, '') AS audit, sha256(coalesce(substr(way.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLES = {"op1_chat_format": OP1, "op3_mixing": OP3, "op5_substring_dedup": OP5, "op6_minhash": OP6, "op10_winnowing": OP10, "op11_warc": OP11, "op12_repair": OP12}
