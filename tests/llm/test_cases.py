@@ -217,23 +217,25 @@ def test_patience_is_recursive():
 
 
 def brute_copies(words, template, least):
-    """Copies by aligning every window that begins and ends at a template's word, and taking the best that are apart."""
+    """The largest total weight over all choices of alignments that are apart, of windows of each width that is looked at."""
     found, behind, n = set(), 0, len(template)
     for at in range(len(words)):
         if words[at] in template and at >= behind:
-            window = words[at : at + 2 * n]
-            while window[-1] not in template:
-                window = window[:-1]
-            pairs = license_scan.patience(window, template)
-            if len(pairs) >= least * n - 1e-9:
-                first, last = at + pairs[0][0], at + pairs[-1][0]
-                found.add((-len(pairs), last - first, first))
-                behind = last + 1 if len(pairs) == n == last - first + 1 else behind
-    out = []
-    for k, span, first in sorted(found):
-        if all(first + span < a or first > b for a, b, _ in out):
-            out.append((first, first + span, -k))
-    return sorted(out)
+            for width in (n, n * 9 // 8, n * 10 // 8, n * 12 // 8, 2 * n):
+                pairs = license_scan.patience(words[at : at + width], template)
+                if len(pairs) >= least * n - 1e-9:
+                    first, last = at + pairs[0][0], at + pairs[-1][0]
+                    found.add((first, last, len(pairs)))
+                    if len(pairs) == n == last - first + 1:
+                        behind = last + 1
+                        break
+    spans = sorted(found)
+    best = {len(spans): 0}
+    for i in reversed(range(len(spans))):
+        first, last, k = spans[i]
+        after = next((j for j in range(i, len(spans)) if spans[j][0] > last), len(spans))
+        best[i] = max(best[i + 1], 5 * k - 2 * (last - first + 1 - k) + best[after])
+    return best[0]
 
 
 def test_licence_copies():
@@ -247,12 +249,67 @@ def test_licence_copies():
             copy = [x for w in copy for x in ([w, -1] if rng.random() < 0.1 else [w])]
             words += copy + [rng.choice([-1, -1, rng.randrange(12)]) for _ in range(rng.choice([0, 0, 3, 40]))]
         got = license_scan.copies(np.array(words, np.int64), template, 0.8)
-        assert got == brute_copies(words, template, 0.8)
+        assert sum(5 * k - 2 * (last - first + 1 - k) for first, last, k in got) == brute_copies(words, template, 0.8)
         assert all(a[1] < b[0] for a, b in zip(got, got[1:], strict=False))
         several += len(got) > 1
     assert several > 15
 
 
+@pytest.mark.parametrize("name", ["mit", "zlib", "gpl-3.0-notice"])
+@pytest.mark.parametrize("changed", [1, 3])
+@pytest.mark.parametrize("between", [0, 20])
+def test_licence_edited_copies(spark, name, changed, between):
+    """Ten copies, each with its own words changed, side by side or apart, are ten rows at their places."""
+    rng = random.Random(f"{name}{changed}{between}")
+    template = re.findall("[a-z0-9]+", license_scan.TEMPLATES[name].lower())
+    words, places = [], []
+    for i in range(10):
+        copy = list(template)
+        for at in rng.sample(range(3, len(copy) - 3), changed):
+            copy[at] = f"edit{i}x{at}"
+        places.append((len(words), len(words) + len(copy) - 1))
+        words += copy + [f"foreign{i}x{j}" for j in range(between)]
+    got = license_scan.scan_licenses(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).where(F.col("license") == name).collect()
+    assert sorted((r["first_word"], r["last_word"]) for r in got) == places
+
+
+def test_toxicity_rows_are_bounded_when_ids_repeat(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(i, "fine") for i in range(2, 100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 100)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, labels, 30).collect()
+    assert len(rows) == 30 and len({r["doc_id"] for r in rows}) == 30
+    every = {r["doc_id"]: r["text"] for r in toxicity.training_rows(docs, labels, 1000).collect()}
+    assert len(every) == 99 and every[1] == "text 0"
+
+
+def test_chat_format_of_very_long_conversations(spark):
+    """20,000 turns in one conversation, extra columns of clashing names, masks at their places."""
+    n = 20_000
+    rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t}", 5, "x") for t in range(n)]
+    other = [(p, t, r, x if t != n // 2 else "else", a, b) for p, t, r, x, a, b in rows]
+    kinds = "pair_id long, turn long, role string, text string, _end int, c string"
+    (out,) = chat_format.format_preferences(spark.createDataFrame(rows, kinds), spark.createDataFrame(other, kinds)).collect()
+    assert out["prefix_turns"] == n // 2
+    assert [out["chosen"][m["start"] : m["end"]] for m in out["chosen_mask"]] == [f"turn {t}\n<|end|>\n" for t in range(n // 2, n) if t % 2]
+    assert [out["rejected"][m["start"] : m["end"]] for m in out["rejected_mask"]] == [f"turn {t}\n<|end|>\n" for t in range(n // 2, n) if t % 2]
+
+
+def test_decontamination_of_a_long_contaminated_text(spark, monkeypatch):
+    """A text wholly of passages, over many pieces, has every word hit; with clean words between, just the passages."""
+    rng = random.Random(8)
+    items = [(f"i{k}", " ".join(f"q{rng.randrange(5000)}" for _ in range(rng.choice([4, 9, 10, 40])))) for k in range(200)]
+    for most in (4096, 13):
+        monkeypatch.setattr(decontaminate, "PIECE_WORDS", most)
+        chosen = [rng.choice(items) for _ in range(6000 if most > 100 else 60)]
+        clean = [f"clean{i} word" for i in range(len(chosen))]
+        texts = {1: " ".join(t for _, t in chosen), 2: " ".join(f"{t} {c}" for (_, t), c in zip(chosen, clean, strict=True)), 3: None, 4: "nothing here"}
+        got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in decontaminate.decontaminate(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")).collect()}
+        words = sum(len(t.split()) for _, t in chosen)
+        assert got[1][:2] == (words, words) and got[2][:2] == (words + 2 * len(chosen), words)
+        assert got[1][2] == got[2][2] == sorted({i for i, _ in chosen})
+        assert got[3] == (0, 0, [], False) and got[4] == (2, 0, [], False)
+
+
 def test_licence_many_copies(spark):
     """A long text that is nothing but copies has a row for each."""
     mit = license_scan.TEMPLATES["mit"]

@@ -151,6 +151,14 @@ def test_near_duplicates_chain_and_hub(spark):
     assert got == brute_groups(texts, 3, 85)
 
 
+def test_near_duplicates_of_many_revisions(spark):
+    """500 revisions of a page, each like its neighbours only, are one group."""
+    words = [f"w{i}" for i in range(6000)]
+    rows = [(1000 - i if i % 2 else i, " ".join(words[10 * i : 10 * i + 200])) for i in range(500)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85, 40).collect()
+    assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
+
+
 def test_near_duplicates_edges(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
     rows = spark.createDataFrame([(None, "a b c d e f"), (None, None), (4, "a b c d e f"), (4, "q r s t u v"), (9, "Q R S T U V"), (5, "a b c d e f")], "doc_id long, text string")
@@ -164,6 +172,22 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, 77: 77, 100: 77, 200: 200, 201: 200, 500: 300, **{300 + i: 300 for i in range(30)}}
 
 
+@pytest.mark.parametrize("order", ["ascending", "descending", "random"])
+def test_components_of_long_chains(spark, monkeypatch, order):
+    """A path of 100,000 nodes ends in few rounds, whatever the order of its ids."""
+    from tideline.llm import components as module
+
+    n, made = 100_000, []
+    ids = list(range(n))
+    ids = ids[::-1] if order == "descending" else random.Random(3).sample(ids, n) if order == "random" else ids
+    write = module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name, rows=None: made.append(name) or write(df, name, rows))
+    out = components(spark.createDataFrame(list(itertools.pairwise(ids)), "a long, b long"))
+    assert out.agg(F.count("*"), F.min("component"), F.max("component"), F.countDistinct("node")).first()[:] == (n, 0, 0, n)
+    assert made.count("edges") - 1 <= (1 if order != "random" else 14)
+    assert made.count("least") <= (20 if order != "random" else 60)
+
+
 def brute_hits(texts, items, window=10):
     runs = defaultdict(set)
     for item, t in items:

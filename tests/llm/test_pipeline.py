@@ -68,7 +68,7 @@ def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
     assert set(__spark_entry__.oracle_sql()) <= names
 
 

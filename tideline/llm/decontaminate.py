@@ -17,6 +17,8 @@ from tideline.llm.shared import lower_ascii, row_name, stored
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: A side of a join is broadcast if its measured size is at most this; a larger one is joined by shuffles.
 BROADCAST_BYTES = 4 << 20
+#: Words of a contaminated text whose runs are looked up at once.
+PIECE_WORDS = 4096
 
 
 def words_of(text: Column) -> Column:
@@ -77,24 +79,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     read = texts.select(*name, words_of(F.col("text")).alias("words"))
     all_prints = _prints(read, window, gram, short).select("k1", "k2", F.explode(F.array_distinct(F.concat("prints", *(f"n{k}" for k in short)))).alias("print"))
-    hits = all_prints.join(near(runs.select("print").distinct()), "print").groupBy("k1", "k2").agg(F.collect_set("print").alias("met"))
-    hits = stored(hits, "hits")
-
-    few = hits.agg(F.sum(32 + 8 * F.size("met"))).first()[0] or 0
-    again = texts.select(*name, "doc_id", words_of(F.col("text")).alias("words")).join(F.broadcast(hits) if few <= BROADCAST_BYTES else hits, ["k1", "k2"], "left")
-    found = _prints(again.where("met is not null"), window, gram, short)
-
-    def met_runs(prints: str, k: int) -> Column:
-        at = F.filter(F.transform(prints, lambda x, i: F.when(F.array_contains("met", x), i + 1)), lambda i: i.isNotNull())
-        return F.transform(at, lambda i: F.struct(i.cast("int").alias("at"), F.lit(k).alias("k"), F.array_join(F.slice("words", i, k), " ").alias("run")))
-
-    lists = [met_runs("prints", window), *(met_runs(f"n{k}", k) for k in short)]
+    hits = all_prints.join(near(runs.select("print").distinct()), "print").select("k1", "k2").distinct()
+    hits = stored(hits.withColumn("met", F.lit(True)), "hits")
+
+    again = texts.select(*name, "doc_id", words_of(F.col("text")).alias("words"))
+    again = again.join(F.broadcast(hits) if 16 * hits.count() <= BROADCAST_BYTES else hits, ["k1", "k2"], "left")
+    #: A long text is looked at piece by piece; each run of words begins in one piece and lies in it as a whole.
+    whole = again.where("met").select("k1", "k2", "doc_id", F.size("words").alias("n_words"), "words")
+    cut = whole.withColumn("from", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0)), F.lit(PIECE_WORDS))))
+    cut = cut.withColumn("words", F.slice("words", F.col("from") + 1, PIECE_WORDS + window - 1))
+    found = _prints(cut, window, gram, short)
+
+    def runs_at(prints: str, k: int) -> Column:
+        return F.transform(F.col(prints), lambda x, i: F.struct((F.col("from") + i + 1).cast("int").alias("at"), F.lit(k).alias("k"), x.alias("print"), F.array_join(F.slice("words", i + 1, k), " ").alias("run")))
+
+    lists = [runs_at("prints", window), *(runs_at(f"n{k}", k) for k in short)]
+    every = found.select("k1", "k2", "doc_id", "n_words", F.explode(F.concat(*lists)).alias("x")).select("k1", "k2", "doc_id", "n_words", "x.*")
+    met = every.join(near(runs.select("print").distinct()), "print", "left_semi").drop("print")
     #: Each row also sends one entry of its own, which meets nothing: it carries n_words and counts repeated rows.
-    own = lambda: F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.concat(F.lit("\u0001"), F.col("k1").cast("string")).alias("run"))
-    sent = found.select("k1", "k2", "doc_id", F.size("words").alias("n_words"), F.explode(F.concat(F.array(own()), *lists)).alias("x"))
+    own = whole.select("k1", "k2", "doc_id", "n_words", F.lit(0).alias("at"), F.lit(0).alias("k"), F.concat(F.lit("\u0001"), F.col("k1").cast("string")).alias("run"))
     #: A row for each run, with all items that hold it, so that a document's run meets one row however many those are.
     runs_of = near(runs.groupBy("run").agg(F.array_sort(F.collect_set("item_id")).alias("holders"), F.lit(True).alias("known")))
-    matched = sent.select("k1", "k2", "doc_id", "n_words", "x.*").join(runs_of, "run", "left")
+    matched = own.unionByName(met).join(runs_of, "run", "left")
     per_doc = matched.groupBy("k1", "k2", "doc_id").agg(
         F.first("n_words").cast("long").alias("n_words"),
         F.collect_set(F.when(F.col("known"), F.struct("at", "k"))).alias("at"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -85,9 +85,10 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
     """doc_id, license, coverage, first_word, last_word, n_anchored for each copy of a template in a text that covers
-    `least` of it. Windows of twice the template's words, one from each word that the template has, are aligned; of those
-    alignments the best is a copy (ties to the narrowest, then to the first), then the best that shares no stretch with
-    it, and so on. Behind an unbroken copy the search goes on. Where in a text a copy begins makes no difference.
+    `least` of it. Windows of once to twice the template's words, from each word that the template has, are aligned; of
+    those alignments, the ones that share no word and have the largest total weight() are the copies, so that adjoining
+    copies are told apart, edited or not. Behind an unbroken copy the search goes on. Where in a text a copy begins makes
+    no difference. Columns beside doc_id and text are left out, whatever they are called.
 
     Words are lower-cased runs of letters, digits and non-ASCII characters, counted from 0. coverage is the share of the
     template's words that the alignment pairs. Texts that are null, empty or hold no licence have no row; repeated rows
@@ -127,34 +128,60 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
 
 
 def copies(code: np.ndarray, template: list[int], least: float) -> list[tuple[int, int, int]]:
-    """(first word, last word, words aligned) of each copy of the template, none of which overlap, in their order."""
+    """(first word, last word, words aligned) of each copy of the template, none of which overlap, in their order: of all
+    alignments found, those of the largest total of weight() that share no word."""
     found, behind = set(), 0
-    for at, end in _windows(code, np.array(template), least):
+    for at, ends in _windows(code, np.array(template), least):
         if at >= behind:
-            pairs = patience(code[at:end].tolist(), template)
-            if len(pairs) >= least * len(template) - 1e-9:
-                first, last = at + pairs[0][0], at + pairs[-1][0]
-                found.add((-len(pairs), last - first, first))
-                if len(pairs) == len(template) == last - first + 1:
-                    behind = last + 1
-    taken: list[tuple[int, int, int]] = []
-    for n, span, first in sorted(found):
-        i = bisect_left(taken, (first,))
-        if (i == 0 or taken[i - 1][1] < first) and (i == len(taken) or taken[i][0] > first + span):
-            insort(taken, (first, first + span, -n))
-    return taken
-
-
-def _windows(code: np.ndarray, template: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Start and end of the windows that may reach `least`, in their order. A window begins at one of the template's words
-    and ends behind the last of them within twice its words."""
+            for end in ends:
+                pairs = patience(code[at:end].tolist(), template)
+                if len(pairs) >= least * len(template) - 1e-9:
+                    first, last = at + pairs[0][0], at + pairs[-1][0]
+                    found.add((last, -first, -len(pairs)))
+                    if len(pairs) == len(template) == last - first + 1:
+                        behind = last + 1
+                        break
+    return heaviest([(-first, last, -n) for last, first, n in sorted(found)])
+
+
+def weight(first: int, last: int, n: int) -> int:
+    """Words aligned, less two fifths of those passed over: a copy that fills its gaps from the next one weighs less than
+    both, and one spread over twice its words still weighs something."""
+    return 5 * n - 2 * (last - first + 1 - n)
+
+
+def heaviest(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of spans by ascending end, those of the largest total weight that don't overlap; of equal totals the one met first."""
+    ends = [last for _, last, _ in spans]
+    total, take = [0], []
+    for i, span in enumerate(spans):
+        before = bisect_left(ends, span[0], 0, i)
+        own = total[before] + weight(*span)
+        take.append(before if own > total[-1] else None)
+        total.append(max(own, total[-1]))
+    out, i = [], len(spans)
+    while i:
+        if take[i - 1] is None:
+            i -= 1
+        else:
+            out.append(spans[i - 1])
+            i = take[i - 1]
+    return out[::-1]
+
+
+def _windows(code: np.ndarray, template: np.ndarray, least: float) -> list[tuple[int, list[int]]]:
+    """Start and ends of the windows that may reach `least`, in their order. A window begins at one of the template's words
+    and ends behind the last of them within its words, or more of them, up to twice as many: a wide one sees a copy that is
+    spread, a narrow one a copy whose gaps the next copy would fill."""
     words, often = np.unique(template, return_counts=True)
     at = np.flatnonzero(np.isin(code, words))
-    end = at + 2 * len(template)
-    most = np.zeros(len(at), np.int64)
+    wide = sorted({len(template) * x // 8 for x in (8, 9, 10, 12, 16)})
+    reach = np.stack([at + w for w in wide])
+    most = np.zeros(reach.shape, np.int64)
     for word, n in zip(words.tolist(), often.tolist(), strict=True):
         own = at[code[at] == word]
-        most += np.minimum(np.searchsorted(own, end) - np.searchsorted(own, at), n)
-    end = at[np.searchsorted(at, end) - 1] + 1
-    some = np.flatnonzero(most >= least * len(template) - 1e-9)
-    return list(zip(at[some].tolist(), end[some].tolist(), strict=True))
+        most += np.minimum(np.searchsorted(own, reach) - np.searchsorted(own, at), n)
+    end = at[np.searchsorted(at, reach) - 1] + 1 if len(at) else reach
+    fine = most >= least * len(template) - 1e-9
+    some = np.flatnonzero(fine.any(0))
+    return [(int(at[i]), sorted(set(end[fine[:, i], i].tolist()))) for i in some]

@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on words, regularised by counterfactuals.
 
 For every training sentence that names a group, the sentence with the group's name swapped is scored too, and the squared
-difference of the two scores is a penalty. Names of groups so lose the weight that they owe to the company they keep.
+difference of the two logits is a penalty. Names of groups so lose the weight that they owe to the company they keep.
 
 Few texts are toxic, so the plain probability is far too low to decide by. Two halves of the training rows score each
 other; the logit that parts those best (by F1) is moved to the logit of the score from which a text counts as toxic.
@@ -64,10 +64,12 @@ def _hashes(terms: list[str]) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """doc_id, text, toxic of at most `most` labelled documents, drawn by a hash of the id, with labels by training ids."""
+    """doc_id, text, toxic of at most `most` labelled documents, drawn by a hash of the id, with labels by training ids.
+    Of rows that repeat an id the one with the least text counts, so that there are no more rows than ids."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 30_000, most_words: int = 4096, least_docs: int = 3, strength: float = 1e-4, fairness: float = 1.0, steps: int = 400, toxic_at: float = 0.7) -> Model:
