@@ -28,6 +28,27 @@ def median_and_mad(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     return mid.join(away, keys)
 
 
+def reservoir(df: DataFrame, keys: list[str], x: str, id_column: str, k: int = 512) -> DataFrame:
+    """The k values of each key whose ids have the smallest hashes: the same rows however the table is partitioned, a fair
+    sample of a larger key and all of a smaller one. Spark keeps k rows of a key in each partition before the shuffle (its
+    group limit, for k up to spark.sql.optimizer.windowGroupLimitThreshold, 1000). Null values are left out."""
+    rows = df.where(F.col(x).isNotNull()).select(*keys, x, id_column)
+    w = Window.partitionBy(*keys).orderBy(F.xxhash64(id_column), id_column, x)
+    return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
+
+
+def sampled_median_and_mad(df: DataFrame, keys: list[str], x: str, id_column: str, k: int = 512) -> DataFrame:
+    """n, sampled, median and mad of each key: n is exact, the others are of its reservoir(), and exact up to k values. Of
+    more, the median stands at a share of 0.5 +- 0.5 / sqrt(k) of the ordered values, in two of three samples."""
+    n = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"))
+    kept = reservoir(df, keys, x, id_column, k).groupBy(*keys).agg(F.collect_list(F.col(x).cast("double")).alias("_values"))
+    at = lambda c, i: F.get(c, i.cast("int"))
+    middle = lambda c: (at(c, F.floor((F.size(c) - 1) / 2)) + at(c, F.floor(F.size(c) / 2))) / 2
+    out = kept.withColumn("_sorted", F.array_sort("_values")).withColumn("median", middle(F.col("_sorted")))
+    out = out.withColumn("_away", F.array_sort(F.transform("_values", lambda v: F.abs(v - F.col("median"))))).withColumn("mad", middle(F.col("_away")))
+    return n.join(out.select(*keys, F.size("_values").cast("long").alias("sampled"), "median", "mad"), keys)
+
+
 def observed_seconds(df: DataFrame, keys: list[str], order: str, seconds: str, alive: Column, most: float = 1.0) -> DataFrame:
     """Per key, the sum of the steps in (0, most] of `seconds` that begin and end alive."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -24,6 +24,43 @@ def interval_join(points: DataFrame, intervals: DataFrame, t: str, start: str =
     return out.select("p.*", *(right[c] for c in right.columns if c != "_cell" and c not in {f"_{k}" for k in keys})).drop("_cell")
 
 
+def dyadic_nodes(start: Column, end: Column) -> Column:
+    """(level, node) of the fewest aligned ranges of 2 ** level that make up [start, end): two of a level at most."""
+
+    def at(k: Column) -> Column:
+        first, last = -F.call_function("shiftright", -start, k), F.call_function("shiftright", end, k) - 1
+        node = lambda x: F.struct(k.alias("level"), x.alias("node"))
+        return F.array(F.when((first <= last) & (first % 2 != 0), node(first)), F.when((first <= last) & (last % 2 == 0), node(last)))
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), at)))
+
+
+def dyadic_join(points: DataFrame, intervals: DataFrame, t: str, start: str = "start", end: str = "end", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Points with every interval [start, end) that holds them, of any lengths in one table: whole numbers under 2 ** 61.
+
+    An interval is entered as its dyadic_nodes(), under two for each doubling of its length; a point looks in one range of
+    each level that some interval has. Levels of few ranges, which all points meet, are dealt out by a hash of the point.
+    Empty intervals, null bounds and null points match nothing.
+    """
+    as_long = intervals.withColumns({"_lo": F.col(start).cast("long"), "_hi": F.col(end).cast("long")}).where("_lo < _hi")
+    entered = as_long.withColumn("_n", F.explode(dyadic_nodes(F.col("_lo"), F.col("_hi")))).withColumns({"_level": F.col("_n.level"), "_node": F.col("_n.node")}).drop("_n", "_lo", "_hi")
+    #: A row for each level, at most 63: how many ranges and keys its points are spread over.
+    levels = entered.groupBy("_level").agg(F.approx_count_distinct(F.struct("_node", *keys)).alias("n")).collect()
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not levels:
+        deal = {0: 1}
+    else:
+        deal = {r["_level"]: max(1, -(-parts // max(1, r["n"]))) for r in levels}
+    salts = F.create_map(*(x for k, n in sorted(deal.items()) for x in (F.lit(k), F.lit(n))))
+    right = entered.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts[F.col("_level")] - 1)))
+    right = right.select(*(F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in right.columns))
+    own = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright(F.col(t).cast("long"), k).alias("node"), F.pmod(F.xxhash64(t, F.monotonically_increasing_id()), F.lit(n)).cast("int").alias("salt")) for k, n in sorted(deal.items())))
+    left = points.where(F.col(t).isNotNull()).withColumn("_own", F.explode(own)).alias("p")
+    on = [F.col("p._own.level") == right["_level"], F.col("p._own.node") == right["_node"], F.col("p._own.salt") == right["_salt"], *(F.col(f"p.{k}") == right[f"_{k}"] for k in keys)]
+    hidden = {"_level", "_node", "_salt", *(f"_{k}" for k in keys)}
+    return left.join(right, on).select(*(F.col(f"p.{c}") for c in points.columns), *(right[c] for c in right.columns if c not in hidden))
+
+
 def asof_join(left: DataFrame, right: DataFrame, t: str, right_t: str, keys: tuple[str, ...], values: tuple[str, ...], strict: bool = False) -> DataFrame:
     """left with the values of the last right row of its keys at or before t (before, if strict); null where there is none.
 

@@ -20,6 +20,17 @@ def round_robin(df: DataFrame, groups: list[str], key: str) -> DataFrame:
     return df.withColumn("turn", F.row_number().over(Window.partitionBy(*groups).orderBy(hash_order(key))))
 
 
+def first_turns(df: DataFrame, groups: list[str], key: str, turns: int) -> DataFrame:
+    """round_robin(), of the first `turns` turns alone: Spark keeps that many rows of a group in each partition before the
+    shuffle (its group limit, for up to spark.sql.optimizer.windowGroupLimitThreshold, 1000), so a group may be of any size."""
+    return round_robin(df, groups, key).where(F.col("turn") <= turns)
+
+
+def dealt_turns(df: DataFrame, groups: list[str], key: str, n: int) -> DataFrame:
+    """The first n rows when groups take turns, with their `turn`: no group gives more than n of them."""
+    return first_turns(df, groups, key, n).orderBy("turn", *groups).limit(n)
+
+
 def _counted(column: str, counts: Counter) -> Column:
     """The count of a column's value, 0 where it has none."""
     out = F.lit(0)

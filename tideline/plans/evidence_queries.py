@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tideline.functions import angles, bits, names, wire
-from tideline.operators import aggregates, intervals, joins, selection, windows
+from tideline.operators import aggregates, intervals, joins, scans, selection, windows
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, rounds, states
 from tideline.plans.views import PLAYER_FRAMES, player_frames
@@ -115,7 +115,10 @@ def set_4_tails(spark, d):
 
 @query("SELECT slot, round_id, tick, row_number() OVER (PARTITION BY round_id ORDER BY tick, slot) AS place FROM st", STATE)
 def ord_1_window_order(spark, d):
-    return states(spark, d).select("slot", "round_id", "tick", F.row_number().over(Window.partitionBy("round_id").orderBy("tick", "slot")).cast("long").alias("place"))
+    """Places in a round of all recordings, which may have most of the rows."""
+    order = ["tick", "slot"]
+    rows = scans.ranged(states(spark, d).select("slot", "round_id", "tick"), ["round_id"], order)
+    return scans.scan(rows, ["round_id"], order, place=scans.running_count()).select("slot", "round_id", "tick", "place")
 
 
 @query("SELECT slot, '{' || string_agg('\"' || kind || '\":' || n, ',' ORDER BY kind) || '}' AS histogram FROM (SELECT slot, kind, count(*) AS n FROM cmd GROUP BY 1, 2) GROUP BY slot", CMD)

@@ -3,9 +3,10 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import audits, intervals, selection, windows
+from tideline.operators import audits, digests, intervals, selection, windows
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, ROUNDS, STATE, commands, rounds, states
+from tideline.sources.scratch import new_folder
 
 C = F.col
 SPANS = ", sp AS (SELECT row_id, slot, tick AS start, tick + 1 + k % 20 AS \"end\" FROM cmd)"
@@ -102,7 +103,8 @@ def ord_5_round_robin(spark, d):
 
 @query("SELECT kind, row_id FROM (SELECT kind, row_id, row_number() OVER (PARTITION BY kind ORDER BY sha256(CAST(row_id AS VARCHAR))) AS turn FROM cmd) ORDER BY turn, kind LIMIT 100", CMD)
 def ord_6_across_sources(spark, d):
-    return selection.round_robin(commands(spark, d), ["kind"], "row_id").orderBy("turn", "kind").limit(100).select("kind", "row_id")
+    """A hundred picks: no kind gives more, so no partition sends more of one."""
+    return selection.dealt_turns(commands(spark, d).select("kind", "row_id"), ["kind"], "row_id", 100).select("kind", "row_id")
 
 
 @query("SELECT slot, tick, count(*) AS n FROM cmd GROUP BY slot, tick HAVING count(*) > 1", CMD)
@@ -131,10 +133,19 @@ def aud_6_constancy(spark, d):
     return audits.different_from(commands(spark, d), "kind", "view").select("row_id", "kind")
 
 
-@query("SELECT user_id, slot, 'left' AS side FROM cmd WHERE kind = 'error' AND k = 7 UNION ALL SELECT user_id, slot, 'right' FROM cmd WHERE kind = 'view' AND k = 7 AND false", CMD)
+@query(
+    """SELECT user_id, CASE WHEN m IS NULL THEN 'missing' ELSE 'changed' END AS status FROM (SELECT user_id, count(*) AS n, sum(cents) AS x FROM cmd GROUP BY user_id) p
+      LEFT JOIN (SELECT user_id, count(*) AS m, sum(cents) AS y FROM cmd WHERE NOT (kind = 'error' AND k = 7) AND user_id % 97 <> 5 GROUP BY user_id) r USING (user_id) WHERE m IS DISTINCT FROM n OR y IS DISTINCT FROM x""",
+    CMD,
+)
 def aud_8_recompute(spark, d):
-    c = commands(spark, d).where("kind = 'error' AND k = 7").select("user_id", "slot")
-    return audits.differences(c, c.where("false"))
+    """A published table of users computed anew from commands of which some are gone; the digests lead to who differs."""
+    path, columns = new_folder(spark), ["n", "x"]
+    profile = lambda rows: rows.groupBy("user_id").agg(F.count("*").alias("n"), F.sum("cents").alias("x"))
+    c = commands(spark, d)
+    digests.publish_with_digests(profile(c), path, "user_id", columns, 16)
+    anew = profile(c.where("not (kind = 'error' and k = 7) and user_id % 97 != 5"))
+    return digests.compare_with_published(spark, anew, path, "user_id", columns, 16).rows
 
 
 @query("SELECT slot, c AS \"check\", n, p AS passed, f AS failed, CASE WHEN f > 0 THEN 'failed' WHEN p = n THEN 'passed' ELSE 'unknown' END AS status FROM (SELECT slot, 'alive' AS c, count(*) AS n, count(*) FILTER (alive) AS p, count(*) FILTER (NOT alive) AS f FROM cmd GROUP BY slot UNION ALL SELECT slot, 'present', count(*), count(*) FILTER (present), count(*) FILTER (NOT present) FROM cmd GROUP BY slot UNION ALL SELECT slot, 'tick', count(*), count(*) FILTER (tick >= 0), count(*) FILTER (tick < 0) FROM cmd GROUP BY slot)", CMD)

@@ -9,9 +9,9 @@ from tideline.operators import audits, labels, samples, selection, windows
 from tideline.plans.label_queries import JOINED, phases
 from tideline.plans.registry import query
 from tideline.plans.sample_queries import TARGET, TRIPLE
-from tideline.plans.source_queries import new_folder
 from tideline.plans.views import CMD, PLAYER_FRAMES, ROUNDS, STATE, WRAP, commands, player_frames, rounds, states
-from tideline.sources import sinks
+from tideline.sources import sinks, tables
+from tideline.sources.scratch import new_folder
 
 C = F.col
 
@@ -152,11 +152,12 @@ def src_13_state_rows(spark, d):
 
 @query("SELECT row_id AS n, tick AS frame_index FROM cmd WHERE kind = 'signup' AND tick BETWEEN 5000 AND 20000", CMD)
 def src_18_event_index(spark, d):
-    """A ledger stored by event and in order, of which a reader of one event and a range of ticks opens that part alone."""
+    """A ledger in ranges of event and tick, of which a reader of one event and a range of ticks opens those files alone;
+    an event with most of the rows fills most of the files."""
     path = new_folder(spark)
     rows = commands(spark, d).select(C("kind").alias("event"), C("row_id").alias("n"), C("tick").alias("frame_index"))
-    rows.repartition("event").sortWithinPartitions("event", "frame_index", "n").write.partitionBy("event").parquet(path)
-    return spark.read.parquet(path).where("event = 'signup' and frame_index between 5000 and 20000").select("n", "frame_index")
+    tables.write_clustered(rows, path, ["event", "frame_index", "n"])
+    return tables.read_clustered(spark, path, ("signup", 5000), ("signup", 20000), rows.schema).select("n", "frame_index")
 
 
 @query("SELECT row_id, dx AS value FROM cmd WHERE dx IS NOT NULL", CMD)

@@ -103,10 +103,11 @@ def dom_39_candidates(spark, d):
     return commands(spark, d).where("alive").groupBy("round_id", "slot").agg(F.count("*").alias("n"), F.count_if(any_bit(C("p2"), 1)).alias("attacks")).where("n >= 4")
 
 
-@query("SELECT ms, count(DISTINCT ns) > 1 AS collides, count(*) AS n FROM (SELECT i * 15625000 AS ns, i * 15625000 // 20000000 AS ms FROM range(0, 400) t(i)) GROUP BY ms")
+@query("SELECT slot, ns // 20000000 AS cell, count(DISTINCT ns) > 1 AS collides, count(*) AS n FROM (SELECT slot, (sec * 64 + cents % 64) * 15625000 AS ns FROM cmd) GROUP BY 1, 2", CMD)
 def dom_72_control_grid(spark, d):
-    ns = spark.range(0, 400).select((C("id") * 15_625_000).alias("ns"))
-    return ns.groupBy(F.floor(C("ns") / 20_000_000).alias("ms")).agg((F.countDistinct("ns") > 1).alias("collides"), F.count("*").alias("n"))
+    """Controls at 64ths of a second on a grid of 20 ms: which cells get more than one."""
+    ns = commands(spark, d).select("slot", ((C("sec") * 64 + C("cents") % 64) * 15_625_000).alias("ns"))
+    return ns.groupBy("slot", F.expr("ns div 20000000").alias("cell")).agg((F.countDistinct("ns") > 1).alias("collides"), F.count("*").alias("n"))
 
 
 @query("SELECT c.row_id, s.start AS segment_start FROM cmd c LEFT JOIN (SELECT round_id, start, freeze_end FROM rd) s ON s.round_id = c.round_id AND c.tick >= s.start AND c.tick < s.freeze_end", CMD, ROUNDS)

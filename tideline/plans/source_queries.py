@@ -1,7 +1,5 @@
 """Queries of the readers, the sinks and the streams: each goes through files of the shared folder and comes back."""
 
-import tempfile
-import uuid
 from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
@@ -9,25 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators import audits
+from tideline.operators import audits, scans
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, STATE, commands, commands_of, frames, states
 from tideline.sources import sinks, tables
+from tideline.sources.scratch import new_folder
 from tideline.streaming import stateful
 
 C = F.col
 
 
-def new_folder(spark: SparkSession) -> str:
-    """A new path below spark.checkpoint.dir; where it is unset, a local session has a temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        shared = tempfile.mkdtemp(prefix="tideline-")
-    return f"{shared}/tick-{uuid.uuid4().hex}"
-
-
 @query("SELECT event_id, user_id FROM events")
 def src_1_pruned_scan(spark, d):
     return tables.read_table(spark, f"{d}/events.parquet", ["event_id", "user_id"])
@@ -139,11 +128,12 @@ def src_19_ledger_view(spark, d):
     STATE,
 )
 def src_20_merged_events(spark, d):
-    """Two kinds of commands and the states in one order; each day's events are numbered in it."""
+    """Two kinds of commands and the states in one order; each day's events, those of all recordings, are numbered in it."""
     first = commands(spark, d).select(C("kind").alias("event"), C("tick").alias("n"))
     second = states(spark, d).select(F.lit("state").alias("event"), C("tick").alias("n"))
-    day = Window.partitionBy(F.floor(C("n") / 1440)).orderBy("n", "ledger", "event")
-    return tables.merged_events([first, second], ["click", "purchase", "state"]).withColumn("place", F.row_number().over(day))
+    order = ["n", "ledger", "event"]
+    merged = tables.merged_events([first, second], ["click", "purchase", "state"]).withColumn("day", F.floor(C("n") / 1440))
+    return scans.scan(scans.ranged(merged, ["day"], order), ["day"], order, place=scans.running_count()).select("event", "n", "ledger", "place")
 
 
 @query("SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events']) || '.parquet' AS name, true AS some")
@@ -312,4 +302,4 @@ def str_10_resumable(spark, d):
     for _ in range(2):
         rows = commands_of(stream_of(spark, d)).where("alive").select("row_id", "slot")
         stateful.resumable(rows, f"{path}/state", f"{path}/out").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("row_id", "slot")
+    return sinks.CommitLog(spark, f"{path}/out").read(rows.schema)

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import windows
+from tideline.operators import scans, windows
 from tideline.plans.registry import query
 from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, WRAP, commands, frames, rounds, states
 from tideline.plans.views import PLAYER_FRAMES, player_frames
@@ -84,8 +84,8 @@ def win_12_history_windows(spark, d):
 
 @query("SELECT row_id, max(client_tick) OVER (PARTITION BY slot ORDER BY row_id) AS ceiling, sum(CASE WHEN kind <> 'view' THEN 1 ELSE 0 END)  OVER (PARTITION BY slot ORDER BY row_id) AS other FROM cmd".replace("sum(CASE", "CAST(sum(CASE").replace("ORDER BY row_id) AS other", "ORDER BY row_id) AS BIGINT) AS other"), CMD)
 def win_14_running_ceiling(spark, d):
-    w = Window.partitionBy("slot").orderBy("row_id").rowsBetween(Window.unboundedPreceding, 0)
-    return commands(spark, d).select("row_id", F.max("client_tick").over(w).alias("ceiling"), F.sum((C("kind") != "view").cast("long")).over(w).alias("other"))
+    rows = scans.ranged(commands(spark, d).select("row_id", "slot", "client_tick", "kind"), ["slot"], ["row_id"])
+    return scans.scan(rows, ["slot"], ["row_id"], ceiling=scans.running_max(C("client_tick")), other=scans.running_count(C("kind") != "view")).select("row_id", "ceiling", "other")
 
 
 @query("SELECT slot, tick, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds FROM (SELECT a.slot, a.tick, b.kind FROM (SELECT slot, tick FROM st) a JOIN (SELECT slot, kind, min(tick) AS t FROM cmd GROUP BY 1, 2) b ON b.slot = a.slot AND b.t <= a.tick) GROUP BY slot, tick", STATE)

@@ -167,3 +167,38 @@ def merged_events(ledgers: list[DataFrame], kinds: list[str]) -> DataFrame:
     """The events of these kinds of all ledgers in one order; of one number, those of the earlier ledger come first."""
     some = [x.where(F.col("event").isin(kinds)).withColumn("ledger", F.lit(i)) for i, x in enumerate(ledgers)]
     return reduce(DataFrame.unionByName, some).orderBy("n", "ledger")
+
+
+def write_clustered(rows: DataFrame, path: str, by: list[str], parts: int | None = None) -> None:
+    """Rows in files of ranges of `by`, sorted, and a manifest of each file's rows and least and greatest values. A value
+    with many rows fills several files, so no task writes more than its share."""
+    spark = rows.sparkSession
+    dealt = rows.repartitionByRange(parts, *by) if parts else rows.repartitionByRange(*by)
+    dealt.sortWithinPartitions(*by).write.mode("errorifexists").option("compression", "zstd").parquet(f"{path}/rows")
+    place = F.struct(*by)
+    files = spark.read.parquet(f"{path}/rows").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"), F.min(place).alias("least"), F.max(place).alias("greatest"))
+    files.coalesce(1).write.mode("errorifexists").parquet(f"{path}/manifest")
+
+
+def clustered_files(spark: SparkSession, path: str, low: tuple, high: tuple) -> list[str]:
+    """Names of the files that may hold places from `low` to `high`, which may be shorter than the places are."""
+    manifest = spark.read.parquet(f"{path}/manifest")
+    names = manifest.schema["least"].dataType.names
+    prefix = lambda c, n: F.struct(*(F.col(f"{c}.{x}") for x in names[:n]))
+    literal = lambda values: F.struct(*(F.lit(v).cast(manifest.schema["least"].dataType[x].dataType).alias(x) for x, v in zip(names, values, strict=False)))
+    some = manifest.where((prefix("greatest", len(low)) >= literal(low)) & (prefix("least", len(high)) <= literal(high)))
+    return sorted(r["file"] for r in some.select("file").collect())
+
+
+def read_clustered(spark: SparkSession, path: str, low: tuple, high: tuple, schema: T.StructType | str) -> DataFrame:
+    """The rows from `low` to `high` of what write_clustered() wrote; files that can't hold any aren't opened."""
+    manifest = spark.read.parquet(f"{path}/manifest")
+    names, kinds = manifest.schema["least"].dataType.names, manifest.schema["least"].dataType
+    files = clustered_files(spark, path, low, high)
+    if not files:
+        return spark.createDataFrame([], schema)
+    literal = lambda values: F.struct(*(F.lit(v).cast(kinds[x].dataType).alias(x) for x, v in zip(names, values, strict=False)))
+    rows = spark.read.schema(schema).parquet(*(f"{path}/rows/{f}" for f in files))
+    #: The first column by itself reaches the scan; the rest of the place is compared with it as a whole.
+    rows = rows.where(F.col(names[0]).between(F.lit(low[0]), F.lit(high[0])))
+    return rows.where((F.struct(*names[: len(low)]) >= literal(low)) & (F.struct(*names[: len(high)]) <= literal(high)))

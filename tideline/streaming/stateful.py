@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tideline.sources.sinks import CommitLog
+
 PREVIOUS = "row_id long, tick long, number long"
 
 
@@ -69,9 +71,10 @@ def stream_first_of_key(events: DataFrame, keys: list[str], time: str, within: s
 
 
 def resumable(df: DataFrame, checkpoint: str, path: str):
-    """Append accepted rows batch by batch; a batch that is written twice replaces itself."""
+    """Append accepted rows batch by batch, each a commit of the log at `path`: one that is tried twice is there once, and
+    readers (sinks.CommitLog.read) never see half of one."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={number}")
+        CommitLog(batch.sparkSession, path).append(batch, f"batch-{number:010d}")
 
     return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
