@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import aggregates, cadence, digests, integrity, joins, scans, selection, windows
+from tideline.operators import aggregates, cadence, digests, integrity, joins, samples, scans, selection, windows
 from tideline.plans.source_queries import drained, rocks
 from tideline.sources import sinks, tables
 from tideline.streaming import processors
@@ -343,3 +343,20 @@ def test_cadence_and_startup(spark):
     samples = spark.createDataFrame([(1, 1, 0, 5), (1, 2, 0, -1), (1, 3, 1, 0), (1, 4, 0, 200), (1, 5, 1, None)], "slot int, at long, stage int, gap long")
     got = {r["stage"]: tuple(r)[2:] for r in cadence.startup(samples, ["slot"], "at", C("stage"), C("gap"), 100).collect()}
     assert got == {0: (3, 2, 2, 1, 200, 4, 3), 1: (2, 1, 0, 0, 0, 3, 2)}
+
+
+def test_samples_have_all_that_is_against_them(spark):
+    rows = [(1, i, None if i == 5 else float(i), [True, True, None, False][i] if i < 4 else True) for i in range(12)] + [(2, 0, 1.0, True)]
+    df = spark.createDataFrame(rows, "slot int, id long, yaw double, seen boolean")
+    quality = F.array_compact(F.array(F.when(C("yaw").isNull(), F.lit("no_view"))))
+    out = samples.accept_samples(df, ["slot"], ["id"], "id", quality, C("seen"), 3, 2)
+    got = {(r["slot"], r["id"]): (r["reason_codes"], r["training_ready"], r["window_complete"], r["window_ids"]) for r in out.collect()}
+    assert got[1, 0] == (["insufficient_history"], False, False, [0, 1, 2])
+    assert got[1, 2] == (["proof_unknown"], False, True, [0, 1, 2, 3, 4])
+    assert got[1, 3] == (["no_view", "proof_rejected"], False, True, [1, 2, 3, 4, 5])
+    assert got[1, 7] == (["no_view"], False, True, [5, 6, 7, 8, 9]) and got[1, 8] == ([], True, True, [6, 7, 8, 9, 10])
+    assert got[1, 11][0] == ["insufficient_future"] and got[2, 0][0] == ["insufficient_future", "insufficient_history"]
+    assert out.select("sample_id").distinct().count() == 13
+    report = {r["slot"]: tuple(r)[1:] for r in samples.acceptance_report(out, ["slot"]).collect()}
+    assert report[2] == (1, 0, 0, 1, '{"insufficient_future":1,"insufficient_history":1}')
+    assert report[1][:4] == (12, 8, 2, 10)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.angles import exact_turn, finite, wrap_degrees
@@ -89,3 +89,42 @@ def assemble(samples: DataFrame, key: list[str], order: list[str], series: str,
 def masked_array(cells: list[Column], empty: float = 0.0) -> tuple[Column, Column]:
     """Values with a placeholder where they are unknown, and the mask that says so."""
     return F.array(*(F.coalesce(c.cast("double"), F.lit(empty)) for c in cells)), F.array(*(c.isNotNull() for c in cells))
+
+
+#: Reasons that a window's edge gives; a sample without them is complete, whatever else is wrong with it.
+BOUNDARY = ("insufficient_future", "insufficient_history")
+
+
+def accept_samples(rows: DataFrame, keys: list[str], order: list[str], id_column: str, quality: Column, proof: Column, history: int = 8, ahead: int = 1) -> DataFrame:
+    """rows with the reasons against each as a sample: its own row is the last of `history` observed ones and the next
+    `ahead` are its targets. reason_codes, sorted, each once: a window that is short, `quality` (an array of codes) of any
+    row in the window, and `proof`, true only where it was verified (`proof_rejected`, `proof_unknown` else). Also
+    training_ready (no reasons), window_complete (no short window), window_ids and a sample_id made of them."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    around = w.rowsBetween(-(history - 1), ahead)
+    out = rows.withColumns({"_own": F.coalesce(quality, F.array().cast("array<string>")), "_proof": proof})
+    out = out.withColumns(
+        {
+            "_codes": F.flatten(F.collect_list("_own").over(around)),
+            "window_ids": F.collect_list(id_column).over(around),
+            "_before": F.count("*").over(w.rowsBetween(-(history - 1), 0)),
+            "_after": F.count("*").over(w.rowsBetween(1, ahead)),
+        }
+    )
+    verdict = F.when(F.col("_proof").isNull(), "proof_unknown").when(~F.col("_proof"), "proof_rejected")
+    edges = F.array(F.when(F.col("_before") < history, F.lit(BOUNDARY[1])), F.when(F.col("_after") < ahead, F.lit(BOUNDARY[0])), verdict)
+    codes = F.array_sort(F.array_distinct(F.concat("_codes", F.array_compact(edges))))
+    out = out.withColumn("reason_codes", codes)
+    complete = ~F.arrays_overlap("reason_codes", F.array(*map(F.lit, BOUNDARY)))
+    name = F.sha2(F.concat_ws(",", F.lit(f"{history}:{ahead}"), F.transform("window_ids", lambda x: x.cast("string"))), 256)
+    out = out.withColumns({"training_ready": F.size("reason_codes") == 0, "window_complete": complete, "sample_id": F.substring(name, 1, 32)})
+    return out.drop("_own", "_proof", "_codes", "_before", "_after")
+
+
+def acceptance_report(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each key: candidates, complete windows, accepted, rejected, and how often each reason was given, as JSON in order."""
+    n = samples.groupBy(*keys).agg(F.count("*").alias("candidates"), F.count_if("window_complete").alias("complete"), F.count_if("training_ready").alias("accepted"), F.count_if(~F.col("training_ready")).alias("rejected"))
+    why = samples.select(*keys, F.explode("reason_codes").alias("code")).groupBy(*keys, "code").agg(F.count("*").alias("n"))
+    why = why.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("code", "n"))).alias("reasons"))
+    text = F.coalesce(F.to_json(F.map_from_entries("reasons")), F.lit("{}")).alias("reasons")
+    return n.join(why, keys, "left").select(*keys, "candidates", "complete", "accepted", "rejected", text)

@@ -5,13 +5,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators import aggregates, cadence, digests, integrity, joins, scans, selection
+from tideline.operators import aggregates, cadence, digests, integrity, joins, samples, scans, selection
 from tideline.plans.registry import query
 from tideline.plans.source_queries import EVENTS, drained, rocks
 from tideline.plans.views import CMD, ROUNDS, STATE, commands, commands_of, rounds, states
 from tideline.sources import sinks, tables
 from tideline.sources.scratch import new_folder
-from tideline.streaming import processors
+from tideline.streaming import processors, stateful
 
 C = F.col
 
@@ -245,3 +245,44 @@ def dom_50_startup_stages(spark, d):
     """Three stages of views as start-up samples: recorded gaps, and the largest with the sample before it."""
     out = cadence.startup(commands(spark, d).where("kind = 'view'"), ["slot"], "row_id", C("k") % 3, C("cents") - 500, 20000)
     return out.withColumn("sample_before", F.when(C("most").isNotNull(), F.coalesce("sample_before", F.lit(-1))))
+
+
+@query("SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts) AS start, time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS \"end\", count(*) AS n FROM events GROUP BY 1, 2, 3")
+def str_15_closed_chunks(spark, d):
+    """Counts in windows of six hours, each put out once the watermark has passed it, over several batches."""
+    return drained(spark, stateful.stream_chunks(in_batches(spark, d), "user_id", "ts", "6 hours"), "append").where("user_id >= 0")
+
+
+SAMPLES = """
+judged AS (SELECT c.slot, c.row_id, c.sec, c.present, list_filter([CASE WHEN c.yaw IS NULL THEN 'missing_viewangles' END, CASE WHEN NOT c.alive THEN 'not_alive' END,
+  CASE WHEN s.paused THEN 'paused' WHEN s.paused IS NULL THEN 'pause_unknown' END], lambda x: x IS NOT NULL) AS own FROM cmd c JOIN st s ON s.slot = c.slot AND s.tick = c.tick),
+sampled AS (SELECT slot, row_id, list_sort(list_distinct(list_concat(flatten(list(own) OVER (PARTITION BY slot ORDER BY sec, row_id ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING)),
+  list_filter([CASE WHEN count(*) OVER (PARTITION BY slot ORDER BY sec, row_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) < 4 THEN 'insufficient_history' END,
+    CASE WHEN count(*) OVER (PARTITION BY slot ORDER BY sec, row_id ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) < 1 THEN 'insufficient_future' END,
+    CASE WHEN present IS NULL THEN 'proof_unknown' WHEN NOT present THEN 'proof_rejected' END], lambda x: x IS NOT NULL)))) AS codes FROM judged)"""
+
+
+def _samples(spark, d) -> DataFrame:
+    """Commands as samples: quality by view angles, life and the pauses of their states, proof by presence."""
+    paused = states(spark, d).select("slot", "tick", "paused")
+    rows = commands(spark, d).select("slot", "row_id", "sec", "tick", "yaw", "alive", "present").join(paused, ["slot", "tick"])
+    pause = F.when(C("paused"), F.lit("paused")).when(C("paused").isNull(), F.lit("pause_unknown"))
+    quality = F.array_compact(F.array(F.when(C("yaw").isNull(), F.lit("missing_viewangles")), F.when(~C("alive"), F.lit("not_alive")), pause))
+    return samples.accept_samples(rows, ["slot"], ["sec", "row_id"], "row_id", quality, C("present"), 4, 1)
+
+
+@query("SELECT slot, row_id, array_to_string(codes, ',') AS reasons, len(codes) = 0 AS training_ready, NOT list_has_any(codes, ['insufficient_history', 'insufficient_future']) AS window_complete FROM sampled", STATE, SAMPLES)
+def dom_17_samples(spark, d):
+    """Each command as a sample, and all that is against it: its window, its rows, their states and its proof."""
+    return _samples(spark, d).select("slot", "row_id", F.array_join("reason_codes", ",").alias("reasons"), "training_ready", "window_complete")
+
+
+@query(
+    """SELECT slot, count(*) AS candidates, count(*) FILTER (NOT list_has_any(codes, ['insufficient_history', 'insufficient_future'])) AS complete, count(*) FILTER (len(codes) = 0) AS accepted, count(*) FILTER (len(codes) > 0) AS rejected, any_value(reasons) AS reasons
+      FROM sampled JOIN (SELECT slot, '{' || string_agg('"' || code || '":' || n, ',' ORDER BY code) || '}' AS reasons FROM (SELECT slot, code, count(*) AS n FROM (SELECT slot, unnest(codes) AS code FROM sampled) GROUP BY slot, code) GROUP BY slot) USING (slot) GROUP BY slot""",
+    STATE,
+    SAMPLES,
+)
+def dom_17_report(spark, d):
+    """How many samples of each slot are complete, accepted and rejected, and why."""
+    return samples.acceptance_report(_samples(spark, d), ["slot"])
