@@ -470,3 +470,17 @@ def test_scores_by_hand(spark, documents):
     lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     z = lambda t: -0.5 + sum(weight.get(w, 0) for w in set(re.findall("[a-z\\x80-\\U0010ffff]+", lower(t))))
     assert got == Counter((r["doc_id"], round(float(1 / (1 + np.exp(-z(r["text"])))), 9)) for r in rows)
+
+
+def test_nearest_of_long_vectors_at_an_edge_of_zero():
+    """Products near zero of long vectors differ by rounding far above the product; whatever ties, the exact scores decide."""
+    draw = np.random.default_rng(4)
+    queries = draw.normal(size=(30, 16)) * 1e6
+    rows = draw.normal(size=(400, 16)) * 1e6
+    rows -= (rows @ queries[0])[:, None] * queries[0] / (queries[0] @ queries[0])
+    ids = np.arange(400)
+    at, found, score = curves.best_of(queries, np.arange(1000, 1030), rows, ids, 20)
+    for q in range(30):
+        exact = curves.scores_of(queries[q], rows)
+        by = np.lexsort((ids, -exact))[:20]
+        assert found[at == q].tolist() == ids[by].tolist() and score[at == q].tolist() == exact[by].tolist()

@@ -80,13 +80,15 @@ def scores_of(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 def best_of(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, itself: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query place, id, score) of the k best rows for each query, ties to smaller ids; `itself`: its own row counts too."""
     out: list[tuple] = []
+    #: What rounding can make of a product grows with both lengths, not with the product.
+    slack = 1e-13 * vectors.shape[-1] * np.linalg.norm(queries, axis=1) * np.linalg.norm(vectors, axis=1).max(initial=0.0)
     for a in range(0, len(queries), 256):
         rough = queries[a : a + 256] @ vectors.T
         for j, row in enumerate(rough):
             at = np.arange(len(ids))
             if len(ids) > k + 1:
                 edge = np.partition(row, len(ids) - k - 1)[len(ids) - k - 1]
-                at = np.flatnonzero(row >= edge - 1e-9 * (1 + abs(edge)))
+                at = np.flatnonzero(row >= edge - max(slack[a + j], 1e-9 * abs(edge)))
             at = at if itself else at[ids[at] != q_ids[a + j]]
             exact = scores_of(queries[a + j], vectors[at])
             by = np.lexsort((ids[at], -exact))[:k]
