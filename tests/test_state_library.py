@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import aggregates, cadence, digests, integrity, joins, samples, scans, selection, windows
+from tideline.operators import aggregates, cadence, digests, discovery, integrity, joins, samples, scans, selection, windows
 from tideline.plans.source_queries import drained, rocks
 from tideline.sources import sinks, tables
 from tideline.streaming import processors
@@ -360,3 +360,85 @@ def test_samples_have_all_that_is_against_them(spark):
     report = {r["slot"]: tuple(r)[1:] for r in samples.acceptance_report(out, ["slot"]).collect()}
     assert report[2] == (1, 0, 0, 1, '{"insufficient_future":1,"insufficient_history":1}')
     assert report[1][:4] == (12, 8, 2, 10)
+
+
+# ---- discovery
+
+
+def plain_windows(states, length, max_gap):
+    """[start, end) and falls of health, state by state."""
+    out, run, prior = [], [], None
+    for slot, tick, ok, who, health in sorted(states, key=lambda r: (r[0], r[1])):
+        if run and (not ok or prior is None or prior[0] != slot or tick - prior[1] > max_gap or prior[2] != who):
+            run = []
+        if ok:
+            run.append((tick, health))
+        prior = (slot, tick, who)
+        if len(run) == length:
+            falls = sum(1 for (_, a), (_, b) in zip(run, run[1:], strict=False) if a is not None and b is not None and b < a)
+            out.append((slot, who, run[0][0], run[-1][0] + 1, falls))
+            run = []
+    return out
+
+
+def plain_hints(windows, commands, margin, allowed, sustained):
+    """One command after another: held reload (16), passages of the movement bits 1 and 2, holds of the attack bit 4."""
+    out = {}
+    for slot, _, start, end, _ in windows:
+        known = boundary = reload = begun = ended = run = longest = 0
+        before, last, gap, n = None, None, 0, 0
+        for _, tick, _, p1, p2, p3, there in sorted((c for c in commands if c[0] == slot and c[1] is not None and start <= c[1] < end), key=lambda c: (c[1], c[2])):
+            n += 1
+            gap = max(gap, tick - (start if last is None else last))
+            last = tick
+            if not there or None in (p1, p2, p3):
+                before, run = None, 0
+                continue
+            known += 1
+            follows = before is not None and tick - before[0] <= 2
+            boundary += not follows
+            inside = tick >= start + margin
+            reload += inside and bool((p1 | p2 | p3) & 16)
+            if follows and inside and before[1] & 3 == (p1 ^ p2) & 3:
+                begun += not before[1] & 3 and bool(p1 & 3)
+                ended += bool(before[1] & 3) and not p1 & 3
+            steady = bool(p1 & 4) and not (p2 | p3) & 4
+            run = run + 1 if steady and follows and before[1] & 4 else int(steady)
+            longest = max(longest, run if inside else 0)
+            before = (tick, p1)
+        gap = None if last is None else max(gap, end - last)
+        out[slot, start] = (n, known, boundary, reload, begun, ended, longest, longest >= sustained, gap, gap is not None and gap <= allowed)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_discovery_state_by_state(spark, seed):
+    rng = random.Random(seed)
+    ticks = [(slot, t) for slot in range(4) for t in range(120) if rng.random() < 0.95]
+    states = [(slot, t, rng.choice([True] * 20 + [False, None]), rng.choice(["a"] * 15 + ["b", None]) if slot else "a", rng.choice([None, 1, 2, 3])) for slot, t in ticks]
+    commands = [(rng.randrange(5), rng.choice([*range(120), None]), i, rng.choice([None, *range(32)]), rng.choice([0, 0, *range(8)]), rng.choice([0, 0, 4, 16]), rng.choice([True] * 9 + [None])) for i in range(900)]
+    df = spark.createDataFrame(states, "slot int, t long, ok boolean, who string, health int").repartition(3)
+    rows = spark.createDataFrame(commands, "slot int, t long, id int, p1 long, p2 long, p3 long, there boolean").repartition(3)
+    found = discovery.state_windows(df, ["slot"], "t", C("ok"), ["who"], 6, 2, {"falls": lambda before: C("health") < before("health")})
+    want = plain_windows([(s, t, bool(ok), who, h) for s, t, ok, who, h in states], 6, 2)
+    assert sorted(map(str, found.select("slot", "who", "start", "end", "falls").collect())) == sorted(f"Row(slot={s}, who={w!r}, start={a}, end={b}, falls={f})" for s, w, a, b, f in want)
+    assert len(want) > 10
+    near = lambda before: C("t") - before("t") <= 2
+    out = discovery.action_hints(found, rows, ["slot"], "t", ["t", "id"], ["p1", "p2", "p3"], C("there"), near, {"reload": 16}, [1, 2], 4, 2, 3, 2)
+    names = ["commands", "known", "boundary_gaps", "reload", "movement_start", "movement_stop", "attack_run", "sustained_attack", "max_gap", "covered"]
+    assert {(r["slot"], r["start"]): tuple(r[n] for n in names) for r in out.collect()} == plain_hints(want, commands, 2, 3, 2)
+    report = discovery.coverage_report(out, [], ["reload", "sustained_attack"]).first()
+    assert report["candidates"] == len(want) and report["eligible_reload"] <= report["n_reload"]
+    keyed = out.withColumns({"key": F.concat_ws(":", "slot", "start"), "source": F.lit("one")})
+    picks = discovery.choose(keyed, "key", "source", "who", "slot", ["reload", "sustained_attack"], 5)
+    covered = {r["key"] for r in keyed.where("covered").collect()}
+    assert len(set(picks)) == len(picks) == min(5, len(covered)) and set(picks) <= covered
+    assert discovery.action_hints(found, rows.limit(0), ["slot"], "t", ["t", "id"], ["p1", "p2", "p3"], C("there"), near, {"reload": 16}, [1, 2], 4, 2, 3, 2).where("commands > 0 OR covered OR max_gap IS NOT NULL").count() == 0
+    assert discovery.state_windows(df.limit(0), ["slot"], "t", C("ok"), ["who"], 6, 2, {}).count() == 0
+
+
+def test_pairs_are_unique_on_both_sides(spark):
+    left = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (1, 2, 7), (1, 3, 8), (None, 4, 9)], "k int, t int, v int")
+    right = spark.createDataFrame([(1, 1, 50), (1, 2, 60), (2, 1, 70), (None, 4, 90)], "k int, t int, v int")
+    got = {(r["k"], r["t"], r["status"], r["left_v"], r["right_v"]) for r in joins.paired_once(left, right, ["k", "t"], "v").collect()}
+    assert got == {(1, 1, "matched", 5, 50), (1, 2, "ambiguous", None, None), (1, 3, "left_only", None, None), (2, 1, "right_only", None, None), (None, 4, "left_only", None, None), (None, 4, "right_only", None, None)}

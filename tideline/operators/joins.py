@@ -110,11 +110,22 @@ def offset_join(left: DataFrame, right: DataFrame, key: str, number: str, offset
     return out
 
 
-def compare_tables(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """key and status of rows that differ: missing_left, missing_right or changed; NaN equals NaN."""
-    l_, r = left.select(key, F.struct(*columns).alias("_l")), right.select(key, F.struct(*columns).alias("_r"))
+def paired_once(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys of either side, a status (matched, ambiguous, left_only, right_only) and left_<value> and right_<value>, which
+    are there where each side has the keys in just one row. Null keys meet nothing and stay with their side."""
+    side = lambda df, n, v: df.groupBy(*keys).agg(F.count("*").alias(n), F.min(value).alias(v))
+    both = side(left, "_a", f"left_{value}").join(side(right, "_b", f"right_{value}"), keys, "full_outer")
+    status = F.when(F.col("_a").isNull(), "right_only").when(F.col("_b").isNull(), "left_only").when((F.col("_a") > 1) | (F.col("_b") > 1), "ambiguous").otherwise("matched")
+    shown = [F.when(F.col("status") == "matched", F.col(f"{s}_{value}")).alias(f"{s}_{value}") for s in ("left", "right")]
+    return both.withColumn("status", status).select(*keys, "status", *shown)
+
+
+def compare_tables(left: DataFrame, right: DataFrame, key: str | list[str], columns: list[str]) -> DataFrame:
+    """key (one column or more) and status of rows that differ: missing_left, missing_right or changed; NaN equals NaN."""
+    key = [key] if isinstance(key, str) else key
+    l_, r = left.select(*key, F.struct(*columns).alias("_l")), right.select(*key, F.struct(*columns).alias("_r"))
     status = F.when(F.col("_l").isNull(), "missing_left").when(F.col("_r").isNull(), "missing_right").when(~F.col("_l").eqNullSafe(F.col("_r")), "changed")
-    return l_.join(r, key, "full_outer").select(key, status.alias("status")).where("status is not null")
+    return l_.join(r, key, "full_outer").select(*key, status.alias("status")).where("status is not null")
 
 
 def not_covered(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

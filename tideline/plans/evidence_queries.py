@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tideline.functions import angles, bits, names, wire
 from tideline.operators import aggregates, intervals, joins, scans, selection, windows
 from tideline.plans.registry import query
-from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, rounds, states
+from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, neighbours, rounds, states
 from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
@@ -41,10 +41,10 @@ def dom_20_command_issues(spark, d):
     return rows.select("row_id", F.array_join(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items()))), ",").alias("issues"))
 
 
-@query("SELECT slot, tick, x, x_2, x_3, x_4, x_2 IS NOT NULL AND x_3 IS NOT NULL AND x_4 IS NOT NULL AS complete FROM (SELECT a.slot, a.tick, a.x, b.x AS x_2, c.x AS x_3, e.x AS x_4 FROM st a LEFT JOIN st b ON b.slot = a.slot AND b.tick = a.tick + 2 LEFT JOIN st c ON c.slot = a.slot AND c.tick = a.tick + 3 LEFT JOIN st e ON e.slot = a.slot AND e.tick = a.tick + 4) WHERE x % 3 = 0", STATE)
+@query("SELECT slot, tick, x, x_2, x_3, x_4, x_2 IS NOT NULL AND x_3 IS NOT NULL AND x_4 IS NOT NULL AS complete FROM (SELECT a.slot, a.tick, a.x, b.x AS x_2, c.x AS x_3, e.x AS x_4 FROM st a LEFT JOIN st b ON b.slot = a.slot AND b.tick = a.tick + 2 LEFT JOIN st c ON c.slot = a.slot AND c.tick = a.tick + 3 LEFT JOIN st e ON e.slot = a.slot AND e.tick = a.tick + 4)", STATE)
 def dom_30_control_candidates(spark, d):
     s = states(spark, d)
-    out = joins.offset_join(s.where("x % 3 = 0").select("slot", "tick", "x"), s.select("slot", "tick", C("x").alias("v")), "slot", "tick", (2, 3, 4), "v")
+    out = joins.offset_join(s.select("slot", "tick", "x"), s.select("slot", "tick", C("x").alias("v")), "slot", "tick", (2, 3, 4), "v")
     done = C("v_2").isNotNull() & C("v_3").isNotNull() & C("v_4").isNotNull()
     return out.select("slot", "tick", "x", C("v_2").alias("x_2"), C("v_3").alias("x_3"), C("v_4").alias("x_4"), done.alias("complete"))
 
@@ -85,12 +85,13 @@ def dom_50_startup_milestones(spark, d):
     return commands(spark, d).groupBy("round_id").agg(first("view"), first("click"), first("purchase"))
 
 
-@query("SELECT coalesce(a.tick, b.tick) AS tick, CASE WHEN a.tick IS NULL THEN 'replay_only' WHEN b.tick IS NULL THEN 'original_only' ELSE 'both' END AS status, abs(a.x - b.x) AS error FROM (SELECT tick, x FROM st WHERE slot = 2) a FULL JOIN (SELECT tick, x FROM st WHERE slot = 3) b USING (tick)", STATE)
+@query("SELECT slot, tick, CASE WHEN a.x IS NULL THEN 'replay_only' WHEN b.x IS NULL THEN 'original_only' ELSE 'both' END AS status, abs(a.x - b.x) AS error FROM (SELECT slot, tick, x FROM st WHERE slot % 10 < 9) a FULL JOIN (SELECT slot - 1 AS slot, tick, x FROM st WHERE slot % 10 > 0) b USING (slot, tick)", STATE)
 def dom_51_replay_comparison(spark, d):
-    s = states(spark, d)
-    a, b = s.where("slot = 2").select("tick", C("x").alias("xa")), s.where("slot = 3").select("tick", C("x").alias("xb"))
+    """Each slot's states as the original of those of the next slot of its recording, as the replay."""
+    a, b = neighbours(states(spark, d).select("slot", "tick", "x"))
+    met = a.withColumnRenamed("x", "xa").join(b.withColumnRenamed("x", "xb"), ["slot", "tick"], "full_outer")
     status = F.when(C("xa").isNull(), "replay_only").when(C("xb").isNull(), "original_only").otherwise("both")
-    return a.join(b, "tick", "full_outer").select("tick", status.alias("status"), F.abs(C("xa") - C("xb")).alias("error"))
+    return met.select("slot", "tick", status.alias("status"), F.abs(C("xa") - C("xb")).alias("error"))
 
 
 @query("SELECT row_id, CAST(coalesce(sum(b_dx), 0) AS BIGINT) AS moved FROM (SELECT a.row_id, b.dx AS b_dx FROM (SELECT * FROM cmd WHERE kind = 'purchase') a LEFT JOIN cmd b ON b.slot = a.slot AND b.tick BETWEEN a.tick - 8 AND a.tick + 8) GROUP BY row_id", CMD)

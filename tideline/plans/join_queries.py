@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import joins
 from tideline.plans.registry import query
-from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, rounds, states
+from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, commands, frames, neighbours, rounds, states
 from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
@@ -78,11 +78,14 @@ def join_12_lookback(spark, d):
     return a.select("row_id").join(met, "row_id", "left").select("row_id", "pressed", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("SELECT a.tick, a.x AS x_a, b.x AS x_b FROM st a JOIN st b ON a.tick = b.tick WHERE a.slot = 1 AND b.slot = 2", STATE)
+@query(
+    "SELECT slot, tick, CASE WHEN a.n IS NULL THEN 'right_only' WHEN b.n IS NULL THEN 'left_only' WHEN a.n > 1 OR b.n > 1 THEN 'ambiguous' ELSE 'matched' END AS status, CASE WHEN a.n = 1 AND b.n = 1 THEN a.v END AS left_cents, CASE WHEN a.n = 1 AND b.n = 1 THEN b.v END AS right_cents FROM (SELECT slot, tick, count(*) AS n, min(cents) AS v FROM cmd WHERE slot % 10 < 9 GROUP BY 1, 2) a FULL JOIN (SELECT slot - 1 AS slot, tick, count(*) AS n, min(cents) AS v FROM cmd WHERE slot % 10 > 0 GROUP BY 1, 2) b USING (slot, tick)",
+    CMD,
+)
 def join_15_unique_tick(spark, d):
-    s = states(spark, d)
-    a, b = (s.where(C("slot") == k).select("tick", C("x").alias(n)) for k, n in ((1, "x_a"), (2, "x_b")))
-    return a.join(b, "tick")
+    """Commands of each slot with those of the next slot of its recording at the same tick, if both are the only ones."""
+    left, right = neighbours(commands(spark, d))
+    return joins.paired_once(left, right, ["slot", "tick"], "cents")
 
 
 @query("SELECT a.row_id, count(*) AS n, min(b.row_id) AS first FROM cmd a JOIN cmd b ON b.slot = a.slot AND b.cents BETWEEN a.cents - 3 AND a.cents + 3 AND b.kind = 'view' WHERE a.kind = 'error' GROUP BY a.row_id", CMD)
@@ -142,10 +145,11 @@ def join_23_prefix_lookup(spark, d):
     return out.select("slot", "frame_index", C("asof_t").alias("last_tick"), C("asof_r").alias("last_row"))
 
 
-@query("SELECT coalesce(a.tick, b.tick) AS tick, CASE WHEN a.tick IS NULL THEN 'missing_left' WHEN b.tick IS NULL THEN 'missing_right' ELSE 'changed' END AS status FROM (SELECT * FROM st WHERE slot = 1) a FULL JOIN (SELECT * FROM st WHERE slot = 2) b ON a.tick = b.tick WHERE a.tick IS NULL OR b.tick IS NULL OR a.x IS DISTINCT FROM b.x OR a.health IS DISTINCT FROM b.health", STATE)
+@query("SELECT slot, tick, CASE WHEN a.x IS NULL THEN 'missing_left' WHEN b.x IS NULL THEN 'missing_right' ELSE 'changed' END AS status FROM (SELECT * FROM st WHERE slot % 10 < 9) a FULL JOIN (SELECT * REPLACE (slot - 1 AS slot) FROM st WHERE slot % 10 > 0) b USING (slot, tick) WHERE a.x IS NULL OR b.x IS NULL OR a.x <> b.x OR a.health <> b.health", STATE)
 def join_26_table_comparison(spark, d):
-    s = states(spark, d)
-    return joins.compare_tables(s.where("slot = 1"), s.where("slot = 2"), "tick", ["x", "health"])
+    """States of each slot against those of the next slot of its recording."""
+    left, right = neighbours(states(spark, d))
+    return joins.compare_tables(left, right, ["slot", "tick"], ["x", "health"])
 
 
 @query("SELECT c.row_id, s.o_orderpriority AS series FROM cmd c JOIN orders s ON s.o_orderkey = c.row_id", CMD)

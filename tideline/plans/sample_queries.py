@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import joins, samples, selection, windows
 from tideline.plans.registry import query
-from tideline.plans.views import CMD, FRAMES, ROUNDS, STATE, WRAP, commands, frames, rounds, states
+from tideline.plans.views import CMD, ROUNDS, STATE, WRAP, commands, neighbours, rounds, states
 from tideline.plans.views import PLAYER_FRAMES, player_frames
 
 C = F.col
@@ -146,21 +146,23 @@ def join_20_next_numbers(spark, d):
     return joins.offset_join(c.select("row_id", "all"), c, "all", "row_id", (1, 2), "cents").select("row_id", C("cents_1").alias("next_1"), C("cents_2").alias("next_2"))
 
 
-@query("SELECT coalesce(a.tick, b.tick) AS tick, CASE WHEN a.x IS NULL OR b.x IS NULL THEN 'uncovered' WHEN sha256(CAST(a.x AS VARCHAR)) IN (sha256(CAST(b.x AS VARCHAR)), sha256(CAST(-b.x AS VARCHAR))) THEN 'agrees' ELSE 'differs' END AS status FROM (SELECT tick, x FROM st WHERE slot = 1) a FULL JOIN (SELECT tick, x FROM st WHERE slot = 4) b USING (tick)", STATE)
+@query("SELECT slot, tick, CASE WHEN a.x IS NULL OR b.x IS NULL THEN 'uncovered' WHEN sha256(CAST(a.x AS VARCHAR)) IN (sha256(CAST(b.x AS VARCHAR)), sha256(CAST(-b.x AS VARCHAR))) THEN 'agrees' ELSE 'differs' END AS status FROM (SELECT slot, tick, x FROM st WHERE slot % 10 < 7) a FULL JOIN (SELECT slot - 3 AS slot, tick, x FROM st WHERE slot % 10 >= 3) b USING (slot, tick)", STATE)
 def join_24_hash_agreement(spark, d):
-    s = states(spark, d)
+    """Digests of each slot's states against those of the slot three on in its recording."""
     digest = lambda c: F.sha2(c.cast("string"), 256)
-    a, b = s.where("slot = 1").select("tick", C("x").alias("xa")), s.where("slot = 4").select("tick", C("x").alias("xb"))
+    a, b = neighbours(states(spark, d).select("slot", "tick", "x"), 3)
+    met = a.withColumnRenamed("x", "xa").join(b.withColumnRenamed("x", "xb"), ["slot", "tick"], "full_outer")
     status = F.when(C("xa").isNull() | C("xb").isNull(), "uncovered").when(digest(C("xa")).isin(digest(C("xb")), digest(-C("xb"))), "agrees").otherwise("differs")
-    return a.join(b, "tick", "full_outer").select("tick", status.alias("status"))
+    return met.select("slot", "tick", status.alias("status"))
 
 
-@query("SELECT f.frame_index, a.x AS movie, b.x AS clock, c.x AS packet FROM fr f LEFT JOIN (SELECT tick, x FROM st WHERE slot = 1) a ON a.tick = f.start LEFT JOIN (SELECT tick, x FROM st WHERE slot = 2) b ON b.tick = f.start LEFT JOIN (SELECT tick, x FROM st WHERE slot = 3) c ON c.tick = f.start", STATE, FRAMES)
+@query("SELECT f.slot, f.frame_index, a.x AS movie, b.x AS clock, c.x AS packet FROM pf f LEFT JOIN st a ON a.tick = f.start AND a.slot = f.slot LEFT JOIN st b ON b.tick = f.start AND b.slot = f.slot + 1 LEFT JOIN st c ON c.tick = f.start AND c.slot = f.slot + 2 WHERE f.slot % 10 < 8", STATE, PLAYER_FRAMES)
 def join_25_frame_proofs(spark, d):
-    out, s = frames(spark, d), states(spark, d)
-    for slot, name in ((1, "movie"), (2, "clock"), (3, "packet")):
-        out = out.join(s.where(C("slot") == slot).select(C("tick").alias("start"), C("x").alias(name)), "start", "left")
-    return out.select("frame_index", "movie", "clock", "packet")
+    """Each slot's frames with its own state at their start and those of the two slots after it in its recording."""
+    out, s = player_frames(spark, d).where("slot % 10 < 8"), states(spark, d).select("slot", C("tick").alias("start"), "x")
+    for k, name in enumerate(("movie", "clock", "packet")):
+        out = out.join(s.select((C("slot") - k).alias("slot"), "start", C("x").alias(name)), ["slot", "start"], "left")
+    return out.select("slot", "frame_index", "movie", "clock", "packet")
 
 
 @query("SELECT c.row_id, list_contains(s.kinds, 'click') AS proven FROM cmd c LEFT JOIN (SELECT slot, tick, list(DISTINCT kind) AS kinds FROM cmd WHERE kind <> 'view' GROUP BY 1, 2) s USING (slot, tick)", CMD)

@@ -47,6 +47,12 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumns({"paused": F.when(F.col("x") % 11 != 0, F.col("x") % 7 == 0), "moving": F.col("x") % 2 == 0})
 
 
+def neighbours(rows: DataFrame, step: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The rows of slots that have another `step` slots on in their recording, and the rows of those, under the first's number."""
+    left = rows.where(F.col("slot") % 10 + step < 10)
+    return left, rows.where(F.col("slot") % 10 >= step).withColumn("slot", F.col("slot") - step)
+
+
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = commands(spark, sf_dir).agg(F.max("round_id").alias("last"))
     r = last.select(F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("round_id")).withColumn("start", F.col("round_id") * ROUND)
