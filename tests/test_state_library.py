@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import aggregates, cadence, digests, discovery, integrity, joins, samples, scans, selection, windows
+from tideline.operators import aggregates, buttons, cadence, digests, discovery, integrity, joins, samples, scans, selection, windows
 from tideline.plans.source_queries import drained, rocks
 from tideline.sources import sinks, tables
 from tideline.streaming import processors
@@ -442,3 +442,31 @@ def test_pairs_are_unique_on_both_sides(spark):
     right = spark.createDataFrame([(1, 1, 50), (1, 2, 60), (2, 1, 70), (None, 4, 90)], "k int, t int, v int")
     got = {(r["k"], r["t"], r["status"], r["left_v"], r["right_v"]) for r in joins.paired_once(left, right, ["k", "t"], "v").collect()}
     assert got == {(1, 1, "matched", 5, 50), (1, 2, "ambiguous", None, None), (1, 3, "left_only", None, None), (2, 1, "right_only", None, None), (None, 4, "left_only", None, None), (None, 4, "right_only", None, None)}
+
+
+def test_button_proofs_command_by_command(spark):
+    rng = random.Random(5)
+    masks = {"a": 1, "b": 4}
+    rows = [(rng.choice(["x", "y"]), i, 2 * i + rng.choice([0, 0, 5]), rng.choice([None, *range(8)]), rng.choice([0, *range(8)]), rng.choice([None, 0, 4]), rng.choice([True] * 6 + [False, None]), rng.choice([True] * 8 + [False, None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, id int, t int, p1 long, p2 long, p3 long, parent boolean, bound boolean").repartition(3)
+    want, before, tally = {}, {}, Counter()
+    for k, i, t, p1, p2, p3, parent, bound in rows:
+        q = [p or 0 for p in (p1, p2, p3)] if parent else None
+        old = before.get(k)
+        before[k] = (t, q)
+        met = q is not None and old is not None and old[1] is not None and 0 <= t - old[0] <= 6
+        odd = [n for n, m in masks.items() if met and bool(old[1][0] & m) != bool((q[0] ^ q[1]) & m)]
+        why = (["button_parent_unknown"] if parent is None else [] if parent else ["missing_button_parent"]) + ([] if bound else ["source_not_bound"])
+        status = "verified" if not why and len(odd) < 2 else "unknown"
+        codes = None if q is None else {n: sum(1 << j for j in range(3) if q[j] & m) for n, m in masks.items()}
+        want[i] = (codes, 2 if met else 0, odd, why, status)
+        for n, c in (codes or {}).items():
+            tally[k, n, c, "n"] += 1
+            tally[k, n, c, "verified"] += status == "verified" and n not in odd
+    out = buttons.button_proofs(df, ["k"], "id", ["p1", "p2", "p3"], C("parent"), C("bound"), {"t": (0, 6)}, masks)
+    assert out.columns[: len(df.columns)] == df.columns
+    assert {r["id"]: (r["codes"], r["compared"], r["contradicted"], r["reason_codes"], r["status"]) for r in out.collect()} == want
+    assert {(r["k"], r["button"], r["code"]): (r["n"], r["verified"]) for r in buttons.state_counts(out, ["k"]).collect()} == {x[:3]: (tally[*x[:3], "n"], tally[*x[:3], "verified"]) for x in tally}
+    whole = buttons.proof_summary(out, []).first()
+    assert (whole["verified"], whole["comparisons"], whole["mismatches"]) == (sum(v[4] == "verified" for v in want.values()), sum(v[1] for v in want.values()), sum(len(v[2]) for v in want.values()))
+    assert buttons.button_proofs(df.limit(0), ["k"], "id", ["p1", "p2", "p3"], C("parent"), C("bound"), {"t": (0, 6)}, masks).count() == 0

@@ -1,9 +1,9 @@
-"""Candidate windows over all recordings, what their commands hint at, and how much each action is covered."""
+"""Candidate windows over all recordings with the hints of their commands, and what button planes prove of each command."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators import discovery
+from tideline.operators import buttons, discovery
 from tideline.plans.registry import query
 from tideline.plans.views import STATE, commands, states
 
@@ -65,3 +65,43 @@ REPORT = ", ".join(f"count(*) FILTER (CAST({a} AS BIGINT) > 0) AS n_{a}, count(*
 def dom_39_coverage(spark, d):
     """How many candidates of each round there are, are covered, and hint at each action."""
     return discovery.coverage_report(candidates(spark, d), ["round_id"], ACTIONS)
+
+
+MASKS = {"attack": 1, "jump": 2, "crouch": 4, "forward": 8}
+
+PROOFS = f"""
+q0 AS (SELECT slot, round_id, row_id, tick, present, kind, CASE WHEN present THEN p1 END AS q1, CASE WHEN present THEN p2 END AS q2, CASE WHEN present THEN CASE WHEN k % 7 <> 0 THEN p3 ELSE 0 END END AS q3 FROM cmd),
+q AS (SELECT *, CASE WHEN tick - lag(tick) OVER w BETWEEN 0 AND 720 THEN xor(lag(q1) OVER w, xor(q1, q2)) & 15 END AS apart FROM q0 WINDOW w AS (PARTITION BY slot, round_id ORDER BY row_id)),
+proof AS (SELECT *, CASE WHEN apart IS NULL THEN 0 ELSE 4 END AS compared, concat_ws(',', {', '.join(f"CASE WHEN (apart & {m}) <> 0 THEN '{n}' END" for n, m in MASKS.items())}) AS contradicted,
+  concat_ws(',', CASE WHEN present IS NULL THEN 'button_parent_unknown' WHEN NOT present THEN 'missing_button_parent' END, CASE WHEN kind = 'error' THEN 'source_not_bound' END) AS reasons FROM q),
+judged AS (SELECT *, CASE WHEN reasons = '' AND coalesce(apart, 0) <> 15 THEN 'verified' ELSE 'unknown' END AS status FROM proof)"""
+
+
+def button_proofs(spark, d) -> DataFrame:
+    """Commands with four buttons; one plane is sometimes absent, and errors are bound to no source."""
+    rows = commands(spark, d).select("slot", "round_id", "row_id", "tick", "present", "kind", "p1", "p2", F.when(C("k") % 7 != 0, C("p3")).alias("p3"))
+    return buttons.button_proofs(rows, ["slot", "round_id"], "row_id", ["p1", "p2", "p3"], C("present"), C("kind") != "error", {"tick": (0, 720)}, MASKS)
+
+
+@query("SELECT row_id, status, reasons, contradicted, compared FROM judged", STATE, PROOFS)
+def dom_37_proofs(spark, d):
+    """What each command proves of its buttons, and why not more."""
+    return button_proofs(spark, d).select("row_id", "status", F.array_join("reason_codes", ",").alias("reasons"), F.array_join("contradicted", ",").alias("contradicted"), "compared")
+
+
+@query("SELECT slot, count(*) FILTER (status = 'verified') AS verified, count(*) FILTER (status = 'unknown') AS unknown, count(*) FILTER (NOT present) AS missing_parents, CAST(sum(compared) AS BIGINT) AS comparisons, CAST(sum(bit_count(coalesce(apart, 0))) AS BIGINT) AS mismatches FROM judged GROUP BY slot", STATE, PROOFS)
+def dom_37_summary(spark, d):
+    """Proven and unknown commands of each slot, and how its buttons' boundaries agree."""
+    return buttons.proof_summary(button_proofs(spark, d), ["slot"])
+
+
+STATES = " UNION ALL ".join(
+    f"SELECT slot, '{n}' AS button, CAST((q1 & {m}) <> 0 AS INT) + 2 * CAST((q2 & {m}) <> 0 AS INT) + 4 * CAST((q3 & {m}) <> 0 AS INT) AS code, status = 'verified' AND (coalesce(apart, 0) & {m}) = 0 AS fine FROM judged WHERE present"
+    for n, m in MASKS.items()
+)
+
+
+@query(f"SELECT slot, button, code, count(*) AS n, count(*) FILTER (fine) AS verified FROM ({STATES}) GROUP BY slot, button, code", STATE, PROOFS)
+def dom_37_state_counts(spark, d):
+    """How often each button of a slot was in each of its eight states."""
+    return buttons.state_counts(button_proofs(spark, d), ["slot"])
