@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import aggregates, buttons, cadence, digests, discovery, integrity, joins, samples, scans, selection, windows
+from tideline.operators import aggregates, buttons, cadence, digests, discovery, dispatch, integrity, joins, samples, scans, selection, windows
 from tideline.plans.source_queries import drained, rocks
 from tideline.sources import sinks, tables
 from tideline.streaming import processors
@@ -470,3 +470,64 @@ def test_button_proofs_command_by_command(spark):
     whole = buttons.proof_summary(out, []).first()
     assert (whole["verified"], whole["comparisons"], whole["mismatches"]) == (sum(v[4] == "verified" for v in want.values()), sum(v[1] for v in want.values()), sum(len(v[2]) for v in want.values()))
     assert buttons.button_proofs(df.limit(0), ["k"], "id", ["p1", "p2", "p3"], C("parent"), C("bound"), {"t": (0, 6)}, masks).count() == 0
+
+
+def test_dispatches_row_by_row(spark):
+    rng = random.Random(9)
+    plan = [(r, i, rng.choice("+-"), 10 * i) for r in "xy" for i in range(60)]
+    log, n = [], 0
+    for r, i, command, at in plan:
+        for _ in range(rng.choice([0, 1, 1, 1, 1, 2])):
+            n += 1
+            elapsed = rng.choice([at + 1] * 6 + [at - 2, None, -1, at + 30])
+            wall = 5 * n + rng.choice([0] * 8 + [-9])
+            log.append((r, n, rng.choice([i] * 9 + [i + 1000]), rng.choice([command] * 9 + ["?"]), at, elapsed, rng.choice([elapsed] * 5 + [at]), wall, rng.choice([wall + 2] * 8 + [wall - 1, None])))
+    due = {(r, i): (c, at) for r, i, c, at in plan}
+    want, seen, last, end = {}, set(), {}, {}
+    for r, n, i, command, at, elapsed, other, begun, ended in log:
+        matched = (r, i) not in seen and due.get((r, i)) == (command, at)
+        seen.add((r, i))
+        valid, fine = elapsed is not None and elapsed >= 0, ended is not None and ended >= begun
+        same = valid and elapsed == other
+        late = elapsed - at if matched and same else None
+        issues = [k for k, x in {"invalid_elapsed": not valid, "elapsed_regressed": valid and elapsed < last.get(r, 0), "clocks_disagree": not same, "invalid_wall": not fine, "wall_regressed": fine and begun < end.get(r, begun), "not_as_planned": not matched, "early": late is not None and late < 0}.items() if x]
+        want[n] = (matched, same, late, ended - begun if fine else None, issues)
+        last[r] = elapsed if valid else last.get(r, 0)
+        end[r] = ended if fine else end.get(r, begun)
+    p = spark.createDataFrame(plan, "run string, id int, command string, at long")
+    rows = spark.createDataFrame(log, "run string, n int, id int, command string, at long, elapsed long, other long, wall_before long, wall_after long").repartition(3)
+    out = dispatch.dispatches(p, rows, ["run"], C("other"))
+    assert {r["n"]: (r["matched"], r["consistent"], r["lateness"], r["call"], r["issues"]) for r in out.collect()} == want
+    report = {r["run"]: r for r in dispatch.dispatch_report(p, out, ["run"]).collect()}
+    for r in "xy":
+        mine = [(x, want[x[1]]) for x in log if x[0] == r]
+        late = [w[2] for _, w in mine if w[2] is not None]
+        assert (report[r]["planned"], report[r]["dispatched"], report[r]["matched"], report[r]["in_order"]) == (60, len(mine), sum(w[0] for _, w in mine), False)
+        assert (report[r]["missing"], report[r]["middle"], report[r]["most"]) == (60 - len({x[2] for x, _ in mine} & set(range(60))), statistics.median(late), max(late))
+    exact = spark.createDataFrame([("x", i, i, "+", at, at, at, i, i) for i, (r, _, _, at) in enumerate(plan) if r == "x"], rows.schema)
+    only = spark.createDataFrame([("x", i, "+", at) for r, i, _, at in plan if r == "x"], p.schema)
+    good = dispatch.dispatch_report(only, dispatch.dispatches(only, exact, ["run"], C("other")), ["run"]).first()
+    assert good["in_order"] and (good["matched"], good["missing"], good["with_issues"], good["most"]) == (60, 0, 0, 0)
+    nothing = dispatch.dispatch_report(only, dispatch.dispatches(only, exact.limit(0), ["run"], C("other")), ["run"]).first()
+    assert (nothing["planned"], nothing["dispatched"], nothing["missing"], nothing["in_order"], nothing["most"]) == (60, 0, 60, False, None)
+
+
+def test_holds_row_by_row(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("xy"), i, rng.choice("ab"), rng.choice([True, True, False, False, None]), 3 * i) for i in range(300)]
+    held, want = {}, {}
+    for run, n, control, pressed, at in rows:
+        key = run, control
+        if pressed is None:
+            continue
+        if pressed:
+            want[n] = ("duplicate_press" if key in held else "not_released", None, None)
+            if key not in held:
+                held[key] = n, at
+        elif key in held:
+            first, since = held.pop(key)
+            want[n], want[first] = ("paired", first, at - since), ("held", None, None)
+        else:
+            want[n] = ("without_press", None, None)
+    df = spark.createDataFrame(rows, "run string, n int, control string, down boolean, at long").repartition(3)
+    assert {r["n"]: (r["status"], r["press"], r["hold"]) for r in dispatch.holds(df, ["run"], "control", "down", "at").collect()} == want

@@ -289,7 +289,7 @@ LABELLED = (
 
 
 RESPONSES = ["src_5_json_objects", "src_6_strict_objects", "src_20_merged_events", "snk_4_json_rows", "snk_5_identified_files", "fn_h1_file_digest", "fn_j1_action_schema", "udf_7_uint32_varints", "str_2_out_of_order", "dom_5_clock_calibration", "dom_32_control_audit", "dom_33_samples", "dom_41_budgeted_rounds", "dom_52_pixel_audit", "dom_53_confirmed_hypotheses", "dom_54_command_summary", "dom_55_turns", "dom_56_insertions", "dom_60_effects", "dom_62_compilation", "dom_63_gain_agreement"]
-PAIRED = ["join_15_unique_tick", "join_25_frame_proofs", "join_26_table_comparison", "dom_39_coverage", "dom_37_proofs", "dom_37_state_counts"]
+PAIRED = ["join_15_unique_tick", "join_25_frame_proofs", "join_26_table_comparison", "dom_39_coverage", "dom_37_proofs", "dom_37_state_counts", "dom_48_report"]
 
 
 @pytest.mark.parametrize("name", ["win_1_transitions", "win_5_alive_windows", "win_8_split_windows", "join_17_bracketing", "agg_10_window_coverage", "set_2_complement", "dom_19_causal_targets", "dom_29_button_labels", "fn_h4_stable_split", *LABELLED, *RESPONSES, *PAIRED])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.plans import aggregate_queries, discovery_queries, evidence_queries, filter_queries, interval_queries, join_queries, label_queries, proof_queries, response_queries, sample_queries, scalar_queries, source_queries, state_queries, window_queries  # noqa: F401
+from tideline.plans import aggregate_queries, discovery_queries, dispatch_queries, evidence_queries, filter_queries, interval_queries, join_queries, label_queries, proof_queries, response_queries, sample_queries, scalar_queries, source_queries, state_queries, window_queries  # noqa: F401
 from tideline.plans.registry import QUERIES, SQL
 
 
