@@ -229,9 +229,16 @@ def test_wire_udfs(spark):
     assert int(got[1][0]["number"]) == 150 and got[2] is None and got[3] is None
     signs = spark.createDataFrame([(0.0,), (-0.0,), (None,)], "x double").select(wire.double_bits("x").alias("b")).collect()
     assert [r["b"] for r in signs] == [0, -(2**63), None]
-    spark.udtf.register("split_messages", wire.SplitMessages)
-    rows.createOrReplaceTempView("raw")
-    assert spark.sql("SELECT s.* FROM (SELECT unhex('04016105020708') AS d) r, LATERAL split_messages(r.d) s").collect() == [(0, 4, 1), (3, 5, 2)]
+
+
+def test_wire_reasons(spark, monkeypatch):
+    """Each reason that forbids fields is told, and a value has either fields or a reason."""
+    cases = {None: "no value", b"\x80": "a varint does not end", b"\x00\x01": "field 0", b"\x0a\x05ab": "a field is cut off", b"\x0f\x01": "an unknown wire type", b"\x08" + b"\xff" * 9 + b"\x7f": "a varint is over 64 bits", b"\x08\x01": None, b"": None}
+    cases |= {b"\x0a" + b"\x81\x80\x80\x02" + b"a" * ((4 << 20) + 1): "too long", b"\x08\x01" * 100_001: "too many fields"}
+    rows = spark.createDataFrame([(i, None if x is None else bytearray(x)) for i, x in enumerate(cases)], "id int, data binary")
+    got = rows.select("id", wire.decoded("data").alias("x")).select("id", "x.reason", F.size("x.fields").alias("n")).collect()
+    assert {r["id"]: r["reason"] for r in got} == dict(enumerate(cases.values())) and set(cases.values()) - {None} == set(wire.REASONS)
+    assert {r["n"] for r in got if r["reason"] is None} == {0, 1}
 
 
 def test_sources(spark, tmp_path):
@@ -288,7 +295,7 @@ LABELLED = (
 )
 
 
-RESPONSES = ["src_5_json_objects", "src_6_strict_objects", "src_20_merged_events", "snk_4_json_rows", "snk_5_identified_files", "fn_h1_file_digest", "fn_j1_action_schema", "udf_7_uint32_varints", "str_2_out_of_order", "dom_5_clock_calibration", "dom_32_control_audit", "dom_33_samples", "dom_41_budgeted_rounds", "dom_52_pixel_audit", "dom_53_confirmed_hypotheses", "dom_54_command_summary", "dom_55_turns", "dom_56_insertions", "dom_60_effects", "dom_62_compilation", "dom_63_gain_agreement"]
+RESPONSES = ["src_5_json_objects", "src_6_strict_objects", "src_20_merged_events", "snk_4_json_rows", "snk_5_identified_files", "fn_h1_file_digest", "fn_j1_action_schema", "udf_7_uint32_varints", "udf_8_field_reasons", "ord_4_diverse_selection", "ord_2_first_jobs", "src_8_bounded_ledger", "src_25_segment_gate", "src_26_series_groups", "set_4_tails", "dom_58_window_sums", "str_2_out_of_order", "dom_5_clock_calibration", "dom_32_control_audit", "dom_33_samples", "dom_41_budgeted_rounds", "dom_52_pixel_audit", "dom_53_confirmed_hypotheses", "dom_54_command_summary", "dom_55_turns", "dom_56_insertions", "dom_60_effects", "dom_62_compilation", "dom_63_gain_agreement"]
 PAIRED = ["join_15_unique_tick", "join_25_frame_proofs", "join_26_table_comparison", "dom_39_coverage", "dom_37_proofs", "dom_37_state_counts", "dom_48_report"]
 
 

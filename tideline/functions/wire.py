@@ -1,4 +1,4 @@
-"""Binary fields: varints, tagged fields, raw Snappy blocks, float bits. Vectorised UDFs and one table function."""
+"""Binary fields: varints, tagged fields, raw Snappy blocks, float bits. Vectorised UDFs."""
 
 from __future__ import annotations
 
@@ -14,8 +14,13 @@ MOST_BYTES, MOST_FIELDS = 4 << 20, 100_000
 FIELDS = T.ArrayType(T.StructType().add("field", T.IntegerType()).add("wire", T.IntegerType()).add("number", T.DecimalType(20, 0)).add("raw", T.BinaryType()))
 
 
+#: Why a value has no fields.
+REASONS = ("no value", "too long", "a varint does not end", "a varint is over 64 bits", "field 0", "too many fields", "a field is cut off", "an unknown wire type")
+NO_VALUE, TOO_LONG, OPEN, WIDE, ZERO, MANY, CUT, KIND = REASONS
+
+
 class WireError(ValueError):
-    pass
+    """Says one of REASONS, or what is wrong with a number or block."""
 
 
 def varint(data: bytes, at: int) -> tuple[int, int]:
@@ -23,13 +28,13 @@ def varint(data: bytes, at: int) -> tuple[int, int]:
     out = shift = 0
     while True:
         if at >= len(data) or shift > 63:
-            raise WireError("a varint does not end")
+            raise WireError(OPEN)
         byte = data[at]
         out |= (byte & 127) << shift
         at, shift = at + 1, shift + 7
         if byte < 128:
             if out >> 64:
-                raise WireError("a varint is over 64 bits")
+                raise WireError(WIDE)
             return out, at
 
 
@@ -66,22 +71,22 @@ def signed32(x: int) -> int:
 def fields(data: bytes) -> list[tuple[int, int, int | None, bytes | None]]:
     """(field, wire type, number, bytes) of each field in order; repeats are kept."""
     if len(data) > MOST_BYTES:
-        raise WireError("too long")
+        raise WireError(TOO_LONG)
     out, at = [], 0
     while at < len(data):
         tag, at = varint(data, at)
         kind, number, raw = tag & 7, None, None
         if not tag >> 3 or len(out) >= MOST_FIELDS:
-            raise WireError("field 0, or too many fields")
+            raise WireError(MANY if tag >> 3 else ZERO)
         if kind == 0:
             number, at = varint(data, at)
         elif kind in (1, 5, 2):
             size, at = (8, at) if kind == 1 else (4, at) if kind == 5 else varint(data, at)
             raw, at = data[at : at + size], at + size
             if len(raw) != size:
-                raise WireError("a field is cut off")
+                raise WireError(CUT)
         else:
-            raise WireError(f"wire type {kind}")
+            raise WireError(KIND)
         out.append((tag >> 3, kind, number, raw))
     return out
 
@@ -123,18 +128,39 @@ def _tried(f, data):
         return None
 
 
+def _rows(got: list) -> list[dict]:
+    from decimal import Decimal
+
+    return [{"field": f, "wire": w, "number": None if n is None else Decimal(n), "raw": r} for f, w, n, r in got]
+
+
 @F.pandas_udf(FIELDS)
 def decode_fields(data: pd.Series) -> pd.Series:
     """Tagged fields of each value; null where it is null or malformed."""
-    from decimal import Decimal
 
     def one(x):
         got = None if x is None else _tried(fields, x)
-        return None if got is None else [{"field": f, "wire": w, "number": None if n is None else Decimal(n), "raw": r} for f, w, n, r in got]
+        return None if got is None else _rows(got)
 
     return data.map(one)
 
 
+@F.pandas_udf(T.StructType().add("fields", FIELDS).add("reason", T.StringType()))
+def decoded(data: pd.Series) -> pd.DataFrame:
+    """fields and reason: of the two the one that a value has. A null value has the reason "no value"; for the others see
+    REASONS."""
+
+    def one(x):
+        if x is None:
+            return None, NO_VALUE
+        try:
+            return _rows(fields(bytes(x))), None
+        except WireError as e:
+            return None, str(e)
+
+    return pd.DataFrame([one(x) for x in data], columns=["fields", "reason"], dtype=object)
+
+
 @F.pandas_udf(T.BinaryType())
 def uncompress(data: pd.Series) -> pd.Series:
     """Raw Snappy blocks; null where a block is null or malformed."""
@@ -161,22 +187,3 @@ def half_ulp(x: pd.Series) -> pd.Series:
     """Half the distance from |x| to the next larger single-precision number."""
     v = np.abs(x.to_numpy(np.float64, na_value=np.nan)).astype(np.float32)
     return pd.Series((np.nextafter(v, np.float32(np.inf)).astype(np.float64) - v) / 2)
-
-
-@F.udtf(returnType=T.StructType().add("position", T.IntegerType()).add("kind", T.IntegerType()).add("size", T.IntegerType()))
-class SplitMessages:
-    """Messages of a buffer: a varint kind, a varint size, and so many bytes each. A malformed rest ends the rows."""
-
-    def eval(self, data: bytes):
-        at = 0
-        while data and at < len(data):
-            begin = at
-            try:
-                kind, at = varint(data, at)
-                size, at = varint(data, at)
-            except WireError:
-                return
-            if at + size > len(data):
-                return
-            yield begin, kind, size
-            at += size

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tideline.functions import reasons
 from tideline.functions.bits import any_bit, decode
 
 
@@ -28,21 +29,21 @@ def chunk_rules(rows: list[dict[str, Column]], identity: list[str], rising: list
     generation clock by zero to two."""
     rules = []
     for i, row in enumerate(rows):
-        rules += [(~row[c].eqNullSafe(rows[0][c]), "command_identity_changed") for c in identity]
+        rules += [(~row[c].eqNullSafe(rows[0][c]), reasons.COMMAND_IDENTITY_CHANGED) for c in identity]
         rules += [(~row[c].eqNullSafe(F.lit(want)), f"command_{c}_not_{str(want).lower()}") for c, want in flags.items()]
         if i:
             before = rows[i - 1]
             rules += [(~row[c].eqNullSafe(before[c] + 1), f"{c}_discontinuity") for c in rising]
             step = row[generation] - before[generation]
-            rules.append((~F.coalesce(step.between(0, 2), F.lit(False)), f"{generation}_outside_measured_generation_cadence"))
-            rules.append((~F.coalesce(row["row_id"] > before["row_id"], F.lit(False)), "canonical_source_order_not_strictly_increasing"))
+            rules.append((~F.coalesce(step.between(0, 2), F.lit(False)), generation + reasons.OUTSIDE_MEASURED_GENERATION_CADENCE))
+            rules.append((~F.coalesce(row["row_id"] > before["row_id"], F.lit(False)), reasons.CANONICAL_SOURCE_ORDER_NOT_STRICTLY_INCREASING))
     return rules
 
 
-def masked(value: Column, reasons: Column) -> Column:
+def masked(value: Column, against: Column) -> Column:
     """A cell: the value where there is no reason against it; else null, not valid, with the reasons."""
-    fine = (F.size(reasons) == 0) & value.isNotNull()
-    return F.struct(F.when(fine, value).alias("value"), fine.alias("valid"), F.when(fine, F.array().cast("array<string>")).otherwise(reasons).alias("reason_codes"))
+    fine = (F.size(against) == 0) & value.isNotNull()
+    return F.struct(F.when(fine, value).alias("value"), fine.alias("valid"), F.when(fine, F.array().cast("array<string>")).otherwise(against).alias("reason_codes"))
 
 
 def button_observation(present: dict[str, tuple[Column, Column]], flags: Column, planes: list[tuple[Column, Column]], mask: int) -> Column:
@@ -55,8 +56,8 @@ def button_observation(present: dict[str, tuple[Column, Column]], flags: Column,
     steps = []
     for name, (raw, said) in present.items():
         steps += [(~raw.eqNullSafe(said), f"{name}_presence_mismatch"), (~raw, f"missing_{name}_parent")]
-    steps.append((F.coalesce(flags, F.lit(0)) != 0, "unsupported_command_flags"))
-    steps += [(~raw.eqNullSafe(said), "button_projection_mismatch") for raw, said in planes]
+    steps.append((F.coalesce(flags, F.lit(0)) != 0, reasons.UNSUPPORTED_COMMAND_FLAGS))
+    steps += [(~raw.eqNullSafe(said), reasons.BUTTON_PROJECTION_MISMATCH) for raw, said in planes]
     for when, name in reversed(steps):
         reason = F.when(when, name).otherwise(reason)
     zero = [F.coalesce(raw, F.lit(0)) for raw, _ in planes]
@@ -69,7 +70,7 @@ def replay_held(held: Column, events: Column) -> Column:
     start = F.struct(held.alias("held"), F.lit(-1).cast("long").alias("offset"), F.lit(False).alias("repeats"), F.lit(False).alias("falls"))
     step = lambda a, e: F.struct(e["pressed"].alias("held"), e["offset"].cast("long").alias("offset"), (a["repeats"] | (a["held"] == e["pressed"])).alias("repeats"), (a["falls"] | (e["offset"] < a["offset"])).alias("falls"))
     end = F.aggregate(events, start, step)
-    return sorted_reasons([(end["repeats"], "action_event_not_a_transition"), (end["falls"], "action_events_out_of_order")])
+    return sorted_reasons([(end["repeats"], reasons.ACTION_EVENT_NOT_A_TRANSITION), (end["falls"], reasons.ACTION_EVENTS_OUT_OF_ORDER)])
 
 
 def held_fields(planes: list[Column], changed: list[Column], mask: int) -> dict[str, Column]:

@@ -94,11 +94,10 @@ def dom_51_replay_comparison(spark, d):
     return met.select("slot", "tick", status.alias("status"), F.abs(C("xa") - C("xb")).alias("error"))
 
 
-@query("SELECT row_id, CAST(coalesce(sum(b_dx), 0) AS BIGINT) AS moved FROM (SELECT a.row_id, b.dx AS b_dx FROM (SELECT * FROM cmd WHERE kind = 'purchase') a LEFT JOIN cmd b ON b.slot = a.slot AND b.tick BETWEEN a.tick - 8 AND a.tick + 8) GROUP BY row_id", CMD)
+@query("SELECT row_id, CAST(coalesce(sum(b_dx), 0) AS BIGINT) AS moved FROM (SELECT a.row_id, b.dx AS b_dx FROM cmd a LEFT JOIN cmd b ON b.slot = a.slot AND b.tick BETWEEN a.tick - 8 AND a.tick + 8) GROUP BY row_id", CMD)
 def dom_58_window_sums(spark, d):
     c = commands(spark, d)
-    a = c.where("kind = 'purchase'").select("row_id", "slot", "tick")
-    return joins.band_join(a, c.select("slot", C("tick").alias("t"), C("dx").alias("m")), ("slot",), "tick", "t", 8, 8).groupBy("row_id").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("moved"))
+    return joins.band_join(c.select("row_id", "slot", "tick"), c.select("slot", C("tick").alias("t"), C("dx").alias("m")), ("slot",), "tick", "t", 8, 8).groupBy("row_id").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("moved"))
 
 
 @query("SELECT slot, tick, nxt > tick AND (p8 IS NULL OR p8 < tick) AS sound FROM (SELECT slot, tick, lead(tick) OVER w AS nxt, lag(tick, 7) OVER w AS p8 FROM st WINDOW w AS (PARTITION BY slot ORDER BY tick)) WHERE nxt IS NOT NULL", STATE)
@@ -108,9 +107,9 @@ def dom_66_no_leakage(spark, d):
     return s.select("slot", "tick", ((C("nxt") > C("tick")) & (C("p8").isNull() | (C("p8") < C("tick")))).alias("sound"))
 
 
-@query("SELECT slot, start, e AS \"end\", (e - start) % 2 AS odd_tail, e - start < 32 AS too_short FROM (SELECT slot, tick AS start, tick + k AS e FROM cmd WHERE kind = 'signup')", CMD)
+@query("SELECT slot, start, e AS \"end\", (e - start) % 2 AS odd_tail, e - start < 32 AS too_short FROM (SELECT slot, tick AS start, tick + k AS e FROM cmd)", CMD)
 def set_4_tails(spark, d):
-    rows = commands(spark, d).where("kind = 'signup'").select("slot", C("tick").alias("start"), (C("tick") + C("k")).alias("end"))
+    rows = commands(spark, d).select("slot", C("tick").alias("start"), (C("tick") + C("k")).alias("end"))
     return rows.select("slot", "start", "end", ((C("end") - C("start")) % 2).alias("odd_tail"), (C("end") - C("start") < 32).alias("too_short"))
 
 

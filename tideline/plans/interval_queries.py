@@ -85,9 +85,9 @@ def win_8_split_windows(spark, d):
     return intervals.split(rows, 640, 14, 32, floor=199).select("row_id", "piece", "owned_start", "owned_end", "capture_start")
 
 
-@query("SELECT row_id, rank FROM (SELECT row_id, row_number() OVER (ORDER BY round_id, tick, slot, row_id) AS rank FROM cmd WHERE kind = 'purchase') WHERE rank <= 50", CMD)
+@query("SELECT row_id, rank FROM (SELECT row_id, row_number() OVER (ORDER BY round_id, tick, slot, row_id) AS rank FROM cmd) WHERE rank <= 50", CMD)
 def ord_2_first_jobs(spark, d):
-    top = commands(spark, d).where("kind = 'purchase'").orderBy("round_id", "tick", "slot", "row_id").limit(50)
+    top = commands(spark, d).orderBy("round_id", "tick", "slot", "row_id").limit(50)
     return top.withColumn("rank", F.row_number().over(Window.orderBy("round_id", "tick", "slot", "row_id"))).select("row_id", C("rank").cast("long").alias("rank"))
 
 

@@ -187,19 +187,19 @@ def dom_26_packet_bounds(spark, d):
     return rows.select("row_id", "ceiling", F.when(reason.isNull(), "verified").otherwise("unknown").alias("status"), reason.alias("reason"))
 
 
-@query("SELECT slot, count(*) AS n, count(*) FILTER (late) AS overlapping, count(*) FILTER (backwards) AS reversed, bool_and(NOT late AND NOT backwards) AS accepted FROM (SELECT slot, \"end\" <= start AS backwards, coalesce(start < lag(\"end\") OVER (PARTITION BY slot ORDER BY start, row_id), false) AS late FROM (SELECT slot, row_id, tick AS start, tick + k % 50 AS \"end\" FROM cmd WHERE kind = 'click')) GROUP BY slot", CMD)
+@query("SELECT slot, count(*) AS n, count(*) FILTER (late) AS overlapping, count(*) FILTER (backwards) AS reversed, bool_and(NOT late AND NOT backwards) AS accepted FROM (SELECT slot, \"end\" <= start AS backwards, coalesce(start < lag(\"end\") OVER (PARTITION BY slot ORDER BY start, row_id), false) AS late FROM (SELECT slot, row_id, tick AS start, tick + k % 50 AS \"end\" FROM cmd)) GROUP BY slot", CMD)
 def src_25_segment_gate(spark, d):
     """A side-car's segments are taken only if none is empty or begins before the one before it has ended."""
-    s = commands(spark, d).where("kind = 'click'").select("slot", "row_id", C("tick").alias("start"), (C("tick") + C("k") % 50).alias("end"))
+    s = commands(spark, d).select("slot", "row_id", C("tick").alias("start"), (C("tick") + C("k") % 50).alias("end"))
     late = F.coalesce(C("start") < F.lag("end").over(Window.partitionBy("slot").orderBy("start", "row_id")), F.lit(False))
     g = s.withColumns({"overlaps": late, "reversed": C("end") <= C("start")}).groupBy("slot")
     return g.agg(F.count("*").alias("n"), F.count_if("overlaps").alias("overlapping"), F.count_if("reversed").alias("reversed"), F.min(~C("overlaps") & ~C("reversed")).alias("accepted"))
 
 
-@query("SELECT demo, count(*) AS n_series, CASE WHEN count(*) = 1 THEN min(series) END AS series FROM (SELECT DISTINCT user_id AS demo, k % 40 AS series FROM cmd WHERE kind = 'signup') GROUP BY demo", CMD)
+@query("SELECT demo, count(*) AS n_series, CASE WHEN count(*) = 1 THEN min(series) END AS series FROM (SELECT DISTINCT user_id AS demo, k % 40 AS series FROM cmd) GROUP BY demo", CMD)
 def src_26_series_groups(spark, d):
     """Series list their demos; a demo that two series list has none."""
-    listed = commands(spark, d).where("kind = 'signup'").groupBy((C("k") % 40).alias("series")).agg(F.collect_set("user_id").alias("demo_ids"))
+    listed = commands(spark, d).groupBy((C("k") % 40).alias("series")).agg(F.collect_set("user_id").alias("demo_ids"))
     return listed.select("series", F.explode("demo_ids").alias("demo")).groupBy("demo").agg(F.count("*").alias("n_series"), F.when(F.count("*") == 1, F.min("series")).alias("series"))
 
 

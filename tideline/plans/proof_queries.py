@@ -160,6 +160,22 @@ def src_18_event_index(spark, d):
     return tables.read_clustered(spark, path, ("signup", 5000), ("signup", 20000), rows.schema).select("n", "frame_index")
 
 
+@query(
+    """SELECT row_id, CASE k % 7 WHEN 0 THEN 'no value' WHEN 1 THEN 'a varint does not end' WHEN 2 THEN 'field 0' WHEN 3 THEN 'a field is cut off' WHEN 4 THEN 'an unknown wire type'
+      WHEN 5 THEN 'a varint is over 64 bits' END AS reason, CASE WHEN k % 7 = 6 THEN k + 128 END AS number FROM cmd""",
+    CMD,
+)
+def udf_8_field_reasons(spark, d):
+    """Values that lack an end, a field number, bytes or a known type beside sound ones: the fields, or the reason why not."""
+    sound = F.concat(F.lit("08"), wire.varint_hex(C("k") + 128))
+    damaged = {1: F.lit("0880"), 2: F.lit("0001"), 3: F.concat(F.lit("0a05"), F.hex(F.lit("ab"))), 4: F.lit("0f01"), 5: F.lit("08" + "ff" * 9 + "7f"), 6: sound}
+    data = F.lit(None).cast("string")
+    for kind, text in damaged.items():
+        data = F.when(C("k") % 7 == kind, text).otherwise(data)
+    got = commands(spark, d).select("row_id", wire.decoded(F.unhex(data)).alias("x"))
+    return got.select("row_id", C("x.reason").alias("reason"), F.get(C("x.fields"), F.lit(0))["number"].cast("long").alias("number"))
+
+
 @query("SELECT row_id, dx AS value FROM cmd WHERE dx IS NOT NULL", CMD)
 def udf_2_signed_varints(spark, d):
     """Signed numbers as varints of up to ten bytes and back."""

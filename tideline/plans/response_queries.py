@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tideline.functions import reasons
 from tideline.functions.angles import interpolate_degrees, wrap_degrees
 from tideline.operators import labels, responses, windows
 from tideline.plans.label_queries import JOINED
@@ -34,21 +35,21 @@ def dom_32_control_audit(spark, d):
     rows = rows.withColumns({"user_1": F.lead("user_id").over(w), "tick_4": F.lead("tick", 4).over(w), **{f"r{k}": F.lead("row_id", k).over(w) for k in (2, 3, 4)}})
     moved = sum((F.coalesce(F.lead("dx", k).over(w), F.lit(0)) for k in (2, 3, 4)), F.lit(0))
     rows = rows.withColumns({"moved": moved, "all_alive": F.min("state_alive").over(f), "known": F.count("paused").over(f) == F.count("*").over(f), "any_paused": F.max("paused").over(f)}).where("kind = 'view'")
-    reasons = labels.sorted_reasons(
+    why = labels.sorted_reasons(
         [
-            (C("user_1") != C("user_id"), "source_normalization_predecessor_disagrees"),
-            (C("k") % 17 == 0, "source_first_target_disagrees"),
-            (C("client_tick") + 4 > C("tick") + 4 + C("k") % 3, "control_window_exceeds_verified_source_horizon"),
-            (F.exists(F.array("r2", "r3", "r4"), lambda r: r % 13 == 0), "contributing_live_source_envelope_unavailable_or_ambiguous"),
-            (C("r4").isNull(), "complete_control_window_unavailable"),
-            (C("tick_4") - C("tick") > 20000, "control_state_window_out_of_supported_range"),
-            (~C("all_alive"), "alive_not_true"),
-            (~C("known"), "pause_unknown"),
-            (C("any_paused"), "pause_active"),
+            (C("user_1") != C("user_id"), reasons.SOURCE_NORMALIZATION_PREDECESSOR_DISAGREES),
+            (C("k") % 17 == 0, reasons.SOURCE_FIRST_TARGET_DISAGREES),
+            (C("client_tick") + 4 > C("tick") + 4 + C("k") % 3, reasons.CONTROL_WINDOW_EXCEEDS_VERIFIED_SOURCE_HORIZON),
+            (F.exists(F.array("r2", "r3", "r4"), lambda r: r % 13 == 0), reasons.CONTRIBUTING_LIVE_SOURCE_ENVELOPE_UNAVAILABLE_OR_AMBIGUOUS),
+            (C("r4").isNull(), reasons.COMPLETE_CONTROL_WINDOW_UNAVAILABLE),
+            (C("tick_4") - C("tick") > 20000, reasons.CONTROL_STATE_WINDOW_OUT_OF_SUPPORTED_RANGE),
+            (~C("all_alive"), reasons.ALIVE_NOT_TRUE),
+            (~C("known"), reasons.PAUSE_UNKNOWN),
+            (C("any_paused"), reasons.PAUSE_ACTIVE),
         ]
     )
-    cell = labels.masked(C("moved"), reasons)
-    return rows.select("row_id", cell.alias("c"), reasons.alias("r")).select("row_id", C("c.valid").alias("eligible"), F.array_join("r", ",").alias("reasons"), C("c.value").alias("delta"))
+    cell = labels.masked(C("moved"), why)
+    return rows.select("row_id", cell.alias("c"), why.alias("r")).select("row_id", C("c.valid").alias("eligible"), F.array_join("r", ",").alias("reasons"), C("c.value").alias("delta"))
 
 
 @query(
@@ -101,7 +102,7 @@ def dom_54_command_summary(spark, d):
     for more in (twice, moves, near):
         rows = rows.join(more, "slot", "left")
     rows = rows.fillna(0, ["repeated", "transitions", "neighbours"])
-    issues = labels.sorted_reasons([(C("commands") != C("eligible"), "incomplete_command_reconstruction"), (C("repeated") > 0, "ambiguous_command_number_identity"), (C("unread") > 0, "canonical_command_projection_requires_review")])
+    issues = labels.sorted_reasons([(C("commands") != C("eligible"), reasons.INCOMPLETE_COMMAND_RECONSTRUCTION), (C("repeated") > 0, reasons.AMBIGUOUS_COMMAND_NUMBER_IDENTITY), (C("unread") > 0, reasons.CANONICAL_COMMAND_PROJECTION_REQUIRES_REVIEW)])
     return rows.withColumn("issues", F.array_join(issues, ",")).drop("unread")
 
 
@@ -146,10 +147,10 @@ def dom_56_insertions(spark, d):
     batch = batch.withColumns({"last_after": F.lag("after").over(w), "last_elapsed": F.lag("elapsed").over(w)})
     seen = c.groupBy("slot", C("tick").alias("elapsed")).agg(F.count("*").alias("seen"))
     rules = [
-        (C("elapsed") < F.greatest("tick", "last_elapsed"), "early_scheduling_observation"),
-        (F.coalesce("seen", F.lit(0)) != 1, "missing_or_ambiguous_native_frame"),
-        (C("inserted") != C("n"), "insertion_count_disagrees"),
-        (C("before") < C("last_after"), "insertion_clock_reversed"),
+        (C("elapsed") < F.greatest("tick", "last_elapsed"), reasons.EARLY_SCHEDULING_OBSERVATION),
+        (F.coalesce("seen", F.lit(0)) != 1, reasons.MISSING_OR_AMBIGUOUS_NATIVE_FRAME),
+        (C("inserted") != C("n"), reasons.INSERTION_COUNT_DISAGREES),
+        (C("before") < C("last_after"), reasons.INSERTION_CLOCK_REVERSED),
         (~C("guarded"), "guard_failed"),
     ]
     return batch.join(seen, ["slot", "elapsed"], "left").select("slot", "tick", "n", F.array_join(labels.sorted_reasons(rules), ",").alias("reasons"))
@@ -189,15 +190,15 @@ def dom_60_effects(spark, d):
         first("moving").alias("ground"), F.min("moving").alias("grounded"), F.max("yaw").alias("up"), (F.count("yaw") == F.count("*")).alias("yaw_known"), (F.max(duck) > F.min_by(duck, C("tick"))).alias("ducked"), (F.count("paused") == F.count("*")).alias("duck_known"),
     )
     asked = commands(spark, d).groupBy("slot", "round_id", "kind").agg(F.count_if(C("dx") > 0).alias("matching"))
-    held = "ammo_or_weapon_identity_unavailable_or_changed"
+    held = reasons.AMMO_OR_WEAPON_IDENTITY_UNAVAILABLE_OR_CHANGED
     one = C("holders") == 1
     rules = {
-        "view": responses.effect(F.lit(True), (C("matching") > 0) & (C("moved") > 0.25) & (C("speed") > 1), "movement_state_unavailable"),
+        "view": responses.effect(F.lit(True), (C("matching") > 0) & (C("moved") > 0.25) & (C("speed") > 1), reasons.MOVEMENT_STATE_UNAVAILABLE),
         "click": responses.effect(one, C("low") < C("clip"), held),
         "purchase": responses.effect(one, C("high") > C("clip"), held),
-        "signup": responses.effect(C("yaw_known"), C("ground") & ~C("grounded") & (C("up") > 1), "jump_state_unavailable"),
+        "signup": responses.effect(C("yaw_known"), C("ground") & ~C("grounded") & (C("up") > 1), reasons.JUMP_STATE_UNAVAILABLE),
     }
-    out = responses.effect(C("duck_known"), C("ducked"), "duck_state_unavailable")
+    out = responses.effect(C("duck_known"), C("ducked"), reasons.DUCK_STATE_UNAVAILABLE)
     for kind, rule in rules.items():
         out = F.when(C("kind") == kind, rule).otherwise(out)
     return asked.join(seen, ["slot", "round_id"]).select("slot", "round_id", "kind", out.alias("e")).select("slot", "round_id", "kind", "e.status", "e.reason")
@@ -261,10 +262,10 @@ def dom_33_samples(spark, d):
     w = Window.partitionBy("slot").orderBy("tick")
     support = commands(spark, d).groupBy("slot", "tick").agg(F.count("*").alias("support"))
     rows = windows.history(states(spark, d), ["slot"], "tick", "x", 8).withColumns({"oldest": F.first("tick").over(w.rowsBetween(-7, 0)), "target": F.lead("x").over(w) - C("x")}).join(support, ["slot", "tick"])
-    rules = [(C("tick") - C("oldest") > 1000, "history_not_contiguous"), (C("target").isNull(), "target_unavailable"), (C("support") > 1, "ambiguous_command_support"), (~C("alive"), "alive_not_true"), (C("paused").isNull(), "pause_unknown"), (C("paused"), "pause_active")]
-    reasons = F.array_sort(F.array_union("reason_codes", labels.sorted_reasons(rules)))
-    cell = labels.masked(C("target"), reasons)
-    return rows.select("slot", "tick", F.array_join("history", ",").alias("images"), cell.alias("c"), F.array_join(reasons, ",").alias("reasons")).select("slot", "tick", "images", C("c.value").alias("target"), "reasons")
+    rules = [(C("tick") - C("oldest") > 1000, reasons.HISTORY_NOT_CONTIGUOUS), (C("target").isNull(), reasons.TARGET_UNAVAILABLE), (C("support") > 1, reasons.AMBIGUOUS_COMMAND_SUPPORT), (~C("alive"), reasons.ALIVE_NOT_TRUE), (C("paused").isNull(), reasons.PAUSE_UNKNOWN), (C("paused"), reasons.PAUSE_ACTIVE)]
+    why = F.array_sort(F.array_union("reason_codes", labels.sorted_reasons(rules)))
+    cell = labels.masked(C("target"), why)
+    return rows.select("slot", "tick", F.array_join("history", ",").alias("images"), cell.alias("c"), F.array_join(why, ",").alias("reasons")).select("slot", "tick", "images", C("c.value").alias("target"), "reasons")
 
 
 @query(

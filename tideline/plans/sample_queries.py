@@ -229,7 +229,22 @@ def agg_19_balance(spark, d):
     return n.select((C("planned") + C("excluded") == C("total")).alias("balanced"), "planned", "excluded", "total")
 
 
-@query()
+#: The picks one after another: `seen` counts the actions of those before, `byact` has the best row of each action.
+DIVERSE = """
+c AS (SELECT DISTINCT row_id, sha256(row_id::VARCHAR) AS h, kind AS s, kind || ':' || round_id AS r, kind || ':' || user_id AS p, p1 FROM cmd WHERE alive),
+lim AS (SELECT least(64, count(DISTINCT h)) AS n FROM c),
+pk AS (SELECT 0 AS pick, NULL::BIGINT AS row_id, []::BIGINT[] AS taken, []::VARCHAR[] AS ss, []::VARCHAR[] AS rs, []::VARCHAR[] AS ps, [0, 0, 0, 0, 0, 0] AS seen
+  UNION ALL
+  SELECT pick + 1, b.id, list_append(taken, b.id), list_append(ss, b.s), list_append(rs, b.r), list_append(ps, b.p), list_transform(range(0, 6), lambda k: seen[k + 1] + ((b.p1 >> k) & 1)::INTEGER)
+  FROM (SELECT *, CASE WHEN pick < ceil(n * 0.5) THEN best ELSE coalesce(byact[list_min(list_transform(list_filter(range(1, 7), lambda k: byact[k] IS NOT NULL), lambda k: {'c': seen[k], 'k': k})).k], best) END AS b
+    FROM (SELECT pick, any_value(n) AS n, any_value(taken) AS taken, any_value(ss) AS ss, any_value(rs) AS rs, any_value(ps) AS ps, any_value(seen) AS seen, min(o) AS best,
+        [""" + ", ".join(f"min(o) FILTER ((p1 >> {k}) & 1 = 1)" for k in range(6)) + """] AS byact
+      FROM (SELECT pk.*, n, p1, {'ns': len(list_filter(ss, lambda x: x = c.s)), 'nr': len(list_filter(rs, lambda x: x = c.r)), 'np': len(list_filter(ps, lambda x: x = c.p)), 'h': h, 'id': c.row_id, 's': c.s, 'r': c.r, 'p': c.p, 'p1': p1} AS o
+        FROM pk, lim, c WHERE pick < n AND NOT list_contains(taken, c.row_id))
+      GROUP BY pick)))"""
+
+
+@query("SELECT pick::INTEGER AS pick, row_id FROM pk WHERE pick > 0", "RECURSIVE " + CMD.strip(), DIVERSE)
 def ord_4_diverse_selection(spark, d):
     actions = {f"button_{k}": C("p1").bitwiseAND(F.lit(1 << k)) > 0 for k in range(6)}
     keys = selection.diverse(commands(spark, d).where("alive"), "row_id", "kind", "user_id", 64, "round_id", actions)

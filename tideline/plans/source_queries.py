@@ -89,12 +89,19 @@ def src_7_ledger(spark, d):
     return tables.read_ledger(spark, path).select("event", "n", "frame_index", "qpc")
 
 
-@query("SELECT kind AS event, count(*) AS n FROM cmd GROUP BY kind", CMD)
+@query("SELECT kind AS event, count(*) AS n, 'refused' AS one_byte_less FROM cmd GROUP BY kind", CMD)
 def src_8_bounded_ledger(spark, d):
-    """Lines of at most a kilobyte; a longer one would stop the read."""
+    """A ledger read under the bound that its longest line just keeps; under a bound one byte less the read stops."""
     path = new_folder(spark)
     sinks.json_lines(ledger(spark, d), path)
-    return tables.read_ledger(spark, path, longest=1024).groupBy("event").agg(F.count("*").alias("n"))
+    longest = spark.read.text(path).agg(F.max(F.octet_length("value"))).first()[0] or 1
+    try:
+        tables.read_ledger(spark, path, longest=longest - 1).agg(F.max("n")).collect()
+        less = "read"
+    except PySparkException as e:
+        less = "refused" if "a line is too long" in str(e) else str(e)
+    counts = tables.read_ledger(spark, path, longest=longest).groupBy("event").agg(F.count("*").alias("n"))
+    return counts.withColumn("one_byte_less", F.lit(less))
 
 
 @query("SELECT frame_index, start, \"end\", 2::BIGINT AS n FROM fr", CMD, FRAMES)

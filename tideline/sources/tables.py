@@ -143,7 +143,11 @@ def discover(spark: SparkSession, folder: str, pattern: str, most: int = 10_000)
 
 
 def file_digests(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """path, length, sha256 of each file; compare two of these to see whether anything changed between."""
+    """path, length, sha256 of each file; compare two of these to see whether anything changed between.
+
+    A file is one row of binaryFile and must fit a task; one of over 2 GB (spark.sql.sources.binaryFile.maxLength) stops
+    the read. For tables of any size there are the digest trees of operators/digests.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
