@@ -5,24 +5,33 @@ from __future__ import annotations
 _WORDS = "list_filter(string_split_regex({t}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-OP1 = """
-WITH turns AS (SELECT conv_id, turn, role, text FROM conversations),
-last AS (SELECT conv_id, max({'turn': turn, 'text': text}) AS l FROM turns WHERE role = 'assistant' GROUP BY conv_id),
-pairs AS (SELECT a.conv_id, a.l.turn AS last_turn, b.l.text AS other FROM last a LEFT JOIN last b ON xor(b.conv_id, 1) = a.conv_id),
-kept AS (SELECT t.*, last_turn, CASE WHEN turn = last_turn AND role = 'assistant' THEN coalesce(other, '') ELSE text END AS alt
-         FROM turns t LEFT JOIN pairs USING (conv_id) WHERE conv_id IS NOT NULL),
-marked AS (SELECT *, bool_and(text IS NOT DISTINCT FROM alt) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS same,
-                  '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS good,
-                  '<|' || role || '|>' || chr(10) || alt || chr(10) || '<|end|>' || chr(10) AS bad FROM kept),
-ends AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE length(good) END) OVER w AS good_end,
-                   sum(CASE WHEN same THEN 0 ELSE length(bad) END) OVER w AS bad_end
-         FROM marked WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+_PLACE = "turn NULLS FIRST, role NULLS FIRST, {t} NULLS FIRST"
+
+
+def _rendered(text: str) -> str:
+    return f"'<|' || coalesce(role, '') || '|>' || chr(10) || coalesce({text}, '') || chr(10) || '<|end|>' || chr(10)"
+
+
+def _mask(side: str, text: str) -> str:
+    span = f"({side}_end - length(coalesce({text}, '')) - 9)::BIGINT || ':' || {side}_end::BIGINT"
+    return f"coalesce(string_agg({span}, ',' ORDER BY i) FILTER (NOT same AND {side}_role = 'assistant'), '') AS {'chosen' if side == 'good' else 'rejected'}_mask"
+
+
+#: Each side stands in its own order, which differs where turns of one number and role get another text.
+OP1 = f"""
+WITH turns AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+last AS (SELECT conv_id, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text DESC NULLS LAST) AS k FROM turns WHERE role = 'assistant') WHERE k = 1),
+pairs AS (SELECT a.conv_id, a.turn AS last_turn, coalesce(b.text, '') AS other FROM last a LEFT JOIN last b ON xor(b.conv_id, 1) = a.conv_id),
+kept AS (SELECT t.*, CASE WHEN turn = last_turn AND role = 'assistant' THEN other ELSE text END AS alt FROM turns t LEFT JOIN pairs USING (conv_id)),
+good AS (SELECT conv_id, role AS good_role, text, {_rendered("text")} AS good, row_number() OVER (PARTITION BY conv_id ORDER BY {_PLACE.format(t="text")}) AS i FROM kept),
+bad AS (SELECT conv_id, role AS bad_role, alt, {_rendered("alt")} AS bad, row_number() OVER (PARTITION BY conv_id ORDER BY {_PLACE.format(t="alt")}) AS i FROM kept),
+marked AS (SELECT *, bool_and(good_role IS NOT DISTINCT FROM bad_role AND text IS NOT DISTINCT FROM alt) OVER (PARTITION BY conv_id ORDER BY i) AS same FROM good JOIN bad USING (conv_id, i)),
+ends AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE length(good) END) OVER w AS good_end, sum(CASE WHEN same THEN 0 ELSE length(bad) END) OVER w AS bad_end FROM marked WINDOW w AS (PARTITION BY conv_id ORDER BY i))
 SELECT conv_id AS pair_id, CAST(count(*) FILTER (same) AS INTEGER) AS prefix_turns,
-  coalesce(string_agg(good, '' ORDER BY turn, role, text) FILTER (same), '') AS prompt,
-  coalesce(string_agg(good, '' ORDER BY turn, role, text) FILTER (NOT same), '') AS chosen,
-  coalesce(string_agg(bad, '' ORDER BY turn, role, text) FILTER (NOT same), '') AS rejected,
-  coalesce(string_agg((good_end - length(text) - 9)::BIGINT || ':' || good_end::BIGINT, ',' ORDER BY turn, role, text) FILTER (NOT same AND role = 'assistant'), '') AS chosen_mask,
-  coalesce(string_agg((bad_end - length(alt) - 9)::BIGINT || ':' || bad_end::BIGINT, ',' ORDER BY turn, role, text) FILTER (NOT same AND role = 'assistant'), '') AS rejected_mask
+  coalesce(string_agg(good, '' ORDER BY i) FILTER (same), '') AS prompt,
+  coalesce(string_agg(good, '' ORDER BY i) FILTER (NOT same), '') AS chosen,
+  coalesce(string_agg(bad, '' ORDER BY i) FILTER (NOT same), '') AS rejected,
+  {_mask("good", "text")}, {_mask("bad", "alt")}
 FROM ends GROUP BY conv_id
 """
 
@@ -32,49 +41,51 @@ r AS (SELECT source, sqrt(n::DOUBLE) / sum(sqrt(n::DOUBLE)) OVER () * sum(n) OVE
 ks AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 10 * sqrt(rate) + 31) AS BIGINT))) AS k FROM r),
 terms AS (SELECT source, rate, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p FROM ks),
 below AS (SELECT source, rate, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS s FROM terms),
-drawn AS (SELECT d.*, ('0x' || substr(md5('mix-1|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents d),
-n_copies AS (SELECT d.doc_id, any_value(b.rate) AS rate, count(*) FILTER (b.s <= d.u) AS c FROM drawn d JOIN below b ON d.source IS NOT DISTINCT FROM b.source GROUP BY d.doc_id),
-copies AS (SELECT doc_id, rate, unnest(range(0, c)) AS copy FROM n_copies)
-SELECT d.*, round(rate, 9) AS rate, copy::INTEGER AS copy, md5('mix-1-order|' || d.doc_id || '|' || copy) AS order_key FROM copies JOIN documents d USING (doc_id)
+named AS (SELECT *, row_number() OVER () AS _row, coalesce(doc_id::VARCHAR, 'null') AS _name FROM documents),
+drawn AS (SELECT _row, source, ('0x' || substr(md5('mix-1|' || _name), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM named),
+n_copies AS (SELECT _row, any_value(b.rate) AS rate, count(*) FILTER (b.s <= d.u) AS c FROM drawn d JOIN below b ON d.source IS NOT DISTINCT FROM b.source GROUP BY _row),
+copies AS (SELECT _row, rate, unnest(range(0, c)) AS copy FROM n_copies)
+SELECT d.* EXCLUDE (_row, _name), round(rate, 9) AS rate, copy::INTEGER AS copy, md5('mix-1-order|' || _name || '|' || copy) AS order_key FROM copies JOIN named d USING (_row)
 """
 
+#: Rows of one doc_id and different texts stand in the order of their texts here, by a hash of the texts in the operator.
 OP5 = f"""
-WITH w AS (SELECT doc_id, {_WORDS.format(t="coalesce(text, '')")} AS ws FROM documents),
-p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM w),
-runs AS (SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS run FROM p),
-later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS k FROM runs WHERE i + 19 <= n) WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
-kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+WITH w AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text NULLS FIRST) AS r, doc_id, {_WORDS.format(t="coalesce(text, '')")} AS ws FROM documents),
+p AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM w),
+runs AS (SELECT r, i, n, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS run FROM p),
+later AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY run ORDER BY r, i) AS k FROM runs WHERE i + 19 <= n) WHERE k > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS i FROM later),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM p ANTI JOIN gone USING (r, i) GROUP BY r)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
-FROM w LEFT JOIN kept USING (doc_id)
+FROM w LEFT JOIN kept USING (r)
 """
 
 OP6 = f"""
-WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(t=_LOWER)} AS ws FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(t=_LOWER)} AS ws FROM documents),
+s AS (SELECT DISTINCT r, doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
              ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS g FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+shared AS (SELECT a.r AS ra, b.r AS rb, any_value(a.doc_id) AS a, any_value(b.doc_id) AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT DISTINCT a, b FROM shared JOIN n x ON x.r = ra JOIN n y ON y.r = rb WHERE 100 * c >= 85 * (x.n + y.n - c)),
 both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT DISTINCT a AS node, a AS seen FROM both_ways UNION SELECT r.node, l.b FROM reach r JOIN both_ways l ON l.a = r.seen)
-SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.c, w.doc_id) AS component_id, coalesce(c.c, w.doc_id) = w.doc_id AS kept
-FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node AS doc_id, min(seen) AS c FROM reach GROUP BY 1) c USING (doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.c, w.doc_id) AS component_id, coalesce(coalesce(c.c, w.doc_id) = w.doc_id, true) AS kept
+FROM w LEFT JOIN n USING (r) LEFT JOIN (SELECT node AS doc_id, min(seen) AS c FROM reach GROUP BY 1) c ON c.doc_id = w.doc_id
 """
 
 _BENCH = "list_filter(string_split_regex({t}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 OP10 = f"""
-WITH w AS (SELECT doc_id, {_BENCH.format(t=_LOWER)} AS ws FROM documents),
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, {_BENCH.format(t=_LOWER)} AS ws FROM documents),
 b AS (SELECT item_id::VARCHAR AS item_id, {_BENCH.format(t=_LOWER)} AS ws FROM benchmark),
 runs AS (SELECT item_id, 10 AS k, unnest(list_transform(range(1, len(ws) - 8), lambda i: array_to_string(ws[i:i + 9], ' '))) AS run FROM b WHERE len(ws) >= 10
          UNION ALL SELECT item_id, len(ws), array_to_string(ws, ' ') FROM b WHERE len(ws) BETWEEN 1 AND 9),
 sizes AS (SELECT DISTINCT k FROM runs),
-grams AS (SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS i, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS run FROM w, sizes WHERE len(ws) >= k),
-hits AS (SELECT doc_id, g.k, i, item_id FROM grams g JOIN runs r ON r.run = g.run AND r.k = g.k),
-n_hit AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hits) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS t FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+grams AS (SELECT r, k, unnest(range(1, len(ws) - k + 2)) AS i, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS run FROM w, sizes WHERE len(ws) >= k),
+hits AS (SELECT g.r, g.k, i, item_id FROM grams g JOIN runs x ON x.run = g.run AND x.k = g.k),
+n_hit AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS t FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(m.n, 0)::BIGINT AS n_items, sha256(coalesce(m.t, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
-FROM w LEFT JOIN n_hit h USING (doc_id) LEFT JOIN items m USING (doc_id)
+FROM w LEFT JOIN n_hit h USING (r) LEFT JOIN items m USING (r)
 """
 
 _DIGITS = "('0x' || substr(sha1(coalesce(html, '')), 1 + 5 * g, 5))::BIGINT"
