@@ -484,3 +484,53 @@ def test_nearest_of_long_vectors_at_an_edge_of_zero():
         exact = curves.scores_of(queries[q], rows)
         by = np.lexsort((ids, -exact))[:20]
         assert found[at == q].tolist() == ids[by].tolist() and score[at == q].tolist() == exact[by].tolist()
+
+
+def recall_of(got, m, k=20, every=20):
+    hits = total = 0
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(0, len(m), every):
+        score = (m * m[q]).sum(1)
+        want = [i for i in np.lexsort((np.arange(len(m)), -score)) if i != q][:k]
+        assert [x[1] for x in sorted(found[q])] == [x[1] for x in sorted(found[q], key=lambda x: (-x[2], x[1]))]
+        hits, total = hits + len(set(want) & {v for _, v, _ in found[q]}), total + k
+    return hits / total
+
+
+def test_nearest_with_one_long_vector(spark, monkeypatch):
+    """One vector a thousand times longer than the others changes hardly how far a query must look."""
+    rng = np.random.default_rng(11)
+    m = rng.normal(size=(40, 16))[rng.integers(0, 40, 6000)] + rng.normal(size=(6000, 16)) * 0.5
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    met, seen = [], curves._widths
+    monkeypatch.setattr(curves, "_widths", lambda *a: met.append(seen(*a)) or met[-1])
+    for factor in (1.0, 1000.0):
+        m[77] *= factor
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+        assert recall_of(curves.nearest(rows, most_block=256, least_block=16).collect(), m) >= 0.93
+    #: The long vector is a level of one row.
+    (without,), (one, others) = met
+    assert min(one, 1) + others < 2 * without and others > 16
+
+
+def test_nearest_of_many_lengths(spark, monkeypatch):
+    """Lengths spread over many octaves, and blocks whose queries are dealt into groups: the same recall."""
+    monkeypatch.setattr(curves, "MOST_QUERIES", 40)
+    rng = np.random.default_rng(12)
+    m = rng.normal(size=(4000, 12)) * np.exp(rng.normal(size=4000) * 1.5)[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    assert recall_of(curves.nearest(rows, most_block=256).collect(), m) >= 0.93
+
+
+def test_levels():
+    assert curves.levels_of([(0, 1, 9.5), (9, 5000, -0.1)], 256) == [(0, 9.5), (9, -0.1)]
+    assert curves.levels_of([(0, 1000, 3.0), (1, 5, 1.9), (2, 300, 0.5), (5, 1, -2.0)], 256) == [(0, 3.0), (2, 0.5)]
+    assert len(curves.levels_of([(i, 1000 + i, -i) for i in range(100)], 256)) == curves.MOST_LEVELS
+
+
+def test_lengths_do_not_overflow(spark):
+    rows = spark.createDataFrame([(1, [3e200, 4e200]), (2, [3e-200, 4e-200]), (3, [0.6, 0.8])], "id int, v array<double>")
+    got = [r["x"] for r in rows.orderBy("id").select(curves.log_length(F.col("v")).alias("x")).collect()]
+    assert np.allclose(got, [np.log2(5) + 200 * np.log2(10), np.log2(5) - 200 * np.log2(10), 0.0])

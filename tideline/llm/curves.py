@@ -4,6 +4,9 @@ Vectors are projected several times to a few dimensions, shifted, and ordered al
 order by ranges; an order's ranks are cut into blocks, and a query is compared with its own block and the two beside it
 on every curve. Candidates of all curves merge and keep their exact scores. How wide a block must be depends on the
 data: it is measured on a bounded sample of queries against all rows.
+
+Vectors are dealt into levels by their lengths, each with its own curves, scale and width: one vector far longer than
+the others would otherwise put all of them at one pole. A query is looked up on the curves of every level.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -45,20 +48,49 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+#: Levels of lengths: so many at most, of a factor of two each where they are fewer; one of less rows than a block is part
+#: of the longer one before it. Queries of one block that are compared in one group.
+MOST_LEVELS, MOST_QUERIES = 32, 8192
+
+
+def log_length(vector: Column) -> Column:
+    """The binary logarithm of a vector's length, which no square over- or underflows."""
+    sizes = F.transform(vector, lambda x: F.abs(x.cast("double")))
+    most = F.array_max(sizes)
+    return F.log2(most) + F.log2(F.aggregate(sizes, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))) / 2
+
+
+def levels_of(counts: list[tuple[int, int, float]], least: int) -> list[tuple[int, float]]:
+    """(octave, log-length of the longest) with which each level begins, from (octave, rows, longest) of each octave below
+    the longest vector. An octave of under `least` rows joins the longer one before it; of more than MOST_LEVELS levels the
+    adjoining two of fewest rows become one."""
+    out: list[list] = []
+    for octave, n, top in sorted(counts):
+        if out and n < least:
+            out[-1][1] += n
+        else:
+            out.append([octave, n, top])
+    while len(out) > MOST_LEVELS:
+        i = min(range(len(out) - 1), key=lambda i: out[i][1] + out[i + 1][1])
+        out[i][1] += out.pop(i + 1)[1]
+    return [(octave, top) for octave, _, top in out]
+
+
 class Curves:
-    """The projections and shifts of all curves; vectors are scaled to a sphere on which nearness is the inner product."""
+    """The projections and shifts of all curves; the vectors of a level are scaled by its longest to a sphere on which
+    nearness is the inner product."""
 
-    def __init__(self, size: int, longest: float, curves: int, dims: int, seed: int = 7):
+    def __init__(self, size: int, curves: int, dims: int, seed: int = 7):
         draw, dims = np.random.default_rng(seed), min(dims, size + 1)
-        self.longest, self.dims, self.bits = longest or 1.0, dims, 60 // dims
+        self.dims, self.bits = dims, 60 // dims
         self.frames = [np.linalg.qr(draw.normal(size=(size + 1, dims)))[0] * np.sqrt(size + 1) * 1.2 for _ in range(curves)]
         self.shifts = draw.random((curves, dims)) / 2
 
-    def keys(self, vectors: np.ndarray, queries: bool) -> np.ndarray:
-        norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-        scale = norm if queries else self.longest
-        rest = np.zeros_like(norm) if queries else np.sqrt(np.maximum(0, 1 - (norm / self.longest) ** 2))
-        on = np.hstack([vectors / scale, rest])
+    def keys(self, vectors: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """shares: the length of each vector as a share of its level's longest; of a query, 1."""
+        on = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+        shares = np.minimum(shares, 1.0)[:, None]
+        on = np.hstack([on / np.linalg.norm(on, axis=1, keepdims=True) * shares, np.sqrt(1 - shares**2)])
         top = (1 << self.bits) - 1
         out = []
         for frame, shift in zip(self.frames, self.shifts, strict=True):
@@ -115,40 +147,60 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
     Null, zero and non-finite vectors take no part, nor do vectors of an unusual size or without an id. Of equal vectors
     only the k + 1 smallest ids can be among anyone's nearest, so only these are indexed. Repeated rows of one id count
     once (the smallest vector). With fewer rows than k + 1, all are returned. A query meets blocks as far to both sides as
-    `recall` of the true neighbours of `sample` queries (drawn by hash) needs; a block has `most_block` rows at most, and
-    a wider reach is more blocks, not larger ones. A small table is one block and its result exact. Queries of equal
-    vectors are asked once, for k + 1 rows, and each leaves itself out. Columns beside the two named are left out.
+    `recall` of the true neighbours of `sample` queries (drawn by hash) needs, measured for each level of lengths; a block
+    has `most_block` rows at most, and a wider reach is more blocks, not larger ones. Queries that crowd at one block are
+    dealt into groups of some MOST_QUERIES by a hash, each with the block's rows. A small table is one block and its result
+    exact. Queries of equal vectors are asked once, for k + 1 rows, and each leaves itself out. Very long vectors are rows
+    like others; of components whose products overflow the scores are infinite or no numbers. Columns beside the two named
+    are left out.
     """
     spark = vectors.sparkSession
-    rows = stored(valid_vectors(vectors, id_column, vector_column).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    size, longest, n = rows.agg(F.max(F.size("vector")), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))), F.count("*")).first()
+    rows = valid_vectors(vectors, id_column, vector_column).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = stored(rows.withColumn("length", log_length(F.col("vector"))), "vectors")
+    size, longest, n = rows.agg(F.max(F.size("vector")), F.max("length"), F.count("*")).first()
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], out)
     #: Goes to the tasks in their closure, by value.
-    plan = Curves(size, float(longest), curves, dims)
+    plan = Curves(size, curves, dims)
+    octave = F.floor(F.lit(longest) - F.col("length")).cast("int")
+    #: A row for each octave of a double's range at most.
+    counts = rows.groupBy(octave.alias("octave")).agg(F.count("*").alias("n"), F.max("length").alias("longest")).collect()
+    levels = levels_of([tuple(r) for r in counts], most_block)
+    tops = np.array([top for _, top in levels])
+    level = sum((F.when(octave >= first, 1).otherwise(0) for first, _ in levels[1:]), F.lit(0))
     same = Window.partitionBy(F.xxhash64(F.lit(1), "vector"), F.xxhash64("vector", F.lit(2))).orderBy("vec_id")
-    kept = stored(rows.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k + 1).drop("_copy"), "indexed")
-    asking = rows.where(F.col("vec_id") % every == 0)
+    kept = rows.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= k + 1)
+    kept = stored(kept.select("vec_id", "vector", "length", level.alias("level")), "indexed")
+    asking = rows.where(F.col("vec_id") % every == 0).select("vec_id", "vector")
     alike = stored(asking.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")), "asked")
     queries = alike.select("vec_id", "vector")
-    entry = "curve int, key long, is_query boolean, vec_id long"
+    #: A curve of a level has a number of its own: level * curves + curve.
+    entry, spaces = "curve int, key long, is_query boolean, vec_id long", curves * len(levels)
 
-    def enter(is_query: bool):
-        def run(batches):
-            for batch in batches:
-                keys = plan.keys(as_matrix(batch.column("vector"), size), is_query)
-                ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(curves, dtype=np.int32), len(ids))), pa.array(keys.ravel()), pa.array(np.full(len(ids) * curves, is_query)), pa.array(np.repeat(ids, curves))], ["curve", "key", "is_query", "vec_id"])
+    def entries_of(keys: np.ndarray, of: np.ndarray, ids: np.ndarray, is_query: bool) -> pa.RecordBatch:
+        at = of[:, None] * curves + np.arange(curves)
+        return pa.RecordBatch.from_arrays([pa.array(at.ravel().astype(np.int32)), pa.array(keys.ravel()), pa.array(np.full(keys.size, is_query)), pa.array(np.repeat(ids, curves))], ["curve", "key", "is_query", "vec_id"])
 
-        return run
+    def enter(batches):
+        for batch in batches:
+            of, length = batch.column("level").to_numpy(), batch.column("length").to_numpy()
+            keys = plan.keys(as_matrix(batch.column("vector"), size), np.exp2(length - tops[of]))
+            yield entries_of(keys, of, batch.column("vec_id").to_numpy(), False)
+
+    def ask(batches):
+        for batch in batches:
+            if batch.num_rows:
+                keys = plan.keys(as_matrix(batch.column("vector"), size), np.ones(batch.num_rows))
+                for i in range(len(tops)):
+                    yield entries_of(keys, np.full(batch.num_rows, i), batch.column("vec_id").to_numpy(), True)
 
-    entries = kept.mapInArrow(enter(False), entry).unionByName(queries.mapInArrow(enter(True), entry))
+    entries = kept.where("level is not null").mapInArrow(enter, entry).unionByName(queries.mapInArrow(ask, entry))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = entries.repartitionByRange(parts, "curve", "key", "vec_id", "is_query").sortWithinPartitions("curve", "key", "vec_id", "is_query")
 
     def number(batches):
-        part, seen = TaskContext.get().partitionId(), np.zeros(curves, np.int64)
+        part, seen = TaskContext.get().partitionId(), np.zeros(spaces, np.int64)
         for batch in batches:
             curve = batch.column("curve").to_numpy(zero_copy_only=False)
             row = ~batch.column("is_query").to_numpy(zero_copy_only=False)
@@ -160,18 +212,30 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(curve), part, np.int32)), batch.column("curve"), pa.array(place), batch.column("is_query"), batch.column("vec_id")], ["part", "curve", "place", "is_query", "vec_id"])
 
     placed = stored(ordered.mapInArrow(number, "part int, curve int, place long, is_query boolean, vec_id long"), "placed")
-    #: A row for each range and curve that meet: under ranges + curves of them.
+    #: A row for each range and curve of a level that meet: under ranges + curves of them.
     totals = sorted((r["curve"], r["part"], r["n"]) for r in placed.where("not is_query").groupBy("curve", "part").agg(F.count("*").alias("n")).collect())
     seen = {(r["curve"], r["part"]) for r in placed.select("curve", "part").distinct().collect()}
-    offsets = [(c, p, sum(n for d, q, n in totals if d == c and q < p)) for c, p in sorted(seen)]
+    counted, offsets, before = {(c, p): m for c, p, m in totals}, [], {}
+    for c, p in sorted(seen):
+        offsets.append((c, p, before.get(c, 0)))
+        before[c] = before.get(c, 0) + counted.get((c, p), 0)
     ranks = placed.join(F.broadcast(spark.createDataFrame(offsets, "curve int, part int, offset long")), ["curve", "part"]).select("curve", (F.col("place") + F.col("offset")).alias("rank"), "is_query", "vec_id")
 
-    width = _width(queries, kept, ranks, size, k, sample, recall, least_block)
-    block = min(width, most_block)
-    reach = -(-width // block)
+    widths = _widths(queries, kept, ranks, size, k, sample, recall, least_block, curves, len(levels))
+    blocks = [min(w, most_block) for w in widths]
+    of = F.floor(F.col("curve") / curves) + 1
+    block, reach = (F.element_at(F.array(*map(F.lit, x)), of.cast("int")) for x in (blocks, [-(-w // b) for w, b in zip(widths, blocks, strict=True)]))
     block_of = F.floor(F.col("rank") / block)
-    data = ranks.where("not is_query").select("curve", block_of.alias("block"), "vec_id").join(kept, "vec_id").withColumn("is_query", F.lit(False))
-    asked = ranks.where("is_query").select("curve", F.explode(F.sequence(block_of - reach, block_of + reach)).alias("block"), "vec_id").where("block >= 0").join(queries, "vec_id").withColumn("is_query", F.lit(True))
+    asked = ranks.where("is_query").select("curve", F.explode(F.sequence(block_of - reach, block_of + reach)).alias("block"), "vec_id").where("block >= 0")
+    #: Blocks that too many queries ask for one group to hold them.
+    crowded = asked.groupBy("curve", "block").agg(F.ceil(F.count("*") / MOST_QUERIES).cast("int").alias("groups")).where("groups > 1")
+    crowded = stored(crowded, "crowded")
+    groups = F.coalesce("groups", F.lit(1))
+    asked = asked.join(crowded, ["curve", "block"], "left").withColumn("part", F.pmod(F.xxhash64("vec_id"), groups).cast("int")).drop("groups")
+    data = ranks.where("not is_query").select("curve", block_of.alias("block"), "vec_id").join(crowded, ["curve", "block"], "left")
+    data = data.withColumn("part", F.explode(F.sequence(F.lit(0), groups - 1))).drop("groups")
+    data = data.join(kept.select("vec_id", "vector"), "vec_id").withColumn("is_query", F.lit(False))
+    asked = asked.join(queries, "vec_id").withColumn("is_query", F.lit(True))
 
     def compare(table: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -183,7 +247,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
         at, found, score = best_of(matrix[kind], q_ids, matrix[~kind], ids, k + 1, itself=True)
         return pa.table({"query_id": q_ids[at], "vec_id": found, "score": score}, schema)
 
-    got = data.unionByName(asked).select("curve", "block", "vec_id", "vector", "is_query").groupBy("curve", "block").applyInArrow(compare, "query_id long, vec_id long, score double")
+    got = data.unionByName(asked).select("curve", "block", "part", "vec_id", "vector", "is_query").groupBy("curve", "block", "part").applyInArrow(compare, "query_id long, vec_id long, score double")
     merged = got.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     best = merged.withColumn("rank", rank).where(F.col("rank") <= k + 1).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
@@ -211,14 +275,19 @@ def exact_nearest(queries: DataFrame, rows: DataFrame, size: int, k: int) -> Dat
     return got.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
 
-def _width(queries: DataFrame, kept: DataFrame, ranks: DataFrame, size: int, k: int, sample: int, recall: float, least: int) -> int:
-    """The distance in ranks within which some curve has `recall` of the sampled queries' true neighbours."""
+def _widths(queries: DataFrame, kept: DataFrame, ranks: DataFrame, size: int, k: int, sample: int, recall: float, least: int, curves: int, levels: int) -> list[int]:
+    """For each level the distance in ranks within which some curve has `recall` of the sampled queries' true neighbours
+    that the level holds."""
     drawn = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
     pairs = [(r["query_id"], r["vec_id"]) for r in exact_nearest(drawn, kept, size, k).collect()]
     if not pairs:
-        return least
-    ids = kept.sparkSession.createDataFrame([(x,) for x in sorted({x for p in pairs for x in p})], "vec_id long")
-    at = {(r["is_query"], r["vec_id"], r["curve"]): r["rank"] for r in ranks.join(F.broadcast(ids), "vec_id").collect()}
-    curves = sorted({c for _, _, c in at})
-    nearest = sorted(min(abs(at[True, q, c] - at[False, v, c]) for c in curves) for q, v in pairs)
-    return max(least, nearest[min(len(nearest) - 1, int(np.ceil(recall * len(nearest))) - 1)] + 1)
+        return [least] * levels
+    spark = kept.sparkSession
+    ids = spark.createDataFrame([(x,) for x in sorted({x for p in pairs for x in p})], "vec_id long")
+    asked, found = {}, {}
+    for r in ranks.join(F.broadcast(ids), "vec_id").collect():
+        (asked if r["is_query"] else found).setdefault(r["vec_id"], {})[r["curve"]] = r["rank"]
+    far: list[list[int]] = [[] for _ in range(levels)]
+    for q, v in pairs:
+        far[next(iter(found[v])) // curves].append(min(abs(asked[q][c] - rank) for c, rank in found[v].items()))
+    return [max(least, sorted(x)[int(np.ceil(recall * len(x))) - 1] + 1) if x else least for x in far]
