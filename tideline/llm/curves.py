@@ -11,12 +11,14 @@ the others would otherwise put all of them at one pole. A query is looked up on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
 from tideline.llm.shared import stored
 
@@ -53,11 +55,19 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 MOST_LEVELS, MOST_QUERIES = 32, 8192
 
 
-def log_length(vector: Column) -> Column:
-    """The binary logarithm of a vector's length, which no square over- or underflows."""
-    sizes = F.transform(vector, lambda x: F.abs(x.cast("double")))
-    most = F.array_max(sizes)
-    return F.log2(most) + F.log2(F.aggregate(sizes, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))) / 2
+def log_lengths(vectors: np.ndarray) -> np.ndarray:
+    """The binary logarithms of the rows' lengths, which no square over- or underflows."""
+    most = np.abs(vectors).max(axis=1)
+    return np.log2(most) + np.log2(((vectors / most[:, None]) ** 2).sum(axis=1)) / 2
+
+
+def with_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of vec_id and vector, all of one size, with their `length`: its logarithm."""
+    for batch in batches:
+        if batch.num_rows:
+            vector = batch.column("vector")
+            lengths = log_lengths(as_matrix(vector, len(vector.flatten()) // len(vector)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths)], [*batch.schema.names, "length"])
 
 
 def levels_of(counts: list[tuple[int, int, float]], least: int) -> list[tuple[int, float]]:
@@ -156,7 +166,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
     """
     spark = vectors.sparkSession
     rows = valid_vectors(vectors, id_column, vector_column).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    rows = stored(rows.withColumn("length", log_length(F.col("vector"))), "vectors")
+    rows = stored(rows.mapInArrow(with_lengths, StructType([*rows.schema, StructField("length", DoubleType())])), "vectors")
     size, longest, n = rows.agg(F.max(F.size("vector")), F.max("length"), F.count("*")).first()
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
