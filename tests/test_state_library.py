@@ -200,6 +200,18 @@ def test_dyadic_joins_take_any_length(spark):
     assert joins.dyadic_join(a, b.where("false"), "t", "lo", "hi", ("key",)).count() == 0
 
 
+def test_dyadic_joins_send_no_ranges_to_the_driver(spark, tmp_path):
+    """Neither planned as a broadcast, by the size of the unexploded intervals, nor run as one."""
+    spark.range(2000).select("id", (C("id") % 3).alias("key"), C("id").alias("t")).write.parquet(f"{tmp_path}/a")
+    spark.range(500).select((C("id") % 3).alias("key"), (-C("id") * 1000).alias("lo"), (C("id") * 999).alias("hi")).write.parquet(f"{tmp_path}/b")
+    met = joins.dyadic_join(spark.read.parquet(f"{tmp_path}/a"), spark.read.parquet(f"{tmp_path}/b"), "t", "lo", "hi", ("key",))
+    plans = [met._jdf.queryExecution().executedPlan().toString()]
+    assert met.count() == sum(k % 3 == t % 3 and -k * 1000 <= t < k * 999 for k in range(500) for t in range(2000))
+    met.collect()
+    plans.append(met._jdf.queryExecution().executedPlan().toString())
+    assert not any("Broadcast" in p for p in plans)
+
+
 # ---- bounded accumulators and turns
 
 

@@ -40,6 +40,7 @@ def dyadic_join(points: DataFrame, intervals: DataFrame, t: str, start: str = "s
 
     An interval is entered as its dyadic_nodes(), under two for each doubling of its length; a point looks in one range of
     each level that some interval has. Levels of few ranges, which all points meet, are dealt out by a hash of the point.
+    Both sides are shuffled: Spark's estimate of the ranges doesn't know how many an interval has, and would broadcast them.
     Empty intervals, null bounds and null points match nothing.
     """
     as_long = intervals.withColumns({"_lo": F.col(start).cast("long"), "_hi": F.col(end).cast("long")}).where("_lo < _hi")
@@ -58,7 +59,7 @@ def dyadic_join(points: DataFrame, intervals: DataFrame, t: str, start: str = "s
     left = points.where(F.col(t).isNotNull()).withColumn("_own", F.explode(own)).alias("p")
     on = [F.col("p._own.level") == right["_level"], F.col("p._own.node") == right["_node"], F.col("p._own.salt") == right["_salt"], *(F.col(f"p.{k}") == right[f"_{k}"] for k in keys)]
     hidden = {"_level", "_node", "_salt", *(f"_{k}" for k in keys)}
-    return left.join(right, on).select(*(F.col(f"p.{c}") for c in points.columns), *(right[c] for c in right.columns if c not in hidden))
+    return left.join(right.hint("merge"), on).select(*(F.col(f"p.{c}") for c in points.columns), *(right[c] for c in right.columns if c not in hidden))
 
 
 def asof_join(left: DataFrame, right: DataFrame, t: str, right_t: str, keys: tuple[str, ...], values: tuple[str, ...], strict: bool = False) -> DataFrame:
