@@ -1,6 +1,7 @@
 """Golden cases and awkward inputs of the tick library; the queries themselves are held against DuckDB."""
 
 import json
+import math
 import struct
 
 import duckdb
@@ -25,6 +26,12 @@ def test_wrap(spark, d, turn):
     assert one(spark, angles.wrap_degrees(F.lit(d))) == turn
 
 
+@pytest.mark.parametrize("d", [-180.0 + 2**-45, -180.0 + 2**-44, 180.0 + 2**-45, 180.0 - 2**-45, 540.0 + 2**-43, -540.0 - 2**-43])
+def test_wrap_rounds_as_its_sql(spark, d):
+    """Half turns that the difference of two angles puts off by a last bit: the same on both sides, to that bit."""
+    assert one(spark, angles.wrap_degrees(F.lit(d))) == math.fmod(math.fmod(d + 180.0, 360.0) + 360.0, 360.0) - 180.0
+
+
 @pytest.mark.parametrize(("x", "ok"), [(1.5, True), (float("nan"), False), (float("inf"), False), (float("-inf"), False), (None, False)])
 def test_finite(spark, x, ok):
     assert one(spark, angles.finite(F.lit(x).cast("double"))) is ok

@@ -10,8 +10,9 @@ NS_PER_TICK = 15_625_000
 
 
 def wrap_degrees(d: Column) -> Column:
-    """The shortest signed rotation, in [-180, 180)."""
-    return F.pmod(d + 180.0, F.lit(360.0)) - 180.0
+    """The shortest signed rotation, in [-180, 180). Both remainders round, as in its SQL: with pmod, which takes the second
+    for negative angles alone, a half turn that is off by the last bit stays one on one side only."""
+    return ((d + 180.0) % 360.0 + 360.0) % 360.0 - 180.0
 
 
 def finite(x: Column) -> Column:
