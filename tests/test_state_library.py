@@ -543,3 +543,61 @@ def test_holds_row_by_row(spark):
             want[n] = ("without_press", None, None)
     df = spark.createDataFrame(rows, "run string, n int, control string, down boolean, at long").repartition(3)
     assert {r["n"]: (r["status"], r["press"], r["hold"]) for r in dispatch.holds(df, ["run"], "control", "down", "at").collect()} == want
+
+
+# ---- what a key costs
+
+
+class Handle:
+    """A state store of one key that counts the messages of its processor."""
+
+    def __init__(self):
+        self.n, self.held, self.timers = 0, {}, set()
+
+    def _var(self, name, empty):
+        def call(f):
+            def g(*a):
+                self.n += 1
+                return f(*a)
+
+            return g
+
+        put, get = lambda x: self.held.__setitem__(name, x), lambda: self.held.get(name, empty() if empty else None)
+        return type("Var", (), {"get": staticmethod(call(lambda: iter(get()) if empty else get())), "put": staticmethod(call(put)), "update": staticmethod(call(put)), "clear": staticmethod(call(lambda: self.held.pop(name, None))), "exists": staticmethod(call(lambda: name in self.held)), "appendList": staticmethod(call(lambda x: put([*get(), *x])))})
+
+    def getListState(self, name, _):  # noqa: N802
+        return self._var(name, list)
+
+    def getValueState(self, name, _):  # noqa: N802
+        return self._var(name, None)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.n += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.n += 1
+        self.timers.discard(at)
+
+    def listTimers(self):  # noqa: N802
+        self.n += 1
+        return iter(self.timers)
+
+
+def test_sessions_send_few_messages_a_key():
+    """A message to the state store costs more than a row: five a batch at most, and none is left where nothing waits."""
+    from pyspark.sql import Row
+
+    handle, p = Handle(), processors.Sessions(60_000_000)
+    p.init(handle)
+    clock = lambda ms: type("T", (), {"getCurrentWatermarkInMs": staticmethod(lambda: ms)})
+    out = []
+    for batch, watermark in enumerate((0, 100_000, 200_000)):
+        handle.n = 0
+        rows = [Row(key=1, ts=None, s_at=(batch * 100 + i + 1) * 1_000_000, s_tie=i, s_state="in") for i in range(0, 100, 10)]
+        out += list(p.handleInputRows((1,), iter(rows), clock(watermark)))
+        assert handle.n <= 5 and len(handle.timers) == 1
+    handle.n, fired = 0, handle.timers.pop()
+    out += list(p.handleExpiredTimer((1,), clock(10_000_000), fired))
+    assert handle.n <= 5 and not handle.timers and not handle.held
+    assert [tuple(zip(r["start"], r["last"], r["n"], strict=True)) for r in out] == [((1_000_000, 291_000_000, 30),)]

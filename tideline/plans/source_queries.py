@@ -238,14 +238,17 @@ def aud_9_unchanged_files(spark, d):
 
 @contextmanager
 def rocks(spark: SparkSession):
-    """The RocksDB state store, as long as this lasts."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """The RocksDB state store, which doesn't count its rows at each change, as long as this lasts."""
+    name = "spark.sql.streaming.stateStore."
+    own = {f"{name}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", f"{name}rocksdb.trackTotalNumberOfRows": "false"}
+    before = {k: spark.conf.get(k, None) for k in own}
     try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
 
 
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"

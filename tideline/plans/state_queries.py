@@ -111,17 +111,20 @@ def src_31_clustered_ledger(spark, d):
 
 def in_batches(spark, d, n: int = 3) -> DataFrame:
     """All events as a stream of n batches in the order of their times, and one event of no user a year later, which takes
-    the watermark past them all."""
+    the watermark past them all. A batch is as many files as hold a quarter of a million of its rows each, of all batches
+    the same number: rows dealt in turn leave no file empty."""
     path = new_folder(spark)
     events = spark.read.schema(EVENTS).parquet(f"{d}/events.parquet")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     step = (last - first) / n
-    for i in range(n):
-        upper = C("ts") < F.lit(first + step * (i + 1)) if i + 1 < n else F.lit(True)
-        events.where((C("ts") >= F.lit(first + step * i)) & upper).coalesce(1).write.mode("append").parquet(path)
+    own = [(C("ts") >= F.lit(first + step * i)) & (C("ts") < F.lit(first + step * (i + 1)) if i + 1 < n else F.lit(True)) for i in range(n)]
+    files = max(1, min(events.agg(*(F.count_if(x) for x in own)).first()) // 250_000)
+    for x in own:
+        part = events.where(x)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(path)
     end = events.agg((F.max("ts") + F.expr("INTERVAL 1 YEAR")).alias("ts"))
     end.select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props")).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query(

@@ -2,26 +2,30 @@
 
 Each is what the batch operator of the same kind gives, whatever batches its input comes in. They need the RocksDB state
 store (spark.sql.streaming.stateStore.providerClass). Rows of one key in one batch are sorted together, so the trigger
-bounds what a task holds of them; between batches a key keeps what its docstring says and no more.
+bounds what a task holds of them; between batches a key keeps what its docstring says and no more. Every call to the state
+store is a message, and what a key puts out is a batch of its own, so a key's rows are kept and put out as one row of arrays.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-WAITING = "at long, tie long, state string"
+SESSION = "start long, last long, state string, n long"
+WAITING = f"at array<long>, tie array<long>, state array<string>, open struct<{SESSION.replace(' ', ':').replace(',:', ',')}>"
 NEVER = -(1 << 62)
 
 
 class Sessions(StatefulProcessor):
     """Rows wait until the watermark has passed them, so that they are taken in order; a session is put out and forgotten
-    once the watermark is `gap` past its last row, or as soon as a row of another state follows it."""
+    once the watermark is `gap` past its last row, or as soon as a row of another state follows it.
+
+    What waits is one entry, with the open session before it; a session before which nothing waits is in `open`. The one
+    timer of a key is at its first waiting row or at the end of its session, so it is known from them."""
 
     def __init__(self, gap_us: int):
         self.gap = gap_us
@@ -29,22 +33,26 @@ class Sessions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", WAITING)
-        self.open = handle.getValueState("open", "start long, last long, state string, n long")
+        self.open = handle.getValueState("open", SESSION)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        return self._advance(key, sorted((r[2], r[3], r[4]) for r in rows), timerValues.getCurrentWatermarkInMs(), False)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        f = pd.concat(list(rows))
-        self.waiting.appendList([(int(a), int(b), str(c)) for a, b, c in zip(f["s_at"], f["s_tie"], f["s_state"], strict=True)])
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        return self._advance(key, [], timerValues.getCurrentWatermarkInMs(), True)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+    def _wake(self, rows: list[tuple], session: tuple | None) -> int | None:
+        times = [r[0] for r in rows[:1]] + ([session[1] + self.gap] if session else [])
+        return -(-min(times) // 1000) if times else None
 
-    def _advance(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _advance(self, key, fresh: list[tuple], watermark_ms: int, fired: bool) -> Iterator[Row]:
+        entry = next(iter(self.waiting.get()), None)
+        rows, before = (list(zip(*entry[:3], strict=True)), tuple(entry[3]) if entry[3] else None) if entry else ([], self.open.get())
+        timer, session, out = self._wake(rows, before), before, []
+        rows = sorted(rows + fresh)
         passed = watermark_ms * 1000
-        rows = sorted(self.waiting.get()) if self.waiting.exists() else []
-        due = [r for r in rows if r[0] <= passed]
-        session, out = (self.open.get() if self.open.exists() else None), []
-        for at, _, state in due:
+        n = bisect_right(rows, passed, key=lambda r: r[0])
+        for at, _, state in rows[:n]:
             if session is not None and (at - session[1] > self.gap or state != session[2]):
                 out.append(session)
                 session = None
@@ -52,20 +60,24 @@ class Sessions(StatefulProcessor):
         if session is not None and session[1] + self.gap <= passed:
             out.append(session)
             session = None
-        later = rows[len(due) :]
-        if due:
-            self.waiting.put(later) if later else self.waiting.clear()
-        if session is not None:
-            self.open.update(session)
-        elif self.open.exists():
+        later = rows[n:]
+        if later:
+            self.waiting.put([(*map(list, zip(*later, strict=True)), session)])
+        elif entry:
+            self.waiting.clear()
+        held, now = None if entry else before, None if later else session
+        if now is not None and now != held:
+            self.open.update(now)
+        elif now is None and held is not None:
             self.open.clear()
-        times = ([later[0][0]] if later else []) + ([session[1] + self.gap] if session is not None else [])
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        if times:
-            self.handle.registerTimer(max(-(-min(times) // 1000), watermark_ms + 1))
+        wake = self._wake(later, session)
+        if wake != timer:
+            if timer is not None and not fired:  # one that has fired is deleted by Spark
+                self.handle.deleteTimer(timer)
+            if wake is not None:
+                self.handle.registerTimer(wake)
         if out:
-            yield pd.DataFrame([(key[0], *s) for s in out], columns=["key", "start", "last", "state", "n"])
+            yield Row(key=key[0], **dict(zip(("start", "last", "state", "n"), map(list, zip(*out, strict=True)), strict=True)))
 
     def close(self) -> None:
         pass
@@ -80,7 +92,8 @@ def stream_state_sessions(events: DataFrame, key: str, time: str, tie: str, stat
     kind = events.schema[key].dataType.simpleString()
     rows = events.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withWatermark(time, late)
     rows = rows.select(key, time, F.unix_micros(time).alias("s_at"), F.col(tie).cast("long").alias("s_tie"), F.coalesce(state.cast("string"), F.lit("")).alias("s_state"))
-    out = rows.groupBy(key).transformWithStateInPandas(Sessions(gap_seconds * 1_000_000), f"key {kind}, start long, last long, state string, n long", "Append", "EventTime")
+    out = rows.groupBy(key).transformWithState(Sessions(gap_seconds * 1_000_000), f"key {kind}, start array<long>, last array<long>, state array<string>, n array<long>", "Append", "EventTime")
+    out = out.select("key", F.inline(F.arrays_zip("start", "last", "state", "n")))
     return out.select(F.col("key").alias(key), F.timestamp_micros("start").alias("start"), F.timestamp_micros("last").alias("last"), "state", "n")
 
 
@@ -88,6 +101,8 @@ class Ordered(StatefulProcessor):
     """Rows of a key in ascending (s_a, s_b); those that come behind a later one of another batch are late and not taken in."""
 
     columns: tuple[str, ...] = ()
+    #: Whether late rows come out, with nulls.
+    shows_late = True
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "a long, b long")
@@ -96,27 +111,24 @@ class Ordered(StatefulProcessor):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         raise NotImplementedError
 
-    def take(self, rows: pd.DataFrame) -> pd.DataFrame:
+    def take(self, rows: list[tuple]) -> list[tuple]:
+        """What comes out for rows (s_a, s_b, more) in their order: (s_b, columns)."""
         raise NotImplementedError
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        f = pd.concat(list(rows)).sort_values(["s_a", "s_b"], kind="stable").reset_index(drop=True)
-        a, b = self.last.get() if self.last.exists() else (NEVER, NEVER)
-        fresh = (f["s_a"] > a) | ((f["s_a"] == a) & (f["s_b"] > b))
-        good, out = f[fresh].reset_index(drop=True), []
-        if len(good):
-            out.append(self.take(good))
-            self.last.update((int(good["s_a"].iloc[-1]), int(good["s_b"].iloc[-1])))
-        bad = f[~fresh]
-        if len(bad):
-            out.append(self.late(bad))
-        done = pd.concat([x for x in out if len(x)]) if any(len(x) for x in out) else None
-        if done is not None:
-            done.insert(0, "key", key[0])
-            yield done
-
-    def late(self, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s_b": rows["s_b"], **{c: pd.Series(None, index=rows.index, dtype=object) for c in self.columns}})
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        last = self.last.get() or (NEVER, NEVER)
+        good, out = [], []
+        for r in rows:
+            if r[1] is not None and r[2] is not None and (r[1], r[2]) > last:
+                good.append(tuple(r[1:]))
+            elif self.shows_late:
+                out.append((r[2], *(None for _ in self.columns)))
+        if good:
+            good.sort(key=lambda r: r[:2])
+            out += self.take(good)
+            self.last.update(good[-1][:2])
+        if out:
+            yield Row(key=key[0], **dict(zip(("s_b", *self.columns), map(list, zip(*out, strict=True)), strict=True)))
 
     def close(self) -> None:
         pass
@@ -126,31 +138,25 @@ class Histories(Ordered):
     """The last `size` values since the last gap or change of identity: a row comes out once there are that many."""
 
     columns = ("history",)
+    shows_late = False
 
     def __init__(self, size: int, max_gap: int):
         self.size, self.max_gap = size, max_gap
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffer", "at long, identity string, value long")
-
-    def take(self, rows: pd.DataFrame) -> pd.DataFrame:
-        held = list(self.buffer.get()) if self.buffer.exists() else []
-        before = pd.DataFrame(held, columns=["s_a", "s_identity", "s_value"])
-        all_ = pd.concat([before, rows[["s_a", "s_identity", "s_value"]]], ignore_index=True)
-        at, identity = all_["s_a"].to_numpy(np.int64), all_["s_identity"].to_numpy()
-        cut = np.ones(len(all_), bool)
-        cut[1:] = (np.diff(at) > self.max_gap) | (identity[1:] != identity[:-1])
-        first = np.maximum.accumulate(np.where(cut, np.arange(len(all_)), 0))
-        values, out = [int(v) for v in all_["s_value"]], []
-        for i in range(len(held), len(all_)):
-            if i - first[i] + 1 >= self.size:
-                out.append((int(rows["s_b"].iloc[i - len(held)]), values[i - self.size + 1 : i + 1]))
-        keep = max(int(first[-1]), len(all_) - self.size)
-        self.buffer.put([(int(at[i]), str(identity[i]), values[i]) for i in range(keep, len(all_))])
-        return pd.DataFrame(out, columns=["s_b", "history"])
-
-    def late(self, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s_b": [], "history": []})
+        self.buffer = handle.getValueState("buffer", "at long, identity string, held array<long>")
+
+    def take(self, rows: list[tuple]) -> list[tuple]:
+        at, identity, held = self.buffer.get() or (NEVER, None, [])
+        held, out = list(held), []
+        for a, b, own, value in rows:
+            if a - at > self.max_gap or own != identity:
+                held = []
+            at, identity, held = a, own, [*held[-self.size + 1 :], value] if self.size > 1 else [value]
+            if len(held) == self.size:
+                out.append((b, held))
+        self.buffer.update((at, identity, held))
+        return out
 
 
 class RecentKeys(Ordered):
@@ -162,17 +168,16 @@ class RecentKeys(Ordered):
         self.back = back
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
-        self.ring = handle.getListState("ring", "item string")
+        self.ring = handle.getValueState("ring", "items array<string>")
 
-    def take(self, rows: pd.DataFrame) -> pd.DataFrame:
-        ring = [r[0] for r in self.ring.get()] if self.ring.exists() else []
+    def take(self, rows: list[tuple]) -> list[tuple]:
+        seen = list((self.ring.get() or ([],))[0])
         counts: dict[str, int] = {}
-        for item in ring:
+        for item in seen:
             counts[item] = counts.get(item, 0) + 1
-        seen = list(ring)
-        flags = []
-        for item in rows["s_item"]:
-            flags.append(counts.get(item, 0) > 0)
+        out = []
+        for _, b, item in rows:
+            out.append((b, counts.get(item, 0) > 0))
             seen.append(item)
             counts[item] = counts.get(item, 0) + 1
             if len(seen) > self.back:
@@ -180,8 +185,8 @@ class RecentKeys(Ordered):
                 counts[gone] -= 1
                 if not counts[gone]:
                     del counts[gone]
-        self.ring.put([(x,) for x in seen[-self.back :]])
-        return pd.DataFrame({"s_b": rows["s_b"], "duplicate": pd.Series(flags, dtype=object)})
+        self.ring.update((seen[-self.back :],))
+        return out
 
 
 class Epochs(Ordered):
@@ -191,53 +196,46 @@ class Epochs(Ordered):
     columns = ("epoch", "in_epoch", "lifetime")
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
-        self.epoch = handle.getValueState("epoch", "number long")
-        self.in_epoch = handle.getValueState("in_epoch", "value long")
-        self.lifetime = handle.getValueState("lifetime", "value long")
-
-    def take(self, rows: pd.DataFrame) -> pd.DataFrame:
-        epoch = (self.epoch.get()[0] if self.epoch.exists() else 0) + (rows["s_kind"] == "reset").cumsum()
-        counted = rows["s_value"].where(rows["s_kind"] != "ignored").astype("float64")
-        held, ever = (s.get()[0] if s.exists() else None for s in (self.in_epoch, self.lifetime))
-        own = counted.groupby(epoch).cummax()
-        own = own.groupby(epoch).ffill()
-        if held is not None:
-            first = epoch == (self.epoch.get()[0] if self.epoch.exists() else 0)
-            own = own.where(~first, own.fillna(held).clip(lower=held))
-        all_ = counted.cummax().ffill()
-        all_ = all_ if ever is None else all_.fillna(ever).clip(lower=ever)
-        self.epoch.update((int(epoch.iloc[-1]),))
-        for state, series in ((self.in_epoch, own), (self.lifetime, all_)):
-            if not np.isnan(series.iloc[-1]):
-                state.update((int(series.iloc[-1]),))
-            elif state.exists():
-                state.clear()
-        whole = lambda s: pd.Series([None if np.isnan(v) else int(v) for v in s], index=s.index, dtype=object)
-        return pd.DataFrame({"s_b": rows["s_b"], "epoch": epoch.astype(object), "in_epoch": whole(own), "lifetime": whole(all_)})
-
-
-def _streamed(rows: DataFrame, key: str, a: Column, b: str, more: dict[str, Column], processor: Ordered, out: str) -> DataFrame:
+        self.sums = handle.getValueState("sums", "epoch long, in_epoch long, lifetime long")
+
+    def take(self, rows: list[tuple]) -> list[tuple]:
+        epoch, own, ever = self.sums.get() or (0, None, None)
+        out = []
+        for _, b, kind, value in rows:
+            if kind == "reset":
+                epoch, own = epoch + 1, None
+            if kind != "ignored" and value is not None:
+                own = value if own is None or value > own else own
+                ever = value if ever is None or value > ever else ever
+            out.append((b, epoch, own, ever))
+        self.sums.update((epoch, own, ever))
+        return out
+
+
+def _streamed(rows: DataFrame, key: str, a: Column, b: str, more: dict[str, Column], processor: Ordered, out: dict[str, str]) -> DataFrame:
     kinds = {f: rows.schema[f].dataType.simpleString() for f in (key, b)}
     ordered = rows.where(F.col(key).isNotNull()).select(key, a.cast("long").alias("s_a"), F.col(b).cast("long").alias("s_b"), *(c.alias(n) for n, c in more.items()))
-    done = ordered.groupBy(key).transformWithStateInPandas(processor, f"key {kinds[key]}, s_b long, {out}", "Append", "None")
-    return done.withColumnsRenamed({"key": key, "s_b": b})
+    packed = ", ".join(f"{c} array<{kind}>" for c, kind in ({"s_b": "long"} | out).items())
+    done = ordered.groupBy(key).transformWithState(processor, f"key {kinds[key]}, {packed}", "Append", "None")
+    done = done.select("key", F.inline(F.arrays_zip("s_b", *out)))
+    return done.select(F.col("key").alias(key), F.col("s_b").cast(kinds[b]).alias(b), *out)
 
 
 def stream_histories(rows: DataFrame, key: str, at: str, tie: str, identity: Column, value: str, size: int, max_gap: int) -> DataFrame:
     """key, tie, history: the last `size` values of each row that has so many since the last step of `at` over max_gap and
     the last change of identity. The buffer holds `size` rows; late rows are left out."""
     more = {"s_identity": F.coalesce(identity.cast("string"), F.lit("")), "s_value": F.col(value).cast("long")}
-    return _streamed(rows, key, F.col(at), tie, more, Histories(size, max_gap), "history array<long>")
+    return _streamed(rows, key, F.col(at), tie, more, Histories(size, max_gap), {"history": "array<long>"})
 
 
 def stream_repeated_within(rows: DataFrame, key: str, at: str, tie: str, item: Column, back: int) -> DataFrame:
     """key, tie, duplicate: the row's item was among the key's `back` rows before it; null for late rows. The ring holds
     `back` items."""
-    return _streamed(rows, key, F.col(at), tie, {"s_item": F.coalesce(item.cast("string"), F.lit("\u0000"))}, RecentKeys(back), "duplicate boolean")
+    return _streamed(rows, key, F.col(at), tie, {"s_item": F.coalesce(item.cast("string"), F.lit("\u0000"))}, RecentKeys(back), {"duplicate": "boolean"})
 
 
 def stream_epochs(rows: DataFrame, key: str, at: str, tie: str, resets: Column, ignored: Column, value: str) -> DataFrame:
     """key, tie, epoch, in_epoch, lifetime of each row: how many epochs have begun, and the largest values of this one and
     of all so far that aren't `ignored`; null for late rows. A key keeps three numbers."""
     kind = F.when(F.coalesce(resets, F.lit(False)), "reset").when(F.coalesce(ignored, F.lit(False)) | F.col(value).isNull(), "ignored").otherwise("value")
-    return _streamed(rows, key, F.col(at), tie, {"s_kind": kind, "s_value": F.coalesce(F.col(value).cast("long"), F.lit(0))}, Epochs(), "epoch long, in_epoch long, lifetime long")
+    return _streamed(rows, key, F.col(at), tie, {"s_kind": kind, "s_value": F.col(value).cast("long")}, Epochs(), {"epoch": "long", "in_epoch": "long", "lifetime": "long"})
