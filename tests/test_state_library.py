@@ -601,3 +601,15 @@ def test_sessions_send_few_messages_a_key():
     out += list(p.handleExpiredTimer((1,), clock(10_000_000), fired))
     assert handle.n <= 5 and not handle.timers and not handle.held
     assert [tuple(zip(r["start"], r["last"], r["n"], strict=True)) for r in out] == [((1_000_000, 291_000_000, 30),)]
+
+
+def test_epochs_keep_whole_numbers_and_unknown_values(spark, tmp_path):
+    """Values beyond 2 ** 53 stay as they are; a reset without a value begins an epoch and counts as none."""
+    rows = [(1, 0, 0, "b", 2**53 + 1), (1, 1, 1, "a", None), (1, 2, 2, "b", -5), (1, 3, 3, "c", 7)]
+    df = spark.createDataFrame(rows, "key int, t long, id long, item string, v long")
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+    with rocks(spark):
+        got = drained(spark, processors.stream_epochs(stream, "key", "t", "id", C("item") == "a", C("item") == "c", "v"), "append", f"{tmp_path}/run")
+    most = 2**53 + 1
+    assert sorted((r["id"], r["epoch"], r["in_epoch"], r["lifetime"]) for r in got.collect()) == [(0, 0, most, most), (1, 1, None, most), (2, 1, -5, most), (3, 1, -5, most)]
