@@ -409,3 +409,10 @@ def test_schema_issues(spark):
     rows = [('{"a":1,"b":null}', []), ('{"b":1,"c":2}', ["missing:a", "kind:b", "unknown:c"]), ("[]", ["object"]), (None, ["object"])]
     got = spark.createDataFrame([(t,) for t, _ in rows], "t string").select(audits.schema_issues(F.col("t"), kinds)).collect()
     assert [r[0] for r in got] == [x for _, x in rows]
+
+
+def test_schema_issues_parse_a_text_once(spark):
+    """As an entry of a list and of an object, and its keys, however many fields there are."""
+    rows = spark.range(1).select(F.col("id").cast("string").alias("t")).select(audits.schema_issues(F.col("t"), {f"f{i}": "BIGINT" for i in range(6)}).alias("x"))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert (plan.count("parse_json("), plan.count("json_object_keys(")) == (2, 1)

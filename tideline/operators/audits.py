@@ -55,14 +55,15 @@ def schema_issues(text: Column, kinds: dict[str, str]) -> Column:
     """What keeps a JSON object from its schema, as an array: missing:, kind: and unknown: fields, in this order of fields.
     kinds: of each field its kinds as Spark names those of a variant, '|' between; VOID allows a null. A text that is no
     JSON object (or repeats a key) has the one issue `object`."""
-    from tideline.sources.tables import strict_object
-
-    value = strict_object(text)
-    found = F.json_object_keys(text)
-    issues = []
-    for name, kind in kinds.items():
-        own = F.schema_of_variant(F.try_variant_get(value, f"$.{name}", "variant"))
-        wrong = F.when(~own.rlike(f"^(?:{kind})"), F.lit(f"kind:{name}"))
-        issues.append(F.when(~F.array_contains(found, name), F.lit(f"missing:{name}")).otherwise(wrong))
-    unknown = F.transform(F.array_except(found, F.array(*map(F.lit, kinds))), lambda k: F.concat(F.lit("unknown:"), k))
-    return F.when(value.isNull(), F.array(F.lit("object"))).otherwise(F.concat(F.array_compact(F.array(*issues)), unknown))
+    from tideline.sources.tables import once, strict_object
+
+    def issues(x: Column) -> Column:
+        value, found, out = x["value"], x["found"], []
+        for name, kind in kinds.items():
+            own = F.schema_of_variant(F.try_variant_get(value, f"$.{name}", "variant"))
+            wrong = F.when(~own.rlike(f"^(?:{kind})"), F.lit(f"kind:{name}"))
+            out.append(F.when(~F.array_contains(found, name), F.lit(f"missing:{name}")).otherwise(wrong))
+        unknown = F.transform(F.array_except(found, F.array(*map(F.lit, kinds))), lambda k: F.concat(F.lit("unknown:"), k))
+        return F.when(value.isNull(), F.array(F.lit("object"))).otherwise(F.concat(F.array_compact(F.array(*out)), unknown))
+
+    return once(F.struct(strict_object(text).alias("value"), F.json_object_keys(text).alias("found")), issues)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,6 +99,11 @@ def strict_json(text: str) -> dict:
     return value
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once a row, however often f names it: Spark computes what stands in branches anew."""
+    return F.transform(F.array(value), f)[0]
+
+
 def without_mark(text: Column) -> Column:
     """The text without a byte order mark before it."""
     return F.regexp_replace(text, "^\\x{FEFF}", "")
@@ -126,7 +132,7 @@ def strict_object(text: Column) -> Column:
     """A text that is one JSON object as a variant; null where a key is repeated at any depth, or a number isn't finite."""
     listed, held = map(F.try_parse_json, _within(without_mark(text)))
     value = F.try_variant_get(held, "$._", "variant")
-    return F.when(listed.isNotNull() & F.schema_of_variant(value).startswith("OBJECT"), value)
+    return once(value, lambda v: F.when(listed.isNotNull() & F.schema_of_variant(v).startswith("OBJECT"), v))
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
