@@ -210,6 +210,8 @@ def test_diverse_picks(spark):
         counts.update([best[1], ("r", best[1], best[2]), ("p", best[1], best[3])])
         covered.update(a for a in (4, 5) if best[a])
     assert selection.diverse(df, "k", "source", "player", 24, "round", {"scarce": C("scarce"), "usual": C("usual")}, 0.25) == want
+    for near in (1, 30, 400):  # what lies beyond is looked at where it may come first
+        assert selection.diverse(df, "k", "source", "player", 24, "round", {"scarce": C("scarce"), "usual": C("usual")}, 0.25, near) == want
     few = df.where("k < 3")
     assert len(selection.diverse(few, "k", "source", "player", 9, "round", {"none": F.lit(False)})) == 3
 

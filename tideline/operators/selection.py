@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 C = F.col
+#: Rows that a pick looks at first.
+NEAR = 8192
 
 
 def hash_order(key: str) -> Column:
@@ -39,40 +41,70 @@ def _counted(column: str, counts: Counter) -> Column:
     return out
 
 
-def diverse(df: DataFrame, key: str, source: str, player: str, picks: int, round_: str | None = None, actions: dict[str, Column] | None = None, ordinary: float = 0.5) -> list:
+def diverse(df: DataFrame, key: str, source: str, player: str, picks: int, round_: str | None = None, actions: dict[str, Column] | None = None, ordinary: float = 0.5, near: int = NEAR) -> list:
     """Keys picked one after another, each the least (picks of its source, of its source and round, of its source and
     player, hash of the key) among all rows not yet picked.
 
     The first ceil(ordinary * n) of the n picks look at no action. Each later one is for the action that the picks cover
     least, ties to the earlier in `actions` (name: is it in the row?), of those that a row not yet picked has; where none
-    has any, all rows stand. Each pick changes the counts for the next one, so each is one aggregate over all rows;
-    only `picks`, which is the feature's own limit, bounds how many. Keys are unique: rows of one key are picked at once,
-    and rows without a key are not picked.
+    has any, all rows stand. Keys are unique: rows of one key are picked at once, and rows without a key are not picked.
+
+    Each pick changes the counts for the next one, so each is a job. It looks at the rows of the least hashes, about NEAR of
+    them, and for each (source, round, actions) at the least hash beyond, as of a row whose player has no picks: no row
+    beyond comes before that one. Where it comes first, the pick isn't known yet, and NEAR is made 16 times as large, at
+    last all rows. So the result is that over all rows; only `picks`, which is the feature's own limit, bounds the jobs.
     """
     actions = actions or {}
     group = lambda *c: F.to_json(F.struct(*(C(x).alias(f"c{i}") for i, x in enumerate(c))))
     spread = {"s": group(source), "r": group(source, round_) if round_ else F.lit(""), "p": group(source, player)}
     hints = {f"a{i}": F.coalesce(x, F.lit(False)) for i, x in enumerate(actions.values())}
-    rows = df.where(C(key).isNotNull()).select(C(key).alias("key"), hash_order(key).alias("h"), *(x.alias(k) for k, x in (spread | hints).items())).persist()
+    df = df.where(C(key).isNotNull())
+    rows = df.select(C(key).alias("key"), hash_order(key).alias("h"), *(x.alias(k) for k, x in (spread | hints).items()))
+    total, size = df.count(), near
+    seen, n = _nearest(rows, total, size, hints), None
     try:
-        n = min(picks, rows.select("h").distinct().count())
-        blind = math.ceil(n * ordinary)
         counts: dict[str, Counter] = {k: Counter() for k in spread}
         covered: Counter = Counter()
         out: list = []
         taken: list[str] = []
-        while len(out) < n:
-            order = F.struct(*(_counted(k, counts[k]).alias(f"n_{k}") for k in spread if k != "r" or round_), "h", "key", *spread, *hints)
+        while True:
+            if n is None:
+                found = seen.where("known").select("h").distinct().count()
+                if found < picks and size < total:
+                    size, seen = _widened(rows, total, size, hints, seen)
+                    continue
+                n = min(picks, found)
+                blind = math.ceil(n * ordinary)
+            if len(out) >= n:
+                return out
+            #: The player of a row beyond counts as one without picks.
+            order = F.struct(*(F.when(C("known") | F.lit(k != "p"), _counted(k, counts[k])).otherwise(0).alias(f"n_{k}") for k in spread if k != "r" or round_), "h", "key", "known", *spread, *hints)
             sought = [None, *(hints if len(out) >= blind else [])]
-            least = [F.min(order if a is None else F.when(C(a), order)).alias(a or "any") for a in sought]
-            best = (rows.where(~C("h").isin(taken)) if taken else rows).agg(*least).first()
+            least = [F.min("order" if a is None else F.when(C(a), C("order"))).alias(a or "any") for a in sought]
+            best = (seen.where(~C("known") | ~C("h").isin(taken)) if taken else seen).withColumn("order", order).agg(*least).first()
             action = min((a for a in sought[1:] if best[a]), key=lambda a: covered[a], default="any")
             pick = best[action]
+            if not pick["known"]:
+                size, seen = _widened(rows, total, size, hints, seen)
+                continue
             out.append(pick["key"])
             taken.append(pick["h"])
             for k in spread:
                 counts[k][pick[k]] += 1
             covered.update(a for a in hints if pick[a])
-        return out
     finally:
-        rows.unpersist()
+        seen.unpersist()
+
+
+def _nearest(rows: DataFrame, total: int, size: int, hints: dict[str, Column]) -> DataFrame:
+    """About `size` rows of the least hashes, `known`, and one for each group of the others with the least hash of them."""
+    if size >= total:
+        return rows.withColumn("known", F.lit(True)).persist()
+    bound = F.lit(f"{(size << 60) // total:015x}")
+    beyond = rows.where(C("h") >= bound).groupBy("s", "r", *hints).agg(F.min("h").alias("h")).withColumn("known", F.lit(False))
+    return rows.where(C("h") < bound).withColumn("known", F.lit(True)).unionByName(beyond, allowMissingColumns=True).persist()
+
+
+def _widened(rows: DataFrame, total: int, size: int, hints: dict[str, Column], seen: DataFrame) -> tuple[int, DataFrame]:
+    seen.unpersist()
+    return size * 16, _nearest(rows, total, size * 16, hints)
