@@ -613,3 +613,43 @@ def test_epochs_keep_whole_numbers_and_unknown_values(spark, tmp_path):
         got = drained(spark, processors.stream_epochs(stream, "key", "t", "id", C("item") == "a", C("item") == "c", "v"), "append", f"{tmp_path}/run")
     most = 2**53 + 1
     assert sorted((r["id"], r["epoch"], r["in_epoch"], r["lifetime"]) for r in got.collect()) == [(0, 0, most, most), (1, 1, None, most), (2, 1, -5, most), (3, 1, -5, most)]
+
+
+def test_rows_are_packed_for_the_state(monkeypatch):
+    """A key's rows are one row in their order, however many batches they come in and wherever these are cut; whole numbers
+    stay what they are beside nulls, and a null place comes last."""
+    import pickle
+
+    import pyarrow as pa
+
+    schema = pa.schema([("k", pa.string()), ("s_a", pa.int64()), ("s_b", pa.int64()), ("s_item", pa.string()), ("s_value", pa.int64())])
+    rows = [("x", 2, 1, "b", 2**53 + 1), ("y", 1, 1, None, None), ("x", None, 7, "n", 3), ("x", 1, 9, "a", None), ("y", 0, 4, "c", -5), ("x", 2, 0, "d", 0)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows[i : i + 2]], schema) for i in range(0, 6, 2)]
+    packs = lambda: [(r["s_key"], list(zip(*pickle.loads(r["s_rows"]), strict=True))) for b in processors._packed(iter([batches[0].slice(0, 0), *batches])) for r in b.to_pylist()]
+    x = [(1, 9, "a", None), (2, 0, "d", 0), (2, 1, "b", 2**53 + 1), (None, 7, "n", 3)]
+    assert packs() == [("x", x), ("y", [(0, 4, "c", -5), (1, 1, None, None)])]
+    monkeypatch.setattr(processors, "PACKED", 3)
+    assert packs() == [("x", [x[0], x[2], x[3]]), ("y", [(1, 1, None, None)]), ("x", [x[1]]), ("y", [(0, 4, "c", -5)])]
+
+
+def test_ordered_processors_send_two_messages_a_key():
+    """A key's packs of a batch cost two messages to the state store, in whatever order they come, and only one where all
+    rows are late; those and rows without a place come out with nulls."""
+    import pickle
+
+    from pyspark.sql import Row
+
+    handle, p = Handle(), processors.Epochs()
+    p.init(handle)
+
+    def batch(*packs):
+        handle.n = 0
+        out = p.handleInputRows((1,), iter([Row(s_key=1, s_rows=pickle.dumps([list(c) for c in zip(*rows, strict=True)])) for rows in packs]), None)
+        return sorted(x for r in out for x in zip(r["s_b"], r["epoch"], r["in_epoch"], r["lifetime"], strict=True))
+
+    assert batch([(3, 3, "reset", None)], [(1, 1, "value", 9), (2, 2, "ignored", 50), (None, 0, "value", 70)]) == [(0, None, None, None), (1, 0, 9, 9), (2, 0, 9, 9), (3, 1, None, 9)]
+    assert handle.n == 2
+    assert batch([(3, 3, "value", 80), (3, 4, "value", 4), (4, 5, "value", 2)]) == [(3, None, None, None), (4, 1, 4, 9), (5, 1, 4, 9)]
+    assert handle.n == 2
+    assert batch([(1, 6, "value", 99)]) == [(6, None, None, None)]
+    assert handle.n == 1

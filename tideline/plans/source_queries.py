@@ -238,9 +238,10 @@ def aud_9_unchanged_files(spark, d):
 
 @contextmanager
 def rocks(spark: SparkSession):
-    """The RocksDB state store, which doesn't count its rows at each change, as long as this lasts."""
+    """The RocksDB state store, which doesn't count its rows at each change, and of which a batch writes the changes and no
+    whole snapshot, as long as this lasts."""
     name = "spark.sql.streaming.stateStore."
-    own = {f"{name}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", f"{name}rocksdb.trackTotalNumberOfRows": "false"}
+    own = {f"{name}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", f"{name}rocksdb.trackTotalNumberOfRows": "false", f"{name}rocksdb.changelogCheckpointing.enabled": "true"}
     before = {k: spark.conf.get(k, None) for k in own}
     try:
         for k, v in own.items():

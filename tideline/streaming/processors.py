@@ -3,14 +3,19 @@
 Each is what the batch operator of the same kind gives, whatever batches its input comes in. They need the RocksDB state
 store (spark.sql.streaming.stateStore.providerClass). Rows of one key in one batch are sorted together, so the trigger
 bounds what a task holds of them; between batches a key keeps what its docstring says and no more. Every call to the state
-store is a message, and what a key puts out is a batch of its own, so a key's rows are kept and put out as one row of arrays.
+store is a message, and what a key puts out is a batch of its own, so a key's rows are taken in, kept and put out together.
 """
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,6 +23,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 SESSION = "start long, last long, state string, n long"
 WAITING = f"at array<long>, tie array<long>, state array<string>, open struct<{SESSION.replace(' ', ':').replace(',:', ',')}>"
 NEVER = -(1 << 62)
+PLACE = itemgetter(0, 1)
+#: Rows that are packed at once.
+PACKED = 1 << 18
 
 
 class Sessions(StatefulProcessor):
@@ -98,37 +106,42 @@ def stream_state_sessions(events: DataFrame, key: str, time: str, tie: str, stat
 
 
 class Ordered(StatefulProcessor):
-    """Rows of a key in ascending (s_a, s_b); those that come behind a later one of another batch are late and not taken in."""
+    """Rows of a key in ascending (s_a, s_b); those that come behind a later one of another batch are late and not taken in.
+
+    They come packed (_packed), and all that a key keeps is one entry: the place of its last row, and `state`."""
 
     columns: tuple[str, ...] = ()
     #: Whether late rows come out, with nulls.
     shows_late = True
+    #: What a key keeps besides its last place, and what that is at first.
+    state: str
+    empty: tuple
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "a long, b long")
-        self.begin(handle)
-
-    def begin(self, handle: StatefulProcessorHandle) -> None:
-        raise NotImplementedError
+        self.kept = handle.getValueState("kept", f"a long, b long, {self.state}")
 
-    def take(self, rows: list[tuple]) -> list[tuple]:
-        """What comes out for rows (s_a, s_b, more) in their order: (s_b, columns)."""
+    def take(self, held: tuple, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
+        """What is kept after rows (s_a, s_b, more) in their order, and what comes out for them: (s_b, columns)."""
         raise NotImplementedError
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        last = self.last.get() or (NEVER, NEVER)
-        good, out = [], []
-        for r in rows:
-            if r[1] is not None and r[2] is not None and (r[1], r[2]) > last:
-                good.append(tuple(r[1:]))
-            elif self.shows_late:
-                out.append((r[2], *(None for _ in self.columns)))
-        if good:
-            good.sort(key=lambda r: r[:2])
-            out += self.take(good)
-            self.last.update(good[-1][:2])
+        kept = self.kept.get() or (NEVER, NEVER, *self.empty)
+        placed, out = [], []
+        for pack in rows:
+            for r in zip(*pickle.loads(pack[1]), strict=True):
+                if r[0] is not None and r[1] is not None:
+                    placed.append(r)
+                else:
+                    out.append(r)
+        placed.sort(key=PLACE)
+        late = bisect_right(placed, tuple(kept[:2]), key=PLACE)
+        out = [(r[1], *(None for _ in self.columns)) for r in out + placed[:late]] if self.shows_late else []
+        if good := placed[late:]:
+            held, taken = self.take(tuple(kept[2:]), good)
+            out += taken
+            self.kept.update((*PLACE(good[-1]), *held))
         if out:
-            yield Row(key=key[0], **dict(zip(("s_b", *self.columns), map(list, zip(*out, strict=True)), strict=True)))
+            yield Row(key=key[0], **dict(zip(("s_b", *self.columns), zip(*out, strict=True), strict=True)))
 
     def close(self) -> None:
         pass
@@ -139,39 +152,34 @@ class Histories(Ordered):
 
     columns = ("history",)
     shows_late = False
+    state, empty = "at long, identity string, held array<long>", (NEVER, None, [])
 
     def __init__(self, size: int, max_gap: int):
         self.size, self.max_gap = size, max_gap
 
-    def begin(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getValueState("buffer", "at long, identity string, held array<long>")
-
-    def take(self, rows: list[tuple]) -> list[tuple]:
-        at, identity, held = self.buffer.get() or (NEVER, None, [])
-        held, out = list(held), []
+    def take(self, held: tuple, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
+        at, identity, values = held
+        values, out = list(values), []
         for a, b, own, value in rows:
             if a - at > self.max_gap or own != identity:
-                held = []
-            at, identity, held = a, own, [*held[-self.size + 1 :], value] if self.size > 1 else [value]
-            if len(held) == self.size:
-                out.append((b, held))
-        self.buffer.update((at, identity, held))
-        return out
+                values = []
+            at, identity, values = a, own, [*values[-self.size + 1 :], value] if self.size > 1 else [value]
+            if len(values) == self.size:
+                out.append((b, values))
+        return (at, identity, values), out
 
 
 class RecentKeys(Ordered):
     """Whether a row's key was among the `back` rows before it; the ring holds those keys, and how often each is there."""
 
     columns = ("duplicate",)
+    state, empty = "items array<string>", ([],)
 
     def __init__(self, back: int):
         self.back = back
 
-    def begin(self, handle: StatefulProcessorHandle) -> None:
-        self.ring = handle.getValueState("ring", "items array<string>")
-
-    def take(self, rows: list[tuple]) -> list[tuple]:
-        seen = list((self.ring.get() or ([],))[0])
+    def take(self, held: tuple, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
+        seen = list(held[0])
         counts: dict[str, int] = {}
         for item in seen:
             counts[item] = counts.get(item, 0) + 1
@@ -185,8 +193,7 @@ class RecentKeys(Ordered):
                 counts[gone] -= 1
                 if not counts[gone]:
                     del counts[gone]
-        self.ring.update((seen[-self.back :],))
-        return out
+        return (seen[-self.back :],), out
 
 
 class Epochs(Ordered):
@@ -194,12 +201,10 @@ class Epochs(Ordered):
     lifetime doesn't; rows of kind `ignored` count in neither."""
 
     columns = ("epoch", "in_epoch", "lifetime")
+    state, empty = "epoch long, in_epoch long, lifetime long", (0, None, None)
 
-    def begin(self, handle: StatefulProcessorHandle) -> None:
-        self.sums = handle.getValueState("sums", "epoch long, in_epoch long, lifetime long")
-
-    def take(self, rows: list[tuple]) -> list[tuple]:
-        epoch, own, ever = self.sums.get() or (0, None, None)
+    def take(self, held: tuple, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
+        epoch, own, ever = held
         out = []
         for _, b, kind, value in rows:
             if kind == "reset":
@@ -208,15 +213,49 @@ class Epochs(Ordered):
                 own = value if own is None or value > own else own
                 ever = value if ever is None or value > ever else ever
             out.append((b, epoch, own, ever))
-        self.sums.update((epoch, own, ever))
-        return out
+        return (epoch, own, ever), out
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, s_a, s_b, more), of longs and strings but for the key (not nested), as one row for each key and PACKED rows
+    or so: the lists of its columns, pickled, in the order of (s_a, s_b)."""
+
+    def listed(c: pa.Array) -> list:
+        if not c.null_count or not pa.types.is_integer(c.type):
+            return c.to_numpy(zero_copy_only=False).tolist()
+        values = c.fill_null(0).to_numpy().astype(object)  # else they would be doubles
+        values[c.is_null().to_numpy(zero_copy_only=False)] = None
+        return values.tolist()
+
+    def pack(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        for part in rows.sort_by([(c, "ascending") for c in rows.column_names[:3]]).combine_chunks().to_batches():
+            key, *more = part.columns
+            starts = np.flatnonzero(np.append(True, pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)))
+            lists, ends = [listed(c) for c in more], [*starts[1:].tolist(), len(key)]
+            packs = [pickle.dumps([x[i:j] for x in lists]) for i, j in zip(starts.tolist(), ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([key.take(pa.array(starts)), pa.array(packs, pa.binary())], ["s_key", "s_rows"])
+
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= PACKED:
+            yield from pack(held)
+            held, n = [], 0
+    if held:
+        yield from pack(held)
 
 
 def _streamed(rows: DataFrame, key: str, a: Column, b: str, more: dict[str, Column], processor: Ordered, out: dict[str, str]) -> DataFrame:
+    """What the processor puts out. Each value of a row or an array that goes into the state's worker is converted on its
+    own, which costs more than all else, so a key's rows of a batch are brought together and packed first."""
     kinds = {f: rows.schema[f].dataType.simpleString() for f in (key, b)}
-    ordered = rows.where(F.col(key).isNotNull()).select(key, a.cast("long").alias("s_a"), F.col(b).cast("long").alias("s_b"), *(c.alias(n) for n, c in more.items()))
-    packed = ", ".join(f"{c} array<{kind}>" for c, kind in ({"s_b": "long"} | out).items())
-    done = ordered.groupBy(key).transformWithState(processor, f"key {kinds[key]}, {packed}", "Append", "None")
+    ordered = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("s_key"), a.cast("long").alias("s_a"), F.col(b).cast("long").alias("s_b"), *(c.alias(n) for n, c in more.items()))
+    ordered = ordered.repartition("s_key").mapInArrow(_packed, f"s_key {kinds[key]}, s_rows binary")
+    arrays = ", ".join(f"{c} array<{kind}>" for c, kind in ({"s_b": "long"} | out).items())
+    done = ordered.groupBy("s_key").transformWithState(processor, f"key {kinds[key]}, {arrays}", "Append", "None")
     done = done.select("key", F.inline(F.arrays_zip("s_b", *out)))
     return done.select(F.col("key").alias(key), F.col("s_b").cast(kinds[b]).alias(b), *out)
 
